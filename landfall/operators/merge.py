@@ -20,6 +20,7 @@ single hot join partition.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from datetime import datetime
 from functools import reduce
 
@@ -53,14 +54,16 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
     """One row per key: the one with the greatest ``order_by`` tuple (e.g.
     ``page, position`` -- the later page wins, as page-by-page merges would
-    leave it).  ``max_by`` is a partial aggregate, so a hot key is reduced
-    map-side before the shuffle.  NULL-key rows are all kept."""
+    leave it).  ``order_by`` must order rows totally.  NULL-key rows are all
+    kept: they are grouped by their own ``order_by`` tuple, so the input is
+    read once in a single aggregation.  ``max_by`` is a partial aggregate, so
+    a hot key is reduced map-side before the shuffle."""
     payload = [c for c in df.columns if c not in keys]
-    best = (df.where(_all_not_null(keys)).groupBy(*keys)
+    solo = F.when(~_all_not_null(keys), F.struct(*order_by)).alias("_solo")
+    return (df.groupBy(*keys, solo)
             .agg(F.max_by(F.struct(*payload), F.struct(*order_by)).alias("_w"))
-            .select(*keys, "_w.*"))
-    nulls = df.where(~_all_not_null(keys))
-    return best.select(*df.columns).unionByName(nulls)
+            .select(*keys, "_w.*")
+            .select(*df.columns))
 
 
 def changed_rows(target: DataFrame, source: DataFrame, keys: list[str], compare: list[str]) -> DataFrame:
@@ -74,9 +77,12 @@ def changed_rows(target: DataFrame, source: DataFrame, keys: list[str], compare:
 
 def merge_frames(target: DataFrame, source: DataFrame, keys: list[str], *,
                  compare: list[str] | None = None, stamp_column: str | None = "update_ts",
-                 run_ts: datetime | str | None = None, extra_join: list[str] | None = None) -> DataFrame:
+                 run_ts: datetime | str | None = None, extra_join: list[str] | None = None,
+                 split_nulls: bool = True) -> DataFrame:
     """Target after the merge, with a ``merge_action`` column
-    (insert / update / unchanged / keep)."""
+    (insert / update / unchanged / keep).  NULL-key rows go around the join
+    (``split_nulls``) instead of all hashing to one join partition; callers
+    that already removed them pass ``split_nulls=False``."""
     src_cols = [c for c in source.columns if c != stamp_column]
     compare = compare if compare is not None else [c for c in src_cols if c not in keys and c not in (extra_join or [])]
     out_cols = [c for c in target.columns] + [c for c in src_cols if c not in target.columns]
@@ -87,8 +93,8 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: list[str], *,
     t = target.withColumn("_t", F.lit(True)).alias("t")
     s = source.select(*src_cols, *[c for c in (extra_join or []) if c not in src_cols]) \
               .withColumn("_s", F.lit(True)).alias("s")
-    t_keyed = t.where(_all_not_null(keys))
-    s_keyed = s.where(_all_not_null(keys))
+    t_keyed = t.where(_all_not_null(keys)) if split_nulls else t
+    s_keyed = s.where(_all_not_null(keys)) if split_nulls else s
     cond = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in join_keys]
     j = t_keyed.join(s_keyed, cond, "full_outer")
 
@@ -114,6 +120,8 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: list[str], *,
 
     joined = j.withColumn(ACTION, action)
     merged = joined.select(*[pick(c).alias(c) for c in out_cols], F.col(ACTION))
+    if not split_nulls:
+        return merged
 
     # NULL keys never match: target rows stay, source rows are inserted
     t_null = target.where(~_all_not_null(keys)).withColumn(ACTION, F.lit("keep"))
@@ -126,6 +134,20 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: list[str], *,
             .select(*out_cols, ACTION))
 
 
+@contextmanager
+def _conf(spark, key: str, value: str):
+    """Set a SQL conf for the statements planned inside the block."""
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def bucket_of(keys: list[str], buckets: int) -> Column:
     keyed = _all_not_null(keys)
     return F.when(keyed, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets))).otherwise(F.lit(-1)).cast("int")
@@ -158,13 +180,17 @@ def merge_into(table: Table, source: DataFrame, keys: list[str], *, buckets: int
         stored = T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType(), True)])
         tgt = (spark.read.schema(stored).parquet(data)
                .where(F.col(BUCKET).isin(touched)))
+        # Both sides hash-partitioned by bucket: the join on (bucket, key)
+        # needs no further exchange and each bucket is written by one task,
+        # i.e. one new file per touched bucket.
         tgt = conform(tgt, stored).repartition(nb, BUCKET)
         src_keyed = src.where(F.col(BUCKET) >= 0).repartition(nb, BUCKET)
         merged = merge_frames(tgt, src_keyed, keys, compare=compare, stamp_column=stamp_column,
-                              run_ts=run_ts, extra_join=[BUCKET])
-        (conform(merged, stored).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BUCKET).parquet(data))
+                              run_ts=run_ts, extra_join=[BUCKET], split_nulls=False)
+        with _conf(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+            (conform(merged, stored).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic")
+             .partitionBy(BUCKET).parquet(data))
     nulls = src.where(F.col(BUCKET) < 0)
     if nulls.limit(1).count():
         nulls = nulls.withColumn(stamp_column, stamp(run_ts))

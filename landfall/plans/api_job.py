@@ -81,10 +81,19 @@ def parse_records(pages: DataFrame, mapping: list[FieldMap] = DEVICE_MAPPING, *,
     return mapped
 
 
+def stage_pages(spark: SparkSession, options: dict, path: str) -> DataFrame:
+    """Fetch every page once into parquet at ``path`` and read it back: the
+    API is not called again when a later stage is retried or recomputed."""
+    read_pages(spark, options).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def api_frame(spark: SparkSession, options: dict, *, run_ts=None, mapping=DEVICE_MAPPING,
-              keys=DEVICE_KEY) -> DataFrame:
-    """Pages -> typed rows, one per key (the row of the latest page wins)."""
-    rows = parse_records(read_pages(spark, options), mapping, run_ts=run_ts)
+              keys=DEVICE_KEY, stage_path: str | None = None) -> DataFrame:
+    """Pages -> typed rows, one per key (the row of the latest page wins).
+    With ``stage_path`` the raw pages are landed there first."""
+    pages = stage_pages(spark, options, stage_path) if stage_path else read_pages(spark, options)
+    rows = parse_records(pages, mapping, run_ts=run_ts)
     return latest_per_key(rows, keys, ["page", "position"]).drop("page", "position")
 
 
@@ -117,7 +126,8 @@ def run_api_cdc(spark: SparkSession, config_table: DataFrame, object_name: str,
     table = Table(spark, target)
     with audited_run(log, **identity) as ctx:
         options = {"url": cfg.source_url, "numPartitions": num_partitions, **transport, "modifiedDate": mark}
-        frame = api_frame(spark, options, run_ts=run_ts)
+        frame = api_frame(spark, options, run_ts=run_ts,
+                          stage_path=f"{table.location}/_staging/{ctx.run_id}")
         merge_into(table, frame, DEVICE_KEY, buckets=buckets, run_ts=run_ts)
         ctx.latest_update_dt = column_max(table.read(), cfg.source_delta_column).first()[0]
     return {"watermark_used": mark, "latest_update_dt": ctx.latest_update_dt, "run_id": ctx.run_id}

@@ -217,7 +217,8 @@ def stage_pages(spark: SparkSession, sf: str, dest: str) -> None:
 def q09_paged_api(spark: SparkSession, sf: str) -> DataFrame:
     area = scratch(spark, "q09")
     stage_pages(spark, sf, f"{area}/pages")
-    frame = api_frame(spark, {"transport": "files", "path": f"{area}/pages", "numPartitions": 4}, run_ts=RUN_TS)
+    frame = api_frame(spark, {"transport": "files", "path": f"{area}/pages", "numPartitions": 4}, run_ts=RUN_TS,
+                      stage_path=f"{area}/landed")
     ts_cols = [t for _, t, ty, _, _ in DEVICE_FIELDS if ty == "timestamp"] + ["update_ts"]
     return ntz(frame, *ts_cols)
 
@@ -226,7 +227,7 @@ def q20_last_page_wins(spark: SparkSession, sf: str) -> DataFrame:
     area = scratch(spark, "q20")
     stage_pages(spark, sf, f"{area}/pages")
     frame = api_frame(spark, {"transport": "files", "path": f"{area}/pages", "numPartitions": 3},
-                      run_ts=RUN_TS, keys=["patient_id"])
+                      run_ts=RUN_TS, keys=["patient_id"], stage_path=f"{area}/landed")
     return frame.select("patient_id", "mendix_uid")
 
 
