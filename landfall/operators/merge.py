@@ -155,8 +155,17 @@ def bucket_of(keys: list[str], buckets: int) -> Column:
 
 def merge_into(table: Table, source: DataFrame, keys: list[str], *, buckets: int = 64,
                compare: list[str] | None = None, stamp_column: str = "update_ts",
-               run_ts: datetime | str | None = None, on_duplicate: str = "error") -> None:
-    """Upsert ``source`` into a bucketed merge table (created on first use)."""
+               run_ts: datetime | str | None = None, on_duplicate: str = "error",
+               track_max: list[str] | tuple = ()) -> None:
+    """Upsert ``source`` into a bucketed merge table (created on first use).
+
+    ``buckets`` is fixed when the table is created; pick it so one bucket of
+    the target is about what one task should rewrite (e.g. ~1 GB).
+    ``track_max`` columns get their per-bucket MAX kept in the commit, so
+    :func:`table_max` answers "MAX over the whole target" from the buckets this
+    merge rewrote instead of a full scan.  The source is read four times
+    (stats, merge, NULL keys, maxima); stage it first when it is expensive.
+    """
     spark = source.sparkSession
     current = table.latest()
     src_schema = T.StructType([f for f in source.schema.fields if f.name != stamp_column])
@@ -166,18 +175,21 @@ def merge_into(table: Table, source: DataFrame, keys: list[str], *, buckets: int
         fs.mkdirs(spark, table.segment_path("data"))
     nb = int(current.properties["buckets"])
     schema = evolve_schema(current.schema, incoming)
+    stored = T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType(), True)])
     data = table.segment_path("data")
+    src = source.withColumn(BUCKET, bucket_of(keys, nb))
 
-    if on_duplicate == "error":
-        dup = duplicate_keys(source, keys).limit(1).collect()
-        if dup:
-            raise DuplicateKeyError(f"source has several rows for key {dup[0].asDict()}")
+    # One pass over the source: the largest key multiplicity and the touched
+    # buckets (at most ``nb`` ids, a fixed table property, reach the driver).
+    stats = (src.where(F.col(BUCKET) >= 0).groupBy(*keys)
+             .agg(F.count(F.lit(1)).alias("n"), F.first(BUCKET).alias("b"))
+             .agg(F.max("n").alias("most"), F.collect_set("b").alias("touched"))).first()
+    most, touched = (stats["most"] or 0), sorted(stats["touched"] or [])
+    if on_duplicate == "error" and most > 1:
+        dup = duplicate_keys(source, keys).first()
+        raise DuplicateKeyError(f"source has several rows for key {dup.asDict()}")
 
-    src = source.withColumn(BUCKET, bucket_of(keys, nb))
-    # bucket ids are bounded by the bucket count, a fixed table property
-    touched = [r[0] for r in src.where(F.col(BUCKET) >= 0).select(BUCKET).distinct().collect()]
     if touched:
-        stored = T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType(), True)])
         tgt = (spark.read.schema(stored).parquet(data)
                .where(F.col(BUCKET).isin(touched)))
         # Both sides hash-partitioned by bucket: the join on (bucket, key)
@@ -191,10 +203,68 @@ def merge_into(table: Table, source: DataFrame, keys: list[str], *, buckets: int
             (conform(merged, stored).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic")
              .partitionBy(BUCKET).parquet(data))
-    nulls = src.where(F.col(BUCKET) < 0)
-    if nulls.limit(1).count():
-        nulls = nulls.withColumn(stamp_column, stamp(run_ts))
-        stored = T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType(), True)])
-        conform(nulls, stored).write.mode("append").partitionBy(BUCKET).parquet(data)
-    if schema != current.schema:
-        table.commit(current.segments, schema, expected=current)
+
+    # NULL keys never match anything: appended to their own folder, no join.
+    nulls = conform(src.where(F.col(BUCKET) < 0).withColumn(stamp_column, stamp(run_ts)), stored)
+    null_max = None
+    if track_max:
+        null_max = nulls.agg(*[F.max(c).alias(c) for c in track_max]).first().asDict()
+    nulls.write.mode("append").partitionBy(BUCKET).parquet(data)
+
+    props = dict(current.properties)
+    if track_max:
+        props["max"] = _bucket_maxima(spark, stored, data, touched, track_max,
+                                      current.properties.get("max", {}), null_max)
+    if schema != current.schema or props != current.properties:
+        table.commit(current.segments, schema, props, expected=current)
+
+
+def _bucket_maxima(spark, stored, data, touched, cols, old: dict, null_max: dict) -> dict:
+    """Per-bucket MAX of ``cols`` after a merge: rewritten buckets are
+    re-aggregated (one column each, pruned), the NULL-key bucket only grows by
+    appends, every other bucket keeps its recorded value."""
+    out = {c: dict(old.get(c, {})) for c in cols}
+    if touched:
+        fresh = (spark.read.schema(stored).parquet(data).where(F.col(BUCKET).isin(touched))
+                 .groupBy(BUCKET).agg(*[F.max(c).cast("string").alias(c) for c in cols]).collect())
+        for r in fresh:
+            for c in cols:
+                out[c][str(r[BUCKET])] = r[c]
+    for c in cols:
+        new = null_max.get(c) if null_max else None
+        if new is not None:
+            new = str(new)
+            prev = out[c].get("-1")
+            out[c]["-1"] = new if prev is None else max(prev, new, key=lambda v: _as_sortable(v))
+    return out
+
+
+def _as_sortable(v: str):
+    try:
+        return (0, float(v))
+    except ValueError:
+        return (1, v)
+
+
+def table_max(table: Table, column: str):
+    """MAX of ``column`` over the whole merge table, from the per-bucket
+    maxima when the column is tracked, otherwise by a scan of that column."""
+    from landfall.functions.columns import find_column
+    from landfall.operators.watermark import column_max
+
+    c = table.latest()
+    if c is None:
+        return None
+    name = find_column(c.schema.names, column)
+    if name is None:
+        return None
+    tracked = c.properties.get("max", {}).get(name)
+    if tracked is None:
+        return column_max(table.read(), name).first()[0]
+    values = [v for v in tracked.values() if v is not None]
+    if not values:
+        return None
+    dtype = c.schema[name].dataType
+    spark = table.spark
+    lits = spark.createDataFrame([(v,) for v in values], "v STRING")
+    return lits.agg(F.max(F.col("v").cast(dtype))).first()[0]

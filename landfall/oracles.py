@@ -117,5 +117,11 @@ FROM events GROUP BY user_id""",
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, 'run2' AS ver FROM orders""",
     "q25_add_columns": """
 SELECT o_orderkey, o_totalprice, CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END AS o_orderstatus
+FROM orders""",
+    "q26_api_cdc_job": f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS mendix_uid, CAST(o_custkey AS VARCHAR) AS patient_id,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 'X' ELSE o_orderstatus END AS status,
+       o_orderpriority AS device_status, o_orderdate AS modified_date,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN {SQL_TS_2} ELSE {SQL_TS} END AS update_ts
 FROM orders""",
 }

@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from landfall.functions.timestamps import API_FORMAT
 from landfall.operators.mapping import FieldMap, apply_mapping, landing_schema
-from landfall.operators.merge import latest_per_key, merge_into
-from landfall.operators.watermark import column_max
+from landfall.operators.merge import latest_per_key, merge_into, table_max
 from landfall.plans.audit import AuditLog, audited_run
 from landfall.plans.config import ApiConfig, job_for_tags
 from landfall.sources import paged
@@ -66,10 +65,17 @@ JOB_TAGS = {"layer": "SDH", "schema": "MDX", "object": "DEVICE_CDC"}
 DEVICE_MAPPING = [FieldMap(s, t, ty, fmt, strict) for s, t, ty, fmt, strict in DEVICE_FIELDS]
 
 
-def read_pages(spark: SparkSession, options: dict) -> DataFrame:
-    """Raw ``(page, position, record)`` rows of every page."""
+def mapping_for(column: str, mapping: list[FieldMap] = DEVICE_MAPPING) -> list[FieldMap]:
+    """Mapping entries whose target is ``column`` (case-insensitive)."""
+    return [m for m in mapping if m.target.lower() == (column or "").lower()]
+
+
+def read_pages(spark: SparkSession, options: dict, raw: bool = False) -> DataFrame:
+    """``(page, position, record)`` rows of every page up to the first empty
+    one (``raw`` keeps the end markers and anything past a gap)."""
     paged.register(spark)
-    return spark.read.format("paged_api").options(**{k: str(v) for k, v in options.items()}).load()
+    df = spark.read.format("paged_api").options(**{k: str(v) for k, v in options.items()}).load()
+    return df if raw else paged.until_first_empty(df)
 
 
 def parse_records(pages: DataFrame, mapping: list[FieldMap] = DEVICE_MAPPING, *,
@@ -84,8 +90,8 @@ def parse_records(pages: DataFrame, mapping: list[FieldMap] = DEVICE_MAPPING, *,
 def stage_pages(spark: SparkSession, options: dict, path: str) -> DataFrame:
     """Fetch every page once into parquet at ``path`` and read it back: the
     API is not called again when a later stage is retried or recomputed."""
-    read_pages(spark, options).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    read_pages(spark, options, raw=True).write.mode("overwrite").parquet(path)
+    return paged.until_first_empty(spark.read.parquet(path))
 
 
 def api_frame(spark: SparkSession, options: dict, *, run_ts=None, mapping=DEVICE_MAPPING,
@@ -126,8 +132,12 @@ def run_api_cdc(spark: SparkSession, config_table: DataFrame, object_name: str,
     table = Table(spark, target)
     with audited_run(log, **identity) as ctx:
         options = {"url": cfg.source_url, "numPartitions": num_partitions, **transport, "modifiedDate": mark}
-        frame = api_frame(spark, options, run_ts=run_ts,
-                          stage_path=f"{table.location}/_staging/{ctx.run_id}")
-        merge_into(table, frame, DEVICE_KEY, buckets=buckets, run_ts=run_ts)
-        ctx.latest_update_dt = column_max(table.read(), cfg.source_delta_column).first()[0]
+        staging = f"{table.location}/_staging/{ctx.run_id}"
+        frame = api_frame(spark, options, run_ts=run_ts, stage_path=f"{staging}/pages")
+        # the delta is landed once; the merge reads it a few times
+        frame.write.mode("overwrite").parquet(f"{staging}/rows")
+        delta = spark.read.parquet(f"{staging}/rows")
+        merge_into(table, delta, DEVICE_KEY, buckets=buckets, run_ts=run_ts,
+                   track_max=[m.target for m in mapping_for(cfg.source_delta_column)])
+        ctx.latest_update_dt = table_max(table, cfg.source_delta_column)
     return {"watermark_used": mark, "latest_update_dt": ctx.latest_update_dt, "run_id": ctx.run_id}

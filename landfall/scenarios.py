@@ -190,13 +190,13 @@ def q08_rescued(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- paged API
-def stage_pages(spark: SparkSession, sf: str, dest: str) -> None:
+def stage_pages(spark: SparkSession, sf: str, dest: str, status=None) -> None:
     """orders as API pages of 1000 records (``page = o_orderkey div 1000 + 1``),
     one ``page=<n>`` folder each, records in key order."""
     orders = sf_table(spark, sf, "orders")
     rec = F.struct(
         F.col("o_orderkey").alias("_k"),
-        F.col("o_orderstatus").alias("status"),
+        (status if status is not None else F.col("o_orderstatus")).alias("status"),
         F.col("o_orderpriority").alias("deviceStatus"),
         F.col("o_orderkey").cast("string").alias("mendixUID"),
         F.col("o_custkey").cast("string").alias("mendixPID"),
@@ -231,6 +231,35 @@ def q20_last_page_wins(spark: SparkSession, sf: str) -> DataFrame:
     return frame.select("patient_id", "mendix_uid")
 
 
+def q26_api_cdc_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole CDC job twice: a first load from an initial watermark, then a
+    delta where urgent orders changed status; the second run starts from the
+    watermark the first one logged."""
+    from landfall.plans.api_job import run_api_cdc
+
+    area = scratch(spark, "q26")
+    cfg = spark.createDataFrame([(1, "https://api.invalid/devices", "MDX", "device", "modified_date")],
+                                "object_id INT, source_url STRING, source_name STRING, object_name STRING, "
+                                "source_delta_column STRING")
+    jobs = spark.createDataFrame([("j1", "device_cdc", {"layer": "SDH", "schema": "MDX", "object": "DEVICE_CDC"})],
+                                 "job_id STRING, name STRING, tags MAP<STRING,STRING>")
+    stage_pages(spark, sf, f"{area}/pages1")
+    changed = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("X")).otherwise(F.col("o_orderstatus"))
+    stage_pages(spark, sf, f"{area}/pages2", status=changed)
+    common = dict(target=f"{area}/target", audit=f"{area}/audit", jobs=jobs, notebook_name="device_cdc",
+                  buckets=16)
+    run_api_cdc(spark, cfg, "device", transport={"transport": "files", "path": f"{area}/pages1"},
+                initial_watermark="01/01/1990", run_ts=RUN_TS, **common)
+    second = run_api_cdc(spark, cfg, "device", transport={"transport": "files", "path": f"{area}/pages2"},
+                         run_ts=RUN_TS_2, **common)
+    first_mark = AuditLog(spark, f"{area}/audit").read().agg(F.min("latest_update_dt")).first()[0]
+    if second["watermark_used"] != first_mark.strftime("%m/%d/%Y %H:%M:%S"):
+        raise AssertionError(f"second run did not start from the logged watermark: {second}")
+    out = Table(spark, f"{area}/target").read()
+    return ntz(out.select("mendix_uid", "patient_id", "status", "device_status", "modified_date", "update_ts"),
+               "modified_date", "update_ts")
+
+
 # ---------------------------------------------------------------- columns, filters
 def q10_zip_explode(spark: SparkSession, sf: str) -> DataFrame:
     area = scratch(spark, "q10")
@@ -427,4 +456,5 @@ QUERIES = {
     "q23_replay_safe": q23_replay_safe,
     "q24_snapshot_replace": q24_snapshot_replace,
     "q25_add_columns": q25_add_columns,
+    "q26_api_cdc_job": q26_api_cdc_job,
 }

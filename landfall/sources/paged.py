@@ -5,7 +5,10 @@ one key (``deviceResponseData``); an empty list or HTTP 204 ends paging.
 Instead of a driver loop, the source has ``numPartitions`` input partitions:
 partition ``i`` requests pages ``i+1, i+1+n, i+1+2n, ...`` until its first
 empty page, so pages are fetched in parallel on the executors.  Each record is
-emitted as ``(page, position, record)`` with the record's JSON text; typing
+emitted as ``(page, position, record)`` with the record's JSON text, and the
+page that ended a partition as ``(page, -1, NULL)`` so that
+:func:`until_first_empty` can drop what lies beyond the first empty page over
+all partitions (a gap in the page numbers); typing
 and renaming happen afterwards on the JVM (``from_json`` + a mapping), and
 ``(page, position)`` lets a later page win when a key repeats.
 
@@ -146,10 +149,9 @@ class PagedApiReader(DataSourceReader):
             if o.get("modifiedDate"):
                 params["modifiedDate"] = o["modifiedDate"]
             body = fetch(get, params, retries)
-            if body is None:
-                return
-            records = page_records(body, key)
+            records = page_records(body, key) if body is not None else []
             if not records:
+                yield (page, -1, None)          # end marker: this partition's first empty page
                 return
             for pos, rec in enumerate(records):
                 yield (page, pos, json.dumps(rec))
@@ -157,4 +159,23 @@ class PagedApiReader(DataSourceReader):
 
 
 def register(spark) -> None:
+    """Register the source.  This module is shipped to the Python workers by
+    value, so executors need no installed copy of the package."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(PagedApiDataSource)
+
+
+def until_first_empty(pages):
+    """Records of the pages before the first empty page over all partitions --
+    what a single sequential loop would have read.  The cut is one global
+    ``min`` (one row, broadcast)."""
+    from pyspark.sql import functions as F
+
+    stop = pages.where(F.col("position") < 0).agg(F.min("page").alias("_stop"))
+    data = pages.where(F.col("position") >= 0)
+    return (data.join(F.broadcast(stop), F.col("_stop").isNull() | (F.col("page") < F.col("_stop")))
+            .drop("_stop"))
