@@ -87,7 +87,7 @@ def nested_json_transform(run_ts=None, literal: bool = False) -> Transform:
 
 JOBS = {
     "csv": (csv_transform, {}),
-    "tsv": (tsv_transform, {}),
+    "tsv": (tsv_transform, {}),             # tab delimiter set by the job, whatever the config's format
     "json_flat": (flat_json_transform, {"schema": FLAT_JSON_SCHEMA}),
     "json_nested": (nested_json_transform, {"schema_hints": NESTED_HINT}),
 }
@@ -158,7 +158,9 @@ def feed_job(spark: SparkSession, config: FeedConfig, job: str, *, tables_root:
              run_ts: datetime | str | None = None, **options) -> FileFeedJob:
     """Build the job for one config row.  ``job`` is csv | tsv | json_flat | json_nested."""
     make, source_opts = JOBS[job]
-    reader_opts = options.pop("reader_options", {})
+    reader_opts = dict(options.pop("reader_options", {}))
+    if job == "tsv":
+        reader_opts.setdefault("sep", "\t")
     source = FileSource(input_path=config.input_path, file_format=config.file_format,
                         glob_filter=config.glob_filter, schema_location=config.schema_path,
                         options=reader_opts, **source_opts,

@@ -1,0 +1,91 @@
+"""Column functions, flatten equivalence and rescued data."""
+
+from datetime import datetime
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from conftest import rows, write
+from landfall.functions.columns import last_path_segment, rename_by_position, rename_columns
+from landfall.functions.timestamps import elapsed_microseconds, format_timestamp, lenient_timestamp, strict_timestamp
+from landfall.operators.flatten import flatten, flatten_zip
+from landfall.operators.mapping import FieldMap, apply_mapping
+from landfall.sources.files import FileSource
+
+
+def test_strict_timestamp_raises_on_bad_text_and_lenient_gives_null(spark):
+    df = spark.createDataFrame([("01/02/2024 03:04:05",), ("2024-01-02 03:04:05",), ("",)], "t STRING")
+    assert [r.p for r in df.select(lenient_timestamp("t").alias("p")).collect()] == [
+        None, datetime(2024, 1, 2, 3, 4, 5), None]
+    good = df.limit(1).select(strict_timestamp("t").alias("p")).first().p
+    assert good == datetime(2024, 1, 2, 3, 4, 5)
+    with pytest.raises(Exception):
+        df.select(strict_timestamp("t")).collect()
+
+
+def test_format_and_elapsed(spark):
+    df = spark.createDataFrame([(datetime(2024, 1, 2, 3, 4, 5), datetime(2024, 1, 2, 3, 4, 6, 500000))], "a TIMESTAMP, b TIMESTAMP")
+    r = df.select(format_timestamp("a").alias("f"), elapsed_microseconds("a", "b").alias("us")).first()
+    assert (r.f, r.us) == ("01/02/2024 03:04:05", 1_500_000)
+
+
+def test_renames_and_path_segment(spark):
+    df = spark.createDataFrame([(1, 2)], "a INT, b INT")
+    assert rename_columns(df, {"a": "x", "zz": "y"}).columns == ["x", "b"]
+    with pytest.raises(KeyError):
+        rename_columns(df, {"zz": "y"}, strict=True)
+    with pytest.raises(ValueError):
+        rename_by_position(df, ["only_one"])
+    p = spark.createDataFrame([("/Repos/a/b/nb",)], "p STRING").select(last_path_segment(F.col("p")).alias("n"))
+    assert p.first().n == "nb"
+
+
+def test_mapping_is_one_projection_with_missing_fields_null(spark):
+    df = spark.createDataFrame([("1", "true", "03/01/2024 00:00:00")], "id STRING, flag STRING, when STRING")
+    spec = [FieldMap("id", "key"), FieldMap("flag", "is_set", "boolean"),
+            FieldMap("when", "at", "timestamp", "MM/dd/yyyy HH:mm:ss"), FieldMap("absent", "gone")]
+    out = apply_mapping(df, spec, run_ts="2024-05-05 00:00:00")
+    assert out.columns == ["key", "is_set", "at", "gone", "update_ts"]
+    r = out.first()
+    assert (r.key, r.is_set, r.at, r.gone) == ("1", True, datetime(2024, 3, 1), None)
+
+
+elements = st.one_of(st.none(), st.tuples(st.one_of(st.none(), st.text("ab", max_size=2)),
+                                          st.one_of(st.none(), st.integers(0, 3))))
+arrays = st.one_of(st.none(), st.lists(elements, max_size=3))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=st.lists(arrays, max_size=5))
+def test_inline_equals_explode_arrays_zip(spark, data):
+    df = spark.createDataFrame([(i, a) for i, a in enumerate(data)], "id INT, arr ARRAY<STRUCT<s: STRING, n: INT>>")
+    assert rows(flatten(df, "arr", keep=["id"])) == rows(flatten_zip(df, "arr", keep=["id"]))
+
+
+def test_rescued_json_fields(spark, area):
+    write(f"{area}/drop/a.json", '{"a": "1", "b": "x", "c": {"d": 2}}\n{"a": "2"}\n')
+    src = FileSource(f"{area}/drop", "json", "*.json", schema="a STRING", rescued_data_column="_rescued_data")
+    got = rows(src.batch(spark), "a", "_rescued_data")
+    assert got == [("1", '{"b":"x","c":"{\\"d\\":2}"}'), ("2", None)]
+
+
+def test_rescued_csv_lines(spark, area):
+    write(f"{area}/drop/a.csv", "a,b\n1,2\n3,4,5\n")
+    src = FileSource(f"{area}/drop", "csv", "*.csv", schema="a STRING, b STRING", rescued_data_column="_rescued_data")
+    got = rows(src.batch(spark), "a", "_rescued_data")
+    assert got == [("1", None), ("3", "3,4,5")]
+
+
+def test_schema_memory_ignore_and_add(spark, area):
+    write(f"{area}/drop/a.json", '{"a": 1}\n')
+    src = FileSource(f"{area}/drop", "json", "*.json", schema_location=f"{area}/schema", new_columns="ignore")
+    assert src.resolve_schema(spark).names == ["a"]
+    write(f"{area}/drop/b.json", '{"a": 2, "b": 3}\n')
+    assert src.resolve_schema(spark).names == ["a"]                 # remembered schema kept
+    src.new_columns = "add"
+    assert src.resolve_schema(spark).names == ["a", "b"]            # re-inferred and merged
+    hinted = FileSource(f"{area}/drop", "json", "*.json", schema_hints="b INT, c STRING")
+    s = hinted.resolve_schema(spark)
+    assert s.names == ["a", "b", "c"] and s["b"].dataType.simpleString() == "int"
