@@ -70,12 +70,16 @@ def mapping_for(column: str, mapping: list[FieldMap] = DEVICE_MAPPING) -> list[F
     return [m for m in mapping if m.target.lower() == (column or "").lower()]
 
 
-def read_pages(spark: SparkSession, options: dict, raw: bool = False) -> DataFrame:
-    """``(page, position, record)`` rows of every page up to the first empty
-    one (``raw`` keeps the end markers and anything past a gap)."""
+def fetch_pages(spark: SparkSession, options: dict) -> DataFrame:
+    """``(page, body)``: one row per requested page, fetched in parallel."""
     paged.register(spark)
-    df = spark.read.format("paged_api").options(**{k: str(v) for k, v in options.items()}).load()
-    return df if raw else paged.until_first_empty(df)
+    return spark.read.format("paged_api").options(**{k: str(v) for k, v in options.items()}).load()
+
+
+def read_pages(spark: SparkSession, options: dict) -> DataFrame:
+    """``(page, position, record)`` rows of every page up to the first empty one."""
+    key = options.get("dataKey", DEVICE_DATA_KEY)
+    return paged.until_first_empty(paged.page_records(fetch_pages(spark, options), key))
 
 
 def parse_records(pages: DataFrame, mapping: list[FieldMap] = DEVICE_MAPPING, *,
@@ -88,10 +92,12 @@ def parse_records(pages: DataFrame, mapping: list[FieldMap] = DEVICE_MAPPING, *,
 
 
 def stage_pages(spark: SparkSession, options: dict, path: str) -> DataFrame:
-    """Fetch every page once into parquet at ``path`` and read it back: the
-    API is not called again when a later stage is retried or recomputed."""
-    read_pages(spark, options, raw=True).write.mode("overwrite").parquet(path)
-    return paged.until_first_empty(spark.read.parquet(path))
+    """Fetch every page once into parquet at ``path`` (raw bodies) and split
+    it from there: the API is not called again when a later stage is retried
+    or recomputed."""
+    fetch_pages(spark, options).write.mode("overwrite").parquet(path)
+    key = options.get("dataKey", DEVICE_DATA_KEY)
+    return paged.until_first_empty(paged.page_records(spark.read.parquet(path), key))
 
 
 def api_frame(spark: SparkSession, options: dict, *, run_ts=None, mapping=DEVICE_MAPPING,

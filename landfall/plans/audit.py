@@ -54,15 +54,17 @@ def audit_rows(runs: DataFrame) -> DataFrame:
 
 
 class AuditLog:
-    def __init__(self, spark: SparkSession, location: str):
+    def __init__(self, spark: SparkSession, location: str, max_segments: int = 64):
         self.spark = spark
         self.table = Table(spark, location)
+        self.max_segments = max_segments
 
     def append(self, rows: DataFrame) -> None:
         rows = audit_rows(rows)
         seg = self.table.new_segment("audit")
         write_batch(rows, f"{self.table.segment_path(seg)}/batch-{0:012d}")
         publish(self.table, seg, AUDIT_SCHEMA, replace=False)
+        self.table.compact(self.max_segments)
 
     def read(self) -> DataFrame:
         if not self.table.exists():

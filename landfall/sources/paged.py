@@ -4,13 +4,14 @@ The API returns pages ``Page=1, 2, ...`` of at most ``limit`` records under
 one key (``deviceResponseData``); an empty list or HTTP 204 ends paging.
 Instead of a driver loop, the source has ``numPartitions`` input partitions:
 partition ``i`` requests pages ``i+1, i+1+n, i+1+2n, ...`` until its first
-empty page, so pages are fetched in parallel on the executors.  Each record is
-emitted as ``(page, position, record)`` with the record's JSON text, and the
-page that ended a partition as ``(page, -1, NULL)`` so that
-:func:`until_first_empty` can drop what lies beyond the first empty page over
-all partitions (a gap in the page numbers); typing
-and renaming happen afterwards on the JVM (``from_json`` + a mapping), and
-``(page, position)`` lets a later page win when a key repeats.
+empty page, so pages are fetched in parallel on the executors.
+
+Python only moves bytes: the source yields one ``(page, body)`` row per page
+(``body`` NULL for 204).  :func:`page_records` then splits bodies into
+``(page, position, record)`` rows on the JVM -- ``from_json`` into
+``array<string>`` keeps each record as its JSON text -- and
+:func:`until_first_empty` drops everything from the first empty page on, over
+all partitions, which is what one sequential loop would have read.
 
 Requests are retried: 200 -> body, 204 -> no more data, 401 -> fail at once,
 anything else or an error -> wait ``2**attempt`` seconds and try again, up to
@@ -34,7 +35,7 @@ import urllib.request
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-SCHEMA = "page INT, position INT, record STRING"
+SCHEMA = "page INT, body STRING"
 
 
 class ApiError(RuntimeError):
@@ -76,7 +77,11 @@ def files_transport(options: dict):
         for f in files:
             with open(f, encoding="utf-8") as fh:
                 parts.extend(line for line in fh.read().splitlines() if line.strip())
-        return 200, parts[0] if len(parts) == 1 else json.dumps({"pages": [json.loads(p) for p in parts]})
+        if len(parts) == 1:
+            return 200, parts[0]
+        # a page captured as several JSON lines: one body with the lists joined
+        key = options.get("dataKey", "deviceResponseData")
+        return 200, json.dumps({key: [r for p in parts for r in (json.loads(p).get(key) or [])]})
 
     return get
 
@@ -105,11 +110,16 @@ def fetch(get, params: dict, retries: int = 3, sleep=time.sleep) -> str | None:
     raise ApiError(f"page {params.get('Page')} failed after {retries} attempts: {last}")
 
 
-def page_records(body: str, data_key: str) -> list:
-    data = json.loads(body)
-    if "pages" in data and data_key not in data:     # files transport, page split over files
-        return [r for p in data["pages"] for r in (p.get(data_key) or [])]
-    return data.get(data_key) or []
+def _has_records(body: str, probe: str) -> bool:
+    """Whether the page's list is non-empty, without parsing the body."""
+    at = body.find(probe)
+    if at < 0:
+        return False
+    rest = body[at + len(probe):].lstrip()
+    if not rest.startswith(":"):
+        return False
+    rest = rest[1:].lstrip()
+    return rest.startswith("[") and not rest[1:].lstrip().startswith("]")
 
 
 class PagedApiDataSource(DataSource):
@@ -143,18 +153,19 @@ class PagedApiReader(DataSourceReader):
         get = TRANSPORTS[o.get("transport", "http")](o)
         key = o.get("dataKey", "deviceResponseData")
         retries = int(o.get("retries", 3))
+        probe = f'"{key}"'
+
         page = partition.value + 1
         while True:
             params = {"limit": int(o.get("limit", 1000)), "Page": page}
             if o.get("modifiedDate"):
                 params["modifiedDate"] = o["modifiedDate"]
             body = fetch(get, params, retries)
-            records = page_records(body, key) if body is not None else []
-            if not records:
-                yield (page, -1, None)          # end marker: this partition's first empty page
+            yield (page, body)
+            # stop at this partition's first empty page; the JVM side decides
+            # emptiness exactly, this cheap check only ends the loop
+            if body is None or not _has_records(body, probe):
                 return
-            for pos, rec in enumerate(records):
-                yield (page, pos, json.dumps(rec))
             page += n
 
 
@@ -169,13 +180,22 @@ def register(spark) -> None:
     spark.dataSource.register(PagedApiDataSource)
 
 
-def until_first_empty(pages):
-    """Records of the pages before the first empty page over all partitions --
-    what a single sequential loop would have read.  The cut is one global
-    ``min`` (one row, broadcast)."""
+def page_records(pages, data_key: str = "deviceResponseData"):
+    """``(page, body)`` -> ``(page, position, record)``; a page without
+    records gives one ``(page, -1, NULL)`` end marker."""
+    from pyspark.sql import functions as F
+
+    records = F.from_json("body", f"struct<`{data_key}`: array<string>>")[data_key]
+    exploded = pages.select("page", F.posexplode_outer(records).alias("position", "record"))
+    return exploded.select("page", F.coalesce("position", F.lit(-1)).alias("position"), "record")
+
+
+def until_first_empty(records):
+    """Records of the pages before the first empty page over all partitions.
+    The cut is one global ``min`` (one row, broadcast)."""
     from pyspark.sql import functions as F
 
-    stop = pages.where(F.col("position") < 0).agg(F.min("page").alias("_stop"))
-    data = pages.where(F.col("position") >= 0)
+    stop = records.where(F.col("position") < 0).agg(F.min("page").alias("_stop"))
+    data = records.where(F.col("position") >= 0)
     return (data.join(F.broadcast(stop), F.col("_stop").isNull() | (F.col("page") < F.col("_stop")))
             .drop("_stop"))

@@ -135,6 +135,17 @@ class Table:
             raise FileNotFoundError(f"no table at {self.location}")
         return self.commit([], c.schema, expected=c)
 
+    def compact(self, max_segments: int = 64) -> Commit | None:
+        """Rewrite the table into one segment once it has more than
+        ``max_segments`` (append-mode tables grow one segment per load).  The
+        rewrite reads and writes in parallel; nothing passes the driver."""
+        c = self.latest()
+        if c is None or len(c.segments) <= max_segments:
+            return None
+        seg = self.new_segment("compact")
+        self.read().write.mode("overwrite").parquet(f"{self.segment_path(seg)}/batch-{0:012d}")
+        return self.commit([seg], c.schema, expected=c)
+
     def add_columns(self, incoming: T.StructType) -> Commit:
         """``ALTER TABLE ADD COLUMNS`` for every column of ``incoming`` the table lacks."""
         c = self.latest()

@@ -60,3 +60,16 @@ def test_empty_first_page_gives_no_rows(spark, area):
     _pages(area, [0])
     df = read_pages(spark, {"transport": "files", "path": f"{area}/pages", "numPartitions": 2})
     assert df.count() == 0
+
+
+def test_body_probe_and_jvm_split(spark):
+    from landfall.sources.paged import _has_records, page_records
+
+    probe = '"deviceResponseData"'
+    assert _has_records('{"deviceResponseData": [{"a": 1}]}', probe)
+    assert not _has_records('{"deviceResponseData": [ ]}', probe)
+    assert not _has_records('{"other": [1]}', probe)
+    df = spark.createDataFrame([(1, '{"deviceResponseData": [{"a": 1}, {"b": {"c": 2}}]}'), (2, None)],
+                               "page INT, body STRING")
+    got = sorted((r.page, r.position, r.record) for r in page_records(df).collect())
+    assert got == [(1, 0, '{"a":1}'), (1, 1, '{"b":{"c":2}}'), (2, -1, None)]

@@ -37,3 +37,16 @@ def test_concurrent_commit_is_refused(spark, area):
     t.commit([], c.schema, expected=c)
     with pytest.raises(RuntimeError):
         t.commit([], c.schema, expected=c)
+
+
+def test_compact_merges_segments(spark, area):
+    t = Table(spark, f"{area}/t")
+    schema = T.StructType.fromDDL("x INT")
+    for i in range(5):
+        seg = t.new_segment()
+        write_batch(spark.createDataFrame([(i,)], schema), f"{t.segment_path(seg)}/batch-0")
+        publish(t, seg, schema, replace=False)
+    assert len(t.latest().segments) == 5
+    assert t.compact(max_segments=3) is not None
+    assert len(t.latest().segments) == 1
+    assert sorted(r.x for r in t.read().collect()) == [0, 1, 2, 3, 4]
