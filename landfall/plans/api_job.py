@@ -122,12 +122,16 @@ def watermark_text(value: datetime | None, initial: str | None) -> str:
     return value.strftime("%m/%d/%Y %H:%M:%S")
 
 
-def run_api_cdc(spark: SparkSession, config_table: DataFrame, object_name: str, *, target: str, audit: str,
-                transport: dict, jobs: DataFrame | None = None, notebook_name: str | None = None,
+def run_api_cdc(spark: SparkSession, config_table: DataFrame | str, object_name: str, *, target: str, audit: str,
+                transport: dict, jobs: DataFrame | str | None = None, notebook_name: str | None = None,
                 initial_watermark: str | None = None, run_ts=None, buckets: int = 64,
                 num_partitions: int = 4) -> dict:
     """The whole CDC run.  ``transport`` holds the ``paged_api`` options other
     than ``modifiedDate`` (e.g. ``{"transport": "http", "url": ..., "username": ...}``)."""
+    if isinstance(config_table, str):
+        config_table = spark.table(config_table)
+    if isinstance(jobs, str):
+        jobs = spark.table(jobs)
     cfg = ApiConfig.load(config_table, object_name)
     job = job_for_tags(jobs, JOB_TAGS) if jobs is not None else None
     log = AuditLog(spark, audit)

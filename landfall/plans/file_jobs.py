@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from landfall import fs
 from landfall.functions.columns import drop_columns, rename_by_position, rename_columns, stamp
 from landfall.operators.flatten import flatten, flatten_zip
-from landfall.plans.config import FeedConfig
+from landfall.plans.config import FeedConfig, parse_ref_id
 from landfall.session import workspace
 from landfall.sources.files import FileSource
 from landfall.sources.ledger import FileLedger
@@ -171,6 +171,9 @@ def feed_job(spark: SparkSession, config: FeedConfig, job: str, *, tables_root:
                        **options)
 
 
-def run_feed(spark: SparkSession, config_table: DataFrame, ref_id: str | int, job: str, **options) -> LoadResult:
-    """Entry point: ``ref_id`` -> config row -> load -> publish."""
-    return feed_job(spark, FeedConfig.load(config_table, ref_id), job, **options).run()
+def run_feed(spark: SparkSession, config_table: DataFrame | str, ref_id: str | int, job: str,
+             **options) -> LoadResult:
+    """Entry point: ``ref_id`` -> config row -> load -> publish.  The config is
+    a DataFrame or the name of a catalog table (``catalog.schema.table``)."""
+    config = spark.table(config_table) if isinstance(config_table, str) else config_table
+    return feed_job(spark, FeedConfig.load(config, parse_ref_id(ref_id)), job, **options).run()

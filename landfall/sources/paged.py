@@ -25,9 +25,7 @@ to replay captured pages and in tests).
 from __future__ import annotations
 
 import base64
-import glob
 import json
-import os
 import time
 import urllib.error
 import urllib.parse
@@ -66,21 +64,30 @@ def http_transport(options: dict):
 
 
 def files_transport(options: dict):
-    root = options["path"].removeprefix("file:")
+    """Captured pages in ``<path>/page=<n>/``: any file system ``pyarrow.fs``
+    resolves from the URI (local paths, s3://, gs://, hdfs://)."""
+    from pyarrow import fs as pafs
+
+    path = options["path"]
+    if path.startswith("file:"):
+        path = "/" + path[len("file:"):].lstrip("/")
+    filesystem, root = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+    key = options.get("dataKey", "deviceResponseData")
 
     def get(params: dict) -> tuple[int, str | None]:
-        files = sorted(f for f in glob.glob(os.path.join(root, f"page={params['Page']}", "*"))
-                       if not os.path.basename(f).startswith((".", "_")))
+        folder = f"{root.rstrip('/')}/page={params['Page']}"
+        infos = filesystem.get_file_info(pafs.FileSelector(folder, allow_not_found=True))
+        files = sorted(i.path for i in infos
+                       if i.type == pafs.FileType.File and not i.base_name.startswith((".", "_")))
         if not files:
             return 204, None
         parts = []
         for f in files:
-            with open(f, encoding="utf-8") as fh:
-                parts.extend(line for line in fh.read().splitlines() if line.strip())
+            with filesystem.open_input_stream(f) as fh:
+                parts.extend(line for line in fh.read().decode("utf-8").splitlines() if line.strip())
         if len(parts) == 1:
             return 200, parts[0]
         # a page captured as several JSON lines: one body with the lists joined
-        key = options.get("dataKey", "deviceResponseData")
         return 200, json.dumps({key: [r for p in parts for r in (json.loads(p).get(key) or [])]})
 
     return get

@@ -127,6 +127,10 @@ class Table:
             raise FileNotFoundError(f"no table at {self.location}")
         return read_segments(self.spark, [self.segment_path(s) for s in c.segments], c.schema)
 
+    def register_view(self, name: str) -> None:
+        """Expose the current contents to SQL as a temporary view."""
+        self.read().createOrReplaceTempView(name)
+
     # ---- table operations ----------------------------------------------
     def truncate(self) -> Commit:
         """``TRUNCATE TABLE``: publish no segment, keep the schema."""

@@ -109,3 +109,16 @@ def test_run_feed_from_config_table(spark, area):
     assert res.commit is not None and res.batches == 1
     with pytest.raises(ValueError):
         run_feed(spark, table, "abc", "csv", tables_root=f"{area}/tables")
+
+
+def test_config_from_catalog_table_and_sql_view(spark, area):
+    write(f"{area}/drop/a.csv", "Id,Name\n1,one\n")
+    cfg = config(area, "csv", "*.csv", ref_id=5)
+    spark.createDataFrame([tuple(cfg.__dict__.values())],
+                          "ref_id INT, input_path STRING, file_format STRING, schema_path STRING, "
+                          "checkpoint_path STRING, table_catalog STRING, table_schema STRING, "
+                          "ingst_tbl_name STRING, glob_filter STRING").createOrReplaceTempView("feed_config")
+    run_feed(spark, "feed_config", "5", "csv", tables_root=f"{area}/tables")
+    job = feed_job(spark, cfg, "csv", tables_root=f"{area}/tables")
+    job.table.register_view("landed")
+    assert spark.sql("SELECT network_id FROM landed").collect()[0][0] == "1"
