@@ -206,44 +206,57 @@ def merge_into(table: Table, source: DataFrame, keys: list[str], *, buckets: int
 
     # NULL keys never match anything: appended to their own folder, no join.
     nulls = conform(src.where(F.col(BUCKET) < 0).withColumn(stamp_column, stamp(run_ts)), stored)
-    null_max = None
-    if track_max:
-        null_max = nulls.agg(*[F.max(c).alias(c) for c in track_max]).first().asDict()
     nulls.write.mode("append").partitionBy(BUCKET).parquet(data)
 
     props = dict(current.properties)
     if track_max:
         props["max"] = _bucket_maxima(spark, stored, data, touched, track_max,
-                                      current.properties.get("max", {}), null_max)
+                                      current.properties.get("max", {}), nulls)
     if schema != current.schema or props != current.properties:
         table.commit(current.segments, schema, props, expected=current)
 
 
-def _bucket_maxima(spark, stored, data, touched, cols, old: dict, null_max: dict) -> dict:
+def _encode_max(col: str, dtype: T.DataType):
+    """MAX of ``col`` in a session-independent form: epoch microseconds for
+    timestamps (text would depend on the session time zone), text otherwise."""
+    m = F.max(col)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(m.cast("timestamp")).alias(col)
+    return m.cast("string").alias(col)
+
+
+def _decode_max(values: list, dtype: T.DataType, spark):
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return spark.range(1).select(F.timestamp_micros(F.lit(max(int(v) for v in values))).cast(dtype)).first()[0]
+    lits = spark.createDataFrame([(str(v),) for v in values], "v STRING")
+    return lits.agg(F.max(F.col("v").cast(dtype))).first()[0]
+
+
+def _bucket_maxima(spark, stored, data, touched, cols, old: dict, nulls: DataFrame) -> dict:
     """Per-bucket MAX of ``cols`` after a merge: rewritten buckets are
     re-aggregated (one column each, pruned), the NULL-key bucket only grows by
     appends, every other bucket keeps its recorded value."""
     out = {c: dict(old.get(c, {})) for c in cols}
     if touched:
         fresh = (spark.read.schema(stored).parquet(data).where(F.col(BUCKET).isin(touched))
-                 .groupBy(BUCKET).agg(*[F.max(c).cast("string").alias(c) for c in cols]).collect())
+                 .groupBy(BUCKET).agg(*[_encode_max(c, stored[c].dataType) for c in cols]).collect())
         for r in fresh:
             for c in cols:
                 out[c][str(r[BUCKET])] = r[c]
+    appended = nulls.agg(*[_encode_max(c, stored[c].dataType) for c in cols]).first()
     for c in cols:
-        new = null_max.get(c) if null_max else None
+        new = appended[c]
         if new is not None:
-            new = str(new)
             prev = out[c].get("-1")
-            out[c]["-1"] = new if prev is None else max(prev, new, key=lambda v: _as_sortable(v))
+            out[c]["-1"] = new if prev is None else max(prev, new, key=_as_sortable)
     return out
 
 
-def _as_sortable(v: str):
+def _as_sortable(v):
     try:
         return (0, float(v))
-    except ValueError:
-        return (1, v)
+    except (TypeError, ValueError):
+        return (1, str(v))
 
 
 def table_max(table: Table, column: str):
@@ -264,7 +277,4 @@ def table_max(table: Table, column: str):
     values = [v for v in tracked.values() if v is not None]
     if not values:
         return None
-    dtype = c.schema[name].dataType
-    spark = table.spark
-    lits = spark.createDataFrame([(v,) for v in values], "v STRING")
-    return lits.agg(F.max(F.col("v").cast(dtype))).first()[0]
+    return _decode_max(values, c.schema[name].dataType, table.spark)

@@ -110,3 +110,24 @@ def test_new_source_column_extends_the_table(spark, area):
     merge_into(t, spark.createDataFrame([(2, "b", 2, "z")], SCHEMA + ", extra STRING"), ["k"], run_ts=T1)
     got = {r.k: r.extra for r in t.read().collect()}
     assert got == {1: None, 2: "z"}
+
+
+def test_tracked_maximum_equals_scan_and_survives_time_zone_change(spark, area):
+    from datetime import datetime
+
+    from landfall.operators.merge import table_max
+    t = Table(spark, f"{area}/t")
+    schema = "k INT, d TIMESTAMP"
+    merge_into(t, spark.createDataFrame([(1, datetime(2024, 1, 1)), (2, datetime(2024, 3, 1)),
+                                         (None, datetime(2024, 4, 1))], schema),
+               ["k"], buckets=4, run_ts=T0, track_max=["d"])
+    assert table_max(t, "D") == datetime(2024, 4, 1)
+    merge_into(t, spark.createDataFrame([(2, datetime(2023, 1, 1))], schema), ["k"], run_ts=T1, track_max=["d"])
+    scanned = t.read().agg({"d": "max"}).first()[0]
+    assert table_max(t, "d") == scanned == datetime(2024, 4, 1)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        assert table_max(t, "d") == t.read().agg({"d": "max"}).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
