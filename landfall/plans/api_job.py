@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from landfall.functions.timestamps import API_FORMAT
 from landfall.operators.mapping import FieldMap, apply_mapping, landing_schema
-from landfall.operators.merge import latest_per_key, merge_into, table_max
+from landfall.operators.merge import DuplicateKeyError, duplicate_keys, latest_per_key, merge_into, table_max
 from landfall.plans.audit import AuditLog, audited_run
 from landfall.plans.config import ApiConfig, job_for_tags
 from landfall.sources import paged
@@ -86,9 +86,21 @@ def parse_records(pages: DataFrame, mapping: list[FieldMap] = DEVICE_MAPPING, *,
                   run_ts: datetime | str | None = None) -> DataFrame:
     """Typed, renamed frame (+ ``page``, ``position``): ``from_json`` with the
     landing schema, then the mapping as one projection."""
-    parsed = pages.select("page", "position", F.from_json("record", landing_schema(mapping)).alias("r"))
-    mapped = apply_mapping(parsed.select("page", "position", "r.*"), mapping, run_ts=run_ts, keep_unlisted=True)
-    return mapped
+    parsed = pages.select("page", "position", "record",
+                          F.from_json("record", landing_schema(mapping)).alias("r"))
+    fields = parsed.select("page", "position", "record", "r.*")
+    # Strict booleans: a value that is present but did not parse as a JSON
+    # boolean (e.g. the text "true") fails the run instead of becoming NULL.
+    checks = {}
+    for m in mapping:
+        if m.type == "boolean" and m.strict:
+            raw = F.get_json_object("record", f"$.{m.source}")
+            bad = raw.isNotNull() & F.col(m.source).isNull()
+            checks[m.source] = F.when(bad, F.raise_error(F.concat(
+                F.lit(f"field {m.source} is not a JSON boolean: "), raw))).otherwise(F.col(m.source))
+    if checks:
+        fields = fields.withColumns(checks)
+    return apply_mapping(fields.drop("record"), mapping, run_ts=run_ts, keep_unlisted=True)
 
 
 def stage_pages(spark: SparkSession, options: dict, path: str) -> DataFrame:
@@ -101,11 +113,19 @@ def stage_pages(spark: SparkSession, options: dict, path: str) -> DataFrame:
 
 
 def api_frame(spark: SparkSession, options: dict, *, run_ts=None, mapping=DEVICE_MAPPING,
-              keys=DEVICE_KEY, stage_path: str | None = None) -> DataFrame:
+              keys=DEVICE_KEY, stage_path: str | None = None, on_page_duplicate: str = "error") -> DataFrame:
     """Pages -> typed rows, one per key (the row of the latest page wins).
-    With ``stage_path`` the raw pages are landed there first."""
+    With ``stage_path`` the raw pages are landed there first.
+
+    A key repeated *within one page* is what a per-page MERGE refuses;
+    ``on_page_duplicate="error"`` raises for it, ``"last"`` keeps the later
+    record of the page."""
     pages = stage_pages(spark, options, stage_path) if stage_path else read_pages(spark, options)
     rows = parse_records(pages, mapping, run_ts=run_ts)
+    if on_page_duplicate == "error":
+        dup = duplicate_keys(rows, list(keys) + ["page"]).first()
+        if dup is not None:
+            raise DuplicateKeyError(f"key repeated within one page: {dup.asDict()}")
     return latest_per_key(rows, keys, ["page", "position"]).drop("page", "position")
 
 

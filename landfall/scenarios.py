@@ -227,7 +227,7 @@ def q20_last_page_wins(spark: SparkSession, sf: str) -> DataFrame:
     area = scratch(spark, "q20")
     stage_pages(spark, sf, f"{area}/pages")
     frame = api_frame(spark, {"transport": "files", "path": f"{area}/pages", "numPartitions": 3},
-                      run_ts=RUN_TS, keys=["patient_id"], stage_path=f"{area}/landed")
+                      run_ts=RUN_TS, keys=["patient_id"], stage_path=f"{area}/landed", on_page_duplicate="last")
     return frame.select("patient_id", "mendix_uid")
 
 
