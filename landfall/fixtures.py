@@ -9,15 +9,38 @@ rewrites the same paths -- the "file overwritten in place" case.
 
 from __future__ import annotations
 
+import functools
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from landfall import fs
 
+STAGING_SECONDS = [0.0]     # time spent building inputs (read by bench.py)
+_DEPTH = [0]
+
+
+def timed(fn):
+    """Count the wrapped fixture builder's time in ``STAGING_SECONDS``
+    (outermost call only, so nested builders are not counted twice)."""
+    @functools.wraps(fn)
+    def wrapper(*args, **kwargs):
+        t0 = time.perf_counter()
+        _DEPTH[0] += 1
+        try:
+            return fn(*args, **kwargs)
+        finally:
+            _DEPTH[0] -= 1
+            if _DEPTH[0] == 0:
+                STAGING_SECONDS[0] += time.perf_counter() - t0
+    return wrapper
+
+
 EXT = {"csv": ".csv", "tsv": ".tsv", "json": ".json", "parquet": ".parquet", "text": ".txt"}
 
 
+@timed
 def stage_files(df: DataFrame, fmt: str, dest: str, prefix: str, n_files: int, options: dict | None = None) -> list[str]:
     """Write ``df`` as ``n_files`` files named ``<prefix>-<i>`` into ``dest``."""
     spark = df.sparkSession

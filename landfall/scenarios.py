@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.fixtures import files_for, sf_table, stage_files
+from landfall.fixtures import files_for, sf_table, stage_files, timed
 from landfall.functions.columns import with_stamp
 from landfall.functions.predicates import map_entries_equal
 from landfall.functions.timestamps import format_timestamp, lenient_timestamp, strict_timestamp
@@ -43,6 +43,7 @@ def _config(spark: SparkSession, area: str, fmt: str, glob: str, ref_id: int = 1
                       ingst_tbl_name="target", glob_filter=glob)
 
 
+@timed
 def _rows(df: DataFrame) -> int:
     return df.count()
 
@@ -92,6 +93,7 @@ def q03_json_flat(spark: SparkSession, sf: str) -> DataFrame:
     return ntz(job.table.read(), "update_ts")
 
 
+@timed
 def stage_nested(spark: SparkSession, sf: str, dest: str) -> None:
     """lineitem as JSON records with an array-of-struct parent node (at most
     four elements per record); orders without lines carry no parent node or
@@ -190,6 +192,7 @@ def q08_rescued(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- paged API
+@timed
 def stage_pages(spark: SparkSession, sf: str, dest: str, status=None) -> None:
     """orders as API pages of 1000 records (``page = o_orderkey div 1000 + 1``),
     one ``page=<n>`` folder each, records in key order."""
