@@ -36,7 +36,8 @@ SELECT CAST(c_custkey AS VARCHAR) AS network_id, c_name AS nleader_name, {SQL_TS
     "q02_tsv_ingest": f"""
 SELECT CAST(c_custkey AS VARCHAR) AS division_id, c_name AS division_name,
        CAST(c_nationkey AS VARCHAR) AS parent_division_id, c_mktsegment AS parent_division_name,
-       'R' || CAST(c_nationkey AS VARCHAR) AS region_code, {SQL_TS} AS update_ts
+       'R' || CAST(c_nationkey AS VARCHAR) AS region_code, CAST(NULL AS VARCHAR) AS _rescued_data,
+       {SQL_TS} AS update_ts
 FROM customer WHERE c_acctbal >= 0""",
     "q03_json_flat": f"""
 SELECT CAST(conv_id AS VARCHAR) AS taskid, role AS timecreated, CAST(turn AS VARCHAR) AS timeupdated,

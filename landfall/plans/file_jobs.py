@@ -87,7 +87,9 @@ def nested_json_transform(run_ts=None, literal: bool = False) -> Transform:
 
 JOBS = {
     "csv": (csv_transform, {}),
-    "tsv": (tsv_transform, {}),             # tab delimiter set by the job, whatever the config's format
+    # tab delimiter set by the job, whatever the config's format; no closing
+    # select, so the rescued-data column reaches the table like any other
+    "tsv": (tsv_transform, {"rescued_data_column": "_rescued_data"}),
     "json_flat": (flat_json_transform, {"schema": FLAT_JSON_SCHEMA}),
     "json_nested": (nested_json_transform, {"schema_hints": NESTED_HINT}),
 }

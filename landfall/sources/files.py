@@ -11,7 +11,10 @@ Options understood from a feed config:
 * ``glob_filter``      -- ``pathGlobFilter`` on file names
 * ``include_existing`` -- when false, files older than the first run are skipped
 * ``schema`` / ``schema_hints`` / ``schema_location`` -- fixed, hinted or remembered schema
-* ``rescued_data_column`` -- capture fields (JSON) or lines (CSV) that do not fit
+* ``rescued_data_column`` -- capture fields (JSON) or lines (CSV) that do not fit.
+  JSON keeps, as JSON text, the top-level fields the schema lacks.  CSV keeps
+  the whole line when it does not parse; Spark prunes unread CSV columns, so a
+  line is judged on the columns the query actually reads.
 """
 
 from __future__ import annotations

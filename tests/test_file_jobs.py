@@ -47,15 +47,18 @@ def test_csv_reordered_header_is_refused(spark, area):
 def test_tsv_drop_rename_filter_and_passthrough(spark, area):
     header = "User Division ID\tUser Division \tDivision Parent ID\tDivision Parent \tTotal User Count\t" \
              "Active User Count\tExtra Col\n"
-    write(f"{area}/drop/a.tsv", header + "1\tSales\t10\tRoot\t5\t4\tx\n\tNoId\t10\tRoot\t1\t1\ty\n")
+    write(f"{area}/drop/a.tsv", header + "1\tSales\t10\tRoot\t5\t4\tx\n\tNoId\t10\tRoot\t1\t1\ty\n"
+                                "2\tOps\t10\tRoot\t1\t1\tz\tspill\n")
     job = feed_job(spark, config(area, "tsv", "*.tsv"), "tsv", tables_root=f"{area}/tables", run_ts=TS)
     job.run()
     out = job.table.read()
     # listed columns renamed, the absent "Inactive User Count"/"Division GUID" drops ignored,
     # the unlisted column passes through, the row without an id is gone
     assert out.columns == ["division_id", "division_name", "parent_division_id", "parent_division_name",
-                           "Extra Col", "update_ts"]
-    assert rows(out, "division_id", "division_name", "Extra Col") == [("1", "Sales", "x")]
+                           "Extra Col", "_rescued_data", "update_ts"]
+    # with columns pruned from the scan, a line is judged on the columns read
+    assert rows(out, "division_id", "division_name", "Extra Col", "_rescued_data") == [
+        ("1", "Sales", "x", None), ("2", "Ops", "z", None)]
 
 
 def test_flat_json_fixed_schema(spark, area):
