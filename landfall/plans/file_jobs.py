@@ -10,6 +10,7 @@ ledger, which also re-reads files rewritten under the same name.
 from __future__ import annotations
 
 from collections.abc import Callable
+import time
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -22,7 +23,7 @@ from landfall.functions.columns import drop_columns, rename_by_position, rename_
 from landfall.operators.flatten import flatten, flatten_zip
 from landfall.plans.config import FeedConfig, parse_ref_id
 from landfall.session import workspace
-from landfall.sources.files import FileSource
+from landfall.sources.files import FileSource, modified_after
 from landfall.sources.ledger import FileLedger
 from landfall.streaming.loads import LoadResult, batch_path, load_stream, publish, write_batch
 from landfall.tables import Table
@@ -122,7 +123,7 @@ class FileFeedJob:
         committed = list(current.properties.get("ledger_runs", [])) if current else []
         changed = ledger.changed(self.source.input_path, self.source.glob_filter, committed)
         if self.source.modified_after is not None:
-            changed = changed.where(F.col("modificationTime") > F.lit(self.source.modified_after).cast("timestamp"))
+            changed = changed.where(F.col("modificationTime") > modified_after(self.source.modified_after))
         # file metadata only: the work list of this run, already listed on the driver by any file source
         files = changed.orderBy("modificationTime", "path").collect()
         schema = self.source.resolve_schema(spark)
@@ -145,15 +146,14 @@ def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def first_run_time(spark: SparkSession, state_dir: str) -> str:
-    """Time of the feed's first run, remembered in its state folder."""
+def first_run_time(spark: SparkSession, state_dir: str) -> int:
+    """Time of the feed's first run (epoch ms), remembered in its state folder."""
     path = f"{state_dir.rstrip('/')}/first_run"
     text = fs.read_text(spark, path)
     if text is None:
-        text = datetime.now().isoformat(sep=" ")
-        fs.write_text(spark, path, text, overwrite=False)
+        fs.write_text(spark, path, str(int(time.time() * 1000)), overwrite=False)
         text = fs.read_text(spark, path)
-    return text.strip()
+    return int(text.strip())
 
 
 def feed_job(spark: SparkSession, config: FeedConfig, job: str, *, tables_root: str | None = None,

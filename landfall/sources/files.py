@@ -65,7 +65,7 @@ class FileSource:
     new_columns: str = "add"                 # remembered schema: add | ignore | rescue
     rescued_data_column: str | None = None
     include_existing: bool = True
-    modified_after: str | None = None        # set by the feed when include_existing is false
+    modified_after: int | None = None        # epoch ms; set by the feed when include_existing is false
     max_files_per_trigger: int | None = 1000
     max_bytes_per_trigger: str | None = None
     infer_max_files: int = 1000               # inference reads at most the newest N files
@@ -119,9 +119,7 @@ class FileSource:
             opts["maxFilesPerTrigger"] = str(self.max_files_per_trigger)
         if self.max_bytes_per_trigger:
             opts["maxBytesPerTrigger"] = self.max_bytes_per_trigger
-        reader = spark.readStream
-        df = self._read(reader, schema, opts, self.input_path)
-        return df
+        return self._read(spark.readStream, schema, opts, self.input_path)
 
     def batch(self, spark: SparkSession, paths: list[str] | None = None, schema: T.StructType | None = None) -> DataFrame:
         """Batch DataFrame over the folder or over an explicit file list."""
@@ -129,8 +127,7 @@ class FileSource:
         opts = self._opts()
         if paths is not None:
             opts.pop("pathGlobFilter", None)     # the list is already filtered
-        df = self._read(spark.read, schema, opts, paths if paths is not None else self.input_path)
-        return df
+        return self._read(spark.read, schema, opts, paths if paths is not None else self.input_path)
 
     def _read(self, reader, schema: T.StructType, opts: dict, path) -> DataFrame:
         fmt = spark_format(self.file_format)
@@ -140,23 +137,24 @@ class FileSource:
             # schema, once into a map to find the fields the schema lacks.
             text_opts = {k: v for k, v in opts.items() if k in ("pathGlobFilter", "maxFilesPerTrigger",
                                                                  "maxBytesPerTrigger", "encoding")}
-            raw = reader.format("text").options(**text_opts)
-            raw = raw.load(path) if isinstance(path, str) else raw.load(path)
-            raw = self._since(raw)
+            raw = self._since(reader.format("text").options(**text_opts).load(path))
             json_opts = {k: v for k, v in opts.items() if k not in text_opts}
             return rescue_json(raw, "value", schema, rescue, json_opts)
         if rescue and fmt == "csv":
             opts = {**opts, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": rescue}
             schema = T.StructType(schema.fields + [T.StructField(rescue, T.StringType(), True)])
-        df = reader.format(fmt).options(**opts).schema(schema)
-        df = df.load(path) if isinstance(path, str) else df.load(path)
-        return self._since(df)
+        return self._since(reader.format(fmt).options(**opts).schema(schema).load(path))
 
     def _since(self, df: DataFrame) -> DataFrame:
         if self.modified_after is None:
             return df
         # include_existing=false: skip files that were there before the feed's first run
-        return df.filter(F.col("_metadata.file_modification_time") > F.lit(self.modified_after).cast("timestamp"))
+        return df.filter(F.col("_metadata.file_modification_time") > modified_after(self.modified_after))
+
+
+def modified_after(epoch_ms: int | str) -> Column:
+    """The cut-off instant as a timestamp, independent of the session time zone."""
+    return F.timestamp_millis(F.lit(int(epoch_ms)))
 
 
 def rescue_json(raw: DataFrame, text_col: str, schema: T.StructType, rescue: str, options: dict | None = None) -> DataFrame:
@@ -170,11 +168,3 @@ def rescue_json(raw: DataFrame, text_col: str, schema: T.StructType, rescue: str
         "_r.*",
         F.when(F.size("_x") > 0, F.to_json("_x")).alias(rescue),
     )
-
-
-def column(df: DataFrame, name: str) -> Column:
-    """Case-insensitive column reference."""
-    for c in df.columns:
-        if c.lower() == name.lower():
-            return F.col(f"`{c}`")
-    raise KeyError(name)
