@@ -214,6 +214,7 @@ def merge_into(table: Table, source: DataFrame, keys: list[str], *, buckets: int
                                       current.properties.get("max", {}), nulls)
     if schema != current.schema or props != current.properties:
         table.commit(current.segments, schema, props, expected=current)
+        table.vacuum()
 
 
 def _encode_max(col: str, dtype: T.DataType):

@@ -13,6 +13,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landfall import fs
 from landfall.functions.timestamps import API_FORMAT
 from landfall.operators.mapping import FieldMap, apply_mapping, landing_schema
 from landfall.operators.merge import DuplicateKeyError, duplicate_keys, latest_per_key, merge_into, table_max
@@ -170,4 +171,5 @@ def run_api_cdc(spark: SparkSession, config_table: DataFrame | str, object_name:
         merge_into(table, delta, DEVICE_KEY, buckets=buckets, run_ts=run_ts,
                    track_max=[m.target for m in mapping_for(cfg.source_delta_column)])
         ctx.latest_update_dt = table_max(table, cfg.source_delta_column)
+        fs.delete(spark, staging)           # merged: the landed delta is no longer needed
     return {"watermark_used": mark, "latest_update_dt": ctx.latest_update_dt, "run_id": ctx.run_id}

@@ -67,9 +67,10 @@ def write_batch(df: DataFrame, path: str) -> None:
 
 
 def publish(table: Table, segment: str, schema, *, replace: bool, empty_run: str = "clear",
-            properties: dict | None = None) -> Commit | None:
+            properties: dict | None = None, keep_commits: int = 10) -> Commit | None:
     """Make ``segment`` visible.  ``empty_run="keep"`` leaves a snapshot table
-    as it was when the run staged no batch."""
+    as it was when the run staged no batch.  Segments replaced more than
+    ``keep_commits`` commits ago are vacuumed."""
     spark = table.spark
     seg_path = table.segment_path(segment)
     staged = [n for n in fs.list_names(spark, seg_path) if n.startswith("batch-")]
@@ -81,7 +82,9 @@ def publish(table: Table, segment: str, schema, *, replace: bool, empty_run: str
     segments = [segment] if replace else (list(current.segments) if current else []) + [segment]
     props = dict(current.properties) if current else {}
     props.update(properties or {})
-    return table.commit(segments, new_schema, props, expected=current)
+    commit = table.commit(segments, new_schema, props, expected=current)
+    table.vacuum(keep_commits)
+    return commit
 
 
 def load_stream(stream: DataFrame, table: Table, state_dir: str, *, replace: bool = True,

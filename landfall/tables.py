@@ -79,15 +79,28 @@ class Table:
     def _commit_path(self, version: int) -> str:
         return f"{self.location}/{COMMITS}/{version:012d}.json"
 
-    def latest(self) -> Commit | None:
-        names = [n for n in fs.list_names(self.spark, f"{self.location}/{COMMITS}") if n.endswith(".json")]
-        if not names:
+    def _versions(self) -> list[int]:
+        names = fs.list_names(self.spark, f"{self.location}/{COMMITS}")
+        return sorted(int(n.split(".")[0]) for n in names if n.endswith(".json") and n.split(".")[0].isdigit())
+
+    def _load(self, version: int) -> Commit | None:
+        text = fs.read_text(self.spark, self._commit_path(version))
+        try:
+            body = json.loads(text) if text else None
+        except json.JSONDecodeError:
+            body = None              # still being written: not committed yet
+        if body is None:
             return None
-        version = int(names[-1].split(".")[0])
-        body = json.loads(fs.read_text(self.spark, self._commit_path(version)))
         schema = T.StructType.fromJson(body["schema"]) if body.get("schema") else None
         return Commit(version, body["segments"], schema, body.get("properties", {}))
 
+    def latest(self) -> Commit | None:
+        for version in reversed(self._versions()):
+            c = self._load(version)
+            if c is not None:
+                return c
+        return None
+
     def exists(self) -> bool:
         return self.latest() is not None
 
@@ -150,6 +163,23 @@ class Table:
         self.read().write.mode("overwrite").parquet(f"{self.segment_path(seg)}/batch-{0:012d}")
         return self.commit([seg], c.schema, expected=c)
 
+    def vacuum(self, keep_commits: int = 10) -> list[str]:
+        """Delete segment folders no longer named by any of the last
+        ``keep_commits`` commits, and the older commit records.  Readers that
+        planned against one of the kept commits are unaffected."""
+        versions = self._versions()
+        if len(versions) <= keep_commits:
+            return []
+        kept = [self._load(v) for v in versions[-keep_commits:]]
+        live = {seg for c in kept if c is not None for seg in c.segments}
+        older = [self._load(v) for v in versions[:-keep_commits]]
+        dead = sorted({seg for c in older if c is not None for seg in c.segments} - live)
+        for seg in dead:
+            fs.delete(self.spark, self.segment_path(seg))
+        for v in versions[:-keep_commits]:
+            fs.delete(self.spark, self._commit_path(v), recursive=False)
+        return dead
+
     def add_columns(self, incoming: T.StructType) -> Commit:
         """``ALTER TABLE ADD COLUMNS`` for every column of ``incoming`` the table lacks."""
         c = self.latest()

@@ -50,3 +50,20 @@ def test_compact_merges_segments(spark, area):
     assert t.compact(max_segments=3) is not None
     assert len(t.latest().segments) == 1
     assert sorted(r.x for r in t.read().collect()) == [0, 1, 2, 3, 4]
+
+
+def test_vacuum_removes_replaced_segments_and_skips_torn_commit(spark, area):
+    import os
+
+    t = Table(spark, f"{area}/t")
+    schema = T.StructType.fromDDL("x INT")
+    for i in range(4):
+        seg = t.new_segment()
+        write_batch(spark.createDataFrame([(i,)], schema), f"{t.segment_path(seg)}/batch-0")
+        publish(t, seg, schema, replace=True, keep_commits=2)
+    segs = [d for d in os.listdir(f"{area}/t") if d.startswith("run-")]
+    assert len(segs) == 2 and len([n for n in os.listdir(f"{area}/t/_commits") if n.endswith(".json")]) == 2
+    assert [r.x for r in t.read().collect()] == [3]
+    with open(f"{area}/t/_commits/{t.latest().version + 1:012d}.json", "w") as fh:
+        fh.write('{"segments": [')                      # a commit still being written
+    assert [r.x for r in t.read().collect()] == [3]
