@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from landfall import fs
 from landfall.functions.columns import stamp
 from landfall.functions.predicates import differs
-from landfall.tables import Table, conform, evolve_schema
+from landfall.tables import Table, conform, evolve_schema, read_segments
 
 BUCKET = "lf_bucket"
 ACTION = "merge_action"
@@ -153,17 +153,29 @@ def bucket_of(keys: list[str], buckets: int) -> Column:
     return F.when(keyed, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets))).otherwise(F.lit(-1)).cast("int")
 
 
+def segment_bucket(segment: str) -> int | None:
+    """Bucket id of a merge-table segment ``gen-<id>/lf_bucket=<n>``."""
+    tail = segment.rsplit("/", 1)[-1]
+    return int(tail.split("=", 1)[1]) if tail.startswith(f"{BUCKET}=") else None
+
+
 def merge_into(table: Table, source: DataFrame, keys: list[str], *, buckets: int = 64,
                compare: list[str] | None = None, stamp_column: str = "update_ts",
                run_ts: datetime | str | None = None, on_duplicate: str = "error",
                track_max: list[str] | tuple = ()) -> None:
     """Upsert ``source`` into a bucketed merge table (created on first use).
 
+    The table's segments are bucket folders ``gen-<id>/lf_bucket=<n>``.  A
+    merge reads only the folders of the buckets its source touches, writes
+    their merged rows into a fresh generation folder and publishes with one
+    commit that swaps those buckets' folders -- readers see the whole merge
+    or none of it, and replaced folders are vacuumed later.
+
     ``buckets`` is fixed when the table is created; pick it so one bucket of
     the target is about what one task should rewrite (e.g. ~1 GB).
     ``track_max`` columns get their per-bucket MAX kept in the commit, so
     :func:`table_max` answers "MAX over the whole target" from the buckets this
-    merge rewrote instead of a full scan.  The source is read four times
+    merge rewrote instead of a full scan.  The source is read a few times
     (stats, merge, NULL keys, maxima); stage it first when it is expensive.
     """
     spark = source.sparkSession
@@ -171,12 +183,10 @@ def merge_into(table: Table, source: DataFrame, keys: list[str], *, buckets: int
     src_schema = T.StructType([f for f in source.schema.fields if f.name != stamp_column])
     incoming = T.StructType(src_schema.fields + [T.StructField(stamp_column, T.TimestampType(), True)])
     if current is None:
-        current = table.commit(["data"], incoming, {"keys": keys, "buckets": buckets, "layout": "bucketed"})
-        fs.mkdirs(spark, table.segment_path("data"))
+        current = table.commit([], incoming, {"keys": keys, "buckets": buckets, "layout": "bucketed"})
     nb = int(current.properties["buckets"])
     schema = evolve_schema(current.schema, incoming)
     stored = T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType(), True)])
-    data = table.segment_path("data")
     src = source.withColumn(BUCKET, bucket_of(keys, nb))
 
     # One pass over the source: the largest key multiplicity and the touched
@@ -189,9 +199,12 @@ def merge_into(table: Table, source: DataFrame, keys: list[str], *, buckets: int
         dup = duplicate_keys(source, keys).first()
         raise DuplicateKeyError(f"source has several rows for key {dup.asDict()}")
 
+    gen = table.new_segment("gen")
+    gen_path = table.segment_path(gen)
+    hit = set(touched)
     if touched:
-        tgt = (spark.read.schema(stored).parquet(data)
-               .where(F.col(BUCKET).isin(touched)))
+        old = [table.segment_path(sg) for sg in current.segments if segment_bucket(sg) in hit]
+        tgt = read_segments(spark, old, schema).withColumn(BUCKET, bucket_of(keys, nb))
         # Both sides hash-partitioned by bucket: the join on (bucket, key)
         # needs no further exchange and each bucket is written by one task,
         # i.e. one new file per touched bucket.
@@ -200,20 +213,20 @@ def merge_into(table: Table, source: DataFrame, keys: list[str], *, buckets: int
         merged = merge_frames(tgt, src_keyed, keys, compare=compare, stamp_column=stamp_column,
                               run_ts=run_ts, extra_join=[BUCKET], split_nulls=False)
         with _conf(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
-            (conform(merged, stored).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy(BUCKET).parquet(data))
+            conform(merged, stored).write.mode("append").partitionBy(BUCKET).parquet(gen_path)
 
-    # NULL keys never match anything: appended to their own folder, no join.
+    # NULL keys never match anything: a folder of their own, no join.
     nulls = conform(src.where(F.col(BUCKET) < 0).withColumn(stamp_column, stamp(run_ts)), stored)
-    nulls.write.mode("append").partitionBy(BUCKET).parquet(data)
+    nulls.write.mode("append").partitionBy(BUCKET).parquet(gen_path)
 
+    written = [f"{gen}/{n}" for n in fs.list_names(spark, gen_path) if n.startswith(f"{BUCKET}=")]
+    segments = [sg for sg in current.segments if segment_bucket(sg) not in hit] + written
     props = dict(current.properties)
     if track_max:
-        props["max"] = _bucket_maxima(spark, stored, data, touched, track_max,
+        props["max"] = _bucket_maxima(spark, stored, gen_path, touched, track_max,
                                       current.properties.get("max", {}), nulls)
-    if schema != current.schema or props != current.properties:
-        table.commit(current.segments, schema, props, expected=current)
+    if written or schema != current.schema or props != current.properties:
+        table.commit(segments, schema, props, expected=current)
         table.vacuum()
 
 
@@ -233,13 +246,14 @@ def _decode_max(values: list, dtype: T.DataType, spark):
     return lits.agg(F.max(F.col("v").cast(dtype))).first()[0]
 
 
-def _bucket_maxima(spark, stored, data, touched, cols, old: dict, nulls: DataFrame) -> dict:
+def _bucket_maxima(spark, stored, gen_path, touched, cols, old: dict, nulls: DataFrame) -> dict:
     """Per-bucket MAX of ``cols`` after a merge: rewritten buckets are
-    re-aggregated (one column each, pruned), the NULL-key bucket only grows by
-    appends, every other bucket keeps its recorded value."""
+    re-aggregated from the new generation (one column each, pruned), the
+    NULL-key bucket only grows by appends, every other bucket keeps its
+    recorded value."""
     out = {c: dict(old.get(c, {})) for c in cols}
     if touched:
-        fresh = (spark.read.schema(stored).parquet(data).where(F.col(BUCKET).isin(touched))
+        fresh = (spark.read.schema(stored).parquet(gen_path).where(F.col(BUCKET).isin(touched))
                  .groupBy(BUCKET).agg(*[_encode_max(c, stored[c].dataType) for c in cols]).collect())
         for r in fresh:
             for c in cols:
