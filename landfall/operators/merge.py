@@ -11,11 +11,11 @@ Semantics, per key ``k`` (plain ``=``, so a NULL key never matches):
 :func:`merge_frames` is that rule as a DataFrame (a full outer equi-join plus
 ``CASE``).  :func:`merge_into` applies it to a table whose rows are
 hash-partitioned on the key into ``lf_bucket=<n>`` folders: only buckets that
-the source touches are read, joined and rewritten (dynamic partition
-overwrite), both join sides are partitioned by bucket so the join adds no
-further shuffle, and NULL-key rows -- which can never match -- bypass the join
-and are appended to their own ``lf_bucket=-1`` folder instead of piling into a
-single hot join partition.
+the source touches are read, joined and rewritten into a new generation
+folder, published with one commit; both join sides are partitioned by bucket
+so the join adds no further shuffle, and NULL-key rows -- which can never
+match -- bypass the join and get their own ``lf_bucket=-1`` folder instead of
+piling into a single hot join partition.
 """
 
 from __future__ import annotations
