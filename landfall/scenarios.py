@@ -53,8 +53,9 @@ def q01_csv_ingest(spark: SparkSession, sf: str) -> DataFrame:
     area = scratch(spark, "q01")
     cust = sf_table(spark, sf, "customer")
     src = cust.select(F.col("c_custkey").cast("string").alias("Network Id"), F.col("c_name").alias("Leader Name"))
-    stage_files(src, "csv", f"{area}/drop", "customers", files_for(_rows(cust)))
-    stage_files(src, "json", f"{area}/drop", "decoy", 1)          # must be skipped by the glob filter
+    n = files_for(_rows(cust))
+    stage_files(src, "csv", f"{area}/drop", "customers", n)
+    stage_files(src, "json", f"{area}/drop", "decoy", n)          # must be skipped by the glob filter
     job = feed_job(spark, _config(spark, area, "csv", "*.csv"), "csv", tables_root=f"{area}/tables", run_ts=RUN_TS)
     job.run()
     return ntz(job.table.read(), "update_ts")
