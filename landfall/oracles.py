@@ -125,4 +125,10 @@ SELECT CAST(o_orderkey AS VARCHAR) AS mendix_uid, CAST(o_custkey AS VARCHAR) AS
        o_orderpriority AS device_status, o_orderdate AS modified_date,
        CASE WHEN o_orderpriority = '1-URGENT' THEN {SQL_TS_2} ELSE {SQL_TS} END AS update_ts
 FROM orders""",
+    "q27_include_existing": "SELECT * FROM orders WHERE o_orderstatus <> 'F'",
+    "q28_cdc_failure_audit": """
+SELECT 'FAILURE' AS run_status, 'device' AS object_name, 'mdx' AS source_name,
+       CAST(NULL AS TIMESTAMP) AS latest_update_dt
+UNION ALL
+SELECT 'SUCCESS', 'device', 'mdx', MAX(o_orderdate) FROM orders""",
 }

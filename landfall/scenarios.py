@@ -194,7 +194,7 @@ def q08_rescued(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- paged API
 @timed
-def stage_pages(spark: SparkSession, sf: str, dest: str, status=None) -> None:
+def stage_pages(spark: SparkSession, sf: str, dest: str, status=None, modified=None) -> None:
     """orders as API pages of 1000 records (``page = o_orderkey div 1000 + 1``),
     one ``page=<n>`` folder each, records in key order."""
     orders = sf_table(spark, sf, "orders")
@@ -207,7 +207,8 @@ def stage_pages(spark: SparkSession, sf: str, dest: str, status=None) -> None:
         F.col("o_orderkey").alias("serialNumber"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("procedureDate"),
         format_timestamp("o_orderdate").alias("inputDate"),
-        format_timestamp("o_orderdate").alias("modifiedDate"),
+        F.coalesce(modified, format_timestamp("o_orderdate")).alias("modifiedDate") if modified is not None
+        else format_timestamp("o_orderdate").alias("modifiedDate"),
         (F.col("o_totalprice") > 200000).alias("isResolving"),
         F.date_format("o_orderdate", "MM/dd/yyyy").alias("completedDate"),
         F.lit("n/a").alias("unknownField"),
@@ -434,6 +435,51 @@ def q25_add_columns(spark: SparkSession, sf: str) -> DataFrame:
     return table.read()
 
 
+def q27_include_existing(spark: SparkSession, sf: str) -> DataFrame:
+    """``include_existing=false``: files already in the folder at the feed's
+    first run are never loaded; later arrivals are."""
+    area = scratch(spark, "q27")
+    orders = sf_table(spark, sf, "orders")
+    n = files_for(_rows(orders), 30_000)
+    stage_files(orders.where(F.col("o_orderstatus") == "F"), "parquet", f"{area}/drop", "before", n)
+    source = FileSource(input_path=f"{area}/drop", file_format="parquet", glob_filter="*.parquet",
+                        schema_location=f"{area}/schema", include_existing=False)
+    job = FileFeedJob(source=source, transform=lambda df: df, table=Table(spark, f"{area}/table"),
+                      state_dir=f"{area}/state", replace=False)
+    job.run()
+    stage_files(orders.where(F.col("o_orderstatus") != "F"), "parquet", f"{area}/drop", "after", n)
+    job.run()
+    return job.table.read()
+
+
+def q28_cdc_failure_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """A page with a timestamp in the wrong text format fails the run (strict
+    parse): FAILURE is logged, nothing is merged, the watermark stays; the
+    corrected rerun logs SUCCESS with MAX(modified_date) of the target."""
+    from landfall.plans.api_job import run_api_cdc
+
+    area = scratch(spark, "q28")
+    cfg = spark.createDataFrame([(1, "https://api.invalid/devices", "MDX", "device", "modified_date")],
+                                "object_id INT, source_url STRING, source_name STRING, object_name STRING, "
+                                "source_delta_column STRING")
+    broken = F.when(F.col("o_orderpriority") == "1-URGENT", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    stage_pages(spark, sf, f"{area}/bad", modified=broken)
+    stage_pages(spark, sf, f"{area}/good")
+    common = dict(target=f"{area}/target", audit=f"{area}/audit", buckets=16, initial_watermark="01/01/1990",
+                  run_ts=RUN_TS)
+    try:
+        run_api_cdc(spark, cfg, "device", transport={"transport": "files", "path": f"{area}/bad"}, **common)
+        raise AssertionError("the run with malformed timestamps did not fail")
+    except AssertionError:
+        raise
+    except Exception:
+        pass
+    run_api_cdc(spark, cfg, "device", transport={"transport": "files", "path": f"{area}/good"}, **common)
+    log = AuditLog(spark, f"{area}/audit").read()
+    return log.select("run_status", "object_name", "source_name",
+                      F.col("latest_update_dt").cast("timestamp_ntz").alias("latest_update_dt"))
+
+
 QUERIES = {
     "q01_csv_ingest": q01_csv_ingest,
     "q02_tsv_ingest": q02_tsv_ingest,
@@ -461,4 +507,6 @@ QUERIES = {
     "q24_snapshot_replace": q24_snapshot_replace,
     "q25_add_columns": q25_add_columns,
     "q26_api_cdc_job": q26_api_cdc_job,
+    "q27_include_existing": q27_include_existing,
+    "q28_cdc_failure_audit": q28_cdc_failure_audit,
 }
