@@ -79,7 +79,9 @@ class FileSource:
 
     def resolve_schema(self, spark: SparkSession) -> T.StructType:
         """Fixed schema, or inferred (once, remembered at ``schema_location``)
-        with hints applied on top."""
+        with hints applied on top.  With ``new_columns="add"`` later runs
+        infer only from files that arrived since the last inference and merge
+        what they find into the remembered schema."""
         if self.schema is not None:
             base = T.StructType.fromDDL(self.schema) if isinstance(self.schema, str) else self.schema
             return apply_hints(base, self.schema_hints)
@@ -87,28 +89,40 @@ class FileSource:
         remembered = memory.load() if memory else None
         if remembered is not None and self.new_columns in ("ignore", "rescue"):
             return apply_hints(remembered, self.schema_hints)
-        inferred = self._infer(spark)
+        since = memory.inferred_through() if memory and remembered is not None else None
+        found = self._infer(spark, since, required=remembered is None)
+        if found is None:
+            return apply_hints(remembered, self.schema_hints)
+        inferred, newest = found
+        schema = apply_hints(inferred, self.schema_hints)
         if remembered is not None:
             from landfall.tables import evolve_schema
-            inferred = evolve_schema(remembered, inferred)
-        schema = apply_hints(inferred, self.schema_hints)
+            schema = apply_hints(evolve_schema(remembered, schema), self.schema_hints)
         if memory is not None:
-            memory.save(schema)
+            memory.save(schema, newest)
         return schema
 
-    def _infer(self, spark: SparkSession) -> T.StructType:
+    def _infer(self, spark: SparkSession, since: int | None = None, required: bool = True):
         """Infer from a bounded sample: the newest ``infer_max_files`` files
-        (metadata listing only; paths come to the driver, data does not)."""
+        modified after ``since`` (epoch ms).  Only file metadata is listed;
+        paths come to the driver, data does not.  Returns ``(schema, newest
+        modification ms)`` or ``None`` when no file qualifies."""
         opts = {k: v for k, v in self._opts().items() if k not in ("enforceSchema", "pathGlobFilter")}
         listing = spark.read.format("binaryFile")
         if self.glob_filter:
             listing = listing.option("pathGlobFilter", self.glob_filter)
-        sample = [r.path for r in listing.load(self.input_path).select("path", "modificationTime")
-                  .orderBy(F.desc("modificationTime"), F.desc("path")).limit(self.infer_max_files).collect()]
+        files = listing.load(self.input_path).select("path", "modificationTime")
+        if since is not None:
+            files = files.where(F.col("modificationTime") > modified_after(since))
+        sample = (files.orderBy(F.desc("modificationTime"), F.desc("path")).limit(self.infer_max_files)
+                  .select("path", F.unix_millis("modificationTime").alias("ms")).collect())
         if not sample:
-            raise FileNotFoundError(f"no file matching {self.glob_filter or '*'} in {self.input_path} to infer a schema from")
-        schema = spark.read.format(spark_format(self.file_format)).options(**opts).load(sample).schema
-        return T.StructType([f for f in schema.fields if f.name != "_corrupt_record"])
+            if required:
+                raise FileNotFoundError(
+                    f"no file matching {self.glob_filter or '*'} in {self.input_path} to infer a schema from")
+            return None
+        schema = spark.read.format(spark_format(self.file_format)).options(**opts).load([r.path for r in sample]).schema
+        return T.StructType([f for f in schema.fields if f.name != "_corrupt_record"]), max(r.ms for r in sample)
 
     # ---- readers ----------------------------------------------------------
     def stream(self, spark: SparkSession) -> DataFrame:

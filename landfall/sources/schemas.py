@@ -17,17 +17,28 @@ from landfall import fs
 
 
 class SchemaMemory:
+    """``schema.json`` plus ``inferred_through``: the newest file modification
+    time (epoch ms) already seen by inference, so later runs only sample files
+    that arrived after it."""
+
     def __init__(self, spark: SparkSession, location: str):
         self.spark = spark
         self.path = f"{location.rstrip('/')}/schema.json"
+        self.mark = f"{location.rstrip('/')}/inferred_through"
 
     def load(self) -> T.StructType | None:
         text = fs.read_text(self.spark, self.path)
         return T.StructType.fromJson(json.loads(text)) if text else None
 
-    def save(self, schema: T.StructType) -> None:
+    def inferred_through(self) -> int | None:
+        text = fs.read_text(self.spark, self.mark)
+        return int(text) if text else None
+
+    def save(self, schema: T.StructType, inferred_through: int | None = None) -> None:
         if self.load() != schema:
             fs.write_text(self.spark, self.path, schema.json())
+        if inferred_through is not None:
+            fs.write_text(self.spark, self.mark, str(inferred_through))
 
 
 def apply_hints(schema: T.StructType, hints: str | None) -> T.StructType:

@@ -32,22 +32,36 @@ class SchemaConflict(ValueError):
     """A column arrived with a type different from the table's."""
 
 
-def evolve_schema(current: T.StructType | None, incoming: T.StructType) -> T.StructType:
+def _merge_type(old: T.DataType, new: T.DataType, path: str) -> T.DataType:
+    if old == new or isinstance(new, T.NullType):
+        return old
+    if isinstance(old, T.NullType):
+        return new
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        return evolve_schema(old, new, path)
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return T.ArrayType(_merge_type(old.elementType, new.elementType, f"{path}[]"), True)
+    if isinstance(old, T.MapType) and isinstance(new, T.MapType) and old.keyType == new.keyType:
+        return T.MapType(old.keyType, _merge_type(old.valueType, new.valueType, f"{path}{{}}"), True)
+    raise SchemaConflict(f"column {path}: table has {old.simpleString()}, rows have {new.simpleString()}")
+
+
+def evolve_schema(current: T.StructType | None, incoming: T.StructType, path: str = "") -> T.StructType:
     """Table schema after appending rows of ``incoming``: existing columns keep
-    their place and type, new columns are added at the end (names compared
-    case-insensitively, as Spark resolves them)."""
+    their place and type, new columns are added at the end, nested structs
+    gain new fields the same way (names compared case-insensitively, as Spark
+    resolves them).  A changed primitive type is a conflict."""
     if current is None:
         return incoming
-    known = {f.name.lower(): f for f in current.fields}
-    added = []
-    for f in incoming.fields:
-        old = known.get(f.name.lower())
-        if old is None:
-            added.append(T.StructField(f.name, f.dataType, True))
-        elif old.dataType != f.dataType and not isinstance(f.dataType, T.NullType):
-            raise SchemaConflict(f"column {f.name}: table has {old.dataType.simpleString()}, "
-                                 f"rows have {f.dataType.simpleString()}")
-    return T.StructType(current.fields + added) if added else current
+    by_name = {f.name.lower(): f for f in incoming.fields}
+    fields = []
+    for f in current.fields:
+        inc = by_name.pop(f.name.lower(), None)
+        dt = f.dataType if inc is None else _merge_type(f.dataType, inc.dataType, f"{path}{f.name}")
+        fields.append(f if dt == f.dataType else T.StructField(f.name, dt, True))
+    fields.extend(T.StructField(f.name, f.dataType, True) for f in incoming.fields if f.name.lower() in by_name)
+    out = T.StructType(fields)
+    return current if out == current else out
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -89,3 +89,32 @@ def test_schema_memory_ignore_and_add(spark, area):
     hinted = FileSource(f"{area}/drop", "json", "*.json", schema_hints="b INT, c STRING")
     s = hinted.resolve_schema(spark)
     assert s.names == ["a", "b", "c"] and s["b"].dataType.simpleString() == "int"
+
+
+def test_evolve_schema_merges_nested_fields(spark):
+    from pyspark.sql import types as T
+
+    from landfall.tables import SchemaConflict, evolve_schema
+    a = T.StructType.fromDDL("x STRING, arr ARRAY<STRUCT<a: STRING>>, s STRUCT<p: STRING>")
+    b = T.StructType.fromDDL("ARR ARRAY<STRUCT<a: STRING, b: STRING>>, s STRUCT<q: STRING>, y STRING")
+    got = evolve_schema(a, b)
+    assert got.simpleString() == ("struct<x:string,arr:array<struct<a:string,b:string>>,"
+                                  "s:struct<p:string,q:string>,y:string>")
+    with pytest.raises(SchemaConflict):
+        evolve_schema(a, T.StructType.fromDDL("s STRING"))
+
+
+def test_inference_is_incremental_and_hints_survive_reruns(spark, area):
+    import time as _t
+    from landfall.plans.file_jobs import NESTED_HINT
+
+    write(f"{area}/drop/a.json", '{"approvalFactDelegatee": [{"ApprovableId": "1", "Extra": "e"}], "k": 1}\\n')
+    src = FileSource(f"{area}/drop", "json", "*.json", schema_location=f"{area}/schema", schema_hints=NESTED_HINT)
+    first = src.resolve_schema(spark)
+    assert first.names == ["approvalFactDelegatee", "k"]
+    assert src.resolve_schema(spark) == first                       # nothing new: no inference, same schema
+    _t.sleep(1.1)
+    write(f"{area}/drop/b.json", '{"approvalFactDelegatee": [{"Approver": "2"}], "n": "x"}\\n')
+    second = src.resolve_schema(spark)                             # only b.json is sampled
+    assert second.names == ["approvalFactDelegatee", "k", "n"]
+    assert second["approvalFactDelegatee"] == first["approvalFactDelegatee"]
