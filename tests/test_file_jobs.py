@@ -125,3 +125,29 @@ def test_config_from_catalog_table_and_sql_view(spark, area):
     job = feed_job(spark, cfg, "csv", tables_root=f"{area}/tables")
     job.table.register_view("landed")
     assert spark.sql("SELECT network_id FROM landed").collect()[0][0] == "1"
+
+
+import time as _time
+
+SECOND_RUN = {
+    "csv": ("csv", "*.csv", "a.csv", "Id,Name\n1,one\n", "b.csv", "Id,Name\n2,two\n", "network_id", ["2"]),
+    "tsv": ("tsv", "*.tsv", "a.tsv", "User Division ID\tUser Division \n1\tx\n", "b.tsv",
+            "User Division ID\tUser Division \n2\ty\n", "division_id", ["2"]),
+    "json_flat": ("json", "*.json", "a.json", '{"TaskId": "1"}\n', "b.json", '{"TaskId": "2"}\n', "taskid", ["2"]),
+    "json_nested": ("json", "*.json", "a.json", '{"approvalFactDelegatee": [{"ApprovableId": "1"}]}\n', "b.json",
+                    '{"approvalFactDelegatee": [{"ApprovableId": "2", "New": "n"}], "top": 1}\n',
+                    "approvableid", ["2"]),
+}
+
+
+@pytest.mark.parametrize("job", sorted(SECOND_RUN))
+def test_every_job_reruns_with_new_arrivals(spark, area, job):
+    fmt, glob, f1, body1, f2, body2, col, expect = SECOND_RUN[job]
+    write(f"{area}/drop/{f1}", body1)
+    j = feed_job(spark, config(area, fmt, glob), job, tables_root=f"{area}/tables", run_ts=TS)
+    j.run()
+    _time.sleep(1.1)
+    write(f"{area}/drop/{f2}", body2)
+    j = feed_job(spark, config(area, fmt, glob), job, tables_root=f"{area}/tables", run_ts=TS)
+    j.run()
+    assert [r[0] for r in rows(j.table.read(), col)] == expect
