@@ -73,3 +73,39 @@ def test_body_probe_and_jvm_split(spark):
                                "page INT, body STRING")
     got = sorted((r.page, r.position, r.record) for r in page_records(df).collect())
     assert got == [(1, 0, '{"a":1}'), (1, 1, '{"b":{"c":2}}'), (2, -1, None)]
+
+
+def test_http_transport_builds_request_and_maps_errors(monkeypatch):
+    import base64
+    import io
+    import urllib.error
+    import urllib.parse
+
+    from landfall.sources import paged
+
+    seen = {}
+
+    class Resp(io.BytesIO):
+        status = 200
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *a):
+            return False
+
+    def fake_urlopen(req, timeout):
+        seen["url"], seen["auth"], seen["timeout"] = req.full_url, req.headers.get("Authorization"), timeout
+        q = urllib.parse.parse_qs(urllib.parse.urlparse(req.full_url).query)
+        if q["Page"] == ["9"]:
+            raise urllib.error.HTTPError(req.full_url, 500, "boom", {}, None)
+        return Resp(b'{"deviceResponseData": []}')
+
+    monkeypatch.setattr(paged.urllib.request, "urlopen", fake_urlopen)
+    get = paged.http_transport({"url": "https://api.invalid/x", "username": "u", "password": "p", "timeout": "120"})
+    status, body = get({"limit": 1000, "Page": 2, "modifiedDate": "01/02/2024 00:00:00"})
+    assert status == 200 and body == '{"deviceResponseData": []}'
+    q = urllib.parse.parse_qs(urllib.parse.urlparse(seen["url"]).query)
+    assert q == {"limit": ["1000"], "Page": ["2"], "modifiedDate": ["01/02/2024 00:00:00"]}
+    assert seen["auth"] == "Basic " + base64.b64encode(b"u:p").decode() and seen["timeout"] == 120.0
+    assert get({"limit": 1000, "Page": 9}) == (500, None)
