@@ -16,7 +16,6 @@ from landfall.fixtures import files_for, sf_table, stage_files, timed
 from landfall.functions.columns import with_stamp
 from landfall.functions.predicates import map_entries_equal
 from landfall.functions.timestamps import format_timestamp, lenient_timestamp, strict_timestamp
-from landfall.operators.flatten import flatten
 from landfall.operators.merge import changed_rows, duplicate_keys, merge_into
 from landfall.operators.watermark import column_max, high_watermark
 from landfall.plans.api_job import DEVICE_FIELDS, api_frame

@@ -1,8 +1,7 @@
 """The four file-drop jobs on hand-written edge inputs (FIXTURES section 3)."""
 
 import pytest
-from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException, StreamingQueryException
+from pyspark.sql.utils import StreamingQueryException
 
 from conftest import rows, write
 from landfall.plans.config import FeedConfig
