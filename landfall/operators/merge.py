@@ -98,9 +98,13 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: list[str], *,
     cond = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in join_keys]
     j = t_keyed.join(s_keyed, cond, "full_outer")
 
+    # a compared column the target does not have yet is a change when the source has a value
+    changed = differs("t", "s", [c for c in compare if c in target.columns])
+    for c in (c for c in compare if c not in target.columns):
+        changed = changed | F.col(f"s.{c}").isNotNull()
     action = (F.when(F.col("t._t").isNull(), F.lit("insert"))
               .when(F.col("s._s").isNull(), F.lit("keep"))
-              .when(differs("t", "s", compare), F.lit("update"))
+              .when(changed, F.lit("update"))
               .otherwise(F.lit("unchanged")))
     take_source = F.col(ACTION).isin("insert", "update")
 

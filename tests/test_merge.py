@@ -131,3 +131,10 @@ def test_tracked_maximum_equals_scan_and_survives_time_zone_change(spark, area):
         assert table_max(t, "d") == t.read().agg({"d": "max"}).first()[0]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_merge_frames_with_a_column_new_to_the_target(spark):
+    tgt = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], SCHEMA)
+    src = spark.createDataFrame([(1, "a", 1, None), (2, "b", 2, "z")], SCHEMA + ", extra STRING")
+    got = {r.k: (r.merge_action, r.extra) for r in merge_frames(tgt, src, ["k"], stamp_column=None).collect()}
+    assert got == {1: ("unchanged", None), 2: ("update", "z")}
