@@ -72,3 +72,14 @@ def test_json_booleans_parse(spark, cfg, area):
     run(spark, cfg, area, "ok", initial_watermark="01/01/2024")
     r = Table(spark, f"{area}/target").read().first()
     assert (r.isresolving, r.isautocompleted) == (True, False)
+
+
+def test_missing_delta_column_logs_null_and_success(spark, area):
+    cfg = spark.createDataFrame([(3, "https://api.invalid", "MDX", "Device", "no_such_column")],
+                                "object_id INT, source_url STRING, source_name STRING, object_name STRING, "
+                                "source_delta_column STRING")
+    pages(f"{area}/p", [rec("1", "01/02/2024 00:00:00")])
+    out = run(spark, cfg, area, "p", initial_watermark="01/01/2024")
+    assert out["latest_update_dt"] is None
+    log = AuditLog(spark, f"{area}/audit").read().collect()
+    assert [(r.run_status, r.latest_update_dt) for r in log] == [("SUCCESS", None)]
