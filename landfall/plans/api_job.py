@@ -116,13 +116,18 @@ def stage_pages(spark: SparkSession, options: dict, path: str) -> DataFrame:
 def api_frame(spark: SparkSession, options: dict, *, run_ts=None, mapping=DEVICE_MAPPING,
               keys=DEVICE_KEY, stage_path: str | None = None, on_page_duplicate: str = "error") -> DataFrame:
     """Pages -> typed rows, one per key (the row of the latest page wins).
-    With ``stage_path`` the raw pages are landed there first.
+    With ``stage_path`` the raw pages, then the parsed records, are landed
+    there, so the API is called once and the JSON parsed once.
 
     A key repeated *within one page* is what a per-page MERGE refuses;
     ``on_page_duplicate="error"`` raises for it, ``"last"`` keeps the later
     record of the page."""
-    pages = stage_pages(spark, options, stage_path) if stage_path else read_pages(spark, options)
+    pages = stage_pages(spark, options, f"{stage_path}/pages") if stage_path else read_pages(spark, options)
     rows = parse_records(pages, mapping, run_ts=run_ts)
+    if stage_path:
+        # parse the JSON once; the duplicate check then reads two columns only
+        rows.write.mode("overwrite").parquet(f"{stage_path}/parsed")
+        rows = spark.read.parquet(f"{stage_path}/parsed")
     if on_page_duplicate == "error":
         dup = duplicate_keys(rows, list(keys) + ["page"]).first()
         if dup is not None:
@@ -164,7 +169,7 @@ def run_api_cdc(spark: SparkSession, config_table: DataFrame | str, object_name:
     with audited_run(log, **identity) as ctx:
         options = {"url": cfg.source_url, "numPartitions": num_partitions, **transport, "modifiedDate": mark}
         staging = f"{table.location}/_staging/{ctx.run_id}"
-        frame = api_frame(spark, options, run_ts=run_ts, stage_path=f"{staging}/pages")
+        frame = api_frame(spark, options, run_ts=run_ts, stage_path=staging)
         # the delta is landed once; the merge reads it a few times
         frame.write.mode("overwrite").parquet(f"{staging}/rows")
         delta = spark.read.parquet(f"{staging}/rows")
