@@ -138,3 +138,29 @@ def test_merge_frames_with_a_column_new_to_the_target(spark):
     src = spark.createDataFrame([(1, "a", 1, None), (2, "b", 2, "z")], SCHEMA + ", extra STRING")
     got = {r.k: (r.merge_action, r.extra) for r in merge_frames(tgt, src, ["k"], stamp_column=None).collect()}
     assert got == {1: ("unchanged", None), 2: ("update", "z")}
+
+
+def test_hot_key_and_hot_null_bucket(spark, area):
+    from pyspark.sql import functions as F
+
+    n = 3000
+    base = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).cast("int").alias("k"),
+        F.lit("v").alias("v"), F.lit(1).alias("w"))
+    t = Table(spark, f"{area}/t")
+    merge_into(t, base, ["k"], buckets=8, run_ts=T0)                 # a third of the rows have a NULL key
+    assert t.read().count() == n
+    src = spark.range(n).select(F.when(F.col("id") < n // 3, F.lit(7)).otherwise(F.col("id")).cast("int").alias("k"),
+                                F.lit("x").alias("v"), F.col("id").cast("int").alias("w"),
+                                F.floor(F.col("id") / 100).cast("int").alias("page"),
+                                (F.col("id") % 100).cast("int").alias("position"))
+    # a third of the source rows carry key 7: reported once, reduced to its latest row
+    assert rows(duplicate_keys(src, ["k"])) == [(7, n // 3)]
+    latest = latest_per_key(src, ["k"], ["page", "position"]).drop("page", "position")
+    assert latest.where("k = 7").first().w == n // 3 - 1
+    merge_into(t, latest, ["k"], run_ts=T1)
+    got = t.read()
+    inserted = sum(1 for i in range(n // 3, n) if i % 3 == 0)         # keys the target held as NULL rows
+    assert got.count() == n + inserted
+    assert got.where("k IS NULL").count() == n // 3
+    assert got.where("k = 7").first().w == n // 3 - 1                 # the hot key updated once
