@@ -47,7 +47,13 @@ class RunState:
         return text.strip() if text else None
 
     def begin(self, table: Table) -> str:
+        """The segment to load into: the recorded open run, unless that run
+        was published already (the process died between commit and clean-up)."""
         seg = self.open_run()
+        if seg is not None:
+            current = table.latest()
+            if current is not None and seg in current.segments:
+                seg = None
         if seg is None:
             seg = table.new_segment()
             fs.write_text(self.spark, self._open, seg)

@@ -104,3 +104,16 @@ def test_include_existing_false_skips_old_files(spark, area):
     j = job(spark, area, include_existing=False, schema="id STRING")
     j.run()
     assert ids(j) == ["2"]
+
+
+def test_published_open_run_is_not_reused(spark, area):
+    from landfall import fs
+
+    write(f"{area}/drop/a.csv", "id\n1\n")
+    j = job(spark, area)
+    j.run()
+    seg = j.table.latest().segments[0]
+    fs.write_text(spark, f"{area}/state/open_run", seg)     # died after commit, before clean-up
+    write(f"{area}/drop/b.csv", "id\n2\n")
+    j.run()
+    assert ids(j) == ["2"] and j.table.latest().segments[0] != seg
