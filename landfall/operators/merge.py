@@ -194,11 +194,15 @@ def merge_into(table: Table, source: DataFrame, keys: list[str], *, buckets: int
     src = source.withColumn(BUCKET, bucket_of(keys, nb))
 
     # One pass over the source: the largest key multiplicity and the touched
-    # buckets (at most ``nb`` ids, a fixed table property, reach the driver).
-    stats = (src.where(F.col(BUCKET) >= 0).groupBy(*keys)
+    # buckets, -1 standing for NULL keys (at most ``nb`` + 1 ids, a fixed
+    # table property, reach the driver).
+    stats = (src.groupBy(*keys)
              .agg(F.count(F.lit(1)).alias("n"), F.first(BUCKET).alias("b"))
-             .agg(F.max("n").alias("most"), F.collect_set("b").alias("touched"))).first()
-    most, touched = (stats["most"] or 0), sorted(stats["touched"] or [])
+             .agg(F.max(F.when(F.col("b") >= 0, F.col("n"))).alias("most"),
+                  F.collect_set("b").alias("buckets"))).first()
+    most = stats["most"] or 0
+    touched = sorted(b for b in (stats["buckets"] or []) if b >= 0)
+    has_nulls = -1 in (stats["buckets"] or [])
     if on_duplicate == "error" and most > 1:
         dup = duplicate_keys(source, keys).first()
         raise DuplicateKeyError(f"source has several rows for key {dup.asDict()}")
@@ -221,14 +225,15 @@ def merge_into(table: Table, source: DataFrame, keys: list[str], *, buckets: int
 
     # NULL keys never match anything: a folder of their own, no join.
     nulls = conform(src.where(F.col(BUCKET) < 0).withColumn(stamp_column, stamp(run_ts)), stored)
-    nulls.write.mode("append").partitionBy(BUCKET).parquet(gen_path)
+    if has_nulls:
+        nulls.write.mode("append").partitionBy(BUCKET).parquet(gen_path)
 
     written = [f"{gen}/{n}" for n in fs.list_names(spark, gen_path) if n.startswith(f"{BUCKET}=")]
     segments = [sg for sg in current.segments if segment_bucket(sg) not in hit] + written
     props = dict(current.properties)
     if track_max:
         props["max"] = _bucket_maxima(spark, stored, gen_path, touched, track_max,
-                                      current.properties.get("max", {}), nulls)
+                                      current.properties.get("max", {}), nulls if has_nulls else None)
     if written or schema != current.schema or props != current.properties:
         table.commit(segments, schema, props, expected=current)
         table.vacuum()
@@ -250,7 +255,7 @@ def _decode_max(values: list, dtype: T.DataType, spark):
     return lits.agg(F.max(F.col("v").cast(dtype))).first()[0]
 
 
-def _bucket_maxima(spark, stored, gen_path, touched, cols, old: dict, nulls: DataFrame) -> dict:
+def _bucket_maxima(spark, stored, gen_path, touched, cols, old: dict, nulls: DataFrame | None) -> dict:
     """Per-bucket MAX of ``cols`` after a merge: rewritten buckets are
     re-aggregated from the new generation (one column each, pruned), the
     NULL-key bucket only grows by appends, every other bucket keeps its
@@ -262,9 +267,9 @@ def _bucket_maxima(spark, stored, gen_path, touched, cols, old: dict, nulls: Dat
         for r in fresh:
             for c in cols:
                 out[c][str(r[BUCKET])] = r[c]
-    appended = nulls.agg(*[_encode_max(c, stored[c].dataType) for c in cols]).first()
+    appended = nulls.agg(*[_encode_max(c, stored[c].dataType) for c in cols]).first() if nulls is not None else None
     for c in cols:
-        new = appended[c]
+        new = appended[c] if appended is not None else None
         if new is not None:
             prev = out[c].get("-1")
             out[c]["-1"] = new if prev is None else max(prev, new, key=_as_sortable)
