@@ -118,3 +118,12 @@ def test_inference_is_incremental_and_hints_survive_reruns(spark, area):
     second = src.resolve_schema(spark)                             # only b.json is sampled
     assert second.names == ["approvalFactDelegatee", "k", "n"]
     assert second["approvalFactDelegatee"] == first["approvalFactDelegatee"]
+
+
+def test_new_columns_rescue_mode(spark, area):
+    write(f"{area}/drop/a.json", '{"a": "1"}\n')
+    src = FileSource(f"{area}/drop", "json", "*.json", schema_location=f"{area}/schema", new_columns="rescue")
+    assert src.resolve_schema(spark).names == ["a"]
+    write(f"{area}/drop/b.json", '{"a": "2", "b": "new"}\n')
+    got = rows(src.batch(spark), "a", "_rescued_data")
+    assert got == [("1", None), ("2", '{"b":"new"}')]
