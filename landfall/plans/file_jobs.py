@@ -16,7 +16,6 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from landfall import fs
 from landfall.functions.columns import drop_columns, rename_by_position, rename_columns, stamp
@@ -128,13 +127,16 @@ class FileFeedJob:
         files = changed.orderBy("modificationTime", "path").collect()
         schema = self.source.resolve_schema(spark)
         segment = self.table.new_segment()
-        out_schema = self.transform(_empty(spark, schema)).schema
+        out_schema = None
         for i in range(0, len(files), self.files_per_batch):
             chunk = [r.path for r in files[i:i + self.files_per_batch]]
             df = self.transform(self.source.batch(spark, chunk, schema))
+            out_schema = out_schema or df.schema
             write_batch(df, batch_path(self.table, segment, i // self.files_per_batch))
             if after_write is not None:
                 after_write(df, i // self.files_per_batch)
+        if out_schema is None:      # nothing changed: the same columns a batch would have
+            out_schema = self.transform(self.source.stream(spark)).schema
         if files:
             ledger.record(spark.createDataFrame(files, changed.schema), segment)
         commit = publish(self.table, segment, out_schema, replace=self.replace, empty_run=self.empty_run,
@@ -142,10 +144,6 @@ class FileFeedJob:
         return LoadResult(segment, (len(files) + self.files_per_batch - 1) // self.files_per_batch, commit)
 
 
-def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def first_run_time(spark: SparkSession, state_dir: str) -> int:
     """Time of the feed's first run (epoch ms), remembered in its state folder."""
     path = f"{state_dir.rstrip('/')}/first_run"

@@ -117,3 +117,16 @@ def test_published_open_run_is_not_reused(spark, area):
     write(f"{area}/drop/b.csv", "id\n2\n")
     j.run()
     assert ids(j) == ["2"] and j.table.latest().segments[0] != seg
+
+
+def test_ledger_mode_keeps_rescue_column(spark, area):
+    from landfall.plans.config import FeedConfig
+    from landfall.plans.file_jobs import feed_job
+
+    write(f"{area}/drop/a.tsv", "User Division ID\tUser Division \n1\tx\n")
+    cfg = FeedConfig(1, f"{area}/drop", "csv", f"{area}/schema", f"{area}/state", "m", "s", "t", "*.tsv")
+    j = feed_job(spark, cfg, "tsv", tables_root=f"{area}/tables", allow_overwrites=True)
+    j.run()
+    assert "_rescued_data" in j.table.read().columns
+    j.run()                                   # nothing changed: empty snapshot, same columns
+    assert "_rescued_data" in j.table.read().columns and j.table.read().count() == 0
