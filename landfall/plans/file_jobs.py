@@ -105,6 +105,7 @@ class FileFeedJob:
     empty_run: str = "clear"          # a run with no new file: clear | keep the table
     allow_overwrites: bool = False    # re-read files rewritten in place (ledger discovery)
     files_per_batch: int = 1000
+    bytes_per_batch: int | None = None   # ledger mode: also cap a batch by total file size
 
     def run(self, after_write=None) -> LoadResult:
         spark = self.table.spark
@@ -128,20 +129,35 @@ class FileFeedJob:
         schema = self.source.resolve_schema(spark)
         segment = self.table.new_segment()
         out_schema = None
-        for i in range(0, len(files), self.files_per_batch):
-            chunk = [r.path for r in files[i:i + self.files_per_batch]]
-            df = self.transform(self.source.batch(spark, chunk, schema))
+        chunks = list(batches_of(files, self.files_per_batch, self.bytes_per_batch))
+        for b, chunk in enumerate(chunks):
+            df = self.transform(self.source.batch(spark, [r.path for r in chunk], schema))
             out_schema = out_schema or df.schema
-            write_batch(df, batch_path(self.table, segment, i // self.files_per_batch))
+            write_batch(df, batch_path(self.table, segment, b))
             if after_write is not None:
-                after_write(df, i // self.files_per_batch)
+                after_write(df, b)
         if out_schema is None:      # nothing changed: the same columns a batch would have
             out_schema = self.transform(self.source.stream(spark)).schema
         if files:
             ledger.record(spark.createDataFrame(files, changed.schema), segment)
         commit = publish(self.table, segment, out_schema, replace=self.replace, empty_run=self.empty_run,
                          properties={"ledger_runs": committed + ([segment] if files else [])})
-        return LoadResult(segment, (len(files) + self.files_per_batch - 1) // self.files_per_batch, commit)
+        return LoadResult(segment, len(chunks), commit)
+
+
+def batches_of(files: list, max_files: int, max_bytes: int | None):
+    """Consecutive groups of listed files, at most ``max_files`` each and --
+    when ``max_bytes`` is set -- at most that many bytes (a single larger file
+    still forms its own group)."""
+    group, size = [], 0
+    for f in files:
+        if group and (len(group) >= max_files or (max_bytes and size + f.length > max_bytes)):
+            yield group
+            group, size = [], 0
+        group.append(f)
+        size += f.length
+    if group:
+        yield group
 
 
 def first_run_time(spark: SparkSession, state_dir: str) -> int:
