@@ -249,7 +249,10 @@ def _encode_max(col: str, dtype: T.DataType):
 
 
 def _decode_max(values: list, dtype: T.DataType, spark):
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(dtype, T.TimestampType):
+        # epoch micros -> the value collect() would give, without a job
+        return T.TimestampType().fromInternal(max(int(v) for v in values))
+    if isinstance(dtype, T.TimestampNTZType):
         return spark.range(1).select(F.timestamp_micros(F.lit(max(int(v) for v in values))).cast(dtype)).first()[0]
     lits = spark.createDataFrame([(str(v),) for v in values], "v STRING")
     return lits.agg(F.max(F.col("v").cast(dtype))).first()[0]
