@@ -189,10 +189,16 @@ def register(spark) -> None:
 
 def page_records(pages, data_key: str = "deviceResponseData"):
     """``(page, body)`` -> ``(page, position, record)``; a page without
-    records gives one ``(page, -1, NULL)`` end marker."""
+    records (no body, no list, empty list) gives one ``(page, -1, NULL)`` end
+    marker; a body that is not a JSON object raises."""
     from pyspark.sql import functions as F
 
-    records = F.from_json("body", f"struct<`{data_key}`: array<string>>")[data_key]
+    # a body that is not a JSON object (an HTML error page, a cut-off reply)
+    # fails the run; only a missing or empty list means "no more data"
+    malformed = F.col("body").isNotNull() & F.json_object_keys("body").isNull()
+    records = F.when(malformed, F.raise_error(F.concat(F.lit("page "), F.col("page").cast("string"),
+                                                        F.lit(" is not a JSON object"))))
+    records = records.otherwise(F.from_json("body", f"struct<`{data_key}`: array<string>>")[data_key])
     exploded = pages.select("page", F.posexplode_outer(records).alias("position", "record"))
     return exploded.select("page", F.coalesce("position", F.lit(-1)).alias("position"), "record")
 

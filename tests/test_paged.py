@@ -109,3 +109,14 @@ def test_http_transport_builds_request_and_maps_errors(monkeypatch):
     assert q == {"limit": ["1000"], "Page": ["2"], "modifiedDate": ["01/02/2024 00:00:00"]}
     assert seen["auth"] == "Basic " + base64.b64encode(b"u:p").decode() and seen["timeout"] == 120.0
     assert get({"limit": 1000, "Page": 9}) == (500, None)
+
+
+def test_malformed_body_fails_instead_of_ending_paging(spark):
+    from landfall.sources.paged import page_records
+
+    ok = spark.createDataFrame([(1, '{"other": 1}'), (2, '{"deviceResponseData": null}')], "page INT, body STRING")
+    assert sorted((r.page, r.position) for r in page_records(ok).collect()) == [(1, -1), (2, -1)]
+    for body in ("<html>oops</html>", '{"deviceResponseData": [{"a": 1}, {"b"'):
+        bad = spark.createDataFrame([(1, body)], "page INT, body STRING")
+        with pytest.raises(Exception, match="not a JSON object"):
+            page_records(bad).collect()
