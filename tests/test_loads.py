@@ -140,3 +140,39 @@ def test_batches_of_caps_files_and_bytes():
     files = [F_(str(i), n) for i, n in enumerate([5, 5, 5, 20, 1, 1, 1])]
     assert [[f.path for f in g] for g in batches_of(files, 3, None)] == [["0", "1", "2"], ["3", "4", "5"], ["6"]]
     assert [[f.path for f in g] for g in batches_of(files, 10, 10)] == [["0", "1"], ["2"], ["3"], ["4", "5", "6"]]
+
+
+@pytest.mark.parametrize("crash_at", [0, 3])
+def test_crash_at_first_or_last_batch(spark, area, crash_at):
+    for i in range(4):
+        write(f"{area}/drop/f{i}.csv", f"id\n{i}\n")
+    j = job(spark, area, max_files_per_trigger=1)
+    hits = []
+
+    def crash(df, batch_id):
+        hits.append(batch_id)
+        if batch_id == crash_at and hits.count(crash_at) == 1:
+            raise RuntimeError("boom")
+
+    with pytest.raises(Exception):
+        j.run(after_write=crash)
+    j.run(after_write=crash)
+    assert ids(j) == ["0", "1", "2", "3"]
+
+
+def test_ledger_mode_crash_then_retry_is_exact(spark, area):
+    for i in range(5):
+        write(f"{area}/drop/f{i}.csv", f"id\n{i}\n")
+    j = job(spark, area, replace=False, allow_overwrites=True, files_per_batch=2)
+
+    def crash(df, b):
+        if b == 1:
+            raise RuntimeError("boom")
+
+    with pytest.raises(RuntimeError):
+        j.run(after_write=crash)
+    assert not j.table.exists()
+    j.run()
+    assert ids(j) == ["0", "1", "2", "3", "4"]
+    j.run()                                   # nothing new: nothing appended twice
+    assert ids(j) == ["0", "1", "2", "3", "4"]
