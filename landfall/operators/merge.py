@@ -243,8 +243,11 @@ def _encode_max(col: str, dtype: T.DataType):
     """MAX of ``col`` in a session-independent form: epoch microseconds for
     timestamps (text would depend on the session time zone), text otherwise."""
     m = F.max(col)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(m.cast("timestamp")).alias(col)
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(m).alias(col)
+    if isinstance(dtype, T.TimestampNTZType):      # wall-clock micros, no zone involved
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return F.timestamp_diff("MICROSECOND", epoch, m).alias(col)
     return m.cast("string").alias(col)
 
 
@@ -253,7 +256,7 @@ def _decode_max(values: list, dtype: T.DataType, spark):
         # epoch micros -> the value collect() would give, without a job
         return T.TimestampType().fromInternal(max(int(v) for v in values))
     if isinstance(dtype, T.TimestampNTZType):
-        return spark.range(1).select(F.timestamp_micros(F.lit(max(int(v) for v in values))).cast(dtype)).first()[0]
+        return T.TimestampNTZType().fromInternal(max(int(v) for v in values))
     lits = spark.createDataFrame([(str(v),) for v in values], "v STRING")
     return lits.agg(F.max(F.col("v").cast(dtype))).first()[0]
 

@@ -164,3 +164,19 @@ def test_hot_key_and_hot_null_bucket(spark, area):
     assert got.count() == n + inserted
     assert got.where("k IS NULL").count() == n // 3
     assert got.where("k = 7").first().w == n // 3 - 1                 # the hot key updated once
+
+
+def test_tracked_ntz_maximum_survives_time_zone_change(spark, area):
+    from datetime import datetime
+
+    from landfall.operators.merge import table_max
+    t = Table(spark, f"{area}/t")
+    df = spark.createDataFrame([(1, datetime(2024, 5, 1, 12, 30)), (2, datetime(2024, 1, 1))], "k INT, d TIMESTAMP_NTZ")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        merge_into(t, df, ["k"], buckets=4, run_ts=T0, track_max=["d"])
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert table_max(t, "d") == datetime(2024, 5, 1, 12, 30)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
