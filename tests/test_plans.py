@@ -1,0 +1,66 @@
+"""Plan-shape guards: the scale properties checked with explain() stay true."""
+
+import contextlib
+import io
+
+from pyspark.sql import functions as F
+
+from conftest import write
+from landfall.operators import merge as M
+from landfall.plans.file_jobs import NESTED_HINT, nested_json_transform, tsv_transform
+from landfall.sources.files import FileSource
+from landfall.tables import Table, conform
+
+
+def plan(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
+def nodes(p: str, name: str) -> int:
+    """Occurrences of operator ``name`` in the plan tree (not the details)."""
+    tree = p.split("\n\n")[0]
+    return sum(1 for line in tree.splitlines() if line.strip().lstrip(":+-* ").split(" ")[0] == name)
+
+
+def test_tsv_load_is_one_stage_with_pushdown_and_pruning(spark, area):
+    write(f"{area}/drop/a.tsv", "User Division ID\tUser Division \tTotal User Count\tDivision GUID\n1\tx\t3\tg\n")
+    src = FileSource(f"{area}/drop", "csv", "*.tsv", options={"sep": "\t"})
+    p = plan(tsv_transform("2024-01-01")(src.batch(spark)))
+    assert "Exchange" not in p
+    assert "PushedFilters: [IsNotNull(User Division ID)]" in p
+    read_schema = [line for line in p.splitlines() if line.startswith("ReadSchema")][0]
+    assert "Total User Count" not in read_schema and "Division GUID" not in read_schema
+
+
+def test_nested_flatten_is_a_single_generate_without_shuffle(spark, area):
+    write(f"{area}/drop/a.json", '{"approvalFactDelegatee": [{"ApprovableId": "1"}], "other": 1}\n')
+    src = FileSource(f"{area}/drop", "json", "*.json", schema_hints=NESTED_HINT)
+    p = plan(nested_json_transform("2024-01-01")(src.batch(spark)))
+    assert "Exchange" not in p and p.count("Generate") >= 1 and "inline" in p
+    read_schema = [line for line in p.splitlines() if line.startswith("ReadSchema")][0]
+    assert "other" not in read_schema
+
+
+def test_latest_per_key_aggregates_partially_before_the_shuffle(spark):
+    df = spark.createDataFrame([(1, "a", 1, 0)], "k INT, v STRING, page INT, position INT")
+    p = plan(M.latest_per_key(df, ["k"], ["page", "position"]))
+    assert nodes(p, "Exchange") == 1 and "partial_max_by" in p
+
+
+def test_merge_join_has_one_exchange_per_side(spark, area):
+    t = Table(spark, f"{area}/t")
+    src = spark.range(100).select(F.col("id").cast("int").alias("k"), F.lit("v").alias("v"))
+    M.merge_into(t, src, ["k"], buckets=4, run_ts="2024-01-01 00:00:00")
+    c = t.latest()
+    from pyspark.sql import types as T
+    stored = T.StructType(c.schema.fields + [T.StructField(M.BUCKET, T.IntegerType(), True)])
+    tgt = conform(t.read().withColumn(M.BUCKET, M.bucket_of(["k"], 4)), stored).repartition(4, M.BUCKET)
+    s = src.withColumn(M.BUCKET, M.bucket_of(["k"], 4)).repartition(4, M.BUCKET)
+    merged = M.merge_frames(tgt, s, ["k"], extra_join=[M.BUCKET], split_nulls=False)
+    with M._conf(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+        p = plan(merged)
+    assert nodes(p, "Exchange") == 2
+    assert nodes(p, "SortMergeJoin") == 1 and "BroadcastExchange" not in p
