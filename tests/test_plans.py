@@ -64,3 +64,17 @@ def test_merge_join_has_one_exchange_per_side(spark, area):
         p = plan(merged)
     assert nodes(p, "Exchange") == 2
     assert nodes(p, "SortMergeJoin") == 1 and "BroadcastExchange" not in p
+
+
+def test_merge_writes_one_file_per_touched_bucket(spark, area):
+    import os
+
+    t = Table(spark, f"{area}/t")
+    src = spark.range(1000).select(F.col("id").cast("int").alias("k"), F.lit("v").alias("v"))
+    M.merge_into(t, src, ["k"], buckets=8, run_ts="2024-01-01 00:00:00")
+    M.merge_into(t, src.withColumn("v", F.lit("w")), ["k"], run_ts="2024-02-01 00:00:00")
+    segs = t.latest().segments
+    assert len(segs) == 8
+    for seg in segs:
+        files = [f for f in os.listdir(t.segment_path(seg).replace("file:", "")) if f.endswith(".parquet")]
+        assert len(files) == 1, (seg, files)
