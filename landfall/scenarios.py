@@ -36,7 +36,7 @@ def ntz(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
 
 
-def _config(spark: SparkSession, area: str, fmt: str, glob: str, ref_id: int = 1) -> FeedConfig:
+def _config(area: str, fmt: str, glob: str, ref_id: int = 1) -> FeedConfig:
     return FeedConfig(ref_id=ref_id, input_path=f"{area}/drop", file_format=fmt, schema_path=f"{area}/schema",
                       checkpoint_path=f"{area}/state", table_catalog="main", table_schema="landing",
                       ingst_tbl_name="target", glob_filter=glob)
@@ -55,7 +55,7 @@ def q01_csv_ingest(spark: SparkSession, sf: str) -> DataFrame:
     n = files_for(_rows(cust))
     stage_files(src, "csv", f"{area}/drop", "customers", n)
     stage_files(src, "json", f"{area}/drop", "decoy", n)          # must be skipped by the glob filter
-    job = feed_job(spark, _config(spark, area, "csv", "*.csv"), "csv", tables_root=f"{area}/tables", run_ts=RUN_TS)
+    job = feed_job(spark, _config(area, "csv", "*.csv"), "csv", tables_root=f"{area}/tables", run_ts=RUN_TS)
     job.run()
     return ntz(job.table.read(), "update_ts")
 
@@ -75,7 +75,7 @@ def q02_tsv_ingest(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("R"), F.col("c_nationkey").cast("string")).alias("region_code"),
     )
     stage_files(src, "tsv", f"{area}/drop", "divisions", files_for(_rows(cust)))
-    job = feed_job(spark, _config(spark, area, "tsv", "*.tsv"), "tsv", tables_root=f"{area}/tables", run_ts=RUN_TS)
+    job = feed_job(spark, _config(area, "tsv", "*.tsv"), "tsv", tables_root=f"{area}/tables", run_ts=RUN_TS)
     job.run()
     return ntz(job.table.read(), "update_ts")
 
@@ -87,7 +87,7 @@ def q03_json_flat(spark: SparkSession, sf: str) -> DataFrame:
                       F.col("role").alias("TimeCreated"), F.col("text").alias("UserId"),
                       F.lit("unused").alias("Channel"))
     stage_files(src, "json", f"{area}/drop", "tasks", files_for(_rows(conv), 2_000))
-    job = feed_job(spark, _config(spark, area, "json", "*.json"), "json_flat", tables_root=f"{area}/tables",
+    job = feed_job(spark, _config(area, "json", "*.json"), "json_flat", tables_root=f"{area}/tables",
                    run_ts=RUN_TS)
     job.run()
     return ntz(job.table.read(), "update_ts")
@@ -117,7 +117,7 @@ def stage_nested(spark: SparkSession, sf: str, dest: str) -> None:
 def q04_json_nested(spark: SparkSession, sf: str) -> DataFrame:
     area = scratch(spark, "q04")
     stage_nested(spark, sf, f"{area}/drop")
-    job = feed_job(spark, _config(spark, area, "json", "*.json"), "json_nested", tables_root=f"{area}/tables",
+    job = feed_job(spark, _config(area, "json", "*.json"), "json_nested", tables_root=f"{area}/tables",
                    run_ts=RUN_TS)
     job.run()
     return ntz(job.table.read(), "update_ts")
