@@ -72,7 +72,8 @@ def mapping_for(column: str, mapping: list[FieldMap] = DEVICE_MAPPING) -> list[F
 
 
 def fetch_pages(spark: SparkSession, options: dict) -> DataFrame:
-    """``(page, body)``: one row per requested page, fetched in parallel."""
+    """``(page, body, error)``: one row per requested page, fetched in
+    parallel, plus one per retried attempt."""
     paged.register(spark)
     return spark.read.format("paged_api").options(**{k: str(v) for k, v in options.items()}).load()
 
@@ -135,6 +136,25 @@ def api_frame(spark: SparkSession, options: dict, *, run_ts=None, mapping=DEVICE
     return latest_per_key(rows, keys, ["page", "position"]).drop("page", "position")
 
 
+def attempt_rows(raw_pages: DataFrame, run_id: str, identity: dict) -> DataFrame:
+    """FAILURE audit rows for the request attempts that failed and were
+    retried (the landed ``error`` records), built on the executors."""
+    cols = {"run_id": F.lit(run_id), "latest_update_dt": F.lit(None).cast("timestamp"),
+            "start_time": F.current_timestamp(), "end_time": F.current_timestamp(),
+            "run_status": F.lit("FAILURE"),
+            "log_step": F.concat(F.lit("API_REQUEST page "), F.col("page").cast("string"), F.lit(" "), F.col("error"))}
+    cols.update({k: F.lit(v) for k, v in identity.items()})
+    return raw_pages.where(F.col("error").isNotNull()).select(*[c.alias(k) for k, c in cols.items()])
+
+
+def audit_attempts(spark: SparkSession, log: AuditLog, raw_path: str, run_id: str, identity: dict) -> None:
+    if not fs.exists(spark, raw_path):
+        return
+    rows = attempt_rows(spark.read.parquet(raw_path), run_id, identity)
+    if not rows.isEmpty():
+        log.append(rows)
+
+
 def watermark_text(value: datetime | None, initial: str | None) -> str:
     """``MM/dd/yyyy HH:mm:ss`` text of the watermark.  A first run has no
     SUCCESS row, so it needs an explicit ``initial`` value."""
@@ -169,7 +189,10 @@ def run_api_cdc(spark: SparkSession, config_table: DataFrame | str, object_name:
     with audited_run(log, **identity) as ctx:
         options = {"url": cfg.source_url, "numPartitions": num_partitions, **transport, "modifiedDate": mark}
         staging = f"{table.location}/_staging/{ctx.run_id}"
-        frame = api_frame(spark, options, run_ts=run_ts, stage_path=staging)
+        try:
+            frame = api_frame(spark, options, run_ts=run_ts, stage_path=staging)
+        finally:
+            audit_attempts(spark, log, f"{staging}/pages", ctx.run_id, identity)
         # the delta is landed once; the merge reads it a few times
         frame.write.mode("overwrite").parquet(f"{staging}/rows")
         delta = spark.read.parquet(f"{staging}/rows")

@@ -6,8 +6,9 @@ Instead of a driver loop, the source has ``numPartitions`` input partitions:
 partition ``i`` requests pages ``i+1, i+1+n, i+1+2n, ...`` until its first
 empty page, so pages are fetched in parallel on the executors.
 
-Python only moves bytes: the source yields one ``(page, body)`` row per page
-(``body`` NULL for 204).  :func:`page_records` then splits bodies into
+Python only moves bytes: the source yields one ``(page, body, NULL)`` row per
+page (``body`` NULL for 204), and one ``(page, NULL, error)`` row for every
+failed attempt that was retried, so the job can audit it.  :func:`page_records` then splits bodies into
 ``(page, position, record)`` rows on the JVM -- ``from_json`` into
 ``array<string>`` keeps each record as its JSON text -- and
 :func:`until_first_empty` drops everything from the first empty page on, over
@@ -33,7 +34,7 @@ import urllib.request
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-SCHEMA = "page INT, body STRING"
+SCHEMA = "page INT, body STRING, error STRING"
 
 
 class ApiError(RuntimeError):
@@ -96,8 +97,10 @@ def files_transport(options: dict):
 TRANSPORTS = {"http": http_transport, "files": files_transport}
 
 
-def fetch(get, params: dict, retries: int = 3, sleep=time.sleep) -> str | None:
-    """One page body, ``None`` for 204; raises after ``retries`` failed attempts."""
+def fetch(get, params: dict, retries: int = 3, sleep=time.sleep, on_error=None) -> str | None:
+    """One page body, ``None`` for 204; raises after ``retries`` failed
+    attempts.  ``on_error(text)`` hears about each failed attempt that is
+    retried."""
     last: Exception | None = None
     for attempt in range(retries):
         try:
@@ -113,6 +116,8 @@ def fetch(get, params: dict, retries: int = 3, sleep=time.sleep) -> str | None:
         if status is not None:
             last = ApiError(f"HTTP {status} for page {params.get('Page')}")
         if attempt + 1 < retries:
+            if on_error is not None:
+                on_error(f"attempt {attempt + 1}: {type(last).__name__}: {last}")
             sleep(2 ** attempt)
     raise ApiError(f"page {params.get('Page')} failed after {retries} attempts: {last}")
 
@@ -167,8 +172,11 @@ class PagedApiReader(DataSourceReader):
             params = {"limit": int(o.get("limit", 1000)), "Page": page}
             if o.get("modifiedDate"):
                 params["modifiedDate"] = o["modifiedDate"]
-            body = fetch(get, params, retries)
-            yield (page, body)
+            errors: list[str] = []
+            body = fetch(get, params, retries, on_error=errors.append)
+            for err in errors:              # retried attempts, for the audit log
+                yield (page, None, err)
+            yield (page, body, None)
             # stop at this partition's first empty page; the JVM side decides
             # emptiness exactly, this cheap check only ends the loop
             if body is None or not _has_records(body, probe):
@@ -195,6 +203,8 @@ def page_records(pages, data_key: str = "deviceResponseData"):
 
     # a body that is not a JSON object (an HTML error page, a cut-off reply)
     # fails the run; only a missing or empty list means "no more data"
+    if "error" in pages.columns:
+        pages = pages.where(F.col("error").isNull())  # attempt records are not pages
     malformed = F.col("body").isNotNull() & F.json_object_keys("body").isNull()
     records = F.when(malformed, F.raise_error(F.concat(F.lit("page "), F.col("page").cast("string"),
                                                         F.lit(" is not a JSON object"))))

@@ -120,3 +120,29 @@ def test_malformed_body_fails_instead_of_ending_paging(spark):
         bad = spark.createDataFrame([(1, body)], "page INT, body STRING")
         with pytest.raises(Exception, match="not a JSON object"):
             page_records(bad).collect()
+
+
+def test_retried_attempts_are_reported_and_audited(spark, area):
+    from landfall.plans.api_job import attempt_rows
+    from landfall.plans.audit import AuditLog
+    from landfall.sources.paged import page_records
+
+    errs = []
+    f = Fake([(500, None), (503, None), (200, "ok")])
+    assert fetch(f, {"Page": 4}, sleep=lambda s: None, on_error=errs.append) == "ok"
+    assert errs == ["attempt 1: ApiError: HTTP 500 for page 4", "attempt 2: ApiError: HTTP 503 for page 4"]
+    errs.clear()
+    with pytest.raises(ApiError):
+        fetch(Fake([(500, None)] * 3), {"Page": 1}, sleep=lambda s: None, on_error=errs.append)
+    assert len(errs) == 2                                   # the last failure raises instead
+
+    raw = spark.createDataFrame([(1, None, "attempt 1: ApiError: HTTP 500 for page 1"),
+                                 (1, '{"deviceResponseData": [{"a": 1}]}', None), (2, None, None)],
+                                "page INT, body STRING, error STRING")
+    assert sorted((r.page, r.position) for r in page_records(raw).collect()) == [(1, 0), (2, -1)]
+    log = AuditLog(spark, f"{area}/audit")
+    log.append(attempt_rows(raw, "run-1", {"object_id": 3, "object_name": "device", "source_name": "mdx",
+                                           "job_id": None, "job_name": None, "notebook_name": None}))
+    r = log.read().first()
+    assert (r.run_status, r.object_name, r.latest_update_dt) == ("FAILURE", "device", None)
+    assert r.log_step == "API_REQUEST page 1 attempt 1: ApiError: HTTP 500 for page 1"
