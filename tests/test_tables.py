@@ -67,3 +67,30 @@ def test_vacuum_removes_replaced_segments_and_skips_torn_commit(spark, area):
     with open(f"{area}/t/_commits/{t.latest().version + 1:012d}.json", "w") as fh:
         fh.write('{"segments": [')                      # a commit still being written
     assert [r.x for r in t.read().collect()] == [3]
+
+
+def test_publish_conflict_then_retry_keeps_staged_rows(spark, area):
+    t = Table(spark, f"{area}/t")
+    schema = T.StructType.fromDDL("x INT")
+    seg_a, seg_b = t.new_segment(), t.new_segment()
+    write_batch(spark.createDataFrame([(1,)], schema), f"{t.segment_path(seg_a)}/batch-0")
+    write_batch(spark.createDataFrame([(2,)], schema), f"{t.segment_path(seg_b)}/batch-0")
+    seen = t.latest()                                       # both writers read "no table yet"
+    t.commit([seg_a], schema, expected=seen)
+    with pytest.raises(RuntimeError, match="concurrent commit"):
+        t.commit([seg_b], schema, expected=seen)
+    publish(t, seg_b, schema, replace=False)                # the retry re-reads the latest commit
+    assert sorted(r.x for r in t.read().collect()) == [1, 2]
+
+
+def test_read_many_segments(spark, area):
+    t = Table(spark, f"{area}/t")
+    schema = T.StructType.fromDDL("x INT")
+    segs = []
+    df = spark.range(60).selectExpr("CAST(id AS INT) AS x")
+    for i in range(60):                                     # more roots than the parallel-listing threshold
+        seg = t.new_segment()
+        write_batch(df.where(f"x = {i}").coalesce(1), f"{t.segment_path(seg)}/batch-0")
+        segs.append(seg)
+    t.commit(segs, schema)
+    assert t.read().count() == 60 and t.read().agg({"x": "sum"}).first()[0] == sum(range(60))
