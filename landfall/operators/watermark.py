@@ -30,3 +30,15 @@ def column_max(df: DataFrame, name: str, alias: str = "latest_update_dt") -> Dat
     if actual is None:
         return df.sparkSession.range(1).select(F.lit(None).cast("timestamp").alias(alias))
     return df.agg(F.max(F.col(f"`{actual}`")).alias(alias))
+
+
+def high_watermark_sql(spark, audit_table: str, object_name: str, source_name: str,
+                       alias: str = "latest_update_dt"):
+    """The same watermark as SQL over a catalog table or view, with named
+    parameters (values are never spliced into the statement text)."""
+    if not alias.isidentifier():
+        raise ValueError(f"bad alias {alias!r}")
+    return spark.sql(
+        f"SELECT MAX(latest_update_dt) AS {alias} FROM IDENTIFIER(:audit) "
+        "WHERE object_name = :object_name AND source_name = :source_name AND upper(run_status) = 'SUCCESS'",
+        args={"audit": audit_table, "object_name": object_name, "source_name": source_name})

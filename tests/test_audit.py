@@ -56,3 +56,16 @@ def test_high_watermark_and_dynamic_column(spark):
     assert high_watermark(df, equals={"object_name": "o"}).first()[0] == datetime(2024, 1, 1)
     assert column_max(df, "LATEST_update_DT").first()[0] == datetime(2025, 1, 1)
     assert column_max(df, "missing").first()[0] is None
+
+
+def test_sql_watermark_matches_dataframe_form(spark, area):
+    from landfall.operators.watermark import high_watermark_sql
+
+    log = AuditLog(spark, f"{area}/audit")
+    ident = dict(object_id=1, object_name="obj", source_name="src")
+    log.log(run_id="a", latest_update_dt=datetime(2024, 1, 3), run_status="success", **ident)
+    log.log(run_id="b", latest_update_dt=datetime(2024, 2, 3), run_status="FAILURE", **ident)
+    log.table.register_view("audit_log_view")
+    got = high_watermark_sql(spark, "audit_log_view", "obj", "src").first()[0]
+    assert got == log.watermark("obj", "src") == datetime(2024, 1, 3)
+    assert high_watermark_sql(spark, "audit_log_view", "obj' OR '1'='1", "src").first()[0] is None
