@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from landfall import fs
-from landfall.tables import Commit, Table, evolve_schema
+from landfall.tables import Commit, CommitConflict, Table, evolve_schema
 
 BatchHook = Callable[[DataFrame, int], None]
 
@@ -80,15 +80,27 @@ def publish(table: Table, segment: str, schema, *, replace: bool, empty_run: str
     spark = table.spark
     seg_path = table.segment_path(segment)
     staged = [n for n in fs.list_names(spark, seg_path) if n.startswith("batch-")]
-    current = table.latest()
-    if replace and not staged and empty_run == "keep" and current is not None:
-        return None
-    fs.mkdirs(spark, seg_path)
-    new_schema = evolve_schema(current.schema if current else None, schema)
-    segments = [segment] if replace else (list(current.segments) if current else []) + [segment]
-    props = dict(current.properties) if current else {}
-    props.update(properties or {})
-    commit = table.commit(segments, new_schema, props, expected=current)
+    # An append commutes with other appends, so a lost race is simply retried
+    # on top of the new latest commit; a snapshot replace reports the race.
+    attempts = 1 if replace else 8
+    for attempt in range(attempts):
+        current = table.latest()
+        if replace and not staged and empty_run == "keep" and current is not None:
+            return None
+        fs.mkdirs(spark, seg_path)
+        new_schema = evolve_schema(current.schema if current else None, schema)
+        segments = [segment] if replace else (list(current.segments) if current else []) + [segment]
+        props = dict(current.properties) if current else {}
+        for k, v in (properties or {}).items():
+            # list properties (e.g. the ledger's committed runs) accumulate
+            old = props.get(k)
+            props[k] = old + [x for x in v if x not in old] if isinstance(v, list) and isinstance(old, list) else v
+        try:
+            commit = table.commit(segments, new_schema, props, expected=current)
+            break
+        except CommitConflict:
+            if attempt + 1 == attempts:
+                raise
     table.vacuum(keep_commits)
     return commit
 

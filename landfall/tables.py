@@ -32,6 +32,10 @@ class SchemaConflict(ValueError):
     """A column arrived with a type different from the table's."""
 
 
+class CommitConflict(RuntimeError):
+    """Another writer committed since the commit this one was based on."""
+
+
 def _merge_type(old: T.DataType, new: T.DataType, path: str) -> T.DataType:
     if old == new or isinstance(new, T.NullType):
         return old
@@ -132,7 +136,7 @@ class Table:
         body = {"segments": segments, "schema": json.loads(schema.json()),
                 "properties": properties if properties is not None else (expected.properties if expected else {})}
         if not fs.write_text(self.spark, self._commit_path(version), json.dumps(body), overwrite=False):
-            raise RuntimeError(f"concurrent commit to {self.location} (version {version} exists)")
+            raise CommitConflict(f"concurrent commit to {self.location} (version {version} exists)")
         return Commit(version, segments, schema, body["properties"])
 
     def create(self, schema: T.StructType, properties: dict | None = None) -> Commit:

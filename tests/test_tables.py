@@ -94,3 +94,27 @@ def test_read_many_segments(spark, area):
         segs.append(seg)
     t.commit(segs, schema)
     assert t.read().count() == 60 and t.read().agg({"x": "sum"}).first()[0] == sum(range(60))
+
+
+def test_append_publish_retries_after_a_lost_race(spark, area):
+    from landfall.tables import CommitConflict
+
+    t = Table(spark, f"{area}/t")
+    schema = T.StructType.fromDDL("x INT")
+    segs = [t.new_segment() for _ in range(2)]
+    for i, seg in enumerate(segs):
+        write_batch(spark.createDataFrame([(i,)], schema), f"{t.segment_path(seg)}/batch-0")
+    real = t.commit
+    calls = []
+
+    def racing_commit(segments, schema_, props=None, expected=None):
+        calls.append(1)
+        if len(calls) == 1:                   # another writer wins the first time
+            real([segs[0]], schema_, {"ledger_runs": ["other"]}, expected=expected)
+            raise CommitConflict("lost the race")
+        return real(segments, schema_, props, expected=expected)
+
+    t.commit = racing_commit
+    publish(t, segs[1], schema, replace=False, properties={"ledger_runs": ["mine"]})
+    c = t.latest()
+    assert c.segments == [segs[0], segs[1]] and c.properties["ledger_runs"] == ["other", "mine"]
