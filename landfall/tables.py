@@ -132,13 +132,30 @@ class Table:
         """Publish ``segments`` as the table's contents.  ``expected`` is the
         commit the caller read; another writer having committed since is a
         conflict rather than a silent lost update."""
-        version = (expected.version if expected else 0) + 1
+        version = self._next_version(expected)
         body = {"segments": segments, "schema": json.loads(schema.json()),
                 "properties": properties if properties is not None else (expected.properties if expected else {})}
         if not fs.write_text(self.spark, self._commit_path(version), json.dumps(body), overwrite=False):
             raise CommitConflict(f"concurrent commit to {self.location} (version {version} exists)")
         return Commit(version, segments, schema, body["properties"])
 
+    def _next_version(self, expected: Commit | None, abandoned_after_ms: int = 60_000) -> int:
+        """Version after ``expected``.  A later commit that reads back is a
+        conflict; a later file that does not parse is a commit still being
+        written (a conflict too) unless it is older than
+        ``abandoned_after_ms`` -- its writer died mid-write and it is skipped."""
+        import time
+
+        base = expected.version if expected else 0
+        later = [v for v in self._versions() if v > base]
+        for v in later:
+            if self._load(v) is not None:
+                raise CommitConflict(f"concurrent commit to {self.location} (version {v} exists)")
+            status = fs.file_status(self.spark, self._commit_path(v))
+            if status is not None and time.time() * 1000 - status[1] < abandoned_after_ms:
+                raise CommitConflict(f"commit {v} to {self.location} is being written")
+        return (max(later) if later else base) + 1
+
     def create(self, schema: T.StructType, properties: dict | None = None) -> Commit:
         """Create the table empty (no-op when it exists)."""
         c = self.latest()

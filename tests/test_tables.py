@@ -118,3 +118,22 @@ def test_append_publish_retries_after_a_lost_race(spark, area):
     publish(t, segs[1], schema, replace=False, properties={"ledger_runs": ["mine"]})
     c = t.latest()
     assert c.segments == [segs[0], segs[1]] and c.properties["ledger_runs"] == ["other", "mine"]
+
+
+def test_abandoned_torn_commit_does_not_block_writers(spark, area):
+    import os
+    import time
+
+    from landfall.tables import CommitConflict
+
+    t = Table(spark, f"{area}/t")
+    c = t.create(T.StructType.fromDDL("x INT"))
+    torn = f"{area}/t/_commits/{c.version + 1:012d}.json"
+    with open(torn, "w") as fh:
+        fh.write('{"segments": [')
+    with pytest.raises(CommitConflict):                 # fresh: maybe still being written
+        t.commit([], c.schema, expected=t.latest())
+    old = time.time() - 3600
+    os.utime(torn, (old, old))
+    new = t.commit([], c.schema, expected=t.latest())    # abandoned: skipped
+    assert new.version == c.version + 2 and t.latest().version == new.version
