@@ -10,6 +10,7 @@ ledger, which also re-reads files rewritten under the same name.
 from __future__ import annotations
 
 from collections.abc import Callable
+import contextlib
 import time
 from dataclasses import dataclass
 from datetime import datetime
@@ -22,7 +23,7 @@ from landfall.functions.columns import drop_columns, rename_by_position, rename_
 from landfall.operators.flatten import flatten, flatten_zip
 from landfall.plans.config import FeedConfig, parse_ref_id
 from landfall.session import workspace
-from landfall.sources.files import FileSource, modified_after
+from landfall.sources.files import FileSource, modified_after, spark_format
 from landfall.sources.ledger import FileLedger
 from landfall.streaming.loads import LoadResult, batch_path, load_stream, publish, write_batch
 from landfall.tables import Table
@@ -111,11 +112,23 @@ class FileFeedJob:
         spark = self.table.spark
         if not self.source.include_existing and self.source.modified_after is None:
             self.source.modified_after = first_run_time(spark, self.state_dir)
-        if self.allow_overwrites:
-            return self._run_ledger(spark, after_write)
-        stream = self.transform(self.source.stream(spark))
-        return load_stream(stream, self.table, self.state_dir, replace=self.replace,
-                           empty_run=self.empty_run, after_write=after_write)
+        with self._whole_lines(spark):
+            if self.allow_overwrites:
+                return self._run_ledger(spark, after_write)
+            stream = self.transform(self.source.stream(spark))
+            return load_stream(stream, self.table, self.state_dir, replace=self.replace,
+                               empty_run=self.empty_run, after_write=after_write)
+
+    def _whole_lines(self, spark: SparkSession):
+        """CSV rescue judges whole lines: Spark's CSV column pruning would
+        only check the columns a query reads, so it is off for this run (a
+        stream keeps the setting it was started with)."""
+        from landfall.operators.merge import _conf
+
+        rescue = self.source.rescued_data_column or self.source.new_columns == "rescue"
+        if rescue and spark_format(self.source.file_format) == "csv":
+            return _conf(spark, "spark.sql.csv.parser.columnPruning.enabled", "false")
+        return contextlib.nullcontext()
 
     def _run_ledger(self, spark: SparkSession, after_write=None) -> LoadResult:
         ledger = FileLedger(spark, f"{self.state_dir.rstrip('/')}/ledger")

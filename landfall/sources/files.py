@@ -13,8 +13,8 @@ Options understood from a feed config:
 * ``schema`` / ``schema_hints`` / ``schema_location`` -- fixed, hinted or remembered schema
 * ``rescued_data_column`` -- capture fields (JSON) or lines (CSV) that do not fit.
   JSON keeps, as JSON text, the top-level fields the schema lacks.  CSV keeps
-  the whole line when it does not parse; Spark prunes unread CSV columns, so a
-  line is judged on the columns the query actually reads.
+  the whole line when it does not parse (feed jobs turn Spark's CSV column
+  pruning off for such runs, so every column of the line is checked).
 """
 
 from __future__ import annotations
