@@ -175,6 +175,10 @@ def merge_into(table: Table, source: DataFrame, keys: list[str], *, buckets: int
     commit that swaps those buckets' folders -- readers see the whole merge
     or none of it, and replaced folders are vacuumed later.
 
+    ``on_duplicate``: ``"error"`` checks that no key repeats (a shuffle of the
+    source by key); ``"unique"`` is for sources unique by construction (e.g.
+    :func:`latest_per_key` output) and only aggregates by bucket.
+
     ``buckets`` is fixed when the table is created; pick it so one bucket of
     the target is about what one task should rewrite (e.g. ~1 GB).
     ``track_max`` columns get their per-bucket MAX kept in the commit, so
@@ -193,13 +197,17 @@ def merge_into(table: Table, source: DataFrame, keys: list[str], *, buckets: int
     stored = T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType(), True)])
     src = source.withColumn(BUCKET, bucket_of(keys, nb))
 
-    # One pass over the source: the largest key multiplicity and the touched
-    # buckets, -1 standing for NULL keys (at most ``nb`` + 1 ids, a fixed
-    # table property, reach the driver).
-    stats = (src.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("n"), F.first(BUCKET).alias("b"))
-             .agg(F.max(F.when(F.col("b") >= 0, F.col("n"))).alias("most"),
-                  F.collect_set("b").alias("buckets"))).first()
+    # One pass over the source: the touched buckets, -1 standing for NULL keys
+    # (at most ``nb`` + 1 ids, a fixed table property, reach the driver), and
+    # unless the caller vouches for unique keys, the largest key multiplicity.
+    if on_duplicate == "unique":
+        stats = src.groupBy(BUCKET).agg(F.lit(1).alias("n")) \
+                   .agg(F.lit(1).alias("most"), F.collect_set(BUCKET).alias("buckets")).first()
+    else:
+        stats = (src.groupBy(*keys)
+                 .agg(F.count(F.lit(1)).alias("n"), F.first(BUCKET).alias("b"))
+                 .agg(F.max(F.when(F.col("b") >= 0, F.col("n"))).alias("most"),
+                      F.collect_set("b").alias("buckets"))).first()
     most = stats["most"] or 0
     touched = sorted(b for b in (stats["buckets"] or []) if b >= 0)
     has_nulls = -1 in (stats["buckets"] or [])

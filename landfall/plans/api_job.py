@@ -196,7 +196,8 @@ def run_api_cdc(spark: SparkSession, config_table: DataFrame | str, object_name:
         # the delta is landed once; the merge reads it a few times
         frame.write.mode("overwrite").parquet(f"{staging}/rows")
         delta = spark.read.parquet(f"{staging}/rows")
-        merge_into(table, delta, DEVICE_KEY, buckets=buckets, run_ts=run_ts,
+        # latest_per_key left one row per key: no duplicate check needed
+        merge_into(table, delta, DEVICE_KEY, buckets=buckets, run_ts=run_ts, on_duplicate="unique",
                    track_max=[m.target for m in mapping_for(cfg.source_delta_column)])
         ctx.latest_update_dt = table_max(table, cfg.source_delta_column)
         fs.delete(spark, staging)           # merged: the landed delta is no longer needed

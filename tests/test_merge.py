@@ -180,3 +180,12 @@ def test_tracked_ntz_maximum_survives_time_zone_change(spark, area):
         assert table_max(t, "d") == datetime(2024, 5, 1, 12, 30)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_unique_source_mode_skips_the_key_shuffle(spark, area):
+    t = Table(spark, f"{area}/t")
+    src = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (None, "n", 0)], SCHEMA)
+    merge_into(t, src, ["k"], buckets=4, run_ts=T0, on_duplicate="unique")
+    merge_into(t, spark.createDataFrame([(2, "c", 2)], SCHEMA), ["k"], run_ts=T1, on_duplicate="unique")
+    assert sorted((r.k, r.v) for r in t.read().collect() if r.k is not None) == [(1, "a"), (2, "c")]
+    assert t.read().count() == 3
