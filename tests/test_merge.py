@@ -32,7 +32,7 @@ def as_rows(table):
 
 vals = st.one_of(st.none(), st.sampled_from(["a", "b"]))
 ints = st.one_of(st.none(), st.integers(0, 2))
-source_rows = st.lists(st.tuples(st.integers(0, 12), vals, ints), max_size=12,
+source_rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 12)), vals, ints), max_size=12,
                        unique_by=lambda r: r[0])
 
 
@@ -43,8 +43,9 @@ def test_merge_matches_dict_model(spark, tmp_path_factory, first, second):
     t = Table(spark, f"{area}/t")
     merge_into(t, spark.createDataFrame(first, SCHEMA), ["k"], buckets=4, run_ts=T0)
     merge_into(t, spark.createDataFrame(second, SCHEMA), ["k"], run_ts=T1)
-    start = {k: (v, w, "2024-01-01 00:00:00") for k, v, w in first}
-    expect = [(k, v, w, str(ts)) for k, v, w, ts in model(start, second, "2024-02-01 00:00:00")]
+    start = {k: (v, w, "2024-01-01 00:00:00") for k, v, w in first if k is not None}
+    first_nulls = [(None, v, w, "2024-01-01 00:00:00") for k, v, w in first if k is None]
+    expect = [(k, v, w, str(ts)) for k, v, w, ts in model(start, second, "2024-02-01 00:00:00") + first_nulls]
     assert as_rows(t) == sorted(expect, key=repr)
 
 
