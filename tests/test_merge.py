@@ -190,3 +190,22 @@ def test_unique_source_mode_skips_the_key_shuffle(spark, area):
     merge_into(t, spark.createDataFrame([(2, "c", 2)], SCHEMA), ["k"], run_ts=T1, on_duplicate="unique")
     assert sorted((r.k, r.v) for r in t.read().collect() if r.k is not None) == [(1, "a"), (2, "c")]
     assert t.read().count() == 3
+
+
+lp_rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.integers(1, 3), st.integers(0, 5)),
+                   max_size=15, unique_by=lambda r: (r[1], r[2]))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=lp_rows)
+def test_latest_per_key_matches_model(spark, data):
+    rows_ = [(k, f"v{p}.{q}", p, q) for k, p, q in data]
+    best = {}
+    for k, v, p, q in rows_:
+        if k is not None and (k not in best or (p, q) > best[k][1:]):
+            best[k] = (v, p, q)
+    expect = sorted([(k, v) for k, (v, _, _) in best.items()] + [(None, v) for k, v, _, _ in rows_ if k is None],
+                    key=repr)
+    df = spark.createDataFrame(rows_, "k INT, v STRING, page INT, position INT")
+    got = sorted(((r.k, r.v) for r in latest_per_key(df, ["k"], ["page", "position"]).collect()), key=repr)
+    assert got == expect
