@@ -176,3 +176,29 @@ def test_ledger_mode_crash_then_retry_is_exact(spark, area):
     assert ids(j) == ["0", "1", "2", "3", "4"]
     j.run()                                   # nothing new: nothing appended twice
     assert ids(j) == ["0", "1", "2", "3", "4"]
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(runs=st.lists(st.lists(st.integers(0, 3), max_size=3), min_size=1, max_size=3),
+       replace=st.booleans())
+def test_snapshot_and_append_semantics(spark, tmp_path_factory, runs, replace):
+    import os
+
+    area = str(tmp_path_factory.mktemp("runs"))
+    os.makedirs(f"{area}/drop")
+    j = job(spark, area, replace=replace, schema="id STRING")
+    everything, n = [], 0
+    for files in runs:
+        arrived = []
+        for rows_in_file in files:
+            vals = [f"{n}-{i}" for i in range(rows_in_file)]
+            write(f"{area}/drop/f{n:03d}.csv", "id\n" + "".join(f"{v}\n" for v in vals))
+            arrived += vals
+            n += 1
+        j.run()
+        everything += arrived
+        assert ids(j) == sorted(arrived if replace else everything)
