@@ -137,3 +137,34 @@ def test_abandoned_torn_commit_does_not_block_writers(spark, area):
     os.utime(torn, (old, old))
     new = t.commit([], c.schema, expected=t.latest())    # abandoned: skipped
     assert new.version == c.version + 2 and t.latest().version == new.version
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+_prims = st.sampled_from([T.StringType(), T.IntegerType(), T.TimestampType()])
+_names = st.sampled_from(["a", "b", "c", "d"])
+
+
+def _structs(depth=2):
+    leaf = _prims
+    inner = st.deferred(lambda: _structs(depth - 1)) if depth > 0 else leaf
+    field_type = st.one_of(leaf, inner, st.builds(lambda t: T.ArrayType(t, True), inner)) if depth > 0 else leaf
+    return st.lists(st.tuples(_names, field_type), max_size=4, unique_by=lambda f: f[0]).map(
+        lambda fs: T.StructType([T.StructField(n, t, True) for n, t in fs]))
+
+
+@settings(max_examples=60, deadline=None)
+@given(a=_structs(), b=_structs())
+def test_evolve_schema_properties(a, b):
+    try:
+        out = evolve_schema(a, b)
+    except SchemaConflict:
+        return                                                  # a real type clash
+    assert out.names[:len(a.names)] == a.names                  # existing columns keep their place
+    assert set(out.names) == set(a.names) | set(b.names)        # every new column is added
+    for f in a.fields:                                          # existing primitive types are kept
+        if not isinstance(f.dataType, (T.StructType, T.ArrayType)):
+            assert out[f.name].dataType == f.dataType
+    assert evolve_schema(out, b) == out                         # applying the same rows again changes nothing
+    assert evolve_schema(out, a) == out
