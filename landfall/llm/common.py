@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
+from functools import wraps
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -153,3 +157,29 @@ def rows_of(offsets: np.ndarray) -> np.ndarray:
 
 def binary(parts: list[bytes]) -> pa.Array:
     return pa.array(parts, pa.binary())
+
+
+def ship(spark: SparkSession) -> None:
+    """Give Spark's Python workers this package, as ``--py-files`` does, once for each application."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    top = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="landfall-py-")) / "landfall.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    spark.sparkContext.addPyFile(str(target))
+
+
+_SHIPPED: set[str] = set()
+
+
+def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run

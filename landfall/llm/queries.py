@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from landfall.llm import chat
+from landfall.llm import bytebpe, chat, packing
+from landfall.llm.common import shipped
 
-QUERIES = {"op1_chat_format": chat.op1_chat_format}
+QUERIES = {
+    "op1_chat_format": chat.op1_chat_format,
+    "op5_token_ids": packing.op5_token_ids,
+    "op9_byte_bpe": bytebpe.op9_byte_bpe,
+}
+QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
 ORACLES = {"op1_chat_format": chat.SQL}
