@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from landfall.llm import bytebpe, chat, packing
+from landfall.llm import bytebpe, chat, decontam, langid, packing
 from landfall.llm.common import shipped
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
     "op5_token_ids": packing.op5_token_ids,
+    "op8_decontamination": decontam.op8_decontamination,
     "op9_byte_bpe": bytebpe.op9_byte_bpe,
+    "op10_language_id": langid.op10_language_id,
 }
 QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
-ORACLES = {"op1_chat_format": chat.SQL}
+ORACLES = {"op1_chat_format": chat.SQL, "op8_decontamination": decontam.SQL}
