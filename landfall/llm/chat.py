@@ -84,8 +84,9 @@ def format_branches(spark: SparkSession, messages: DataFrame, branches: int = 1)
     while not up.where("a IS NOT NULL").isEmpty():
         # the ancestor's own jump, appended to the jump that leads to it
         far = up.select("c", F.col("m").alias("a"), F.col("a").alias("b"), F.col("s").alias("t"))
-        up = ws.keep(up.join(far, ["c", "a"], "left").select(
-            "c", "m", F.col("b").alias("a"), (F.col("s") + F.coalesce("t", F.lit(0.0))).alias("s")), f"up{len(jumps)}")
+        moved = up.where("a IS NOT NULL").join(far, ["c", "a"]).select(
+            "c", "m", F.col("b").alias("a"), (F.col("s") + F.col("t")).alias("s"))
+        up = ws.keep(moved.unionByName(up.where("a IS NULL")), f"up{len(jumps)}")
         jumps.append(up)
     # a leaf is nobody's parent; the last round has the score of its whole path
     leaves = up.select("c", "m", "s").join(
