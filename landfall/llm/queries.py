@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from landfall.llm import bytebpe, chat, decontam, langid, lm, packing, quality
+from landfall.llm import bytebpe, chat, decontam, langid, lm, nearvec, packing, quality
 from landfall.llm.common import shipped
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
     "op2_quality": quality.op2_quality,
+    "op3_near_embeddings": nearvec.op3_near_embeddings,
     "op4_lm_scoring": lm.op4_lm_scoring,
     "op5_token_ids": packing.op5_token_ids,
     "op8_decontamination": decontam.op8_decontamination,
