@@ -113,7 +113,7 @@ def powers(base: int, n: int) -> np.ndarray:
         take = min(done, n - done)
         out[done:done + take] = out[:take] * step
         done += take
-        step = step * step
+        step = np.uint64(int(step) ** 2 & (1 << 64) - 1)
     return out[:n]
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from landfall.llm import bytebpe, chat, decontam, jaccard, langid, lm, nearvec, packing, quality
+from landfall.llm import bytebpe, chat, decontam, jaccard, langid, lm, nearvec, packing, quality, suffix
 from landfall.llm.common import shipped
 
 QUERIES = {
@@ -12,6 +12,7 @@ QUERIES = {
     "op4_lm_scoring": lm.op4_lm_scoring,
     "op5_token_ids": packing.op5_token_ids,
     "op6_jaccard_join": jaccard.op6_jaccard_join,
+    "op7_suffix_dedup": suffix.op7_suffix_dedup,
     "op8_decontamination": decontam.op8_decontamination,
     "op9_byte_bpe": bytebpe.op9_byte_bpe,
     "op10_language_id": langid.op10_language_id,
