@@ -26,6 +26,8 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -36,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from landfall.llm.common import Workspace, table
+from landfall.llm.common import Workspace, slices, table
 
 #: Ids in a block, and bytes of text that one shard takes on average.
 BLOCK_IDS = 1 << 16
@@ -150,33 +152,59 @@ class Shard:
                     open_parts = []
 
 
-class WordIds(dict):
-    """Ids of the space- or newline-separated units of texts, by the tokenizers library.
+#: A-Z to a-z and line feeds to spaces: the normaliser lower-cases, and any white space parts pieces alike.
+FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 10 else b for b in range(256))
+#: Between an ASCII letter and an ASCII mark or digit a run of letters ends (but an apostrophe may go on).
+LETTERS_END = re.compile(rb"(?<=[a-z])(?=[^a-z\x80-\xff' ])")
+#: Units that normalising leaves as they are and that are one piece: lower-case Latin-1 letters.
+PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 
-    The vocabulary's pre-tokenizer never matches across white space, so a text's
-    ids are those of its units one after the other; units recur, and each is
-    encoded once as long as it is remembered.
+
+class WordIds:
+    """Ids of the units of texts, by the tokenizers library.
+
+    A unit is what stands between spaces, line feeds and ``LETTERS_END``: places
+    that no piece of the vocabulary's pre-tokenizer crosses, so a text's ids are
+    those of its units one after the other.  Units recur and are remembered; new
+    ones go to the library, those that are one plain piece straight to its model.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for each core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.bits = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
-
-    def __missing__(self, unit: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(unit, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(unit) <= 64:
-            if len(self) >= MEMORY_WORDS:
-                self.clear()
-            self[unit] = ids
-        return ids
-
-    def ids(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.uint32)
-        return np.frombuffer(b"".join(map(self.__getitem__, text.replace("\n", " ").split(" "))), "<u4")
+        self.memory: dict[bytes, bytes] = {b"": b""}
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        #: The letters of PLAIN as the model sees them: a character for each byte.
+        self.plain = {ord(c): level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100)) if PLAIN.fullmatch(c)}
+
+    def learn(self, units: list[bytes]) -> None:
+        odd = []
+        for unit in units:
+            text = unit.decode()
+            if PLAIN.fullmatch(text):
+                ids = [t.id for t in self.model.tokenize(text if text.isascii() else text.translate(self.plain))]
+                self.memory[unit] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                odd.append(text)
+        for text, encoded in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
+            self.memory[text.encode()] = struct.pack(f"<{len(encoded.ids)}I", *encoded.ids)
+
+    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
+        split = [LETTERS_END.sub(b" ", x.translate(FOLD)).split(b" ") for x in texts]
+        if len(self.memory) > MEMORY_WORDS:
+            self.memory = {b"": b""}
+        new = set().union(*split).difference(self.memory)
+        self.learn(list(new))
+        out = [np.frombuffer(b"".join(map(self.memory.__getitem__, units)), "<u4") for units in split]
+        for unit in new:
+            if len(unit) > 64:
+                del self.memory[unit]
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -194,9 +222,9 @@ def write_packed(docs: DataFrame, where: str, tokenizer_path: str, end_id: int,
         end = np.array([end_id], np.uint32)
 
         def records() -> Iterator[bytes]:
-            for batch in batches:
-                for d, x in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    yield from out.add(NULL_ID if d is None else d, np.concatenate([encoder.ids(x.as_py()), end]))
+            for batch in (part for whole in batches for part in slices(whole, "text")):
+                for d, ids in zip(batch.column("doc_id").to_pylist(), encoder.ids([(x.as_py() or "").encode() for x in batch.column("text")])):
+                    yield from out.add(NULL_ID if d is None else d, np.concatenate([ids, end]))
             yield from out.close()
 
         for record in records():
