@@ -12,8 +12,8 @@ digits or other marks ends before white space, and a run of white space takes
 the space only if it began before it.
 
 Defined results: a null or empty text has no ids and decodes to no bytes;
-repeated rows are encoded each; other columns pass through untouched
-(``encode`` adds its column under the name it is given and fails if it exists).
+repeated rows are encoded each; other columns pass through; one with the name of
+an added column is replaced.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from landfall.llm.common import table
+from landfall.llm.common import table, without
 
 #: Characters up to which a text is encoded in one call.
 PIECE_CHARS = 200_000
@@ -67,8 +67,7 @@ def encode_text(enc: tiktoken.Encoding, text: str | None, piece_chars: int = PIE
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "token_ids",
            piece_chars: int = PIECE_CHARS) -> DataFrame:
     """Add ``ids``: the token ids of ``text`` as an array of int."""
-    if ids in docs.columns:
-        raise ValueError(f"there is already a column {ids}")
+    docs = without(docs, [ids])
     schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
     kind = pa.list_(pa.field("element", pa.int32(), nullable=False))
 
@@ -86,6 +85,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", i
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str, ids: str = "token_ids", raw: str = "raw") -> DataFrame:
     """Add ``raw``: the bytes of ``ids`` (null ids: none)."""
+    encoded = without(encoded, [raw])
     schema = T.StructType([*encoded.schema.fields, T.StructField(raw, T.BinaryType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -55,6 +55,12 @@ class Workspace:
                 delete(self.spark, df._kept_at)
 
 
+def without(df: DataFrame, added: list[str]) -> DataFrame:
+    """``df`` without columns that have the name of one that an operator adds (names compare as Spark's do)."""
+    lower = {x.lower() for x in added}
+    return df.drop(*(c for c in df.columns if c.lower() in lower))
+
+
 def semi(df: DataFrame, keys: DataFrame, on: str, bound: int = BROADCAST_ROWS, how: str = "left_semi") -> DataFrame:
     """Semi or anti join with a set of keys: broadcast when a count proves it small, else shuffled."""
     keys = keys.select(on)

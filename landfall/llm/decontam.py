@@ -15,7 +15,7 @@ wherever that length reaches ``window``.  An item of fewer words is one window.
 Defined results: a null or empty text has no words and no hits; an item with a
 null or wordless text is ignored; one with a null id marks words but isn't
 listed; repeated ids are listed once; no items means no hits; other columns of
-documents pass through, and a column with the name of an added one is an error.
+documents pass through; one with the name of an added column is replaced.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.llm.common import slices, table, text_buffers
+from landfall.llm.common import slices, table, text_buffers, without
 
 #: Bytes of item text in one automaton.
 BLOCK_BYTES = 512 << 10
@@ -181,9 +181,7 @@ def item_blocks(items: DataFrame, key: str, text: str, block_bytes: int) -> Iter
 def scan(spark: SparkSession, docs: DataFrame, items: DataFrame, window: int = 10, text: str = "text",
          item_key: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Add n_words, spans (hit runs of words as [start, end)), items (ids as text) and longest (match) to ``docs``."""
-    clash = set(docs.columns) & set(ADDED.names)
-    if clash:
-        raise ValueError(f"there are already columns {sorted(clash)}")
+    docs = without(docs, ADDED.names)
     plain, schema = docs.schema, T.StructType([*docs.schema.fields, *ADDED.fields])
     out = docs
     for k, block in enumerate(item_blocks(items, item_key, item_text, block_bytes)):
@@ -232,6 +230,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, window
 
     Columns are those of ``docs``; rows without hits are unchanged.
     """
+    docs = without(docs, ADDED.names)
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

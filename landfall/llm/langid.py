@@ -21,8 +21,8 @@ Defined results: a null text, or one with no letter, is ``und`` with score 0 and
 ambiguous; with no labelled rows every text is ``und``; with one language every
 text with a letter is that, score 1; rows with a null label are not learned from
 but are predicted; repeated rows are predicted each; ties go to the language that
-sorts first.  Other columns pass through; a column with the name of an added one
-is an error.
+sorts first.  Other columns pass through; one with the name of an added column is
+replaced.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.llm.common import fold, slices, table, text_buffers
+from landfall.llm.common import fold, slices, table, text_buffers, without
 
 ORDERS, BUCKETS = (2, 3, 4), 1 << 14
 N_FEATURES = len(ORDERS) * BUCKETS
@@ -195,9 +195,7 @@ def identify(spark: SparkSession, docs: DataFrame, model: Model, text: str = "te
     """Add lang_pred, score and ambiguous to ``docs``."""
     fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
               T.StructField("ambiguous", T.BooleanType())]
-    clash = set(docs.columns) & {f.name for f in fields}
-    if clash:
-        raise ValueError(f"there are already columns {sorted(clash)}")
+    docs = without(docs, [*(f.name for f in fields), "_lower", "_letters"])
     names, schema = docs.columns, T.StructType([*docs.schema.fields, *fields])
     shared = spark.sparkContext.broadcast(model)
 

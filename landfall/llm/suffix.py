@@ -29,7 +29,8 @@ Fingerprints have 64 bits.
 
 Defined results: a null text is empty; texts shorter than ``length`` keep all
 bytes; rows that repeat id and text repeat each other's bytes; null ids are
-allowed; no rows give no rows; other columns pass through ``dedup``.
+allowed; no rows give no rows; other columns pass through ``dedup``, one with the
+name of an added column is replaced.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.llm.common import (BASE, BROADCAST_ROWS, BYTE_VALUES, INVERSE, Workspace, mix, powers, slices, table,
-                                 text_buffers)
+                                 text_buffers, without)
 
 GRAM, PIECE, GROUP, BATCHES = 32, 1 << 20, 4096, 4
 ENTRY = "u long, key long, p long, s0 long, s1 long, vh long"
@@ -278,13 +279,12 @@ def _cut(raw: bytes, spans: list[list[int]], length: int) -> tuple[bytes, int, i
 
 def dedup(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 400,
           batches: int = BATCHES) -> DataFrame:
-    """``docs`` with kept (binary: the bytes that stay), n_bytes, n_removed, n_spans and kept_sha256 added."""
+    """``docs`` with kept (the text that stays; half characters at its seams go), n_bytes, n_removed, n_spans and
+    kept_sha256 (of all bytes that stay) added."""
     ws = Workspace(spark, "suffix")
-    added = [("kept", T.BinaryType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()),
+    added = [("kept", T.StringType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()),
              ("kept_sha256", T.StringType())]
-    clash = set(docs.columns) & {n for n, _ in added} | ({"_u", "_spans"} & set(docs.columns))
-    if clash:
-        raise ValueError(f"there are already columns {sorted(clash)}")
+    docs = without(docs, [*(n for n, _ in added), "_u", "_spans"])
     names = docs.columns
     schema = T.StructType([*docs.schema.fields, *(T.StructField(n, t) for n, t in added)])
     marked = docs.withColumn("_u", F.xxhash64(key, text))
@@ -295,7 +295,7 @@ def dedup(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str =
         for batch in (part for whole in batches for part in slices(whole, text)):
             raw = [(x.as_py() or "").encode() for x in batch.column(text)]
             done = [_cut(x, s.as_py() or [], length) for x, s in zip(raw, batch.column("_spans"))]
-            out = [pa.array([k for k, _, _ in done], pa.binary()), pa.array([len(x) for x in raw], pa.int64()),
+            out = [pa.array([k.decode("utf-8", "ignore") for k, _, _ in done], pa.string()), pa.array([len(x) for x in raw], pa.int64()),
                    pa.array([n for _, n, _ in done], pa.int64()), pa.array([n for _, _, n in done], pa.int64()),
                    pa.array([hashlib.sha256(k).hexdigest() for k, _, _ in done], pa.string())]
             yield pa.RecordBatch.from_arrays([*batch.select(names).columns, *out], names=schema.names)

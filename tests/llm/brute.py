@@ -1,0 +1,110 @@
+"""Plain Python versions of the queries, over (doc_id, text) rows."""
+
+import collections
+import hashlib
+import math
+import re
+import zlib
+
+import numpy as np
+
+UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def fold(doc_id, n):
+    return 0 if doc_id is None else zlib.crc32(str(doc_id).encode()) % n
+
+
+def space_words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(UPPER))
+
+
+def groups(vertices, links):
+    """Smallest vertex reachable, for each vertex."""
+    up = {v: v for v in vertices}
+
+    def top(v):
+        while up[v] != v:
+            up[v] = up[up[v]]
+            v = up[v]
+        return v
+
+    for a, b in links:
+        a, b = top(a), top(b)
+        up[max(a, b)] = min(a, b)
+    return {v: top(v) for v in vertices}
+
+
+def lm(rows, of=10):
+    counts, texts = collections.Counter(), [(d, space_words(t) + [0]) for d, t in rows]
+    for d, w in texts:
+        if fold(d, of):
+            counts.update(w)
+    n, v = sum(counts.values()), len(counts)
+    return [(d, fold(d, of) == 0, len(w), sum(counts[x] > 0 for x in w), n,
+             sum(math.log10((counts[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w)) for d, w in texts]
+
+
+def jaccard(rows, k, num, den):
+    sets = []
+    for d, t in rows:
+        w = space_words(t)
+        sets.append((d, frozenset(tuple(w[i:i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])))
+    real = [(d, s) for d, s in sets if d is not None and s]
+    links = [(a, b) for i, (a, s) in enumerate(real) for b, t in real[:i] if den * len(s & t) >= num * len(s | t)]
+    top = groups({d for d, _ in sets if d is not None}, links)
+    return [(d, len(s), top.get(d)) for d, s in sets]
+
+
+def repeats(rows, length):
+    seen, raw = collections.Counter(), [(d, (t or "").encode()) for d, t in rows]
+    for _, x in raw:
+        seen.update(x[i:i + length] for i in range(len(x) - length + 1))
+    out = []
+    for d, x in raw:
+        mask = np.zeros(len(x), bool)
+        for i in range(len(x) - length + 1):
+            if seen[x[i:i + length]] > 1:
+                mask[i:i + length] = True
+        kept = bytes(np.frombuffer(x, np.uint8)[~mask])
+        out.append((d, len(x), int(mask.sum()), int((np.diff(mask.astype(int), prepend=0) == 1).sum()), hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def hits(rows, items, window):
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(UPPER))
+    wins = collections.defaultdict(set)
+    for name, t in items:
+        w = words(t)
+        for i in range(max(len(w) - window + 1, 1)):
+            if w:
+                wins[tuple(w[i:i + window])].add(name)
+    out = []
+    for d, t in rows:
+        w, mask, found = words(t), set(), set()
+        for m in {len(x) for x in wins}:
+            for i in range(len(w) - m + 1):
+                if tuple(w[i:i + m]) in wins:
+                    mask.update(range(i, i + m))
+                    found |= wins[tuple(w[i:i + m])]
+        ids = sorted(str(x) for x in found if x is not None)
+        out.append((d, len(w), len(mask), len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest(), bool(mask)))
+    return out
+
+
+def links(vectors, threshold):
+    """(id, n_links, component) of (id, vector) rows."""
+    unit, ok = [], []
+    for _, x in vectors:
+        good = x is not None and len(x) > 0 and all(v is not None and math.isfinite(v) for v in x) and any(x)
+        ok.append(good)
+        unit.append(np.array(x, float) / np.linalg.norm(x) if good else None)
+    n, pairs = [0] * len(vectors), []
+    for i in range(len(vectors)):
+        for j in range(i):
+            if ok[i] and ok[j] and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= threshold:
+                n[i] += 1
+                n[j] += 1
+                pairs.append((vectors[i][0], vectors[j][0]))
+    top = groups({d for d, _ in vectors}, pairs)
+    return [(d, k, top[d]) for (d, _), k in zip(vectors, n)]
