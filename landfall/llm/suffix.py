@@ -15,10 +15,10 @@ evenly over partitions whatever the texts begin with.
 
 Index family.  ``SuffixIndex.add`` sorts a batch's entries into a suffix array, finds
 beginnings that recur within it, merge-scans it against each level (sort-merge
-semi-joins on the fingerprint, in both directions, so that earlier documents learn
-of later repeats), and puts it in as a level of rank 0; levels of equal rank merge
+semi-joins on the fingerprint), and puts it in as a level of rank 0; levels of equal rank merge
 into one of the next, so n batches leave log2(n) levels and an entry is rewritten
-log2(n) times.
+log2(n) times.  In the end earlier documents learn of later repeats: all entries
+whose beginning was found to recur are candidates.
 
 Exact windows.  Entries that recur fall into variants (equal bytes over all their
 windows).  All windows of a variant seen twice are repeats.  The windows of the
@@ -130,7 +130,12 @@ def suffixes(docs: DataFrame, length: int) -> DataFrame:
 
 
 class SuffixIndex:
-    """Levels of suffix arrays, and the entries found to begin like another."""
+    """Levels of suffix arrays, and the beginnings found to recur.
+
+    An array has a row for each variant (key, vh) with the number of its
+    occurrences and one of their places, so text that repeats itself a million
+    times is one row, summed before the shuffle.
+    """
 
     def __init__(self, spark: SparkSession, ws: Workspace):
         self.spark, self.ws = spark, ws
@@ -139,30 +144,36 @@ class SuffixIndex:
 
     def add(self, entries: DataFrame) -> None:
         """Scan a batch's entries against all there are, and put them in."""
-        array = self._sorted(entries, "batch")
-        again = array.groupBy("key").count().where("count > 1").select("key")
-        keys = array.select("key").distinct()
+        array = self._sorted(entries.groupBy("key", "vh").agg(
+            F.count("*").alias("c"), F.min(F.struct("u", "p", "s0", "s1")).alias("at")), "batch")
+        again = array.groupBy("key").agg(F.sum("c").alias("c")).where("c > 1").select("key")
         for _, level in self.levels:
-            self.found.append(self.ws.keep(level.join(keys, "key", "left_semi"), "old"))
-            again = again.union(level.select("key").distinct().join(keys, "key", "left_semi"))
-        self.found.append(self.ws.keep(array.join(again.distinct(), "key", "left_semi"), "new"))
+            again = again.union(level.select("key").join(array.select("key"), "key", "left_semi"))
+        self.found.append(self.ws.keep(again.distinct(), "found"))
         rank = 0
         while self.levels and self.levels[-1][0] == rank:
             _, last = self.levels.pop()
-            merged = self._sorted(last.unionByName(array), f"level{rank + 1}")
+            merged = self._sorted(self._merged([last, array]), f"level{rank + 1}")
             self.ws.drop(last, array)
             array, rank = merged, rank + 1
         self.levels.append((rank, array))
 
-    def _sorted(self, entries: DataFrame, name: str) -> DataFrame:
-        return self.ws.keep(entries.repartition("key").sortWithinPartitions("key", "vh"), name)
+    def _merged(self, arrays: list[DataFrame]) -> DataFrame:
+        out = arrays[0]
+        for more in arrays[1:]:
+            out = out.unionByName(more)
+        return out.groupBy("key", "vh").agg(F.sum("c").alias("c"), F.min("at").alias("at"))
 
-    def recurring(self) -> DataFrame:
-        """All entries whose beginning occurs more than once so far, each once."""
-        out = self.found[0]
+    def _sorted(self, array: DataFrame, name: str) -> DataFrame:
+        return self.ws.keep(array.repartition("key").sortWithinPartitions("key", "vh"), name)
+
+    def recurring(self) -> tuple[DataFrame, DataFrame]:
+        """The beginnings that occur more than once so far (key), and their variants (key, vh, c, at)."""
+        keys = self.found[0]
         for more in self.found[1:]:
-            out = out.unionByName(more)
-        return out.dropDuplicates(["u", "key", "p", "s0"])
+            keys = keys.union(more)
+        keys = self.ws.keep(keys.distinct(), "recurring")
+        return keys, self.ws.keep(self._merged([x for _, x in self.levels]).join(keys, "key", "left_semi"), "variants")
 
     def drop(self) -> None:
         self.ws.drop(*(x for _, x in self.levels), *self.found)
@@ -207,11 +218,10 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int, batches: i
     index = SuffixIndex(spark, ws)
     for k in range(batches):
         index.add(entries.where(F.col("batch") == k).drop("batch"))
-    hits = ws.keep(index.recurring(), "hits")
+    keys, variants = index.recurring()
+    hits = ws.keep(entries.drop("batch").join(keys, "key", "left_semi"), "hits")
     index.drop()
-    ws.drop(entries)
-    variants = ws.keep(hits.groupBy("key", "vh").agg(
-        F.count("*").alias("c"), F.min(F.struct("u", "p", "s0", "s1")).alias("at")), "variants")
+    ws.drop(entries, keys)
     mixed = variants.groupBy("key").agg(F.count("*").alias("n"), F.min("c").alias("least")).where("n > 1 AND least = 1")
     wanted = ws.keep(variants.join(mixed.select("key", "n"), "key").select("key", "vh", "c", "n", "at.*"), "wanted")
     lists = wanted.groupBy("u").agg(F.collect_list(F.struct("key", "vh", "c", "n", "p", "s0", "s1")).alias("wanted"))
