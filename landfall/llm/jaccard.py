@@ -18,9 +18,12 @@ Steps.
 1. One pass gives each document's set size and signature, and the sketch.  Equal
    sets are one class, represented by the smallest id.
 2. Class representatives emit their prefix postings (shingle, class).
-3. Round one pairs each posting with the shingle's first class only (a row for each
-   posting, however long the list); verified links give provisional components.
-4. Round two pairs postings of one shingle whose classes are in different
+3. Star rounds, while pairing out what is left would take more than ``WORK`` rows
+   for each posting: each posting meets one hub of its shingle's list (a row for each
+   posting, however long the list), the class whose shingles are the most common,
+   as the middle of a group of near copies is; after the first round one outside the
+   list's largest component.  Verified links give provisional components.
+4. The last round pairs postings of one shingle whose classes are in different
    components, taking those outside the shingle's largest component against all.
    Every link between components is among these, so the components become exact,
    while the inside of a large group of near copies is never paired out.
@@ -50,6 +53,8 @@ from landfall.llm.lm import shuffle_bytes, unshuffle_bytes
 
 #: Counters of the sketch (4 bytes each), in slices; the largest m; a candidate's cost in postings.
 SKETCH, SLICE, MOST_MATCHES, CANDIDATE_COST = 1 << 22, 1 << 16, 8, 4.0
+#: Star rounds at most, and pairs for each posting that need none.
+ROUNDS, WORK = 4, 1.0
 STEP = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -129,15 +134,15 @@ def _sketch(parts: DataFrame) -> np.ndarray:
     return out
 
 
-def _prefixes(s: np.ndarray, at: np.ndarray, sketch: np.ndarray, noise: float, num: int, den: int) -> Iterator[tuple[np.ndarray, int]]:
-    """Each set's prefix and its m."""
+def _prefixes(s: np.ndarray, at: np.ndarray, sketch: np.ndarray, noise: float, num: int, den: int) -> Iterator[tuple[np.ndarray, int, int]]:
+    """Each set's prefix, its m and how common its shingles are (mean log frequency, in thousandths)."""
     freq = sketch[(s >> np.uint64(42)).astype(np.int64)]
     order = np.lexsort((s, freq, rows_of(at)))
     s, freq = s[order], freq[order]
     for a, b in zip(at.tolist(), at[1:].tolist()):
         n = b - a
         if not n:
-            yield s[a:a], 1
+            yield s[a:a], 1, 0
             continue
         need = -(-num * n // den)
         most = min(MOST_MATCHES, need)
@@ -145,7 +150,7 @@ def _prefixes(s: np.ndarray, at: np.ndarray, sketch: np.ndarray, noise: float, n
         m = np.arange(1, most + 1)
         cost = (n - need + m) + CANDIDATE_COST * extra[n - need + m] / m
         best = int(m[cost.argmin()])
-        yield s[a:a + n - need + best], best
+        yield s[a:a + n - need + best], best, int(1000 * np.log2(freq[a:b] + 1.0).mean())
 
 
 def _postings(batches: Iterator[pa.RecordBatch], k: int, sketch: np.ndarray, num: int, den: int) -> Iterator[pa.RecordBatch]:
@@ -155,11 +160,11 @@ def _postings(batches: Iterator[pa.RecordBatch], k: int, sketch: np.ndarray, num
         s, at = shingle_sets(*text_buffers(batch.column("text")), k)
         v, n = signatures(s, at), np.diff(at)
         found = list(_prefixes(s, at, sketch, noise, num, den))
-        size = np.array([len(p) for p, _ in found])
+        size = np.array([len(p) for p, _, _ in found])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([p for p, _ in found]).view(np.int64)), pa.array(np.repeat(v, size)),
-             pa.array(np.repeat(n, size).astype(np.int32)), pa.array(np.repeat([m for _, m in found], size).astype(np.int32))],
-            names=["s", "v", "n", "m"])
+            [pa.array(np.concatenate([p for p, _, _ in found]).view(np.int64)), pa.array(np.repeat(v, size)),
+             *(pa.array(np.repeat(x, size).astype(np.int32)) for x in (n, [m for _, m, _ in found], [q for _, _, q in found]))],
+            names=["s", "v", "n", "m", "q"])
 
 
 def _room(num: int, den: int) -> Column:
@@ -208,6 +213,30 @@ class Join:
         self.ws.drop(pairs, ids, mine)
         return links
 
+    def split(self, met: DataFrame, part: DataFrame | None) -> tuple[DataFrame, int, int]:
+        """The postings (s, v, n, m, q) of lists with several components g, each with the list's largest (main);
+        how many pairs they make, and how many postings there are."""
+        placed = met.withColumn("g", F.col("v"))
+        if part is not None:
+            placed = met.join(part.withColumnRenamed("u", "v"), "v", "left").withColumn("g", F.coalesce("component", "v")).drop("component")
+        placed = self.ws.keep(placed, "placed")
+        counts = placed.groupBy("s", "g").agg(F.count("*").alias("c"))
+        main = self.ws.keep(counts.groupBy("s").agg(
+            F.max_by("g", F.struct("c", "g")).alias("main"), F.max("c").alias("c"), F.sum("c").alias("n_all")).where("c < n_all"), "main")
+        work = main.agg(F.coalesce(F.sum((F.col("n_all") - F.col("c")) * F.col("n_all")), F.lit(0))).first()[0]
+        rows = placed.count()
+        split = self.ws.keep(placed.join(main.select("s", "main"), "s"), "split")
+        self.ws.drop(placed, main)
+        return split, work, rows
+
+    def stars(self, split: DataFrame, round_no: int) -> DataFrame:
+        """Pairs (v, v2) of each posting and its list's hub that may link by the shingles they share with that hub."""
+        hubs = (split if round_no == 0 else split.where("g != main")).groupBy("s").agg(
+            F.max(F.struct("q", "v", "n", "m", "g")).alias("h")).select(
+            "s", F.col("h.v").alias("v2"), F.col("h.n").alias("n2"), F.col("h.m").alias("m2"), F.col("h.g").alias("g2"))
+        pairs = split.join(hubs, "s").where("g != g2").where(_alike("n", "n2", self.num, self.den))
+        return pairs.groupBy("v", "n", "m", "v2", "n2", "m2").agg(F.count("*").alias("c")).where(_room(self.num, self.den))
+
     def run(self) -> DataFrame:
         """Per row of docs: id, n_shingles, component_id."""
         k, num, den, ws = self.k, self.num, self.den, self.ws
@@ -223,23 +252,21 @@ class Join:
         shared = self.spark.sparkContext.broadcast(sketch)
         first = semi(self.docs.where("id IS NOT NULL"), copies, "id", how="left_anti")
         postings = ws.keep(first.mapInArrow(
-            lambda b: _postings(b, k, shared.value, num, den), "s long, v long, n int, m int"), "postings")
-        # a class emitted twice (rows of one id) has the same postings twice
-        hubs = postings.groupBy("s").agg(F.min("v").alias("hub"), F.max("v").alias("other"), F.min_by(F.struct("n", "m"), "v").alias("h"))
-        met = ws.keep(postings.join(hubs.where("hub < other").drop("other"), "s").select(
-            "s", "v", "n", "m", "hub", F.col("h.n").alias("n2"), F.col("h.m").alias("m2")).dropDuplicates(["s", "v"]), "met")
+            lambda b: _postings(b, k, shared.value, num, den), "s long, v long, n int, m int, q int"), "postings")
+        # a shingle of one class only joins nothing; a class emitted twice (rows of one id) has the same postings twice
+        lists = postings.groupBy("s").agg(F.min("v").alias("a"), F.max("v").alias("b")).where("a < b").select("s")
+        met = ws.keep(postings.join(lists, "s").dropDuplicates(["s", "v"]), "met")
         ws.drop(postings)
-        stars = met.where("v != hub").where(_alike("n", "n2", num, den)).groupBy("v", "n", "m", F.col("hub").alias("v2"), "n2", "m2").agg(
-            F.count("*").alias("c"))
-        near = self.verified(stars.where(_room(num, den)), classes, "stars")
-        part = ws.keep(connected_components(near.select(F.col("v").alias("u"), F.col("v2").alias("v")), ws), "provisional")
-        placed = met.select("s", "v", "n", "m").join(part.withColumnRenamed("u", "v"), "v", "left").select(
-            "s", "v", "n", "m", F.coalesce("component", "v").alias("g"))
-        placed = ws.keep(placed, "placed")
-        counts = placed.groupBy("s", "g").agg(F.count("*").alias("c"))
-        main = counts.groupBy("s").agg(F.max_by("g", F.struct("c", "g")).alias("main"), F.count("*").alias("groups")).where("groups > 1")
-        split = ws.keep(placed.join(main.select("s", "main"), "s"), "split")
-        ws.drop(met, placed)
+        near, split, round_no = None, None, 0
+        split, work, rows = self.split(met, None)
+        while work > WORK * rows and round_no < ROUNDS:
+            links = self.verified(self.stars(split, round_no), classes, f"stars{round_no}")
+            near = links if near is None else ws.keep(near.unionByName(links), "near")
+            part = connected_components(near.select(F.col("v").alias("u"), F.col("v2").alias("v")), ws)
+            ws.drop(split)
+            split, work, rows = self.split(met, part)
+            round_no += 1
+        ws.drop(met)
         stray = split.where("g != main").select("s", "v", "n", "m", "g")
         rest = split.select("s", F.col("v").alias("v2"), F.col("n").alias("n2"), F.col("m").alias("m2"), F.col("g").alias("g2"), "main")
         across = stray.join(rest, "s").where("g != g2 AND (g2 = main OR v < v2)").where(_alike("n", "n2", num, den))
@@ -250,7 +277,7 @@ class Join:
         far = self.verified(pairs, classes, "across")
         ws.drop(split)
         name = lambda c: classes.select(F.col("v").alias(c), F.col("rep").alias(f"r{c}"))
-        links = near.unionByName(far).join(name("v"), "v").join(name("v2"), "v2").select(F.col("rv").alias("u"), F.col("rv2").alias("v"))
+        links = (far if near is None else near.unionByName(far)).join(name("v"), "v").join(name("v2"), "v2").select(F.col("rv").alias("u"), F.col("rv2").alias("v"))
         again = full.join(often.where("rows > 1").select("id"), "id").join(classes, "v").select(F.col("id").alias("u"), F.col("rep").alias("v"))
         found = connected_components(links.unionByName(again), ws)
         named = classes.join(found.withColumnRenamed("u", "rep"), "rep", "left").select("v", F.coalesce("component", "rep").alias("component"))
