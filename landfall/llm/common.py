@@ -19,7 +19,7 @@ from landfall.session import scratch
 #: Rows up to which a set of ids or keys is broadcast (8 bytes a row); beyond it Spark shuffles.
 BROADCAST_ROWS = 2_000_000
 #: Bytes of text that one pass of a vectorised helper holds arrays for.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

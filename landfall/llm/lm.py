@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from landfall.llm.common import Workspace, fold, mix, rows_of, slices, table, text_buffers, word_hashes
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 END, BEGIN = np.uint64(0x656E64), np.uint64(0x626567696E)
 ASK = "bucket long, chunk long, kind int, held boolean, hashes binary, counts binary"
 ANSWER = "chunk long, kind int, bucket long, whole binary, rest binary, stat array<long>"
