@@ -28,6 +28,9 @@ Steps.
    Every link between components is among these, so the components become exact,
    while the inside of a large group of near copies is never paired out.
 
+In all rounds a pair is sought only at shingles after which both prefixes still have
+room for what they must share (see ``split``): that leaves out the frequent ones.
+
 Verification fetches the sets of the classes that occur in pairs, again by hash
 from the texts.  Shingles and signatures are 64-bit hashes.
 
@@ -44,7 +47,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from landfall.llm.common import Workspace, mix, rows_of, semi, slices, table, text_buffers, word_hashes
@@ -163,15 +166,37 @@ def _postings(batches: Iterator[pa.RecordBatch], k: int, sketch: np.ndarray, num
         size = np.array([len(p) for p, _, _ in found])
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate([p for p, _, _ in found]).view(np.int64)), pa.array(np.repeat(v, size)),
+             pa.array((np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)).astype(np.int32)),
              *(pa.array(np.repeat(x, size).astype(np.int32)) for x in (n, [m for _, m, _ in found], [q for _, _, q in found]))],
-            names=["s", "v", "n", "m", "q"])
+            names=["s", "v", "at", "n", "m", "q"])
+
+
+def _least(n: Column, num: int, den: int) -> Column:
+    """What a set of n shares at least with any that it links with: ceil(t n)."""
+    return F.ceil(num * n / F.lit(den) - F.lit(1e-6))
+
+
+def _need(n: Column, n2: Column, num: int, den: int) -> Column:
+    """What sets of n and n2 share at least if they link: ceil(t (n + n2) / (1 + t))."""
+    return F.ceil(num * (n + n2) / F.lit(num + den) - F.lit(1e-6))
+
 
+def _room(c: Column, num: int, den: int) -> Column:
+    """Whether a pair (n, m, n2, m2) with c shared prefix shingles may link: beyond the prefix
+    that ends first, its set has t n - m shingles left to share."""
+    n, m, n2, m2 = map(F.col, ("n", "m", "n2", "m2"))
+    beyond = F.greatest(_least(n, num, den) - m, _least(n2, num, den) - m2)
+    return (c >= F.least(m, m2)) & (c + beyond >= _need(n, n2, num, den))
 
-def _room(num: int, den: int) -> Column:
-    """Whether a pair (n, m, n2, m2) with c shared prefix shingles may link."""
-    suffix = lambda n, m: F.floor(F.lit(num) * F.col(n) / F.lit(den) + F.lit(1 - 1 / (2 * den))).cast("long") - F.col(m)
-    need = F.ceil(F.lit(num) * (F.col("n") + F.col("n2")) / F.lit(num + den) - F.lit(1e-6))
-    return (F.col("c") >= F.least("m", "m2")) & (F.col("c") + F.greatest(suffix("n", "m"), suffix("n2", "m2")) >= need)
+
+def _any_room(num: int, den: int) -> Column:
+    """Whether a posting (n, m, k) may be the first shingle shared with any set of a list with sizes from n_low
+    to n_high, k being how many of its set's prefix shingles from this one on others have at all.  The room is
+    least at the ends of the sizes."""
+    n, m, k = map(F.col, ("n", "m", "k"))
+    ends = (F.greatest("n_low", _least(n, num, den)), F.least("n_high", F.floor(den * n / F.lit(num))))
+    short = [_need(n, e, num, den) - F.greatest(_least(n, num, den) - m, _least(e, num, den) - 1) for e in ends]
+    return (k + 1 >= F.least(*short)) & (ends[0] <= ends[1])
 
 
 def _alike(n: str, n2: str, num: int, den: int) -> Column:
@@ -214,28 +239,51 @@ class Join:
         return links
 
     def split(self, met: DataFrame, part: DataFrame | None) -> tuple[DataFrame, int, int]:
-        """The postings (s, v, n, m, q) of lists with several components g, each with the list's largest (main);
-        how many pairs they make, and how many postings there are."""
+        """The postings (s, v, n, m, q, k) of lists with several components g, each with the list's largest (main); how
+        many pairs they make, and how many postings there are.
+
+        Two linked sets are found at the first shingle they share, in the common order; those they share besides come
+        after it.  So a posting is left out if from it on its set has too few shingles that others have (k) to link
+        with anything of the list's sizes -- as the most frequent shingles at the end of a prefix are."""
+        ws = self.ws
         placed = met.withColumn("g", F.col("v"))
         if part is not None:
             placed = met.join(part.withColumnRenamed("u", "v"), "v", "left").withColumn("g", F.coalesce("component", "v")).drop("component")
-        placed = self.ws.keep(placed, "placed")
-        counts = placed.groupBy("s", "g").agg(F.count("*").alias("c"))
-        main = self.ws.keep(counts.groupBy("s").agg(
+        placed = ws.keep(placed, "placed")
+        several = placed.groupBy("s").agg(F.min("g").alias("a"), F.max("g").alias("b"), F.min("n").alias("n_low"), F.max("n").alias("n_high")).where("a < b")
+        mixed = ws.keep(placed.join(several.select("s", "n_low", "n_high"), "s"), "mixed")
+        onward = Window.partitionBy("v").orderBy(F.desc("at"))
+        able = mixed.withColumn("k", F.row_number().over(onward)).where(_any_room(self.num, self.den))
+        able = ws.keep(able.drop("n_low", "n_high", "at"), "able")
+        counts = able.groupBy("s", "g").agg(F.count("*").alias("c"))
+        main = ws.keep(counts.groupBy("s").agg(
             F.max_by("g", F.struct("c", "g")).alias("main"), F.max("c").alias("c"), F.sum("c").alias("n_all")).where("c < n_all"), "main")
         work = main.agg(F.coalesce(F.sum((F.col("n_all") - F.col("c")) * F.col("n_all")), F.lit(0))).first()[0]
-        rows = placed.count()
-        split = self.ws.keep(placed.join(main.select("s", "main"), "s"), "split")
-        self.ws.drop(placed, main)
+        rows = met.count()
+        split = ws.keep(able.join(main.select("s", "main"), "s"), "split")
+        ws.drop(placed, mixed, able, main)
         return split, work, rows
 
-    def stars(self, split: DataFrame, round_no: int) -> DataFrame:
-        """Pairs (v, v2) of each posting and its list's hub that may link by the shingles they share with that hub."""
+    def pairs(self, rows: DataFrame, others: DataFrame, where: str, met: DataFrame, name: str) -> DataFrame:
+        """Pairs (v, v2) of postings of one shingle that may link, by how many prefix shingles they share."""
+        num, den = self.num, self.den
+        may = _alike("n", "n2", num, den) & _room(F.least("k", "k2"), num, den)
+        both = rows.join(others, "s").where(where).where(may)
+        swap = F.col("v") > F.col("v2")
+        both = both.select(*(F.when(swap, F.col(b)).otherwise(F.col(a)).alias(c) for a, b, c in (
+            ("v", "v2", "v"), ("n", "n2", "n"), ("m", "m2", "m"), ("v2", "v", "v2"), ("n2", "n", "n2"), ("m2", "m", "m2"))))
+        both = self.ws.keep(both.distinct(), f"{name}-met")
+        used = both.select("v").union(both.select("v2")).distinct()
+        lists = met.join(used, "v", "left_semi").groupBy("v").agg(F.collect_set("s").alias("list"))
+        both = both.join(lists, "v").join(lists.select(F.col("v").alias("v2"), F.col("list").alias("list2")), "v2")
+        return both.where(_room(F.size(F.array_intersect("list", "list2")), num, den)).select("v", "v2")
+
+    def stars(self, split: DataFrame, met: DataFrame, round_no: int) -> DataFrame:
+        """Pairs of each posting and its list's hub that may link by the shingles they share with that hub."""
         hubs = (split if round_no == 0 else split.where("g != main")).groupBy("s").agg(
-            F.max(F.struct("q", "v", "n", "m", "g")).alias("h")).select(
-            "s", F.col("h.v").alias("v2"), F.col("h.n").alias("n2"), F.col("h.m").alias("m2"), F.col("h.g").alias("g2"))
-        pairs = split.join(hubs, "s").where("g != g2").where(_alike("n", "n2", self.num, self.den))
-        return pairs.groupBy("v", "n", "m", "v2", "n2", "m2").agg(F.count("*").alias("c")).where(_room(self.num, self.den))
+            F.max(F.struct("q", "v", "n", "m", "k", "g")).alias("h")).select(
+            "s", *(F.col(f"h.{c}").alias(f"{c}2") for c in ("v", "n", "m", "k", "g")))
+        return self.pairs(split, hubs, "g != g2", met, f"stars{round_no}")
 
     def run(self) -> DataFrame:
         """Per row of docs: id, n_shingles, component_id."""
@@ -252,30 +300,27 @@ class Join:
         shared = self.spark.sparkContext.broadcast(sketch)
         first = semi(self.docs.where("id IS NOT NULL"), copies, "id", how="left_anti")
         postings = ws.keep(first.mapInArrow(
-            lambda b: _postings(b, k, shared.value, num, den), "s long, v long, n int, m int, q int"), "postings")
+            lambda b: _postings(b, k, shared.value, num, den), "s long, v long, at int, n int, m int, q int"), "postings")
         # a shingle of one class only joins nothing; a class emitted twice (rows of one id) has the same postings twice
         lists = postings.groupBy("s").agg(F.min("v").alias("a"), F.max("v").alias("b")).where("a < b").select("s")
         met = ws.keep(postings.join(lists, "s").dropDuplicates(["s", "v"]), "met")
         ws.drop(postings)
-        near, split, round_no = None, None, 0
+        near, round_no, before = None, 0, None
         split, work, rows = self.split(met, None)
-        while work > WORK * rows and round_no < ROUNDS:
-            links = self.verified(self.stars(split, round_no), classes, f"stars{round_no}")
+        # a round that changes little is the last: what is left isn't near its hubs
+        while work > WORK * rows and (before is None or work < 0.8 * before) and round_no < ROUNDS:
+            before = work
+            links = self.verified(self.stars(split, met, round_no), classes, f"stars{round_no}")
             near = links if near is None else ws.keep(near.unionByName(links), "near")
             part = connected_components(near.select(F.col("v").alias("u"), F.col("v2").alias("v")), ws)
             ws.drop(split)
             split, work, rows = self.split(met, part)
             round_no += 1
-        ws.drop(met)
-        stray = split.where("g != main").select("s", "v", "n", "m", "g")
-        rest = split.select("s", F.col("v").alias("v2"), F.col("n").alias("n2"), F.col("m").alias("m2"), F.col("g").alias("g2"), "main")
-        across = stray.join(rest, "s").where("g != g2 AND (g2 = main OR v < v2)").where(_alike("n", "n2", num, den))
-        swap = F.col("v") > F.col("v2")
-        across = across.select(*(F.when(swap, F.col(b)).otherwise(F.col(a)).alias(c) for a, b, c in (
-            ("v", "v2", "v"), ("n", "n2", "n"), ("m", "m2", "m"), ("v2", "v", "v2"), ("n2", "n", "n2"), ("m2", "m", "m2"))))
-        pairs = across.groupBy("v", "n", "m", "v2", "n2", "m2").agg(F.count("*").alias("c")).where(_room(num, den))
+        stray = split.where("g != main").select("s", "v", "n", "m", "k", "g")
+        rest = split.select("s", "main", *(F.col(c).alias(f"{c}2") for c in ("v", "n", "m", "k", "g")))
+        pairs = self.pairs(stray, rest, "g != g2 AND (g2 = main OR v < v2)", met, "across")
         far = self.verified(pairs, classes, "across")
-        ws.drop(split)
+        ws.drop(split, met)
         name = lambda c: classes.select(F.col("v").alias(c), F.col("rep").alias(f"r{c}"))
         links = (far if near is None else near.unionByName(far)).join(name("v"), "v").join(name("v2"), "v2").select(F.col("rv").alias("u"), F.col("rv2").alias("v"))
         again = full.join(often.where("rows > 1").select("id"), "id").join(classes, "v").select(F.col("id").alias("u"), F.col("rep").alias("v"))
