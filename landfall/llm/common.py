@@ -130,6 +130,21 @@ NOT_SPACE = np.ones(256, bool)
 NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = False
 
 
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of each word ``[^\\x20\\x09-\\x0D]+`` of the texts."""
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    inside = NOT_SPACE[data]
+    start = inside.copy()
+    start[1:] &= ~inside[:-1]
+    edges = offsets[:-1][np.diff(offsets) > 0]
+    start[edges] = inside[edges]
+    last = inside.copy()
+    last[:-1] &= ~inside[1:]
+    last[edges[1:] - 1] = inside[edges[1:] - 1]
+    return np.flatnonzero(start), np.flatnonzero(last) + 1
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of each text, A-Z lower-cased.
 
@@ -139,16 +154,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         n = len(data)
         if not n:
             return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-        inside = NOT_SPACE[data]
-        start = inside.copy()
-        start[1:] &= ~inside[:-1]
-        edges = offsets[:-1][np.diff(offsets) > 0]
-        start[edges] = inside[edges]
-        begin = np.flatnonzero(start)
-        last = inside.copy()
-        last[:-1] &= ~inside[1:]
-        last[edges[1:] - 1] = inside[edges[1:] - 1]
-        end = np.flatnonzero(last) + 1
+        begin, end = word_spans(data, offsets)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(BYTE_VALUES[LOWER[data]] * powers(BASE, n), out=sums[1:])
         h = (sums[end] - sums[begin]) * powers(INVERSE, n)[begin]

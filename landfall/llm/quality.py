@@ -4,11 +4,12 @@ A document classifier gives each text's log odds of being good and of being
 toxic; the documents of a host, and of a path of a host, give posteriors of the
 rate there; a document's final odds combine all three.
 
-* Classifier: each distinct word of a text, and each of its surface measures put
-  into a bin, is a feature.  A feature's weight is its log likelihood ratio in the
-  labelled sample, shrunk by pseudo-counts; features whose counts could well be
-  chance (``MIN_Z``) weigh nothing.  A logistic fit on the other half of the sample
-  turns the sum of weights into log odds.
+* Classifier: each distinct word of a text, each beginning of ``PREFIXES`` bytes of a
+  longer word (for families of word forms), and each surface measure put into a bin,
+  is a feature.  The ``FEATURES`` features of each kind with the largest
+  z-scores are kept, if both halves of the sample agree on them; near copies of a text
+  are in one half (split by the smallest word hash), so words of one much-copied text
+  don't pass.  A logistic regression with a ridge penalty weighs the features kept.
 * Hierarchy: rates are beta-binomial.  The global rate is the mean over all
   documents; a host's posterior mean is (its sum + s * global) / (its count + s) and
   a path's (its sum + t * host) / (its count + t), with s and t found by the method of
@@ -37,13 +38,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm.common import Workspace, fold, mix, rows_of, slices, table, text_buffers, word_hashes
-from landfall.llm.langid import LETTER, logistic
+from landfall.llm.common import Workspace, fold, mix, slices, table, text_buffers, word_spans
+from landfall.llm.langid import LETTER
+from landfall.llm.suffix import Hashes
 
 SAMPLE_ROWS = 20_000
-#: Pseudo-counts of a feature, the z-score it must reach, and how many documents must have it.
-SHRINK, MIN_Z, MIN_DOCS = 4.0, 4.0, 8
+#: Features of each kind, the z-score they must reach (half of it in each half), how many documents must have them; ridge.
+FEATURES, MIN_Z, MIN_DOCS, RIDGE = 300, 4.0, 8, 0.3
 KINDS = ("quality", "toxic")
+PREFIXES = (4, 6)
 UPPER = np.zeros(256, bool)
 UPPER[65:91] = True
 DIGIT = np.zeros(256, bool)
@@ -65,35 +68,76 @@ def surface(data: np.ndarray, offsets: np.ndarray, words: np.ndarray, n_distinct
 
 
 def features(texts: pa.Array, lowered: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct feature hashes of the texts and the row of each."""
+    """Feature hashes of the texts and the row of each; those of a word come as often as it does."""
     low, low_at = text_buffers(lowered)
-    words, at = word_hashes(LETTER[low], low_at)
-    order = np.lexsort((words, rows_of(at)))
-    words, owner = words[order], rows_of(at)
-    first = np.ones(len(words), bool)
-    first[1:] = (words[1:] != words[:-1]) | (owner[1:] != owner[:-1])
-    words, owner = words[first], owner[first]
-    n = len(at) - 1
-    bins = list(surface(*text_buffers(texts), np.diff(at), np.bincount(owner, minlength=n)))
-    extra = [mix(np.uint64(k + 1) * np.uint64(1 << 32) + b.astype(np.uint64)) for k, b in enumerate(bins)]
-    return np.concatenate([words, *extra]), np.concatenate([owner, *([np.arange(n)] * len(extra))])
+    low = LETTER[low]
+    begin, end = word_spans(low, low_at)
+    h, owner = Hashes(low), np.searchsorted(low_at, begin, "right") - 1
+    n = len(low_at) - 1
+    words = h.of(begin, end)
+    order = np.lexsort((words, owner))
+    new = np.ones(len(words), bool)
+    new[1:] = (np.diff(words[order]) != 0) | (np.diff(owner) != 0)
+    hashes, owners = [words], [owner]
+    for length in PREFIXES:
+        longer = end - begin > length
+        hashes.append(mix(h.of(begin[longer], begin[longer] + length) + np.uint64(length)))
+        owners.append(owner[longer])
+    for k, b in enumerate(surface(*text_buffers(texts), np.bincount(owner, minlength=n), np.bincount(owner[new], minlength=n))):
+        hashes.append(mix(np.uint64(k + 1) * np.uint64(1 << 32) + b.astype(np.uint64)))
+        owners.append(np.arange(n))
+    return np.concatenate(hashes), np.concatenate(owners)
+
+
+def distinct(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's distinct values, by row."""
+    order = np.lexsort((hashes, owner))
+    hashes, owner = hashes[order], owner[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    return hashes[new], owner[new]
 
 
 class Weights:
-    """Sorted feature hashes, their weights for each kind, and a line for each kind's odds."""
+    """Sorted feature hashes, their weights for each kind, and each kind's offset."""
 
-    def __init__(self, hashes: np.ndarray, weights: np.ndarray, lines: np.ndarray):
-        self.hashes, self.weights, self.lines = hashes, weights, lines
+    def __init__(self, hashes: np.ndarray, weights: np.ndarray, offsets: np.ndarray):
+        self.hashes, self.weights, self.offsets = hashes, weights, offsets
+
+    def present(self, texts: pa.Array, lowered: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Positions among ``hashes`` of the texts' features, and the row of each."""
+        found, owner = features(texts, lowered)
+        if not len(self.hashes):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, found), len(self.hashes) - 1)
+        known = self.hashes[at] == found
+        return distinct(at[known], owner[known])
 
     def evidence(self, texts: pa.Array, lowered: pa.Array) -> np.ndarray:
-        out = np.zeros((len(texts), len(KINDS)))
-        if len(self.hashes) and len(texts):
-            found, owner = features(texts, lowered)
-            at = np.minimum(np.searchsorted(self.hashes, found), len(self.hashes) - 1)
-            known = self.hashes[at] == found
-            for k in range(len(KINDS)):
-                out[:, k] = np.bincount(owner[known], weights=self.weights[at[known], k], minlength=len(texts))
-        return out
+        """Log odds of each text and kind."""
+        at, owner = self.present(texts, lowered)
+        return np.stack([np.bincount(owner, weights=self.weights[at, k], minlength=len(texts)) + self.offsets[k]
+                         for k in range(len(KINDS))], 1)
+
+
+def ridge_regression(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, rounds: int = 12) -> tuple[np.ndarray, float]:
+    """Weights and offset of a penalised logistic regression, by Newton's method with halved steps."""
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
+    penalty = np.append(np.full(x.shape[1] - 1, ridge), 1e-6)
+    beta = np.zeros(x.shape[1])
+    loss = lambda b: np.logaddexp(0, -(2 * y - 1) * (x @ b)).sum() + 0.5 * (penalty * b * b).sum()
+    now = loss(beta)
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+        step = np.linalg.solve(hessian, x.T @ (p - y) + penalty * beta)
+        while loss(beta - step) > now + 1e-9 and np.abs(step).max() > 1e-8:
+            step = step / 2
+        beta, before = beta - step, now
+        now = loss(beta)
+        if before - now < 1e-6 * max(1.0, before):
+            break
+    return beta[:-1], float(beta[-1])
 
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Weights:
@@ -102,46 +146,62 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample_rows:
     n = one.count()
     part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     # about sample_rows rows of three numbers: small by choice
-    one = one.where(part < (sample_rows / n if n else 0.0)).withColumn("fit", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) == 0)
-    rows = docs.join(F.broadcast(one), "doc_id").select("text", F.lower("text").alias("low"), "fit", *KINDS)
+    one = one.where(part < (sample_rows / n if n else 0.0))
+    rows = docs.join(F.broadcast(one), "doc_id").select("text", F.lower("text").alias("low"), *KINDS)
+    names = [f"{k}{v}{half}" for k in KINDS for v in "10" for half in "ab"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, "text")):
-            found, owner = features(batch.column("text"), batch.column("low"))
-            distinct, where = np.unique(found, return_inverse=True)
-            out = [pa.array(distinct.view(np.int64))]
+            found, owner = distinct(*features(batch.column("text"), batch.column("low")))
+            least = np.full(batch.num_rows, np.iinfo(np.uint64).max)
+            np.minimum.at(least, owner, found)
+            second = (mix(least) & np.uint64(1)).astype(bool)[owner]
+            each, where = np.unique(found, return_inverse=True)
+            out = [pa.array(each.view(np.int64))]
             for k in KINDS:
                 y = np.array([np.nan if v is None else v for v in batch.column(k).to_pylist()], float)[owner]
                 for v in (y, 1 - y):
-                    out.append(pa.array(np.bincount(where, weights=np.nan_to_num(v), minlength=len(distinct))))
-            yield pa.RecordBatch.from_arrays(out, names=["feature", *(f"{k}{v}" for k in KINDS for v in "10")])
-
-    names = [f"{k}{v}" for k in KINDS for v in "10"]
-    counted = rows.where("NOT fit").mapInArrow(count, "feature long, " + ", ".join(f"{x} double" for x in names))
-    counted = counted.groupBy("feature").agg(*(F.sum(x).alias(x) for x in names)).where(
-        F.greatest(*(F.col(f"{k}1") + F.col(f"{k}0") for k in KINDS)) >= MIN_DOCS).toPandas()
-    totals = rows.where("NOT fit").agg(*(F.sum(F.col(k) if v == "1" else 1 - F.col(k)).alias(f"{k}{v}") for k in KINDS for v in "10")).first()
-    hashes = counted["feature"].to_numpy(np.int64).view(np.uint64)
-    weights = np.zeros((len(hashes), len(KINDS)))
-    for j, k in enumerate(KINDS):
-        n1, n0 = (totals[f"{k}{v}"] or 0.0 for v in "10")
+                    for half in (~second, second):
+                        out.append(pa.array(np.bincount(where, weights=np.nan_to_num(v) * half, minlength=len(each))))
+            yield pa.RecordBatch.from_arrays(out, names=["feature", *names])
+
+    counted = rows.mapInArrow(count, "feature long, " + ", ".join(f"{x} double" for x in names)).groupBy("feature").agg(
+        *(F.sum(x).alias(x) for x in names))
+    totals = rows.agg(*(F.sum(F.col(k)).alias(f"{k}1") for k in KINDS), *(F.sum(1 - F.col(k)).alias(f"{k}0") for k in KINDS)).first()
+    kept: set[int] = set()
+    for k in KINDS:
+        n1, n0 = totals[f"{k}1"] or 0.0, totals[f"{k}0"] or 0.0
         if not n1 or not n0:
             continue
         rate = n1 / (n1 + n0)
-        y1, y0 = counted[f"{k}1"].to_numpy(), counted[f"{k}0"].to_numpy()
-        seen = y1 + y0
-        z = (y1 - seen * rate) / np.sqrt(np.maximum(seen * rate * (1 - rate), 1e-9))
-        ratio = np.log((y1 + SHRINK * rate) / (y0 + SHRINK * (1 - rate))) - np.log(n1 / n0)
-        weights[:, j] = np.where((np.abs(z) >= MIN_Z) & (seen >= MIN_DOCS), ratio, 0.0)
-    useful = np.flatnonzero(np.abs(weights).max(1, initial=0) > 0)
-    useful = useful[np.argsort(hashes[useful])]
-    model = Weights(hashes[useful], weights[useful], np.zeros((len(KINDS), 2)))
-    fit = rows.where("fit").mapInArrow(_evidence(spark, model, KINDS), f"{', '.join(f'{k} double' for k in KINDS)}, e array<double>").toPandas()
+        z = lambda y1, y0: (y1 - (y1 + y0) * rate) / F.sqrt(F.greatest((y1 + y0) * rate * (1 - rate), F.lit(1e-9)))
+        col = lambda v, half: F.col(f"{k}{v}{half}")
+        whole = z(col(1, "a") + col(1, "b"), col(0, "a") + col(0, "b"))
+        both = F.least(z(col(1, "a"), col(0, "a")) * F.signum(whole), z(col(1, "b"), col(0, "b")) * F.signum(whole))
+        seen = sum((col(v, half) for v in "10" for half in "ab"), F.lit(0.0))
+        good = counted.where((F.abs(whole) >= MIN_Z) & (both >= MIN_Z / 2) & (seen >= MIN_DOCS))
+        kept |= {r["feature"] for r in good.orderBy(F.desc(F.abs(whole)), "feature").select("feature").limit(FEATURES).collect()}
+    hashes = np.sort(np.array(sorted(kept), np.int64).view(np.uint64))
+    model = Weights(hashes, np.zeros((len(hashes), len(KINDS))), np.zeros(len(KINDS)))
+    if not len(hashes):
+        return model
+    shared = spark.sparkContext.broadcast(model)
+
+    def matrix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
+            at, owner = shared.value.present(batch.column("text"), batch.column("low"))
+            ends = np.searchsorted(owner, np.arange(batch.num_rows + 1)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(at.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in KINDS), lists], names=[*KINDS, "at"])
+
+    fit = rows.mapInArrow(matrix, f"{', '.join(f'{k} double' for k in KINDS)}, at array<int>").toPandas()
     for j, k in enumerate(KINDS):
         known = fit[fit[k].notna()] if len(fit) else fit
         if len(known) and known[k].nunique() > 1:
-            model.lines[j] = logistic(np.array([e[j] for e in known["e"]]), known[k].to_numpy(float))
-            model.lines[j, 0] = max(model.lines[j, 0], 0.0)
+            x = np.zeros((len(known), len(hashes)), np.float32)
+            for i, at in enumerate(known["at"]):
+                x[i, at] = 1
+            model.weights[:, j], model.offsets[j] = ridge_regression(x, known[k].to_numpy(float))
     return model
 
 
@@ -209,7 +269,7 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, host: Colu
     kind = docs.schema["doc_id"].dataType.simpleString()
     scored = ready.mapInArrow(_evidence(spark, model, ("doc_id", "host", "path")),
                               f"doc_id {kind}, host string, path string, e array<double>")
-    odds = {k: float(model.lines[j, 0]) * F.col("e")[j] + float(model.lines[j, 1]) for j, k in enumerate(KINDS)}
+    odds = {k: F.col("e")[j] for j, k in enumerate(KINDS)}
     scored = ws.keep(scored.select("doc_id", "host", "path", *(o.alias(f"{k}_odds") for k, o in odds.items())), "odds")
     one = known.where("doc_id IS NOT NULL").groupBy("doc_id").agg(*(F.avg(F.col(k).cast("double")).alias(f"{k}_label") for k in KINDS))
     rate = lambda o: 1 / (1 + F.exp(-o))
