@@ -18,8 +18,8 @@ Steps.
 1. One pass gives each document's set size and signature, and the sketch.  Equal
    sets are one class, represented by the smallest id.
 2. Class representatives emit their prefix postings (shingle, class).
-3. Star rounds, while pairing out what is left would take more than ``WORK`` rows
-   for each posting: each posting meets one hub of its shingle's list (a row for each
+3. A star round, and more while pairing out what is left would take more than ``WORK``
+   rows for each posting and the last round helped: each posting meets one hub of its shingle's list (a row for each
    posting, however long the list), the class whose shingles are the most common,
    as the middle of a group of near copies is; after the first round one outside the
    list's largest component.  Verified links give provisional components.
@@ -56,8 +56,8 @@ from landfall.llm.lm import shuffle_bytes, unshuffle_bytes
 
 #: Counters of the sketch (4 bytes each), in slices; the largest m; a candidate's cost in postings.
 SKETCH, SLICE, MOST_MATCHES, CANDIDATE_COST = 1 << 22, 1 << 16, 8, 4.0
-#: Star rounds at most, and pairs for each posting that need none.
-ROUNDS, WORK = 4, 1.0
+#: Star rounds at most, and pairs for each posting that need no more than the first.
+ROUNDS, WORK = 4, 8.0
 STEP = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -308,7 +308,7 @@ class Join:
         near, round_no, before = None, 0, None
         split, work, rows = self.split(met, None)
         # a round that changes little is the last: what is left isn't near its hubs
-        while work > WORK * rows and (before is None or work < 0.8 * before) and round_no < ROUNDS:
+        while before is None or WORK * rows < work < 0.8 * before and round_no < ROUNDS:
             before = work
             links = self.verified(self.stars(split, met, round_no), classes, f"stars{round_no}")
             near = links if near is None else ws.keep(near.unionByName(links), "near")
