@@ -1,0 +1,90 @@
+"""Published tables in Spark's catalog.
+
+``publish_to_catalog`` makes a table's current commit readable with
+``spark.table("<schema>.<table>")`` and plain SQL:
+
+* one segment (truncate and load): an external table at the segment's folder;
+  the next run moves it with ``ALTER TABLE ... SET LOCATION``, and new columns
+  come in with ``ADD COLUMNS``;
+* several segments (append, merge): ``<table>__segments``, an external table
+  with a partition for each segment, and a view on it without the partition
+  column.  Only the partitions that changed are added and dropped.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import types as T
+
+from landfall import fs
+from landfall.tables import Table
+
+SEGMENT = "lf_segment"
+
+
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
+def _columns(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _table(spark, name: str, schema: T.StructType, location: str, partitioned: bool) -> None:
+    """The external table ``name`` with the columns of ``schema``, made or grown."""
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        have = {f.name.lower(): f.dataType for f in spark.table(name).schema.fields}
+        if all(have.get(f.name.lower(), f.dataType) == f.dataType for f in schema.fields):
+            new = [f for f in schema.fields if f.name.lower() not in have]
+            if new:
+                spark.sql(f"ALTER TABLE {_quoted(name)} ADD COLUMNS ({_columns(T.StructType(new))})")
+            if not partitioned:
+                spark.sql(f"ALTER TABLE {_quoted(name)} SET LOCATION {_text(location)}")
+            return
+        spark.sql(f"DROP TABLE {_quoted(name)}")        # external: the files stay
+    elif spark.catalog.tableExists(name):
+        spark.sql(f"DROP VIEW {_quoted(name)}")
+    columns = _columns(schema) + (f", `{SEGMENT}` string" if partitioned else "")
+    by = f"PARTITIONED BY (`{SEGMENT}`)" if partitioned else ""
+    spark.sql(f"CREATE TABLE {_quoted(name)} ({columns}) USING parquet {by} LOCATION {_text(location)}")
+
+
+def publish_to_catalog(table: Table, name: str) -> None:
+    """Register the current commit of ``table`` as ``schema.table``."""
+    spark, commit = table.spark, table.latest()
+    if commit is None:
+        raise FileNotFoundError(f"no table at {table.location}")
+    schema_name = name.rpartition(".")[0]
+    if schema_name and not spark.catalog.databaseExists(schema_name):
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_quoted(schema_name)}")
+    layered = len(commit.segments) != 1 or commit.properties.get("layout") == "bucketed"
+    if not layered:
+        # a run's rows are in folders of their batches: partitions of no meaning to the reader
+        paths = [f"{table.segment_path(commit.segments[0])}/{n}" for n in
+                 fs.list_names(spark, table.segment_path(commit.segments[0])) if n.startswith("batch-")]
+        if len(paths) == 1:
+            _table(spark, name, commit.schema, fs.qualify(spark, paths[0]), False)
+            return
+    else:
+        paths = []
+        for s in commit.segments:
+            inner = [n for n in fs.list_names(spark, table.segment_path(s)) if n.startswith("batch-")]
+            paths += [f"{table.segment_path(s)}/{n}" for n in inner] or [table.segment_path(s)]
+    backing = f"{name}__segments"
+    _table(spark, backing, commit.schema, f"{table.location}/_catalog", True)
+    want = {p[len(table.location) + 1:].replace("/", ":").replace("=", "-"): p for p in paths}
+    have = {r.partition.split("=", 1)[1].replace("%3A", ":") for r in spark.sql(f"SHOW PARTITIONS {_quoted(backing)}").collect()}
+    add, gone = sorted(set(want) - have), sorted(have - set(want))
+    for k in range(0, len(add), 200):
+        spark.sql(f"ALTER TABLE {_quoted(backing)} ADD IF NOT EXISTS " + " ".join(
+            f"PARTITION (`{SEGMENT}` = {_text(x)}) LOCATION {_text(fs.qualify(spark, want[x]))}" for x in add[k:k + 200]))
+    for k in range(0, len(gone), 200):
+        spark.sql(f"ALTER TABLE {_quoted(backing)} DROP IF EXISTS " + ", ".join(
+            f"PARTITION (`{SEGMENT}` = {_text(x)})" for x in gone[k:k + 200]))
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {_quoted(name)}")
+    shown = ", ".join(f"`{f.name}`" for f in commit.schema.fields)
+    spark.sql(f"CREATE OR REPLACE VIEW {_quoted(name)} AS SELECT {shown} FROM {_quoted(backing)}")

@@ -8,6 +8,8 @@ are metadata operations on a handful of small files; no data passes here.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -43,22 +45,32 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
 
 
 def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> bool:
-    """Write a small text file.  With ``overwrite=False`` creation is exclusive
-    and ``False`` is returned when the file already exists."""
+    """Write a small text file.  With ``overwrite=False`` the file appears
+    whole or not at all: it is written beside its place and renamed there, and
+    ``False`` is returned when the place is taken.  The rename must be atomic
+    and refuse an existing target, as HDFS's is."""
     fs, p = _resolve(spark, path)
-    if not overwrite and fs.exists(p):
-        return False
-    try:
-        out = fs.create(p, overwrite)
-    except Exception as exc:  # FileAlreadyExistsException raced in
-        if "AlreadyExists" in str(exc):
-            return False
-        raise
+    target = p if overwrite else spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        p.getParent(), f".{p.getName()}.{uuid.uuid4().hex[:12]}")
+    out = fs.create(target, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    return True
+    if overwrite:
+        return True
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.makeQualified(p).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    plain = gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(fs.makeQualified(target), fs.makeQualified(p), plain)
+        return True
+    except Exception as exc:
+        fs.delete(target, False)
+        if "AlreadyExists" in str(exc):
+            return False
+        raise
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
@@ -81,6 +93,12 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(str(s.getPath().getName()) for s in fs.listStatus(p))
 
 
+def set_times(spark: SparkSession, path: str, epoch_ms: int) -> None:
+    """Set a file's modification time, as a copy that preserves times does."""
+    fs, p = _resolve(spark, path)
+    fs.setTimes(p, epoch_ms, -1)
+
+
 def file_status(spark: SparkSession, path: str) -> tuple[int, int] | None:
     """``(length, modification_time_ms)`` of one file, or ``None``."""
     fs, p = _resolve(spark, path)

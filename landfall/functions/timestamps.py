@@ -35,5 +35,12 @@ def elapsed_microseconds(start: Column | str, end: Column | str) -> Column:
 
 
 def elapsed_seconds_text(start: Column | str, end: Column | str) -> Column:
-    """Duration as text in seconds (the audit log's ``duration_sec``)."""
-    return (elapsed_microseconds(start, end) / F.lit(1_000_000)).cast("string")
+    """Duration as text in seconds with six decimals (the audit log's ``duration_sec``)."""
+    return (elapsed_microseconds(start, end).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(8,0)")) \
+        .cast("decimal(20,6)").cast("string")
+
+
+def seconds_text(microseconds: int) -> str:
+    """The same text for a duration known on the driver."""
+    sign, us = ("-", -microseconds) if microseconds < 0 else ("", microseconds)
+    return f"{sign}{us // 1_000_000}.{us % 1_000_000:06d}"

@@ -20,7 +20,6 @@ piling into a single hot join partition.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
 from datetime import datetime
 from functools import reduce
 
@@ -31,6 +30,7 @@ from pyspark.sql import types as T
 from landfall import fs
 from landfall.functions.columns import stamp
 from landfall.functions.predicates import differs
+from landfall.session import session_conf
 from landfall.tables import Table, conform, evolve_schema, read_segments
 
 BUCKET = "lf_bucket"
@@ -138,20 +138,6 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: list[str], *,
             .select(*out_cols, ACTION))
 
 
-@contextmanager
-def _conf(spark, key: str, value: str):
-    """Set a SQL conf for the statements planned inside the block."""
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
-
-
 def bucket_of(keys: list[str], buckets: int) -> Column:
     keyed = _all_not_null(keys)
     return F.when(keyed, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets))).otherwise(F.lit(-1)).cast("int")
@@ -228,7 +214,7 @@ def merge_into(table: Table, source: DataFrame, keys: list[str], *, buckets: int
         src_keyed = src.where(F.col(BUCKET) >= 0).repartition(nb, BUCKET)
         merged = merge_frames(tgt, src_keyed, keys, compare=compare, stamp_column=stamp_column,
                               run_ts=run_ts, extra_join=[BUCKET], split_nulls=False)
-        with _conf(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+        with session_conf(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
             conform(merged, stored).write.mode("append").partitionBy(BUCKET).parquet(gen_path)
 
     # NULL keys never match anything: a folder of their own, no join.

@@ -86,18 +86,19 @@ WHERE a.c_name IS DISTINCT FROM b.c_name OR a.c_nationkey IS DISTINCT FROM b.c_n
    OR a.c_acctbal IS DISTINCT FROM b.c_acctbal OR a.c_mktsegment IS DISTINCT FROM b.c_mktsegment""",
     "q19_merge_upsert": f"""
 WITH s AS (
-  SELECT c_custkey, c_name, c_nationkey,
+  SELECT CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_custkey END AS c_custkey, c_name, c_nationkey,
          CASE WHEN c_mktsegment <> 'AUTOMOBILE' THEN c_acctbal END AS c_acctbal,
          CASE WHEN c_acctbal < 1000 THEN 'CHANGED' ELSE c_mktsegment END AS c_mktsegment
   FROM customer WHERE c_nationkey >= 10),
-t AS (SELECT * FROM customer WHERE c_nationkey < 15)
+t AS (SELECT CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_custkey END AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
+  FROM customer WHERE c_nationkey < 15)
 SELECT COALESCE(s.c_custkey, t.c_custkey) AS c_custkey,
-       CASE WHEN s.c_custkey IS NULL THEN t.c_name ELSE s.c_name END AS c_name,
-       CASE WHEN s.c_custkey IS NULL THEN t.c_nationkey ELSE s.c_nationkey END AS c_nationkey,
-       CASE WHEN s.c_custkey IS NULL THEN t.c_acctbal ELSE s.c_acctbal END AS c_acctbal,
-       CASE WHEN s.c_custkey IS NULL THEN t.c_mktsegment ELSE s.c_mktsegment END AS c_mktsegment,
-       CASE WHEN s.c_custkey IS NULL THEN {SQL_TS}
-            WHEN t.c_custkey IS NULL THEN {SQL_TS_2}
+       CASE WHEN s.c_name IS NULL THEN t.c_name ELSE s.c_name END AS c_name,
+       CASE WHEN s.c_name IS NULL THEN t.c_nationkey ELSE s.c_nationkey END AS c_nationkey,
+       CASE WHEN s.c_name IS NULL THEN t.c_acctbal ELSE s.c_acctbal END AS c_acctbal,
+       CASE WHEN s.c_name IS NULL THEN t.c_mktsegment ELSE s.c_mktsegment END AS c_mktsegment,
+       CASE WHEN s.c_name IS NULL THEN {SQL_TS}
+            WHEN t.c_name IS NULL THEN {SQL_TS_2}
             WHEN s.c_name IS DISTINCT FROM t.c_name OR s.c_nationkey IS DISTINCT FROM t.c_nationkey
               OR s.c_acctbal IS DISTINCT FROM t.c_acctbal OR s.c_mktsegment IS DISTINCT FROM t.c_mktsegment
             THEN {SQL_TS_2} ELSE {SQL_TS} END AS update_ts
@@ -109,7 +110,8 @@ QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1"
 SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY o_custkey HAVING COUNT(*) > 1""",
     "q22_audit_duration": """
 SELECT 'run-' || CAST(user_id AS VARCHAR) AS run_id, MIN(ts) AS start_time, MAX(ts) AS end_time,
-       date_diff('microsecond', MIN(ts), MAX(ts)) AS duration_us,
+       (date_diff('microsecond', MIN(ts), MAX(ts)) // 1000000) || '.'
+         || lpad(CAST(date_diff('microsecond', MIN(ts), MAX(ts)) % 1000000 AS VARCHAR), 6, '0') AS duration_sec,
        CASE WHEN arg_max(event_type, ts) = 'error' THEN 'FAILURE' ELSE 'SUCCESS' END AS run_status,
        'n' || CAST(user_id AS VARCHAR) AS notebook_name
 FROM events GROUP BY user_id""",
@@ -122,13 +124,44 @@ FROM orders""",
     "q26_api_cdc_job": f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS mendix_uid, CAST(o_custkey AS VARCHAR) AS patient_id,
        CASE WHEN o_orderpriority = '1-URGENT' THEN 'X' ELSE o_orderstatus END AS status,
-       o_orderpriority AS device_status, o_orderdate AS modified_date,
+       o_orderpriority AS device_status,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN TIMESTAMP '2030-01-01 12:30:00' ELSE o_orderdate END AS modified_date,
        CASE WHEN o_orderpriority = '1-URGENT' THEN {SQL_TS_2} ELSE {SQL_TS} END AS update_ts
 FROM orders""",
     "q27_include_existing": "SELECT * FROM orders WHERE o_orderstatus <> 'F'",
     "q28_cdc_failure_audit": """
-SELECT 'FAILURE' AS run_status, 'device' AS object_name, 'mdx' AS source_name,
+SELECT 'FAILURE' AS run_status, 'device' AS object_name, 'mdx' AS source_name, true AS has_run_id,
        CAST(NULL AS TIMESTAMP) AS latest_update_dt
 UNION ALL
-SELECT 'SUCCESS', 'device', 'mdx', MAX(o_orderdate) FROM orders""",
+SELECT 'SUCCESS', 'device', 'mdx', true, MAX(o_orderdate) FROM orders""",
+    "q29_late_files": "SELECT * FROM orders",
+    "q30_infer_every_file": """
+SELECT c_custkey, c_name, CASE WHEN c_nationkey IN ('3', '4') THEN c_nationkey END AS c_nationkey,
+       CASE WHEN c_nationkey IN ('3', '4') THEN c_mktsegment END AS c_mktsegment,
+       CASE WHEN c_nationkey = '4' THEN upper(c_name) END AS c_note
+FROM (SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment FROM customer)""",
+    "q31_key_in_odd_places": "SELECT CAST(o_orderkey AS VARCHAR) AS mendix_uid FROM orders",
+    "q32_request_attempts": """
+WITH pages AS (SELECT DISTINCT CAST(floor(o_orderkey / 1000) + 1 AS BIGINT) AS page FROM orders)
+SELECT 'FAILURE' AS run_status, 'REQUEST of page 2: attempt 1: ApiError: HTTP 503 for page 2' AS log_step FROM pages WHERE page = 2
+UNION ALL SELECT 'FAILURE', 'REQUEST of page 2: ApiError: page 2 failed after 2 attempts: HTTP 503 for page 2' FROM pages WHERE page = 2
+UNION ALL SELECT 'FAILURE', 'CDC_RUN: FetchFailed: page 2: ApiError: page 2 failed after 2 attempts: HTTP 503 for page 2' FROM pages WHERE page = 2
+UNION ALL SELECT 'FAILURE', 'REQUEST of page ' || page || ': attempt 1: ApiError: HTTP 503 for page ' || page FROM pages WHERE page IN (1, 2)
+UNION ALL SELECT 'SUCCESS', 'CDC_RUN'""",
+    "q33_catalog_table": f"""
+SELECT CAST(c_custkey AS VARCHAR) AS network_id, c_name AS nleader_name, {SQL_TS} AS update_ts FROM customer""",
+    "q34_catalog_watermark": "SELECT MAX(ts) AS latest_update_dt FROM events WHERE event_type = 'purchase'",
+    "q35_csv_layouts": """
+SELECT lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS id, CASE WHEN c_nationkey % 4 <> 2 THEN c_name END AS name,
+       CASE WHEN c_nationkey % 4 = 2 THEN c_mktsegment END AS segment,
+       CASE WHEN c_nationkey % 4 = 2 THEN CAST(c_nationkey AS VARCHAR) END AS nation
+FROM customer""",
+    "q36_rescue_everything": """
+SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS k, CASE WHEN o_orderstatus NOT IN ('F', 'P') THEN 5 END AS n,
+       CASE o_orderstatus WHEN 'P' THEN '{"k": ' || o_orderkey || ', "n": {"z":' WHEN 'F' THEN '{"n":"{\\"z\\":1}"}'
+            ELSE '{"more":"x"}' END AS _rescued_data
+FROM orders""",
+    "q37_csv_rewritten": f"""
+SELECT CAST(c_custkey AS VARCHAR) AS network_id, c_name || v AS nleader_name, {SQL_TS} AS update_ts
+FROM customer, (VALUES ('-v1'), ('-v2')) AS t(v) WHERE v = '-v1' OR c_custkey % 3 = 0""",
 }

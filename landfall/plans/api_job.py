@@ -8,17 +8,21 @@ new watermark = MAX of the delta column over the target -> audit row.
 
 from __future__ import annotations
 
+import warnings
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landfall import fs
+from landfall.catalog import publish_to_catalog
 from landfall.functions.timestamps import API_FORMAT
 from landfall.operators.mapping import FieldMap, apply_mapping, landing_schema
 from landfall.operators.merge import DuplicateKeyError, duplicate_keys, latest_per_key, merge_into, table_max
 from landfall.plans.audit import AuditLog, audited_run
 from landfall.plans.config import ApiConfig, job_for_tags
+from landfall.session import scratch, session_conf
 from landfall.sources import paged
 from landfall.tables import Table
 
@@ -60,7 +64,6 @@ DEVICE_FIELDS = [
 ]
 DEVICE_KEY = ["mendix_uid"]
 DEVICE_DATA_KEY = "deviceResponseData"
-JOB_TAGS = {"layer": "SDH", "schema": "MDX", "object": "DEVICE_CDC"}
 # ------------------------------------------------------------------------------
 
 DEVICE_MAPPING = [FieldMap(s, t, ty, fmt, strict) for s, t, ty, fmt, strict in DEVICE_FIELDS]
@@ -71,64 +74,69 @@ def mapping_for(column: str, mapping: list[FieldMap] = DEVICE_MAPPING) -> list[F
     return [m for m in mapping if m.target.lower() == (column or "").lower()]
 
 
+class FetchFailed(RuntimeError):
+    """A page before the end could not be read."""
+
+
 def fetch_pages(spark: SparkSession, options: dict) -> DataFrame:
-    """``(page, body, error)``: one row per requested page, fetched in
-    parallel, plus one per retried attempt."""
+    """``(page, outcome, body, error)``: the outcome of every request, fetched
+    in parallel.  A path is qualified here, so that every executor resolves it
+    as Spark would."""
     paged.register(spark)
+    if options.get("path"):
+        options = {**options, "path": fs.qualify(spark, options["path"])}
     return spark.read.format("paged_api").options(**{k: str(v) for k, v in options.items()}).load()
 
 
-def read_pages(spark: SparkSession, options: dict) -> DataFrame:
-    """``(page, position, record)`` rows of every page up to the first empty one."""
-    key = options.get("dataKey", DEVICE_DATA_KEY)
-    return paged.until_first_empty(paged.page_records(fetch_pages(spark, options), key))
+def land_pages(spark: SparkSession, options: dict, path: str) -> DataFrame:
+    """Call the API once and keep the outcomes as parquet at ``path``."""
+    fetch_pages(spark, options).write.mode("overwrite").parquet(path)
+    return spark.read.schema(paged.SCHEMA).parquet(path)
+
+
+def read_pages(spark: SparkSession, options: dict, path: str | None = None) -> DataFrame:
+    """``(page, position, record)`` rows of every page up to the first end,
+    from pages landed at ``path`` (a scratch folder by default)."""
+    landed = land_pages(spark, options, path or f"{scratch(spark, 'pages')}/pages")
+    missing = paged.stopped_by(landed)
+    if missing is not None:
+        raise FetchFailed(missing)
+    return paged.page_records(landed, options.get("dataKey", DEVICE_DATA_KEY))
 
 
 def parse_records(pages: DataFrame, mapping: list[FieldMap] = DEVICE_MAPPING, *,
                   run_ts: datetime | str | None = None) -> DataFrame:
-    """Typed, renamed frame (+ ``page``, ``position``): ``from_json`` with the
-    landing schema, then the mapping as one projection."""
-    parsed = pages.select("page", "position", "record",
-                          F.from_json("record", landing_schema(mapping)).alias("r"))
-    fields = parsed.select("page", "position", "record", "r.*")
-    # Strict booleans: a value that is present but did not parse as a JSON
-    # boolean (e.g. the text "true") fails the run instead of becoming NULL.
+    """Typed, renamed frame (+ ``page``, ``position``): each record is parsed
+    once, with strict booleans landing as text, then mapped in one projection
+    that fails the run for a present value that is no JSON boolean."""
+    strict = {m.source for m in mapping if m.type == "boolean" and m.strict}
+    landed = T.StructType([T.StructField(f.name, T.VariantType() if f.name in strict else f.dataType, True)
+                           for f in landing_schema(mapping).fields])
+    fields = pages.select("page", "position", F.from_json("record", landed).alias("r")).select("page", "position", "r.*")
     checks = {}
-    for m in mapping:
-        if m.type == "boolean" and m.strict:
-            raw = F.get_json_object("record", f"$.{m.source}")
-            bad = raw.isNotNull() & F.col(m.source).isNull()
-            checks[m.source] = F.when(bad, F.raise_error(F.concat(
-                F.lit(f"field {m.source} is not a JSON boolean: "), raw))).otherwise(F.col(m.source))
-    if checks:
-        fields = fields.withColumns(checks)
-    return apply_mapping(fields.drop("record"), mapping, run_ts=run_ts, keep_unlisted=True)
-
-
-def stage_pages(spark: SparkSession, options: dict, path: str) -> DataFrame:
-    """Fetch every page once into parquet at ``path`` (raw bodies) and split
-    it from there: the API is not called again when a later stage is retried
-    or recomputed."""
-    fetch_pages(spark, options).write.mode("overwrite").parquet(path)
-    key = options.get("dataKey", DEVICE_DATA_KEY)
-    return paged.until_first_empty(paged.page_records(spark.read.parquet(path), key))
+    for name in strict:
+        value = F.col(f"`{name}`")
+        kind = F.schema_of_variant(value)
+        checks[name] = F.when(value.isNull() | (kind == "VOID"), F.lit(None).cast("boolean")).when(
+            kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean")).otherwise(F.raise_error(F.concat(
+                F.lit(f"field {name} is not a JSON boolean: "), F.to_json(value))).cast("boolean"))
+    return apply_mapping(fields.withColumns(checks), mapping, run_ts=run_ts, keep_unlisted=True)
 
 
 def api_frame(spark: SparkSession, options: dict, *, run_ts=None, mapping=DEVICE_MAPPING,
               keys=DEVICE_KEY, stage_path: str | None = None, on_page_duplicate: str = "error") -> DataFrame:
-    """Pages -> typed rows, one per key (the row of the latest page wins).
-    With ``stage_path`` the raw pages, then the parsed records, are landed
-    there, so the API is called once and the JSON parsed once.
+    """Pages -> typed rows, one per key (the row of the latest page wins).  The
+    pages and then the parsed records are landed under ``stage_path`` (a
+    scratch folder by default), so the API is called once and the JSON parsed
+    once.
 
     A key repeated *within one page* is what a per-page MERGE refuses;
     ``on_page_duplicate="error"`` raises for it, ``"last"`` keeps the later
     record of the page."""
-    pages = stage_pages(spark, options, f"{stage_path}/pages") if stage_path else read_pages(spark, options)
-    rows = parse_records(pages, mapping, run_ts=run_ts)
-    if stage_path:
-        # parse the JSON once; the duplicate check then reads two columns only
-        rows.write.mode("overwrite").parquet(f"{stage_path}/parsed")
-        rows = spark.read.parquet(f"{stage_path}/parsed")
+    stage_path = stage_path or scratch(spark, "api")
+    rows = parse_records(read_pages(spark, options, f"{stage_path}/pages"), mapping, run_ts=run_ts)
+    rows.write.mode("overwrite").parquet(f"{stage_path}/parsed")
+    rows = spark.read.schema(rows.schema).parquet(f"{stage_path}/parsed")
     if on_page_duplicate == "error":
         dup = duplicate_keys(rows, list(keys) + ["page"]).first()
         if dup is not None:
@@ -136,69 +144,87 @@ def api_frame(spark: SparkSession, options: dict, *, run_ts=None, mapping=DEVICE
     return latest_per_key(rows, keys, ["page", "position"]).drop("page", "position")
 
 
-def attempt_rows(raw_pages: DataFrame, run_id: str, identity: dict) -> DataFrame:
-    """FAILURE audit rows for the request attempts that failed and were
-    retried (the landed ``error`` records), built on the executors."""
+def attempt_rows(landed: DataFrame, run_id: str, identity: dict) -> DataFrame:
+    """FAILURE audit rows for every failed request attempt, of pages that were
+    read in the end and of pages that were not, built on the executors."""
     cols = {"run_id": F.lit(run_id), "latest_update_dt": F.lit(None).cast("timestamp"),
             "start_time": F.current_timestamp(), "end_time": F.current_timestamp(),
             "run_status": F.lit("FAILURE"),
-            "log_step": F.concat(F.lit("API_REQUEST page "), F.col("page").cast("string"), F.lit(" "), F.col("error"))}
+            "log_step": F.concat(F.lit("REQUEST of page "), F.col("page").cast("string"), F.lit(": "), F.col("error"))}
     cols.update({k: F.lit(v) for k, v in identity.items()})
-    return raw_pages.where(F.col("error").isNotNull()).select(*[c.alias(k) for k, c in cols.items()])
+    return landed.where(F.col("error").isNotNull()).select(*[c.alias(k) for k, c in cols.items()])
 
 
 def audit_attempts(spark: SparkSession, log: AuditLog, raw_path: str, run_id: str, identity: dict) -> None:
-    if not fs.exists(spark, raw_path):
-        return
-    rows = attempt_rows(spark.read.parquet(raw_path), run_id, identity)
-    if not rows.isEmpty():
-        log.append(rows)
-
-
-def watermark_text(value: datetime | None, initial: str | None) -> str:
-    """``MM/dd/yyyy HH:mm:ss`` text of the watermark.  A first run has no
-    SUCCESS row, so it needs an explicit ``initial`` value."""
-    if value is None:
-        if initial is None:
-            raise ValueError("no successful run recorded yet: pass initial_watermark")
+    """Log the failed attempts of the landed pages.  Bookkeeping must not hide
+    why a run failed: what goes wrong here is only a warning."""
+    try:
+        if fs.exists(spark, f"{raw_path}/_SUCCESS"):
+            rows = attempt_rows(spark.read.schema(paged.SCHEMA).parquet(raw_path), run_id, identity)
+            if not rows.isEmpty():
+                log.append(rows)
+    except Exception as exc:
+        warnings.warn(f"request attempts of run {run_id} were not logged: {exc}", stacklevel=2)
+
+
+def initial_text(initial: str | None) -> str:
+    """``MM/dd/yyyy HH:mm:ss`` text to start from.  A first run has no SUCCESS
+    row, so it needs an explicit value."""
+    if initial is None:
+        raise ValueError("no successful run recorded yet: pass initial_watermark")
+    for fmt in ("%m/%d/%Y %H:%M:%S", "%m/%d/%Y"):
         try:
-            value = datetime.strptime(initial, "%m/%d/%Y %H:%M:%S")
+            return datetime.strptime(initial, fmt).strftime("%m/%d/%Y %H:%M:%S")
         except ValueError:
-            value = datetime.strptime(initial, "%m/%d/%Y")
-    return value.strftime("%m/%d/%Y %H:%M:%S")
+            continue
+    raise ValueError(f"initial_watermark {initial!r} is not MM/dd/yyyy[ HH:mm:ss]")
 
 
 def run_api_cdc(spark: SparkSession, config_table: DataFrame | str, object_name: str, *, target: str, audit: str,
-                transport: dict, jobs: DataFrame | str | None = None, notebook_name: str | None = None,
-                initial_watermark: str | None = None, run_ts=None, buckets: int = 64,
-                num_partitions: int = 4) -> dict:
+                transport: dict, jobs: DataFrame | str | None = None, job_tags: dict[str, str] | None = None,
+                mapping: list[FieldMap] = DEVICE_MAPPING, keys: list[str] = DEVICE_KEY,
+                notebook_name: str | None = None, initial_watermark: str | None = None, run_ts=None,
+                buckets: int = 64, num_partitions: int = 4, time_zone: str | None = None,
+                table_name: str | None = None) -> dict:
     """The whole CDC run.  ``transport`` holds the ``paged_api`` options other
-    than ``modifiedDate`` (e.g. ``{"transport": "http", "url": ..., "username": ...}``)."""
+    than ``modifiedDate`` (e.g. ``{"transport": "http", "url": ..., "username": ...}``).
+
+    ``mapping`` and ``keys`` describe the object's records, ``job_tags`` finds
+    its job row in ``jobs``.  ``time_zone`` is the zone of the API's date-time
+    texts: they are parsed, and the watermark is written, in that zone (the
+    session's by default), whatever zone the driver's host is in.
+    ``table_name`` (schema.table) also publishes the target in the catalog."""
     if isinstance(config_table, str):
         config_table = spark.table(config_table)
     if isinstance(jobs, str):
         jobs = spark.table(jobs)
     cfg = ApiConfig.load(config_table, object_name)
-    job = job_for_tags(jobs, JOB_TAGS) if jobs is not None else None
+    job = job_for_tags(jobs, job_tags) if jobs is not None and job_tags else None
     log = AuditLog(spark, audit)
     identity = dict(object_id=cfg.object_id, job_id=job.job_id if job else None, object_name=cfg.object_name,
                     source_name=cfg.source_name, job_name=job.job_name if job else None,
                     notebook_name=notebook_name)
-    mark = watermark_text(log.watermark(cfg.object_name, cfg.source_name), initial_watermark)
     table = Table(spark, target)
-    with audited_run(log, **identity) as ctx:
-        options = {"url": cfg.source_url, "numPartitions": num_partitions, **transport, "modifiedDate": mark}
-        staging = f"{table.location}/_staging/{ctx.run_id}"
-        try:
-            frame = api_frame(spark, options, run_ts=run_ts, stage_path=staging)
-        finally:
-            audit_attempts(spark, log, f"{staging}/pages", ctx.run_id, identity)
-        # the delta is landed once; the merge reads it a few times
-        frame.write.mode("overwrite").parquet(f"{staging}/rows")
-        delta = spark.read.parquet(f"{staging}/rows")
-        # latest_per_key left one row per key: no duplicate check needed
-        merge_into(table, delta, DEVICE_KEY, buckets=buckets, run_ts=run_ts, on_duplicate="unique",
-                   track_max=[m.target for m in mapping_for(cfg.source_delta_column)])
-        ctx.latest_update_dt = table_max(table, cfg.source_delta_column)
-        fs.delete(spark, staging)           # merged: the landed delta is no longer needed
+    zone = time_zone or spark.conf.get("spark.sql.session.timeZone")
+    with session_conf(spark, "spark.sql.session.timeZone", zone):
+        mark = log.watermark_text(cfg.object_name, cfg.source_name) or initial_text(initial_watermark)
+        with audited_run(log, **identity) as ctx:
+            options = {"url": cfg.source_url, "numPartitions": num_partitions, **transport, "modifiedDate": mark}
+            staging = f"{table.location}/_staging/{ctx.run_id}"
+            try:
+                try:
+                    frame = api_frame(spark, options, run_ts=run_ts, mapping=mapping, keys=keys, stage_path=staging)
+                finally:
+                    audit_attempts(spark, log, f"{staging}/pages", ctx.run_id, identity)
+                # the delta is landed once; the merge reads it a few times
+                frame.write.mode("overwrite").parquet(f"{staging}/rows")
+                delta = spark.read.schema(frame.schema).parquet(f"{staging}/rows")
+                # latest_per_key left one row per key: no duplicate check needed
+                merge_into(table, delta, keys, buckets=buckets, run_ts=run_ts, on_duplicate="unique",
+                           track_max=[m.target for m in mapping_for(cfg.source_delta_column, mapping)])
+                if table_name:
+                    publish_to_catalog(table, table_name)
+                ctx.latest_update_dt = table_max(table, cfg.source_delta_column)
+            finally:
+                fs.delete(spark, staging)   # merged, or of no use: a new run asks again
     return {"watermark_used": mark, "latest_update_dt": ctx.latest_update_dt, "run_id": ctx.run_id}

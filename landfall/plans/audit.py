@@ -10,18 +10,19 @@ from __future__ import annotations
 import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.functions.columns import last_path_segment
-from landfall.functions.timestamps import elapsed_seconds_text
+from landfall.functions.timestamps import elapsed_seconds_text, format_timestamp, seconds_text
 from landfall.operators.watermark import high_watermark
 from landfall.streaming.loads import publish, write_batch
 from landfall.tables import Table, conform
 
+# ---- fixed values: the audit table's columns ---------------------------------
 AUDIT_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType(), True),
     T.StructField("object_id", T.IntegerType(), True),
@@ -38,6 +39,7 @@ AUDIT_SCHEMA = T.StructType([
     T.StructField("log_step", T.StringType(), True),
     T.StructField("audit_ts", T.TimestampType(), True),
 ])
+# ------------------------------------------------------------------------------
 
 
 def audit_rows(runs: DataFrame) -> DataFrame:
@@ -54,17 +56,15 @@ def audit_rows(runs: DataFrame) -> DataFrame:
 
 
 class AuditLog:
-    def __init__(self, spark: SparkSession, location: str, max_segments: int = 64):
+    def __init__(self, spark: SparkSession, location: str):
         self.spark = spark
         self.table = Table(spark, location)
-        self.max_segments = max_segments
 
     def append(self, rows: DataFrame) -> None:
         rows = audit_rows(rows)
         seg = self.table.new_segment("audit")
         write_batch(rows, f"{self.table.segment_path(seg)}/batch-{0:012d}")
         publish(self.table, seg, AUDIT_SCHEMA, replace=False)
-        self.table.compact(self.max_segments)
 
     def read(self) -> DataFrame:
         if not self.table.exists():
@@ -75,11 +75,17 @@ class AuditLog:
         row = high_watermark(self.read(), equals={"object_name": object_name, "source_name": source_name}).first()
         return row[0] if row else None
 
+    def watermark_text(self, object_name: str, source_name: str) -> str | None:
+        """The watermark as the API's date-time text, formatted by Spark in the
+        session time zone -- the zone its values were parsed in."""
+        mark = high_watermark(self.read(), equals={"object_name": object_name, "source_name": source_name})
+        return mark.select(format_timestamp("latest_update_dt").alias("mark")).first()["mark"]
+
     def log(self, **values) -> None:
         values.setdefault("audit_ts", datetime.now())
         start, end = values.get("start_time"), values.get("end_time")
         if "duration_sec" not in values:
-            values["duration_sec"] = str((end - start).total_seconds()) if start and end else None
+            values["duration_sec"] = seconds_text((end - start) // timedelta(microseconds=1)) if start and end else None
         row = tuple(values.get(f.name) for f in AUDIT_SCHEMA.fields)
         self.append(self.spark.createDataFrame([row], AUDIT_SCHEMA))
 
@@ -89,7 +95,7 @@ class RunContext:
     run_id: str = field(default_factory=lambda: str(uuid.uuid4()))
     start_time: datetime = field(default_factory=datetime.now)
     latest_update_dt: datetime | None = None
-    log_step: str = "CDC_OVERALL_EXECUTION"
+    log_step: str = "CDC_RUN"
 
 
 @contextmanager
@@ -102,7 +108,7 @@ def audited_run(log: AuditLog, **identity):
     except Exception as exc:
         log.log(run_id=ctx.run_id, start_time=ctx.start_time, end_time=datetime.now(),
                 latest_update_dt=None, run_status="FAILURE",
-                log_step=f"{ctx.log_step}: {type(exc).__name__}: {exc}"[:1000], **identity)
+                log_step=f"{ctx.log_step}: {type(exc).__name__}: {exc}", **identity)
         raise
     log.log(run_id=ctx.run_id, start_time=ctx.start_time, end_time=datetime.now(),
             latest_update_dt=ctx.latest_update_dt, run_status="SUCCESS", log_step=ctx.log_step, **identity)

@@ -21,7 +21,7 @@ def parse_ref_id(value: str | int) -> int:
     """Job parameter check: the feed id must be a non-negative integer."""
     text = str(value).strip()
     if not text.isdigit():
-        raise ValueError("Invalid or missing ref_id. Please pass a numeric ref_id as a parameter.")
+        raise ValueError(f"a feed id is a whole number, not {value!r}")
     return int(text)
 
 
@@ -33,7 +33,7 @@ def lookup(config: DataFrame, column: str, value) -> DataFrame:
 def lookup_row(config: DataFrame, column: str, value) -> Row:
     rows = lookup(config, column, value).collect()
     if not rows:
-        raise ConfigNotFound(f"No configuration found for {column} = {value}")
+        raise ConfigNotFound(f"the config table has no row with {column} = {value}")
     if len(rows) > 1:
         raise ValueError(f"more than one configuration row for {column} = {value}")
     return rows[0]
@@ -41,7 +41,7 @@ def lookup_row(config: DataFrame, column: str, value) -> Row:
 
 @dataclass
 class FeedConfig:
-    """One file feed (``ref_id``)."""
+    """One file feed (``ref_id``).  The field names are fixed values: the config table's columns."""
     ref_id: int
     input_path: str
     file_format: str
@@ -59,12 +59,14 @@ class FeedConfig:
 
     @property
     def table_name(self) -> str:
-        return f"{self.table_catalog}.{self.table_schema}.{self.ingst_tbl_name}"
+        """The target in the session's catalog."""
+        return f"{self.table_schema}.{self.ingst_tbl_name}"
 
 
 @dataclass
 class ApiConfig:
-    """One API object (``object_name``); source and object names are lower-cased."""
+    """One API object (``object_name``); source and object names are lower-cased.
+    The field names are fixed values: the config table's columns."""
     object_id: int
     source_url: str
     source_name: str
@@ -81,8 +83,11 @@ class ApiConfig:
 
 
 def job_for_tags(jobs: DataFrame, tags: dict[str, str], tags_col: str = "tags") -> Row | None:
-    """First job whose tag map carries all ``tags`` (missing key -> no match)."""
+    """The job whose tag map carries all ``tags`` (missing key -> no match).
+    Two matches are an error: which of them is meant cannot be told."""
     from landfall.functions.predicates import map_entries_equal
 
-    rows = jobs.where(map_entries_equal(tags_col, tags)).select("job_id", F.col("name").alias("job_name")).limit(1).collect()
+    rows = jobs.where(map_entries_equal(tags_col, tags)).select("job_id", F.col("name").alias("job_name")).limit(2).collect()
+    if len(rows) > 1:
+        raise ValueError(f"more than one job carries the tags {tags}")
     return rows[0] if rows else None

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 import contextlib
-import time
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -19,11 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall import fs
+from landfall.catalog import publish_to_catalog
 from landfall.functions.columns import drop_columns, rename_by_position, rename_columns, stamp
 from landfall.operators.flatten import flatten, flatten_zip
 from landfall.plans.config import FeedConfig, parse_ref_id
-from landfall.session import workspace
-from landfall.sources.files import FileSource, modified_after, spark_format
+from landfall.session import session_conf
+from landfall.sources.files import FileSource, spark_format
 from landfall.sources.ledger import FileLedger
 from landfall.streaming.loads import LoadResult, batch_path, load_stream, publish, write_batch
 from landfall.tables import Table
@@ -106,86 +106,82 @@ class FileFeedJob:
     empty_run: str = "clear"          # a run with no new file: clear | keep the table
     allow_overwrites: bool = False    # re-read files rewritten in place (ledger discovery)
     files_per_batch: int = 1000
-    bytes_per_batch: int | None = None   # ledger mode: also cap a batch by total file size
+    bytes_per_batch: int | None = None   # ledger mode: also size a batch by total file size
+    table_name: str | None = None     # also publish in the catalog, as schema.table
 
     def run(self, after_write=None) -> LoadResult:
         spark = self.table.spark
-        if not self.source.include_existing and self.source.modified_after is None:
-            self.source.modified_after = first_run_time(spark, self.state_dir)
         with self._whole_lines(spark):
             if self.allow_overwrites:
-                return self._run_ledger(spark, after_write)
-            stream = self.transform(self.source.stream(spark))
-            return load_stream(stream, self.table, self.state_dir, replace=self.replace,
-                               empty_run=self.empty_run, after_write=after_write)
+                result = self._run_ledger(spark, after_write)
+            else:
+                if not self.source.include_existing:
+                    self.source.existing = existing_files(spark, self.source, self.state_dir)
+                stream = self.transform(self.source.stream(spark))
+                result = load_stream(stream, self.table, self.state_dir, replace=self.replace,
+                                     empty_run=self.empty_run, after_write=after_write)
+        if self.table_name:
+            publish_to_catalog(self.table, self.table_name)
+        return result
 
     def _whole_lines(self, spark: SparkSession):
         """CSV rescue judges whole lines: Spark's CSV column pruning would
         only check the columns a query reads, so it is off for this run (a
         stream keeps the setting it was started with)."""
-        from landfall.operators.merge import _conf
-
         rescue = self.source.rescued_data_column or self.source.new_columns == "rescue"
         if rescue and spark_format(self.source.file_format) == "csv":
-            return _conf(spark, "spark.sql.csv.parser.columnPruning.enabled", "false")
+            return session_conf(spark, "spark.sql.csv.parser.columnPruning.enabled", "false")
         return contextlib.nullcontext()
 
     def _run_ledger(self, spark: SparkSession, after_write=None) -> LoadResult:
         ledger = FileLedger(spark, f"{self.state_dir.rstrip('/')}/ledger")
         current = self.table.latest()
-        committed = list(current.properties.get("ledger_runs", [])) if current else []
-        changed = ledger.changed(self.source.input_path, self.source.glob_filter, committed)
-        if self.source.modified_after is not None:
-            changed = changed.where(F.col("modificationTime") > modified_after(self.source.modified_after))
-        # file metadata only: the work list of this run, already listed on the driver by any file source
-        files = changed.orderBy("modificationTime", "path").collect()
-        schema = self.source.resolve_schema(spark)
+        ledger.settle(current.properties.get("ledger_runs", {}).get(ledger.location) if current else None)
+        if not self.source.include_existing:
+            ledger.skip_existing(self.source.input_path, self.source.glob_filter)
         segment = self.table.new_segment()
+        changed = ledger.changed(self.source.input_path, self.source.glob_filter)
+        size = changed.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
+        batches = max(-(-size["n"] // self.files_per_batch), -(-size["bytes"] // self.bytes_per_batch) if self.bytes_per_batch else 0)
+        schema = self.source.resolve_schema(spark)
         out_schema = None
-        chunks = list(batches_of(files, self.files_per_batch, self.bytes_per_batch))
-        for b, chunk in enumerate(chunks):
-            df = self.transform(self.source.batch(spark, [r.path for r in chunk], schema))
-            out_schema = out_schema or df.schema
-            write_batch(df, batch_path(self.table, segment, b))
-            if after_write is not None:
-                after_write(df, b)
+        if batches:
+            work = ledger.record(changed, segment, batches)
+            for b in range(batches):
+                # the names of one batch: about files_per_batch
+                paths = [r.path for r in work.where(F.col("batch") == b).select("path").collect()]
+                if not paths:
+                    continue
+                df = self.transform(self.source.batch(spark, paths, schema))
+                out_schema = out_schema or df.schema
+                write_batch(df, batch_path(self.table, segment, b))
+                if after_write is not None:
+                    after_write(df, b)
         if out_schema is None:      # nothing changed: the same columns a batch would have
-            out_schema = self.transform(self.source.stream(spark)).schema
-        if files:
-            ledger.record(spark.createDataFrame(files, changed.schema), segment)
+            out_schema = self.transform(spark.createDataFrame([], self.source._with_rescue(schema))).schema
         commit = publish(self.table, segment, out_schema, replace=self.replace, empty_run=self.empty_run,
-                         properties={"ledger_runs": committed + ([segment] if files else [])})
-        return LoadResult(segment, len(chunks), commit)
-
-
-def batches_of(files: list, max_files: int, max_bytes: int | None):
-    """Consecutive groups of listed files, at most ``max_files`` each and --
-    when ``max_bytes`` is set -- at most that many bytes (a single larger file
-    still forms its own group)."""
-    group, size = [], 0
-    for f in files:
-        if group and (len(group) >= max_files or (max_bytes and size + f.length > max_bytes)):
-            yield group
-            group, size = [], 0
-        group.append(f)
-        size += f.length
-    if group:
-        yield group
-
-
-def first_run_time(spark: SparkSession, state_dir: str) -> int:
-    """Time of the feed's first run (epoch ms), remembered in its state folder."""
-    path = f"{state_dir.rstrip('/')}/first_run"
-    text = fs.read_text(spark, path)
-    if text is None:
-        fs.write_text(spark, path, str(int(time.time() * 1000)), overwrite=False)
-        text = fs.read_text(spark, path)
-    return int(text.strip())
+                         properties={"ledger_runs": {ledger.location: segment}} if batches else None)
+        if commit is not None and batches:
+            ledger.settle(segment)
+        return LoadResult(segment, batches, commit)
+
+
+def existing_files(spark: SparkSession, source: FileSource, state_dir: str) -> str:
+    """Listing of the files that are there at the feed's first run, kept in its state folder."""
+    where = f"{state_dir.rstrip('/')}/existing"
+    if not fs.exists(spark, f"{where}/_SUCCESS"):
+        reader = spark.read.format("binaryFile")
+        if source.glob_filter:
+            reader = reader.option("pathGlobFilter", source.glob_filter)
+        reader.load(source.input_path).select(F.col("_metadata.file_path").alias("_lf_path")).write.mode("overwrite").parquet(where)
+    return where
 
 
 def feed_job(spark: SparkSession, config: FeedConfig, job: str, *, tables_root: str | None = None,
-             run_ts: datetime | str | None = None, **options) -> FileFeedJob:
-    """Build the job for one config row.  ``job`` is csv | tsv | json_flat | json_nested."""
+             run_ts: datetime | str | None = None, catalog: bool = False, **options) -> FileFeedJob:
+    """Build the job for one config row.  ``job`` is csv | tsv | json_flat |
+    json_nested.  ``catalog`` also publishes the target as the configured
+    schema.table in Spark's catalog."""
     make, source_opts = JOBS[job]
     reader_opts = dict(options.pop("reader_options", {}))
     if job == "tsv":
@@ -194,10 +190,16 @@ def feed_job(spark: SparkSession, config: FeedConfig, job: str, *, tables_root:
                         glob_filter=config.glob_filter, schema_location=config.schema_path,
                         options=reader_opts, **source_opts,
                         **{k: options.pop(k) for k in list(options) if k in FileSource.__dataclass_fields__})
-    root = tables_root or f"{workspace(spark)}/tables"
-    table = Table(spark, f"{root}/{config.table_catalog}/{config.table_schema}/{config.ingst_tbl_name}")
+    if tables_root is None:
+        # without a lasting place the next run would publish another table
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise ValueError("pass tables_root (or set spark.checkpoint.dir): the target table needs a lasting folder")
+        tables_root = f"{root.rstrip('/')}/landfall/tables"
+    table = Table(spark, f"{tables_root}/{config.table_catalog}/{config.table_schema}/{config.ingst_tbl_name}")
+    options.setdefault("allow_overwrites", True)    # a file rewritten in place is read again
     return FileFeedJob(source=source, transform=make(run_ts), table=table, state_dir=config.checkpoint_path,
-                       **options)
+                       table_name=config.table_name if catalog else None, **options)
 
 
 def run_feed(spark: SparkSession, config_table: DataFrame | str, ref_id: str | int, job: str,

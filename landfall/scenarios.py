@@ -12,22 +12,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landfall import fs
+from landfall.catalog import publish_to_catalog
 from landfall.fixtures import files_for, sf_table, stage_files, timed
 from landfall.functions.columns import with_stamp
 from landfall.functions.predicates import map_entries_equal
 from landfall.functions.timestamps import format_timestamp, lenient_timestamp, strict_timestamp
 from landfall.operators.merge import changed_rows, duplicate_keys, merge_into
-from landfall.operators.watermark import column_max, high_watermark
-from landfall.plans.api_job import DEVICE_FIELDS, api_frame
+from landfall.operators.watermark import column_max, high_watermark, high_watermark_sql
+from landfall.plans.api_job import DEVICE_FIELDS, FetchFailed, api_frame
 from landfall.plans.audit import AuditLog
 from landfall.plans.config import FeedConfig, lookup
-from landfall.plans.file_jobs import FileFeedJob, feed_job, nested_json_transform
+from landfall.plans.file_jobs import FileFeedJob, feed_job, nested_json_transform, run_feed
 from landfall.session import scratch
 from landfall.sources.files import FileSource
 from landfall.tables import Table
 
 RUN_TS = "2024-01-01 00:00:00"
 RUN_TS_2 = "2024-02-01 00:00:00"
+OLD_MS = 1_577_836_800_000         # 2020-01-01, long before any run
 SQL_TS = "TIMESTAMP '2024-01-01 00:00:00'"
 SQL_TS_2 = "TIMESTAMP '2024-02-01 00:00:00'"
 
@@ -249,16 +252,18 @@ def q26_api_cdc_job(spark: SparkSession, sf: str) -> DataFrame:
                                  "job_id STRING, name STRING, tags MAP<STRING,STRING>")
     stage_pages(spark, sf, f"{area}/pages1")
     changed = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("X")).otherwise(F.col("o_orderstatus"))
-    stage_pages(spark, sf, f"{area}/pages2", status=changed)
+    touched = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("01/01/2030 12:30:00")).otherwise(format_timestamp("o_orderdate"))
+    stage_pages(spark, sf, f"{area}/pages2", status=changed, modified=touched)
     common = dict(target=f"{area}/target", audit=f"{area}/audit", jobs=jobs, notebook_name="device_cdc",
-                  buckets=16)
-    run_api_cdc(spark, cfg, "device", transport={"transport": "files", "path": f"{area}/pages1"},
-                initial_watermark="01/01/1990", run_ts=RUN_TS, **common)
-    second = run_api_cdc(spark, cfg, "device", transport={"transport": "files", "path": f"{area}/pages2"},
-                         run_ts=RUN_TS_2, **common)
-    first_mark = AuditLog(spark, f"{area}/audit").read().agg(F.min("latest_update_dt")).first()[0]
-    if second["watermark_used"] != first_mark.strftime("%m/%d/%Y %H:%M:%S"):
-        raise AssertionError(f"second run did not start from the logged watermark: {second}")
+                  job_tags={"layer": "SDH", "schema": "MDX", "object": "DEVICE_CDC"}, buckets=16)
+    # the transport gives records that are not older than the watermark asked for
+    run_api_cdc(spark, cfg, "device", run_ts=RUN_TS, initial_watermark="01/01/1990",
+                transport={"transport": "files", "path": f"{area}/pages1", "modifiedField": "modifiedDate"}, **common)
+    second = run_api_cdc(spark, cfg, "device", run_ts=RUN_TS_2,
+                         transport={"transport": "files", "path": f"{area}/pages2", "modifiedField": "modifiedDate"}, **common)
+    newest = sf_table(spark, sf, "orders").agg(format_timestamp(F.max("o_orderdate")).alias("m")).first()["m"]
+    if second["watermark_used"] != newest:
+        raise AssertionError(f"second run did not start from the newest modified date {newest}: {second}")
     out = Table(spark, f"{area}/target").read()
     return ntz(out.select("mendix_uid", "patient_id", "status", "device_status", "modified_date", "update_ts"),
                "modified_date", "update_ts")
@@ -338,11 +343,13 @@ def q18_changed_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def q19_merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
     area = scratch(spark, "q19")
+    # one segment's customers come without a key, in the target and in the source
+    key = F.when(F.col("c_mktsegment") != "MACHINERY", F.col("c_custkey")).alias("c_custkey")
     cust = sf_table(spark, sf, "customer")
     table = Table(spark, f"{area}/target")
-    merge_into(table, cust.where(F.col("c_nationkey") < 15), ["c_custkey"], buckets=16, run_ts=RUN_TS)
+    merge_into(table, cust.where(F.col("c_nationkey") < 15).select(key, *cust.columns[1:]), ["c_custkey"], buckets=16, run_ts=RUN_TS)
     source = cust.where(F.col("c_nationkey") >= 10).select(
-        "c_custkey", "c_name", "c_nationkey",
+        key, "c_name", "c_nationkey",
         F.when(F.col("c_mktsegment") != "AUTOMOBILE", F.col("c_acctbal")).alias("c_acctbal"),
         F.when(F.col("c_acctbal") < 1000, F.lit("CHANGED")).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"))
     merge_into(table, source, ["c_custkey"], run_ts=RUN_TS_2)
@@ -365,13 +372,12 @@ def q22_audit_duration(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("/Workspace/jobs/n"), F.col("user_id").cast("string")).alias("notebook_path"),
         F.col("end_time").alias("latest_update_dt"), "start_time", "end_time",
         F.when(F.col("last_type") == "error", "FAILURE").otherwise("SUCCESS").alias("run_status"),
-        F.lit("CDC_OVERALL_EXECUTION").alias("log_step"))
+        F.lit("CDC_RUN").alias("log_step"))
     log = AuditLog(spark, f"{area}/audit")
     log.append(runs)
     out = log.read().select("run_id", F.col("start_time").cast("timestamp_ntz").alias("start_time"),
                             F.col("end_time").cast("timestamp_ntz").alias("end_time"),
-                            F.timestamp_diff("MICROSECOND", F.col("start_time"), F.col("end_time")).alias("duration_us"),
-                            "run_status", "notebook_name")
+                            "duration_sec", "run_status", "notebook_name")
     return out
 
 
@@ -436,7 +442,8 @@ def q25_add_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 def q27_include_existing(spark: SparkSession, sf: str) -> DataFrame:
     """``include_existing=false``: files already in the folder at the feed's
-    first run are never loaded; later arrivals are."""
+    first run are never loaded; later arrivals are, also when they keep an older
+    time stamp than that run's."""
     area = scratch(spark, "q27")
     orders = sf_table(spark, sf, "orders")
     n = files_for(_rows(orders), 30_000)
@@ -446,7 +453,8 @@ def q27_include_existing(spark: SparkSession, sf: str) -> DataFrame:
     job = FileFeedJob(source=source, transform=lambda df: df, table=Table(spark, f"{area}/table"),
                       state_dir=f"{area}/state", replace=False)
     job.run()
-    stage_files(orders.where(F.col("o_orderstatus") != "F"), "parquet", f"{area}/drop", "after", n)
+    for path in stage_files(orders.where(F.col("o_orderstatus") != "F"), "parquet", f"{area}/drop", "after", n):
+        fs.set_times(spark, path, OLD_MS)
     job.run()
     return job.table.read()
 
@@ -475,10 +483,173 @@ def q28_cdc_failure_audit(spark: SparkSession, sf: str) -> DataFrame:
         pass
     run_api_cdc(spark, cfg, "device", transport={"transport": "files", "path": f"{area}/good"}, **common)
     log = AuditLog(spark, f"{area}/audit").read()
-    return log.select("run_status", "object_name", "source_name",
+    return log.select("run_status", "object_name", "source_name", F.col("run_id").rlike("^[0-9a-f-]{36}$").alias("has_run_id"),
                       F.col("latest_update_dt").cast("timestamp_ntz").alias("latest_update_dt"))
 
 
+# ---------------------------------------------------------------- what a feed must not lose
+def q29_late_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream feed's second run loads files far older than those of the first."""
+    area = scratch(spark, "q29")
+    orders = sf_table(spark, sf, "orders")
+    n = files_for(_rows(orders), 30_000)
+    stage_files(orders.where(F.col("o_orderstatus") == "F"), "parquet", f"{area}/drop", "now", n)
+    source = FileSource(input_path=f"{area}/drop", file_format="parquet", glob_filter="*.parquet", schema_location=f"{area}/schema")
+    job = FileFeedJob(source=source, transform=lambda df: df, table=Table(spark, f"{area}/table"), state_dir=f"{area}/state",
+                      replace=False)
+    job.run()
+    for path in stage_files(orders.where(F.col("o_orderstatus") != "F"), "parquet", f"{area}/drop", "late", n):
+        fs.set_times(spark, path, OLD_MS)
+    job.run()
+    return job.table.read()
+
+
+def q30_infer_every_file(spark: SparkSession, sf: str) -> DataFrame:
+    """More than a thousand files, a field only in the oldest, and in a later
+    run another field in a file with an even older time stamp."""
+    area = scratch(spark, "q30")
+    cust = sf_table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    old, later = F.col("c_nationkey") == 3, F.col("c_nationkey") == 4
+    (first,) = stage_files(cust.where(old), "json", f"{area}/drop", "oldest", 1)
+    fs.set_times(spark, first, OLD_MS)
+    stage_files(cust.where(~old & ~later).select("c_custkey", "c_name"), "json", f"{area}/drop", "many", max(1010, _rows(cust) // 20_000))
+    source = FileSource(input_path=f"{area}/drop", file_format="json", glob_filter="*.json", schema_location=f"{area}/schema")
+    job = FileFeedJob(source=source, transform=lambda df: df, table=Table(spark, f"{area}/table"), state_dir=f"{area}/state",
+                      replace=False, allow_overwrites=True, files_per_batch=2000)
+    job.run()
+    (second,) = stage_files(cust.where(later).withColumn("c_note", F.upper("c_name")), "json", f"{area}/drop", "later", 1)
+    fs.set_times(spark, second, OLD_MS - 1000)
+    job.run()
+    return job.table.read().select("c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_note")
+
+
+def q31_key_in_odd_places(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages whose bodies carry the list's key as a value, nested and escaped, read by three partitions."""
+    area = scratch(spark, "q31")
+    orders = sf_table(spark, sf, "orders")
+    page = (F.floor(F.col("o_orderkey") / 100) + 1).alias("page")
+    records = orders.groupBy(page).agg(F.to_json(F.collect_list(F.struct(F.col("o_orderkey").cast("string").alias("mendixUID")))).alias("r"))
+    body = F.array(F.lit('{"source":"deviceResponseData","deviceResponseData":%s}'),
+                   F.lit('{"meta":{"deviceResponseData":[]},"deviceResponseData":%s}'),
+                   F.lit('{"note":"\\\\"deviceResponseData\\\\": []","deviceResponseData":%s}'.replace("\\\\", "\\")))[
+        (F.col("page") % 3).cast("int")]
+    records.select("page", F.replace(body, F.lit("%s"), F.col("r")).alias("value")).write.partitionBy("page").text(f"{area}/pages")
+    frame = api_frame(spark, {"transport": "files", "path": f"{area}/pages", "numPartitions": 3}, run_ts=RUN_TS, stage_path=f"{area}/landed")
+    return frame.select("mendix_uid")
+
+
+def q32_request_attempts(spark: SparkSession, sf: str) -> DataFrame:
+    """Failed request attempts of a run that succeeds and of one that fails, as audited."""
+    from landfall.plans.api_job import run_api_cdc
+
+    area = scratch(spark, "q32")
+    cfg = spark.createDataFrame([(1, "https://api.invalid/devices", "MDX", "device", "modified_date")],
+                                "object_id INT, source_url STRING, source_name STRING, object_name STRING, source_delta_column STRING")
+    stage_pages(spark, sf, f"{area}/pages")
+    common = dict(target=f"{area}/target", audit=f"{area}/audit", buckets=16, initial_watermark="01/01/1990", run_ts=RUN_TS)
+    flaky = {"transport": "files", "path": f"{area}/pages", "retries": 2}
+    try:
+        run_api_cdc(spark, cfg, "device", transport={**flaky, "failPages": "2:2"}, **common)
+        raise AssertionError("the run with a page that cannot be read did not fail")
+    except FetchFailed:
+        pass
+    run_api_cdc(spark, cfg, "device", transport={**flaky, "failPages": "1:1,2:1"}, **common)
+    return AuditLog(spark, f"{area}/audit").read().select("run_status", "log_step")
+
+
+def _with_schema(spark: SparkSession, area: str, label: str) -> str:
+    name = f"lf_{label}_{area.rsplit('-', 1)[-1]}"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name} LOCATION '{area}/catalog'")
+    return name
+
+
+def q33_catalog_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A feed found in a config table by its id as text, loaded twice, read with ``spark.table``."""
+    area = scratch(spark, "q33")
+    schema = _with_schema(spark, area, "q33")
+    cust = sf_table(spark, sf, "customer")
+    config = cust.select(
+        F.col("c_custkey").cast("int").alias("ref_id"), F.lit(f"{area}/drop").alias("input_path"), F.lit("csv").alias("file_format"),
+        F.lit(f"{area}/schema").alias("schema_path"), F.lit(f"{area}/state").alias("checkpoint_path"), F.lit("main").alias("table_catalog"),
+        F.lit(schema).alias("table_schema"), F.concat(F.lit("leaders_"), "c_custkey").alias("ingst_tbl_name"), F.lit("*.csv").alias("glob_filter"))
+    config.write.saveAsTable(f"{schema}.feeds")
+    rows = cust.select(F.col("c_custkey").cast("string").alias("Network Id"), F.col("c_name").alias("Leader Name"))
+    for half in (0, 1):
+        stage_files(rows.where(F.col("c_custkey") % 2 == half), "csv", f"{area}/drop", f"half{half}", files_for(_rows(cust)))
+        run_feed(spark, f"{schema}.feeds", "7", "csv", tables_root=f"{area}/tables", run_ts=RUN_TS, catalog=True, replace=False)
+    return ntz(spark.table(f"{schema}.leaders_7"), "update_ts")
+
+
+def q34_catalog_watermark(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit log as a catalog table, its watermark by SQL."""
+    area = scratch(spark, "q34")
+    schema = _with_schema(spark, area, "q34")
+    ev = sf_table(spark, sf, "events")
+    log = AuditLog(spark, f"{area}/audit")
+    for kind in ("purchase", "view"):
+        log.append(ev.where(F.col("event_type") == kind).select(
+            F.col("event_id").cast("string").alias("run_id"), F.lit("events").alias("object_name"), F.lit("app").alias("source_name"),
+            F.when(F.col("event_type") == "purchase", "Success").otherwise("FAILURE").alias("run_status"),
+            F.col("ts").cast("timestamp").alias("latest_update_dt"), F.col("ts").cast("timestamp").alias("start_time"),
+            F.col("ts").cast("timestamp").alias("end_time")))
+    publish_to_catalog(log.table, f"{schema}.audit_log")
+    return ntz(high_watermark_sql(spark, f"{schema}.audit_log", "events", "app"), "latest_update_dt")
+
+
+def q35_csv_layouts(spark: SparkSession, sf: str) -> DataFrame:
+    """CSV files of three header layouts, the first again after the table has grown."""
+    area = scratch(spark, "q35")
+    cust = sf_table(spark, sf, "customer").select(F.format_string("%06d", "c_custkey").alias("id"), F.col("c_name").alias("name"),
+                                                  F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").cast("string").alias("nation"))
+    n = files_for(_rows(cust))
+    part = lambda k: cust.where(F.col("nation").cast("int") % 4 == k)
+    source = FileSource(input_path=f"{area}/drop", file_format="csv", glob_filter="*.csv", schema_location=f"{area}/schema")
+    job = FileFeedJob(source=source, transform=lambda df: df, table=Table(spark, f"{area}/table"), state_dir=f"{area}/state",
+                      replace=False, allow_overwrites=True)
+    stage_files(part(0).select("id", "name"), "csv", f"{area}/drop", "a", n)
+    stage_files(part(1).select("name", "id"), "csv", f"{area}/drop", "b", n)
+    job.run()
+    stage_files(part(2).select("segment", "id", "nation"), "csv", f"{area}/drop", "c", n)
+    job.run()
+    stage_files(part(3).select("id", "name"), "csv", f"{area}/drop", "d", n)
+    job.run()
+    return job.table.read().select("id", "name", "segment", "nation")
+
+
+def q36_rescue_everything(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON lines that are cut off and values of the wrong type are kept in the rescue column."""
+    area = scratch(spark, "q36")
+    orders = sf_table(spark, sf, "orders")
+    line = F.when(F.col("o_orderstatus") == "P", F.format_string('{"k": %d, "n": {"z":', "o_orderkey")).when(
+        F.col("o_orderstatus") == "F", F.format_string('{"k": %d, "n": {"z":1}}', "o_orderkey")).otherwise(
+        F.format_string('{"k": %d, "n": 5, "more": "x"}', "o_orderkey"))
+    orders.select(line.alias("value")).write.text(f"{area}/drop")
+    source = FileSource(input_path=f"{area}/drop", file_format="json", schema="k BIGINT, n INT", rescued_data_column="_rescued_data")
+    job = FileFeedJob(source=source, transform=lambda df: df, table=Table(spark, f"{area}/table"), state_dir=f"{area}/state")
+    job.run()
+    return job.table.read()
+
+
+def q37_csv_rewritten(spark: SparkSession, sf: str) -> DataFrame:
+    """The CSV job itself: files rewritten in place are read again, one of them with a glob sign in its name."""
+    area = scratch(spark, "q37")
+    cust = sf_table(spark, sf, "customer")
+    n = files_for(_rows(cust))
+
+    def stage(kind: str, ver: str) -> None:
+        rows = cust.where((F.col("c_custkey") % 3 == 0) == (kind == "leaders[1]"))
+        stage_files(rows.select(F.col("c_custkey").cast("string").alias("Network Id"), F.concat("c_name", F.lit(ver)).alias("Leader Name")),
+                    "csv", f"{area}/drop", kind, n)
+
+    job = feed_job(spark, _config(area, "csv", "*.csv"), "csv", tables_root=f"{area}/tables", run_ts=RUN_TS, replace=False)
+    stage("leaders[1]", "-v1")
+    stage("plain", "-v1")
+    job.run()
+    stage("leaders[1]", "-v2")
+    job.run()
+    return ntz(job.table.read(), "update_ts")
+
+
 QUERIES = {
     "q01_csv_ingest": q01_csv_ingest,
     "q02_tsv_ingest": q02_tsv_ingest,
@@ -508,4 +679,13 @@ QUERIES = {
     "q26_api_cdc_job": q26_api_cdc_job,
     "q27_include_existing": q27_include_existing,
     "q28_cdc_failure_audit": q28_cdc_failure_audit,
+    "q29_late_files": q29_late_files,
+    "q30_infer_every_file": q30_infer_every_file,
+    "q31_key_in_odd_places": q31_key_in_odd_places,
+    "q32_request_attempts": q32_request_attempts,
+    "q33_catalog_table": q33_catalog_table,
+    "q34_catalog_watermark": q34_catalog_watermark,
+    "q35_csv_layouts": q35_csv_layouts,
+    "q36_rescue_everything": q36_rescue_everything,
+    "q37_csv_rewritten": q37_csv_rewritten,
 }

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -45,3 +46,17 @@ def workspace(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh, never reused folder under the workspace."""
     return f"{workspace(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def session_conf(spark: SparkSession, key: str, value: str):
+    """Set a SQL conf for the statements planned inside the block."""
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)

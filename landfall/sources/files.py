@@ -9,23 +9,34 @@ CSV is read without type inference and JSON with ``primitivesAsString``.
 Options understood from a feed config:
 
 * ``glob_filter``      -- ``pathGlobFilter`` on file names
-* ``include_existing`` -- when false, files older than the first run are skipped
+* ``include_existing`` -- when false, files that are there at the first run are skipped
 * ``schema`` / ``schema_hints`` / ``schema_location`` -- fixed, hinted or remembered schema
-* ``rescued_data_column`` -- capture fields (JSON) or lines (CSV) that do not fit.
-  JSON keeps, as JSON text, the top-level fields the schema lacks.  CSV keeps
-  the whole line when it does not parse (feed jobs turn Spark's CSV column
-  pruning off for such runs, so every column of the line is checked).
+* ``rescued_data_column`` -- what does not fit the schema, as text.  JSON lines
+  keep, as JSON, the top-level fields that the schema lacks and those whose
+  value could not be converted; a line that is no JSON is kept whole.  CSV
+  keeps the whole line when it does not parse (feed jobs turn Spark's CSV
+  column pruning off for such runs, so every column of the line is checked),
+  and columns that the schema lacks.  Other formats refuse the option.
+
+Inference reads every file that no inference has seen, without a limit on their
+number or age.  CSV columns are matched by header name: a batch reads the files
+of each distinct header together and lines their columns up.
 """
 
 from __future__ import annotations
 
+import csv
+import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from landfall.sources.ledger import listing
 from landfall.sources.schemas import SchemaMemory, apply_hints
+from landfall.tables import conform, evolve_schema
 
 # Reader defaults per configured format.  "tsv" and "text" name the
 # tab-delimited drop; all delimited formats carry a header row.
@@ -65,10 +76,10 @@ class FileSource:
     new_columns: str = "add"                 # remembered schema: add | ignore | rescue
     rescued_data_column: str | None = None
     include_existing: bool = True
-    modified_after: int | None = None        # epoch ms; set by the feed when include_existing is false
+    existing: str | None = None              # set by the feed: listing of the files to leave out
     max_files_per_trigger: int | None = 1000
     max_bytes_per_trigger: str | None = None
-    infer_max_files: int = 1000               # inference reads at most the newest N files
+    infer_batch: int = 1000                   # later inferences name this many files at a time
 
     # ---- schema ----------------------------------------------------------
     def _opts(self) -> dict:
@@ -80,8 +91,8 @@ class FileSource:
     def resolve_schema(self, spark: SparkSession) -> T.StructType:
         """Fixed schema, or inferred (once, remembered at ``schema_location``)
         with hints applied on top.  With ``new_columns="add"`` later runs
-        infer only from files that arrived since the last inference and merge
-        what they find into the remembered schema."""
+        infer from every file that no inference has seen and merge what they
+        find into the remembered schema."""
         if self.schema is not None:
             base = T.StructType.fromDDL(self.schema) if isinstance(self.schema, str) else self.schema
             return apply_hints(base, self.schema_hints)
@@ -89,46 +100,65 @@ class FileSource:
         remembered = memory.load() if memory else None
         if remembered is not None and self.new_columns in ("ignore", "rescue"):
             return apply_hints(remembered, self.schema_hints)
-        since = memory.inferred_through() if memory and remembered is not None else None
-        found = self._infer(spark, since, required=remembered is None)
-        if found is None:
-            return apply_hints(remembered, self.schema_hints)
-        inferred, newest = found
+        files = listing(spark, self.input_path, self.glob_filter)
+        if remembered is None:
+            inferred = self._infer(spark, None)
+            if inferred is None:
+                raise FileNotFoundError(
+                    f"no file matching {self.glob_filter or '*'} in {self.input_path} to infer a schema from")
+        else:
+            files = memory.unseen(files)
+            inferred = self._infer_new(spark, files)
+            if inferred is None:
+                return apply_hints(remembered, self.schema_hints)
         schema = apply_hints(inferred, self.schema_hints)
         if remembered is not None:
-            from landfall.tables import evolve_schema
             schema = apply_hints(evolve_schema(remembered, schema), self.schema_hints)
         if memory is not None:
-            memory.save(schema, newest)
+            memory.save(schema, files)
         return schema
 
-    def _infer(self, spark: SparkSession, since: int | None = None, required: bool = True):
-        """Infer from a bounded sample: the newest ``infer_max_files`` files
-        modified after ``since`` (epoch ms).  Only file metadata is listed;
-        paths come to the driver, data does not.  Returns ``(schema, newest
-        modification ms)`` or ``None`` when no file qualifies."""
-        opts = {k: v for k, v in self._opts().items() if k not in ("enforceSchema", "pathGlobFilter")}
-        listing = spark.read.format("binaryFile")
-        if self.glob_filter:
-            listing = listing.option("pathGlobFilter", self.glob_filter)
-        files = listing.load(self.input_path).select("path", "modificationTime")
-        if since is not None:
-            files = files.where(F.col("modificationTime") > modified_after(since))
-        sample = (files.orderBy(F.desc("modificationTime"), F.desc("path")).limit(self.infer_max_files)
-                  .select("path", F.unix_millis("modificationTime").alias("ms")).collect())
-        if not sample:
-            if required:
-                raise FileNotFoundError(
-                    f"no file matching {self.glob_filter or '*'} in {self.input_path} to infer a schema from")
-            return None
-        schema = spark.read.format(spark_format(self.file_format)).options(**opts).load([r.path for r in sample]).schema
-        return T.StructType([f for f in schema.fields if f.name != "_corrupt_record"]), max(r.ms for r in sample)
+    def _infer_new(self, spark: SparkSession, files: DataFrame) -> T.StructType | None:
+        """Schema of the listed files, from ``infer_batch`` names at a time."""
+        n = files.count()
+        schema, batches = None, -(-n // self.infer_batch)
+        for k in range(batches):
+            paths = [r.path for r in files.where(F.pmod(F.xxhash64("path"), F.lit(batches)) == k).select("path").collect()]
+            found = self._infer(spark, paths) if paths else None
+            if found is not None:
+                schema = found if schema is None else evolve_schema(schema, found)
+        return schema
+
+    def _infer(self, spark: SparkSession, paths: list[str] | None) -> T.StructType | None:
+        """Schema of some files, or of all files of the folder."""
+        fmt, opts = spark_format(self.file_format), self._opts()
+        where = [escape_glob(p) for p in paths] if paths is not None else self.input_path
+        if paths is not None:
+            opts.pop("pathGlobFilter", None)
+        if fmt == "csv" and opts.get("header") == "true":
+            columns: list[str] = []
+            for line, _ in sorted(csv_headers(spark, where, opts).items()):
+                columns += [c for c in header_columns(line, opts) if c.lower() not in {x.lower() for x in columns}]
+            return T.StructType([T.StructField(c, T.StringType(), True) for c in columns]) if columns else None
+        if fmt == "parquet":
+            opts.setdefault("mergeSchema", "true")
+        try:
+            schema = spark.read.format(fmt).options(**opts).load(where).schema
+        except AnalysisException as exc:
+            if "UNABLE_TO_INFER_SCHEMA" in str(exc):
+                return None
+            raise
+        fields = [f for f in schema.fields if f.name != "_corrupt_record"]
+        return T.StructType(fields) if fields else None
 
     # ---- readers ----------------------------------------------------------
     def stream(self, spark: SparkSession) -> DataFrame:
-        """Streaming DataFrame over the folder (each file read once)."""
+        """Streaming DataFrame over the folder (each file read once, however
+        old its time stamp is: the stream's own age limit is out of the way).
+        A CSV stream needs one header layout; ``batch`` takes any."""
         schema = self.resolve_schema(spark)
         opts = self._opts()
+        opts.setdefault("maxFileAge", "36500d")
         if self.max_files_per_trigger:
             opts["maxFilesPerTrigger"] = str(self.max_files_per_trigger)
         if self.max_bytes_per_trigger:
@@ -139,46 +169,102 @@ class FileSource:
         """Batch DataFrame over the folder or over an explicit file list."""
         schema = schema or self.resolve_schema(spark)
         opts = self._opts()
+        where = self.input_path
         if paths is not None:
             opts.pop("pathGlobFilter", None)     # the list is already filtered
-        return self._read(spark.read, schema, opts, paths if paths is not None else self.input_path)
+            where = [escape_glob(p) for p in paths]
+        if spark_format(self.file_format) != "csv" or opts.get("header") != "true":
+            return self._read(spark.read, schema, opts, where)
+        out = None
+        for line, files in sorted(csv_headers(spark, where, opts).items()):
+            part = self._of_header(spark, schema, opts, header_columns(line, opts), files)
+            out = part if out is None else out.unionByName(part)
+        return out if out is not None else spark.createDataFrame([], self._with_rescue(schema))
+
+    def _rescue(self) -> str | None:
+        return self.rescued_data_column or ("_rescued_data" if self.new_columns == "rescue" else None)
+
+    def _with_rescue(self, schema: T.StructType) -> T.StructType:
+        rescue = self._rescue()
+        return T.StructType(schema.fields + ([T.StructField(rescue, T.StringType(), True)] if rescue else []))
+
+    def _of_header(self, spark: SparkSession, schema: T.StructType, opts: dict, columns: list[str], files: list[str]) -> DataFrame:
+        """CSV files of one header layout, their columns lined up with ``schema`` by name."""
+        types = {f.name.lower(): f.dataType for f in schema.fields}
+        have = T.StructType([T.StructField(c, types.get(c.lower(), T.StringType()), True) for c in columns])
+        df = self._read(spark.read, have, {k: v for k, v in opts.items() if k != "pathGlobFilter"}, files)
+        rescue = self._rescue()
+        extra = [c for c in columns if c.lower() not in types]
+        if rescue and extra:
+            values = F.map_filter(F.create_map(*(x for c in extra for x in (F.lit(c), F.col(f"`{c}`")))), lambda _, v: v.isNotNull())
+            df = df.withColumn(rescue, F.coalesce(rescue, F.when(F.size(values) > 0, F.to_json(values))))
+        return conform(df, self._with_rescue(schema))
 
     def _read(self, reader, schema: T.StructType, opts: dict, path) -> DataFrame:
-        fmt = spark_format(self.file_format)
-        rescue = self.rescued_data_column or ("_rescued_data" if self.new_columns == "rescue" else None)
-        if rescue and fmt == "json" and opts.get("multiLine", "false") != "true":
+        fmt, rescue = spark_format(self.file_format), self._rescue()
+        if rescue and (fmt not in ("json", "csv") or opts.get("multiLine", "false") == "true"):
+            raise ValueError(f"rescued data needs JSON or CSV lines, not {self.file_format}"
+                             f"{' with multiLine' if opts.get('multiLine') == 'true' else ''}")
+        if rescue and fmt == "json":
             # JSON lines: parse each line twice on the JVM -- once into the
             # schema, once into a map to find the fields the schema lacks.
-            text_opts = {k: v for k, v in opts.items() if k in ("pathGlobFilter", "maxFilesPerTrigger",
+            text_opts = {k: v for k, v in opts.items() if k in ("pathGlobFilter", "maxFilesPerTrigger", "maxFileAge",
                                                                  "maxBytesPerTrigger", "encoding")}
-            raw = self._since(reader.format("text").options(**text_opts).load(path))
+            raw = self._arrived(reader.format("text").options(**text_opts).load(path))
             json_opts = {k: v for k, v in opts.items() if k not in text_opts}
             return rescue_json(raw, "value", schema, rescue, json_opts)
-        if rescue and fmt == "csv":
+        if rescue:
             opts = {**opts, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": rescue}
-            schema = T.StructType(schema.fields + [T.StructField(rescue, T.StringType(), True)])
-        return self._since(reader.format(fmt).options(**opts).schema(schema).load(path))
+            schema = self._with_rescue(schema)
+        return self._arrived(reader.format(fmt).options(**opts).schema(schema).load(path))
 
-    def _since(self, df: DataFrame) -> DataFrame:
-        if self.modified_after is None:
+    def _arrived(self, df: DataFrame) -> DataFrame:
+        """Rows of files that were not there at the feed's first run."""
+        if self.existing is None:
             return df
-        # include_existing=false: skip files that were there before the feed's first run
-        return df.filter(F.col("_metadata.file_modification_time") > modified_after(self.modified_after))
+        old = df.sparkSession.read.schema("_lf_path string").parquet(self.existing)
+        return df.withColumn("_lf_path", F.col("_metadata.file_path")).join(old, "_lf_path", "left_anti").drop("_lf_path")
+
+
+def escape_glob(path: str) -> str:
+    """A listed path for a reader that takes glob patterns."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def csv_headers(spark: SparkSession, where, opts: dict) -> dict[str, list[str]]:
+    """Distinct header lines of some CSV files, and the files of each."""
+    keep = {k: v for k, v in opts.items() if k in ("pathGlobFilter", "encoding", "lineSep", "recursiveFileLookup")}
+    lines = spark.read.format("text").options(**keep).load(where).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
+    # a file's first block is read by one task, in order
+    first = lines.where("at = 0").groupBy("path").agg(F.first("value").alias("line"))
+    path = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
+    out: dict[str, list[str]] = {}
+    for r in first.select("line", path.alias("path")).orderBy("path").toLocalIterator():
+        out.setdefault(r["line"], []).append(escape_glob(r["path"]))
+    return out
 
 
-def modified_after(epoch_ms: int | str) -> Column:
-    """The cut-off instant as a timestamp, independent of the session time zone."""
-    return F.timestamp_millis(F.lit(int(epoch_ms)))
+def header_columns(line: str, opts: dict) -> list[str]:
+    """Column names of a header line; a nameless one is ``_c<i>``, a repeated one gets its place appended."""
+    names = next(csv.reader([line.lstrip("\ufeff")], delimiter=opts.get("sep", ","), quotechar=opts.get("quote", '"')))
+    names = [n or f"_c{i}" for i, n in enumerate(names)]
+    low = [n.lower() for n in names]
+    return [n if low.count(n.lower()) == 1 else f"{n}{i}" for i, n in enumerate(names)]
 
 
 def rescue_json(raw: DataFrame, text_col: str, schema: T.StructType, rescue: str, options: dict | None = None) -> DataFrame:
-    """Parse JSON text into ``schema`` plus a column holding, as JSON text, the
-    top-level fields the schema does not name (NULL when there are none)."""
+    """Parse JSON text into ``schema`` plus a column holding what it loses: the
+    whole text if it is no JSON object, else, as JSON, the top-level fields
+    that the schema does not name or whose value it could not take (NULL when
+    there are none)."""
+    text = F.col(text_col)
+    as_map = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
+    parsed = F.from_json(text, schema, options or {})
     known = F.array(*[F.lit(f.name.lower()) for f in schema.fields])
-    as_map = F.from_json(F.col(text_col), T.MapType(T.StringType(), T.StringType()))
-    extra = F.map_filter(as_map, lambda k, v: ~F.array_contains(known, F.lower(k)))
-    parsed = F.from_json(F.col(text_col), schema, options or {})
-    return raw.select(parsed.alias("_r"), extra.alias("_x")).select(
-        "_r.*",
-        F.when(F.size("_x") > 0, F.to_json("_x")).alias(rescue),
-    )
+    df = raw.select(text.alias("_t"), parsed.alias("_r"), as_map.alias("_m"), F.json_object_keys(text).isNull().alias("_bad"))
+    lost = F.array(*[F.when(F.col("_r").getField(f.name).isNull(), F.lit(f.name.lower())) for f in schema.fields])
+    extra = F.map_filter("_m", lambda k, v: ~F.array_contains(known, F.lower(k)) | (
+        v.isNotNull() & F.array_contains(F.array_compact(lost), F.lower(k))))
+    return df.select("_r.*", F.when(F.col("_bad") & (F.trim("_t") != ""), F.col("_t")).otherwise(
+        F.when(F.size(extra) > 0, F.to_json(extra))).alias(rescue))

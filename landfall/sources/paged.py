@@ -4,15 +4,22 @@ The API returns pages ``Page=1, 2, ...`` of at most ``limit`` records under
 one key (``deviceResponseData``); an empty list or HTTP 204 ends paging.
 Instead of a driver loop, the source has ``numPartitions`` input partitions:
 partition ``i`` requests pages ``i+1, i+1+n, i+1+2n, ...`` until its first
-empty page, so pages are fetched in parallel on the executors.
+page without records, so pages are fetched in parallel on the executors.
 
-Python only moves bytes: the source yields one ``(page, body, NULL)`` row per
-page (``body`` NULL for 204), and one ``(page, NULL, error)`` row for every
-failed attempt that was retried, so the job can audit it.  :func:`page_records` then splits bodies into
-``(page, position, record)`` rows on the JVM -- ``from_json`` into
-``array<string>`` keeps each record as its JSON text -- and
-:func:`until_first_empty` drops everything from the first empty page on, over
-all partitions, which is what one sequential loop would have read.
+The source yields one row per request outcome, ``(page, outcome, body, error)``:
+
+* ``page``         -- a body with records
+* ``end``          -- HTTP 204, no list or an empty list: the partition stops
+* ``skip``         -- a captured page whose records are all older than asked for
+* ``retry``        -- a failed attempt that was tried again
+* ``failed``       -- the last attempt failed, 401, or the body is not a JSON
+  object: the partition stops
+
+Outcomes are rows, not exceptions: an exception would make Spark repeat the
+task and with it every request of the partition.  The caller lands the rows
+first, so the API is called once, and then asks :func:`stopped_by` whether a
+page before the end is missing.  Whether a page has records is decided here,
+from the parsed body, and nowhere else.
 
 Requests are retried: 200 -> body, 204 -> no more data, 401 -> fail at once,
 anything else or an error -> wait ``2**attempt`` seconds and try again, up to
@@ -20,7 +27,9 @@ anything else or an error -> wait ``2**attempt`` seconds and try again, up to
 
 Transports: ``http`` (GET with ``limit``, ``Page``, ``modifiedDate`` and basic
 auth) and ``files`` (a folder with one ``page=<n>`` sub-folder per page, used
-to replay captured pages and in tests).
+to replay captured pages and in tests; with ``modifiedField`` it returns only
+records whose field is not before ``modifiedDate``, and ``failPages`` names
+pages whose first attempts fail: ``3:2`` fails page 3 twice).
 """
 
 from __future__ import annotations
@@ -31,10 +40,25 @@ import time
 import urllib.error
 import urllib.parse
 import urllib.request
+from datetime import datetime
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-SCHEMA = "page INT, body STRING, error STRING"
+SCHEMA = "page INT, outcome STRING, body STRING, error STRING"
+MARK_FORMAT = "%m/%d/%Y %H:%M:%S"       # the API's date-time text
+
+
+class Options(dict):
+    """Reader options; Spark may hand their names over in lower case."""
+
+    def __init__(self, options: dict):
+        super().__init__({k.lower(): v for k, v in options.items()})
+
+    def get(self, name, default=None):
+        return super().get(name.lower(), default)
+
+    def __getitem__(self, name):
+        return super().__getitem__(name.lower())
 
 
 class ApiError(RuntimeError):
@@ -74,10 +98,15 @@ def files_transport(options: dict):
         path = "/" + path[len("file:"):].lstrip("/")
     filesystem, root = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
     key = options.get("dataKey", "deviceResponseData")
+    field = options.get("modifiedField")
+    failing = {int(p): int(n) for p, n in (x.split(":") for x in options.get("failPages", "").split(",") if x)}
 
     def get(params: dict) -> tuple[int, str | None]:
-        folder = f"{root.rstrip('/')}/page={params['Page']}"
-        infos = filesystem.get_file_info(pafs.FileSelector(folder, allow_not_found=True))
+        page = params["Page"]
+        if failing.get(page, 0) > 0:
+            failing[page] -= 1
+            return 503, None
+        infos = filesystem.get_file_info(pafs.FileSelector(f"{root.rstrip('/')}/page={page}", allow_not_found=True))
         files = sorted(i.path for i in infos
                        if i.type == pafs.FileType.File and not i.base_name.startswith((".", "_")))
         if not files:
@@ -86,6 +115,14 @@ def files_transport(options: dict):
         for f in files:
             with filesystem.open_input_stream(f) as fh:
                 parts.extend(line for line in fh.read().decode("utf-8").splitlines() if line.strip())
+        if field and params.get("modifiedDate"):
+            since = datetime.strptime(params["modifiedDate"], MARK_FORMAT)
+            bodies = [json.loads(p) for p in parts]
+            records = [r for b in bodies for r in (b.get(key) or [])]
+            fresh = [r for r in records if not r.get(field) or _not_before(r[field], since)]
+            if records and not fresh:
+                return 206, None
+            return 200, json.dumps({**bodies[0], key: fresh})
         if len(parts) == 1:
             return 200, parts[0]
         # a page captured as several JSON lines: one body with the lists joined
@@ -94,23 +131,27 @@ def files_transport(options: dict):
     return get
 
 
+def _not_before(text: str, since: datetime) -> bool:
+    try:
+        return datetime.strptime(text, MARK_FORMAT) >= since
+    except ValueError:
+        return True         # not for the transport to judge
+
+
 TRANSPORTS = {"http": http_transport, "files": files_transport}
 
 
-def fetch(get, params: dict, retries: int = 3, sleep=time.sleep, on_error=None) -> str | None:
-    """One page body, ``None`` for 204; raises after ``retries`` failed
-    attempts.  ``on_error(text)`` hears about each failed attempt that is
-    retried."""
+def fetch(get, params: dict, retries: int = 3, sleep=time.sleep, on_error=None) -> tuple[int, str | None]:
+    """Status and body of one page; raises after ``retries`` failed attempts.
+    ``on_error(text)`` hears about each failed attempt that is retried."""
     last: Exception | None = None
     for attempt in range(retries):
         try:
             status, body = get(params)
         except Exception as exc:        # network error, time-out
             status, body, last = None, None, exc
-        if status == 200:
-            return body
-        if status == 204:
-            return None
+        if status in (200, 204, 206):
+            return status, body
         if status == 401:
             raise Unauthorized(f"401 Unauthorized for page {params.get('Page')}")
         if status is not None:
@@ -122,16 +163,19 @@ def fetch(get, params: dict, retries: int = 3, sleep=time.sleep, on_error=None)
     raise ApiError(f"page {params.get('Page')} failed after {retries} attempts: {last}")
 
 
-def _has_records(body: str, probe: str) -> bool:
-    """Whether the page's list is non-empty, without parsing the body."""
-    at = body.find(probe)
-    if at < 0:
-        return False
-    rest = body[at + len(probe):].lstrip()
-    if not rest.startswith(":"):
-        return False
-    rest = rest[1:].lstrip()
-    return rest.startswith("[") and not rest[1:].lstrip().startswith("]")
+def outcome_of(status: int, body: str | None, key: str) -> tuple[str, str | None]:
+    """Outcome of an answered request, and what is wrong with it."""
+    if status == 206:
+        return "skip", None
+    if status == 204 or body is None:
+        return "end", None
+    try:
+        parsed = json.loads(body)
+    except ValueError:
+        parsed = None
+    if not isinstance(parsed, dict):
+        return "failed", "ApiError: the body is not a JSON object"
+    return ("page" if isinstance(parsed.get(key), list) and parsed[key] else "end"), None
 
 
 class PagedApiDataSource(DataSource):
@@ -148,7 +192,7 @@ class PagedApiDataSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return PagedApiReader(dict(self.options))
+        return PagedApiReader(Options(dict(self.options)))
 
 
 class PagedApiReader(DataSourceReader):
@@ -165,22 +209,23 @@ class PagedApiReader(DataSourceReader):
         get = TRANSPORTS[o.get("transport", "http")](o)
         key = o.get("dataKey", "deviceResponseData")
         retries = int(o.get("retries", 3))
-        probe = f'"{key}"'
 
         page = partition.value + 1
-        while True:
+        outcome = None
+        while outcome in (None, "page", "skip"):
             params = {"limit": int(o.get("limit", 1000)), "Page": page}
             if o.get("modifiedDate"):
                 params["modifiedDate"] = o["modifiedDate"]
             errors: list[str] = []
-            body = fetch(get, params, retries, on_error=errors.append)
+            body, error = None, None
+            try:
+                status, body = fetch(get, params, retries, on_error=errors.append)
+                outcome, error = outcome_of(status, body, key)
+            except ApiError as exc:
+                outcome, error = "failed", f"{type(exc).__name__}: {exc}"
             for err in errors:              # retried attempts, for the audit log
-                yield (page, None, err)
-            yield (page, body, None)
-            # stop at this partition's first empty page; the JVM side decides
-            # emptiness exactly, this cheap check only ends the loop
-            if body is None or not _has_records(body, probe):
-                return
+                yield (page, "retry", None, err)
+            yield (page, outcome, body, error)
             page += n
 
 
@@ -196,29 +241,28 @@ def register(spark) -> None:
 
 
 def page_records(pages, data_key: str = "deviceResponseData"):
-    """``(page, body)`` -> ``(page, position, record)``; a page without
-    records (no body, no list, empty list) gives one ``(page, -1, NULL)`` end
-    marker; a body that is not a JSON object raises."""
-    from pyspark.sql import functions as F
-
-    # a body that is not a JSON object (an HTML error page, a cut-off reply)
-    # fails the run; only a missing or empty list means "no more data"
-    if "error" in pages.columns:
-        pages = pages.where(F.col("error").isNull())  # attempt records are not pages
-    malformed = F.col("body").isNotNull() & F.json_object_keys("body").isNull()
-    records = F.when(malformed, F.raise_error(F.concat(F.lit("page "), F.col("page").cast("string"),
-                                                        F.lit(" is not a JSON object"))))
-    records = records.otherwise(F.from_json("body", f"struct<`{data_key}`: array<string>>")[data_key])
-    exploded = pages.select("page", F.posexplode_outer(records).alias("position", "record"))
-    return exploded.select("page", F.coalesce("position", F.lit(-1)).alias("position"), "record")
-
-
-def until_first_empty(records):
-    """Records of the pages before the first empty page over all partitions.
-    The cut is one global ``min`` (one row, broadcast)."""
+    """Landed outcome rows -> ``(page, position, record)`` of the pages before
+    the first end over all partitions, which is what one sequential loop would
+    have read.  Splitting is done on the JVM: ``from_json`` into
+    ``array<string>`` keeps each record as its JSON text.  The cut is one
+    global ``min`` (one row, broadcast)."""
     from pyspark.sql import functions as F
 
-    stop = records.where(F.col("position") < 0).agg(F.min("page").alias("_stop"))
-    data = records.where(F.col("position") >= 0)
+    records = F.from_json("body", f"struct<`{data_key}`: array<string>>")[data_key]
+    data = pages.where(F.col("outcome") == "page").select("page", F.posexplode(records).alias("position", "record"))
+    stop = pages.where(F.col("outcome") == "end").agg(F.min("page").alias("_stop"))
     return (data.join(F.broadcast(stop), F.col("_stop").isNull() | (F.col("page") < F.col("_stop")))
             .drop("_stop"))
+
+
+def stopped_by(pages) -> str | None:
+    """What keeps the landed pages from being complete: the first failure on a
+    page before the first end.  Failures past the end do not matter, a
+    sequential loop would never have asked for those pages."""
+    from pyspark.sql import functions as F
+
+    row = pages.agg(F.min(F.when(F.col("outcome") == "end", F.col("page"))).alias("end"),
+                    F.min(F.when(F.col("outcome") == "failed", F.struct("page", "error"))).alias("failed")).first()
+    if row["failed"] is None or (row["end"] is not None and row["end"] < row["failed"]["page"]):
+        return None
+    return f"page {row['failed']['page']}: {row['failed']['error']}"

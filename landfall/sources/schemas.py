@@ -9,36 +9,38 @@ from scratch.  ``apply_hints`` overrides or adds fields from a DDL string, e.g.
 from __future__ import annotations
 
 import json
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from landfall import fs
 
 
 class SchemaMemory:
-    """``schema.json`` plus ``inferred_through``: the newest file modification
-    time (epoch ms) already seen by inference, so later runs only sample files
-    that arrived after it."""
+    """``schema.json``, and in ``inferred`` the files (path, time and length)
+    that inference has seen, so that a later run infers from all others --
+    whatever their time stamps say."""
 
     def __init__(self, spark: SparkSession, location: str):
         self.spark = spark
         self.path = f"{location.rstrip('/')}/schema.json"
-        self.mark = f"{location.rstrip('/')}/inferred_through"
+        self.inferred = f"{location.rstrip('/')}/inferred"
 
     def load(self) -> T.StructType | None:
         text = fs.read_text(self.spark, self.path)
         return T.StructType.fromJson(json.loads(text)) if text else None
 
-    def inferred_through(self) -> int | None:
-        text = fs.read_text(self.spark, self.mark)
-        return int(text) if text else None
+    def unseen(self, files: DataFrame) -> DataFrame:
+        if not fs.list_names(self.spark, self.inferred):
+            return files
+        return files.join(self.spark.read.schema(files.schema).parquet(f"{self.inferred}/*"), files.columns, "left_anti")
 
-    def save(self, schema: T.StructType, inferred_through: int | None = None) -> None:
+    def save(self, schema: T.StructType, files: DataFrame | None = None) -> None:
         if self.load() != schema:
             fs.write_text(self.spark, self.path, schema.json())
-        if inferred_through is not None:
-            fs.write_text(self.spark, self.mark, str(inferred_through))
+        if files is not None:
+            files.write.parquet(f"{self.inferred}/{uuid.uuid4().hex[:12]}")
 
 
 def apply_hints(schema: T.StructType, hints: str | None) -> T.StructType:

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from landfall import fs
-from landfall.tables import Commit, CommitConflict, Table, evolve_schema
+from landfall.tables import RETAIN_HOURS, Commit, CommitConflict, Table, evolve_schema
 
 BatchHook = Callable[[DataFrame, int], None]
 
@@ -73,10 +73,10 @@ def write_batch(df: DataFrame, path: str) -> None:
 
 
 def publish(table: Table, segment: str, schema, *, replace: bool, empty_run: str = "clear",
-            properties: dict | None = None, keep_commits: int = 10) -> Commit | None:
+            properties: dict | None = None, retain_hours: float = RETAIN_HOURS) -> Commit | None:
     """Make ``segment`` visible.  ``empty_run="keep"`` leaves a snapshot table
     as it was when the run staged no batch.  Segments replaced more than
-    ``keep_commits`` commits ago are vacuumed."""
+    ``retain_hours`` ago are vacuumed."""
     spark = table.spark
     seg_path = table.segment_path(segment)
     staged = [n for n in fs.list_names(spark, seg_path) if n.startswith("batch-")]
@@ -92,16 +92,15 @@ def publish(table: Table, segment: str, schema, *, replace: bool, empty_run: str
         segments = [segment] if replace else (list(current.segments) if current else []) + [segment]
         props = dict(current.properties) if current else {}
         for k, v in (properties or {}).items():
-            # list properties (e.g. the ledger's committed runs) accumulate
-            old = props.get(k)
-            props[k] = old + [x for x in v if x not in old] if isinstance(v, list) and isinstance(old, list) else v
+            # several feeds may load one table: each has its entry in a mapping
+            props[k] = {**props.get(k, {}), **v} if isinstance(v, dict) else v
         try:
             commit = table.commit(segments, new_schema, props, expected=current)
             break
         except CommitConflict:
             if attempt + 1 == attempts:
                 raise
-    table.vacuum(keep_commits)
+    table.vacuum(retain_hours)
     return commit
 
 

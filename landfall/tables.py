@@ -8,15 +8,15 @@ nothing is visible until a commit record names it::
 
 Readers take the highest commit, so publishing a run -- a truncate-and-load
 snapshot, an append, a schema change -- is one exclusive file creation, and a
-load that dies half-way leaves the published table untouched.  This is the
-atomic "swap the location" step a catalog would do with ``ALTER TABLE ... SET
-LOCATION``; schema evolution is the ``ALTER TABLE ... ADD COLUMNS`` step
-(older segments read the new columns as NULL).
+load that dies half-way leaves the published table untouched.
+:mod:`landfall.catalog` makes the published state a catalog table.
 """
 
 from __future__ import annotations
 
 import json
+import re
+import time
 import uuid
 from dataclasses import dataclass, field
 
@@ -26,6 +26,8 @@ from pyspark.sql import types as T
 from landfall import fs
 
 COMMITS = "_commits"
+SEGMENT_NAME = re.compile(r"[a-z]+-[0-9a-f]{16}")
+RETAIN_HOURS = 168.0         # how long a replaced commit stays readable
 
 
 class SchemaConflict(ValueError):
@@ -103,12 +105,9 @@ class Table:
 
     def _load(self, version: int) -> Commit | None:
         text = fs.read_text(self.spark, self._commit_path(version))
-        try:
-            body = json.loads(text) if text else None
-        except json.JSONDecodeError:
-            body = None              # still being written: not committed yet
-        if body is None:
+        if text is None:             # removed meanwhile
             return None
+        body = json.loads(text)
         schema = T.StructType.fromJson(body["schema"]) if body.get("schema") else None
         return Commit(version, body["segments"], schema, body.get("properties", {}))
 
@@ -132,30 +131,15 @@ class Table:
         """Publish ``segments`` as the table's contents.  ``expected`` is the
         commit the caller read; another writer having committed since is a
         conflict rather than a silent lost update."""
-        version = self._next_version(expected)
+        version = (expected.version if expected else 0) + 1
+        if any(v >= version for v in self._versions()):
+            raise CommitConflict(f"concurrent commit to {self.location} (version {version} exists)")
         body = {"segments": segments, "schema": json.loads(schema.json()),
                 "properties": properties if properties is not None else (expected.properties if expected else {})}
         if not fs.write_text(self.spark, self._commit_path(version), json.dumps(body), overwrite=False):
             raise CommitConflict(f"concurrent commit to {self.location} (version {version} exists)")
         return Commit(version, segments, schema, body["properties"])
 
-    def _next_version(self, expected: Commit | None, abandoned_after_ms: int = 60_000) -> int:
-        """Version after ``expected``.  A later commit that reads back is a
-        conflict; a later file that does not parse is a commit still being
-        written (a conflict too) unless it is older than
-        ``abandoned_after_ms`` -- its writer died mid-write and it is skipped."""
-        import time
-
-        base = expected.version if expected else 0
-        later = [v for v in self._versions() if v > base]
-        for v in later:
-            if self._load(v) is not None:
-                raise CommitConflict(f"concurrent commit to {self.location} (version {v} exists)")
-            status = fs.file_status(self.spark, self._commit_path(v))
-            if status is not None and time.time() * 1000 - status[1] < abandoned_after_ms:
-                raise CommitConflict(f"commit {v} to {self.location} is being written")
-        return (max(later) if later else base) + 1
-
     def create(self, schema: T.StructType, properties: dict | None = None) -> Commit:
         """Create the table empty (no-op when it exists)."""
         c = self.latest()
@@ -187,31 +171,32 @@ class Table:
             raise FileNotFoundError(f"no table at {self.location}")
         return self.commit([], c.schema, expected=c)
 
-    def compact(self, max_segments: int = 64) -> Commit | None:
-        """Rewrite the table into one segment once it has more than
-        ``max_segments`` (append-mode tables grow one segment per load).  The
-        rewrite reads and writes in parallel; nothing passes the driver."""
-        c = self.latest()
-        if c is None or len(c.segments) <= max_segments:
-            return None
-        seg = self.new_segment("compact")
-        self.read().write.mode("overwrite").parquet(f"{self.segment_path(seg)}/batch-{0:012d}")
-        return self.commit([seg], c.schema, expected=c)
-
-    def vacuum(self, keep_commits: int = 10) -> list[str]:
-        """Delete segment folders no longer named by any of the last
-        ``keep_commits`` commits, and the older commit records.  Readers that
-        planned against one of the kept commits are unaffected."""
+    def vacuum(self, retain_hours: float = RETAIN_HOURS) -> list[str]:
+        """Delete what no reader can still use: commits replaced more than
+        ``retain_hours`` ago, and segment folders that only those name.  A
+        reader that planned against a commit has that long to finish."""
         versions = self._versions()
-        if len(versions) <= keep_commits:
-            return []
-        kept = [self._load(v) for v in versions[-keep_commits:]]
-        live = {seg for c in kept if c is not None for seg in c.segments}
-        older = [self._load(v) for v in versions[:-keep_commits]]
-        dead = sorted({seg for c in older if c is not None for seg in c.segments} - live)
+        cut = time.time() * 1000 - retain_hours * 3_600_000
+        # a commit was replaced when its successor was written
+        dead_versions = []
+        for v, after in zip(versions, versions[1:]):
+            status = fs.file_status(self.spark, self._commit_path(after))
+            if status is None or status[1] > cut:
+                break
+            dead_versions.append(v)
+        names = lambda vs: {seg for c in map(self._load, vs) if c is not None for seg in c.segments}
+        live = names(versions[len(dead_versions):])
+        dead = sorted(names(dead_versions) - live)
+        # folders of runs that failed: named by no commit and as old
+        tops = {seg.split("/")[0] for seg in live} | {seg.split("/")[0] for seg in dead}
+        for name in fs.list_names(self.spark, self.location):
+            if SEGMENT_NAME.fullmatch(name) and name not in tops:
+                status = fs.file_status(self.spark, self.segment_path(name))
+                if status is not None and status[1] < cut:
+                    dead.append(name)
         for seg in dead:
             fs.delete(self.spark, self.segment_path(seg))
-        for v in versions[:-keep_commits]:
+        for v in dead_versions:
             fs.delete(self.spark, self._commit_path(v), recursive=False)
         return dead
 

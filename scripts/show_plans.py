@@ -16,6 +16,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 from landfall import scenarios as S  # noqa: E402
+from landfall.session import session_conf
 from landfall.fixtures import sf_table, stage_files  # noqa: E402
 from landfall.operators import merge as M  # noqa: E402
 from landfall.plans.api_job import api_frame  # noqa: E402
@@ -69,7 +70,7 @@ def main() -> None:
     tgt = conform(t.read().withColumn(M.BUCKET, M.bucket_of(["k"], 16)), stored).repartition(16, M.BUCKET)
     merged = M.merge_frames(tgt, src_b.repartition(16, M.BUCKET), ["k"], run_ts="2024-02-01",
                             extra_join=[M.BUCKET], split_nulls=False)
-    with M._conf(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+    with session_conf(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
         section("Merge: both sides by bucket, full outer join on (bucket, key), no further exchange", merged)
 
 

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 
 from landfall.operators.watermark import column_max, high_watermark
-from landfall.plans.api_job import watermark_text
+from landfall.plans.api_job import initial_text
 from landfall.plans.audit import AuditLog, audited_run
 
 
@@ -40,14 +40,29 @@ def test_zero_duration_is_stored_as_zero(spark, area):
     log = AuditLog(spark, f"{area}/audit")
     t = datetime(2024, 1, 1)
     log.log(run_id="r", start_time=t, end_time=t, run_status="SUCCESS")
-    assert log.read().first().duration_sec == "0.0"
+    assert log.read().first().duration_sec == "0.000000"
 
 
-def test_watermark_text_and_initial_value():
-    assert watermark_text(datetime(2024, 1, 2, 3, 4, 5), None) == "01/02/2024 03:04:05"
-    assert watermark_text(None, "01/02/2024") == "01/02/2024 00:00:00"
-    with pytest.raises(ValueError):
-        watermark_text(None, None)
+def test_watermark_text_and_initial_value(spark, area):
+    log = AuditLog(spark, f"{area}/audit")
+    assert log.watermark_text("o", "s") is None
+    log.append(spark.sql("SELECT 'r' AS run_id, 'o' AS object_name, 's' AS source_name, 'SUCCESS' AS run_status, "
+                         "timestamp '2024-01-02 03:04:05' AS latest_update_dt, timestamp '2024-01-02' AS start_time, "
+                         "timestamp '2024-06-02' AS end_time"))
+    assert log.watermark_text("o", "s") == "01/02/2024 03:04:05"
+    assert log.read().first().duration_sec == "13132800.000000"         # no exponent, however long
+    assert initial_text("01/02/2024") == "01/02/2024 00:00:00"
+    for bad in (None, "2024-01-02"):
+        with pytest.raises(ValueError):
+            initial_text(bad)
+
+
+def test_error_text_is_logged_whole(spark, area):
+    log = AuditLog(spark, f"{area}/audit")
+    with pytest.raises(RuntimeError):
+        with audited_run(log, object_name="o", source_name="s"):
+            raise RuntimeError("x" * 5000 + " the end")
+    assert log.read().first().log_step.endswith("the end")
 
 
 def test_high_watermark_and_dynamic_column(spark):

@@ -20,7 +20,7 @@ def _feeds(spark):
 
 def test_feed_config_lookup(spark):
     cfg = FeedConfig.load(_feeds(spark), "1")
-    assert cfg.input_path == "/in/a" and cfg.table_name == "cat.sch.a"
+    assert cfg.input_path == "/in/a" and cfg.table_name == "sch.a"
     with pytest.raises(ConfigNotFound):
         FeedConfig.load(_feeds(spark), "9")
     with pytest.raises(ValueError):          # two rows: the pick would be arbitrary

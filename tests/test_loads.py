@@ -132,16 +132,6 @@ def test_ledger_mode_keeps_rescue_column(spark, area):
     assert "_rescued_data" in j.table.read().columns and j.table.read().count() == 0
 
 
-def test_batches_of_caps_files_and_bytes():
-    from collections import namedtuple
-
-    from landfall.plans.file_jobs import batches_of
-    F_ = namedtuple("F_", "path length")
-    files = [F_(str(i), n) for i, n in enumerate([5, 5, 5, 20, 1, 1, 1])]
-    assert [[f.path for f in g] for g in batches_of(files, 3, None)] == [["0", "1", "2"], ["3", "4", "5"], ["6"]]
-    assert [[f.path for f in g] for g in batches_of(files, 10, 10)] == [["0", "1"], ["2"], ["3"], ["4", "5", "6"]]
-
-
 @pytest.mark.parametrize("crash_at", [0, 3])
 def test_crash_at_first_or_last_batch(spark, area, crash_at):
     for i in range(4):

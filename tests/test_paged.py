@@ -24,11 +24,11 @@ class Fake:
 
 def test_fetch_status_rules():
     sleeps = []
-    assert fetch(Fake([(200, "body")]), {"Page": 1}, sleep=sleeps.append) == "body"
-    assert fetch(Fake([(204, None)]), {"Page": 1}, sleep=sleeps.append) is None
+    assert fetch(Fake([(200, "body")]), {"Page": 1}, sleep=sleeps.append) == (200, "body")
+    assert fetch(Fake([(204, None)]), {"Page": 1}, sleep=sleeps.append) == (204, None)
     f = Fake([(500, None), (TimeoutError("t"),), (200, "ok")])
     f.replies[1] = TimeoutError("slow")
-    assert fetch(f, {"Page": 1}, sleep=sleeps.append) == "ok"
+    assert fetch(f, {"Page": 1}, sleep=sleeps.append) == (200, "ok")
     assert sleeps == [1, 2]
 
 
@@ -62,17 +62,58 @@ def test_empty_first_page_gives_no_rows(spark, area):
     assert df.count() == 0
 
 
-def test_body_probe_and_jvm_split(spark):
-    from landfall.sources.paged import _has_records, page_records
+def test_outcomes_and_jvm_split(spark):
+    from landfall.sources.paged import SCHEMA, outcome_of, page_records
 
-    probe = '"deviceResponseData"'
-    assert _has_records('{"deviceResponseData": [{"a": 1}]}', probe)
-    assert not _has_records('{"deviceResponseData": [ ]}', probe)
-    assert not _has_records('{"other": [1]}', probe)
-    df = spark.createDataFrame([(1, '{"deviceResponseData": [{"a": 1}, {"b": {"c": 2}}]}'), (2, None)],
-                               "page INT, body STRING")
+    key = "deviceResponseData"
+    for body, outcome in (('{"deviceResponseData": [{"a": 1}]}', "page"), ('{"deviceResponseData": [ ]}', "end"), ('{"other": [1]}', "end"),
+                          ('{"deviceResponseData": null}', "end"), (None, "end"), ("<html>oops</html>", "failed"), ("[1]", "failed"),
+                          ('{"deviceResponseData": [{"a": 1}, {"b"', "failed"),
+                          ('{"source": "deviceResponseData", "deviceResponseData": [1]}', "page"),
+                          ('{"x": {"deviceResponseData": []}, "deviceResponseData": [1]}', "page"),
+                          ('{"x": {"deviceResponseData": [1]}, "deviceResponseData": []}', "end")):
+        assert outcome_of(200, body, key)[0] == outcome, body
+    df = spark.createDataFrame([(1, "page", '{"deviceResponseData": [{"a": 1}, {"b": {"c": 2}}]}', None), (2, "end", None, None),
+                                (3, "page", '{"deviceResponseData": [{"late": 1}]}', None)], SCHEMA)
     got = sorted((r.page, r.position, r.record) for r in page_records(df).collect())
-    assert got == [(1, 0, '{"a":1}'), (1, 1, '{"b":{"c":2}}'), (2, -1, None)]
+    assert got == [(1, 0, '{"a":1}'), (1, 1, '{"b":{"c":2}}')]
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 4])
+def test_pages_that_carry_the_key_elsewhere_are_all_read(spark, area, partitions):
+    """The key as a value, nested, escaped and twice: no page is taken for an empty one."""
+    bodies = ['{"source":"deviceResponseData","deviceResponseData":[%s]}', '{"meta":{"deviceResponseData":[]},"deviceResponseData":[%s]}',
+              '{"note":"\\"deviceResponseData\\": []","deviceResponseData":[%s]}', '{"deviceResponseData" :\t[ %s ]}']
+    for p in range(1, 13):
+        records = ",".join(json.dumps({"mendixUID": f"{p}-{i}"}) for i in range(5))
+        write(f"{area}/pages/page={p}/part-0.json", bodies[p % 4] % records + "\n")
+    df = read_pages(spark, {"transport": "files", "path": f"{area}/pages", "numPartitions": partitions})
+    assert df.count() == 60
+
+
+def test_failures_before_the_end_stop_the_job_and_later_ones_do_not(spark, area):
+    from landfall.plans.api_job import FetchFailed, land_pages
+    from landfall.sources.paged import stopped_by
+
+    _pages(area, [2, 2, 2, 0])
+    opts = {"transport": "files", "path": f"{area}/pages", "numPartitions": 2, "retries": 2}
+    with pytest.raises(FetchFailed, match="page 3"):
+        read_pages(spark, {**opts, "failPages": "3:2"})
+    landed = land_pages(spark, {**opts, "failPages": "3:1"}, f"{area}/landed")
+    assert stopped_by(landed) is None
+    assert [(r.page, r.error) for r in landed.where("outcome = 'retry'").collect()] == [(3, "attempt 1: ApiError: HTTP 503 for page 3")]
+    write(f"{area}/pages/page=6/part-0.json", "not json")
+    write(f"{area}/pages/page=5/part-0.json", '{"deviceResponseData": [{"a": 1}]}')
+    assert read_pages(spark, {**opts, "numPartitions": 3}).count() == 6      # page 6 is past the end
+
+
+def test_records_before_the_mark_are_skipped_without_ending_paging(spark, area):
+    for p, days in enumerate([(1, 2), (1, 1), (3, 4)], start=1):
+        recs = [{"mendixUID": f"{p}-{d}", "modifiedDate": f"01/0{d}/2024 00:00:00"} for d in days]
+        write(f"{area}/pages/page={p}/part-0.json", json.dumps({"deviceResponseData": recs}))
+    df = read_pages(spark, {"transport": "files", "path": f"{area}/pages", "numPartitions": 1, "modifiedField": "modifiedDate",
+                            "modifiedDate": "01/02/2024 00:00:00"})
+    assert sorted(json.loads(r.record)["mendixUID"] for r in df.collect()) == ["1-2", "3-3", "3-4"]
 
 
 def test_http_transport_builds_request_and_maps_errors(monkeypatch):
@@ -111,38 +152,35 @@ def test_http_transport_builds_request_and_maps_errors(monkeypatch):
     assert get({"limit": 1000, "Page": 9}) == (500, None)
 
 
-def test_malformed_body_fails_instead_of_ending_paging(spark):
-    from landfall.sources.paged import page_records
+def test_malformed_body_fails_instead_of_ending_paging(spark, area):
+    from landfall.plans.api_job import FetchFailed
 
-    ok = spark.createDataFrame([(1, '{"other": 1}'), (2, '{"deviceResponseData": null}')], "page INT, body STRING")
-    assert sorted((r.page, r.position) for r in page_records(ok).collect()) == [(1, -1), (2, -1)]
-    for body in ("<html>oops</html>", '{"deviceResponseData": [{"a": 1}, {"b"'):
-        bad = spark.createDataFrame([(1, body)], "page INT, body STRING")
-        with pytest.raises(Exception, match="not a JSON object"):
-            page_records(bad).collect()
+    for i, body in enumerate(("<html>oops</html>", '{"deviceResponseData": [{"a": 1}, {"b"')):
+        write(f"{area}/{i}/page=1/part-0.json", body)
+        with pytest.raises(FetchFailed, match="not a JSON object"):
+            read_pages(spark, {"transport": "files", "path": f"{area}/{i}"})
 
 
 def test_retried_attempts_are_reported_and_audited(spark, area):
     from landfall.plans.api_job import attempt_rows
     from landfall.plans.audit import AuditLog
-    from landfall.sources.paged import page_records
+    from landfall.sources.paged import SCHEMA, page_records
 
     errs = []
     f = Fake([(500, None), (503, None), (200, "ok")])
-    assert fetch(f, {"Page": 4}, sleep=lambda s: None, on_error=errs.append) == "ok"
+    assert fetch(f, {"Page": 4}, sleep=lambda s: None, on_error=errs.append) == (200, "ok")
     assert errs == ["attempt 1: ApiError: HTTP 500 for page 4", "attempt 2: ApiError: HTTP 503 for page 4"]
     errs.clear()
     with pytest.raises(ApiError):
         fetch(Fake([(500, None)] * 3), {"Page": 1}, sleep=lambda s: None, on_error=errs.append)
     assert len(errs) == 2                                   # the last failure raises instead
 
-    raw = spark.createDataFrame([(1, None, "attempt 1: ApiError: HTTP 500 for page 1"),
-                                 (1, '{"deviceResponseData": [{"a": 1}]}', None), (2, None, None)],
-                                "page INT, body STRING, error STRING")
-    assert sorted((r.page, r.position) for r in page_records(raw).collect()) == [(1, 0), (2, -1)]
+    raw = spark.createDataFrame([(1, "retry", None, "attempt 1: ApiError: HTTP 500 for page 1"),
+                                 (1, "page", '{"deviceResponseData": [{"a": 1}]}', None), (2, "end", None, None)], SCHEMA)
+    assert sorted((r.page, r.position) for r in page_records(raw).collect()) == [(1, 0)]
     log = AuditLog(spark, f"{area}/audit")
     log.append(attempt_rows(raw, "run-1", {"object_id": 3, "object_name": "device", "source_name": "mdx",
                                            "job_id": None, "job_name": None, "notebook_name": None}))
     r = log.read().first()
     assert (r.run_status, r.object_name, r.latest_update_dt) == ("FAILURE", "device", None)
-    assert r.log_step == "API_REQUEST page 1 attempt 1: ApiError: HTTP 500 for page 1"
+    assert r.log_step == "REQUEST of page 1: attempt 1: ApiError: HTTP 500 for page 1"

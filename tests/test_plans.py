@@ -6,6 +6,7 @@ import io
 from pyspark.sql import functions as F
 
 from conftest import write
+from landfall.session import session_conf
 from landfall.operators import merge as M
 from landfall.plans.file_jobs import NESTED_HINT, nested_json_transform, tsv_transform
 from landfall.sources.files import FileSource
@@ -60,7 +61,7 @@ def test_merge_join_has_one_exchange_per_side(spark, area):
     tgt = conform(t.read().withColumn(M.BUCKET, M.bucket_of(["k"], 4)), stored).repartition(4, M.BUCKET)
     s = src.withColumn(M.BUCKET, M.bucket_of(["k"], 4)).repartition(4, M.BUCKET)
     merged = M.merge_frames(tgt, s, ["k"], extra_join=[M.BUCKET], split_nulls=False)
-    with M._conf(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+    with session_conf(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
         p = plan(merged)
     assert nodes(p, "Exchange") == 2
     assert nodes(p, "SortMergeJoin") == 1 and "BroadcastExchange" not in p

@@ -39,34 +39,38 @@ def test_concurrent_commit_is_refused(spark, area):
         t.commit([], c.schema, expected=c)
 
 
-def test_compact_merges_segments(spark, area):
-    t = Table(spark, f"{area}/t")
-    schema = T.StructType.fromDDL("x INT")
-    for i in range(5):
-        seg = t.new_segment()
-        write_batch(spark.createDataFrame([(i,)], schema), f"{t.segment_path(seg)}/batch-0")
-        publish(t, seg, schema, replace=False)
-    assert len(t.latest().segments) == 5
-    assert t.compact(max_segments=3) is not None
-    assert len(t.latest().segments) == 1
-    assert sorted(r.x for r in t.read().collect()) == [0, 1, 2, 3, 4]
-
-
-def test_vacuum_removes_replaced_segments_and_skips_torn_commit(spark, area):
+def test_vacuum_keeps_what_a_reader_may_still_use(spark, area):
+    """However many runs follow, a replaced commit stays for its time; then it goes, and so do failed runs' folders."""
     import os
+    import time
 
     t = Table(spark, f"{area}/t")
     schema = T.StructType.fromDDL("x INT")
     for i in range(4):
         seg = t.new_segment()
         write_batch(spark.createDataFrame([(i,)], schema), f"{t.segment_path(seg)}/batch-0")
-        publish(t, seg, schema, replace=True, keep_commits=2)
-    segs = [d for d in os.listdir(f"{area}/t") if d.startswith("run-")]
-    assert len(segs) == 2 and len([n for n in os.listdir(f"{area}/t/_commits") if n.endswith(".json")]) == 2
-    assert [r.x for r in t.read().collect()] == [3]
-    with open(f"{area}/t/_commits/{t.latest().version + 1:012d}.json", "w") as fh:
-        fh.write('{"segments": [')                      # a commit still being written
-    assert [r.x for r in t.read().collect()] == [3]
+        publish(t, seg, schema, replace=True)
+    folders = lambda: sorted(d for d in os.listdir(f"{area}/t") if d.startswith("run-"))
+    commits = lambda: sorted(n for n in os.listdir(f"{area}/t/_commits") if n.endswith(".json"))
+    assert len(folders()) == 4 and len(commits()) == 4
+    failed = t.new_segment()
+    write_batch(spark.createDataFrame([(9,)], schema), f"{t.segment_path(failed)}/batch-0")
+    old = time.time() - 10 * 86400
+    for name in commits()[:3]:                          # the first two were replaced long ago
+        os.utime(f"{area}/t/_commits/{name}", (old, old))
+    t.vacuum()
+    assert len(folders()) == 3 and failed in folders() and len(commits()) == 2
+    os.utime(f"{area}/t/{failed}", (old, old))
+    t.vacuum()
+    assert len(folders()) == 2 and [r.x for r in t.read().collect()] == [3]
+
+
+def test_commit_appears_whole_and_only_once(spark, area):
+    from landfall import fs
+
+    assert fs.write_text(spark, f"{area}/c/1.json", "first", overwrite=False)
+    assert not fs.write_text(spark, f"{area}/c/1.json", "second", overwrite=False)
+    assert fs.read_text(spark, f"{area}/c/1.json") == "first" and fs.list_names(spark, f"{area}/c") == ["1.json"]
 
 
 def test_publish_conflict_then_retry_keeps_staged_rows(spark, area):
@@ -110,33 +114,14 @@ def test_append_publish_retries_after_a_lost_race(spark, area):
     def racing_commit(segments, schema_, props=None, expected=None):
         calls.append(1)
         if len(calls) == 1:                   # another writer wins the first time
-            real([segs[0]], schema_, {"ledger_runs": ["other"]}, expected=expected)
+            real([segs[0]], schema_, {"ledger_runs": {"a": "other"}}, expected=expected)
             raise CommitConflict("lost the race")
         return real(segments, schema_, props, expected=expected)
 
     t.commit = racing_commit
-    publish(t, segs[1], schema, replace=False, properties={"ledger_runs": ["mine"]})
+    publish(t, segs[1], schema, replace=False, properties={"ledger_runs": {"b": "mine"}})
     c = t.latest()
-    assert c.segments == [segs[0], segs[1]] and c.properties["ledger_runs"] == ["other", "mine"]
-
-
-def test_abandoned_torn_commit_does_not_block_writers(spark, area):
-    import os
-    import time
-
-    from landfall.tables import CommitConflict
-
-    t = Table(spark, f"{area}/t")
-    c = t.create(T.StructType.fromDDL("x INT"))
-    torn = f"{area}/t/_commits/{c.version + 1:012d}.json"
-    with open(torn, "w") as fh:
-        fh.write('{"segments": [')
-    with pytest.raises(CommitConflict):                 # fresh: maybe still being written
-        t.commit([], c.schema, expected=t.latest())
-    old = time.time() - 3600
-    os.utime(torn, (old, old))
-    new = t.commit([], c.schema, expected=t.latest())    # abandoned: skipped
-    assert new.version == c.version + 2 and t.latest().version == new.version
+    assert c.segments == [segs[0], segs[1]] and c.properties["ledger_runs"] == {"a": "other", "b": "mine"}
 
 
 from hypothesis import given, settings
