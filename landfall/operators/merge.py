@@ -23,7 +23,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,15 +55,12 @@ def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataF
     """One row per key: the one with the greatest ``order_by`` tuple (e.g.
     ``page, position`` -- the later page wins, as page-by-page merges would
     leave it).  ``order_by`` must order rows totally.  NULL-key rows are all
-    kept: they are grouped by their own ``order_by`` tuple, so the input is
-    read once in a single aggregation.  ``max_by`` is a partial aggregate, so
-    a hot key is reduced map-side before the shuffle."""
-    payload = [c for c in df.columns if c not in keys]
-    solo = F.when(~_all_not_null(keys), F.struct(*order_by)).alias("_solo")
-    return (df.groupBy(*keys, solo)
-            .agg(F.max_by(F.struct(*payload), F.struct(*order_by)).alias("_w"))
-            .select(*keys, "_w.*")
-            .select(*df.columns))
+    kept: each is a group of its own ``order_by`` tuple.  ``row_number() = 1``
+    becomes a group limit before the shuffle, so a hot key is reduced map-side,
+    and columns that the caller does not select are never read."""
+    solo = F.when(~_all_not_null(keys), F.struct(*order_by))
+    w = Window.partitionBy(*keys, solo).orderBy(*[F.col(c).desc() for c in order_by])
+    return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") == 1).drop("_rank")
 
 
 def changed_rows(target: DataFrame, source: DataFrame, keys: list[str], compare: list[str]) -> DataFrame:

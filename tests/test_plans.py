@@ -45,10 +45,11 @@ def test_nested_flatten_is_a_single_generate_without_shuffle(spark, area):
     assert "other" not in read_schema
 
 
-def test_latest_per_key_aggregates_partially_before_the_shuffle(spark):
-    df = spark.createDataFrame([(1, "a", 1, 0)], "k INT, v STRING, page INT, position INT")
-    p = plan(M.latest_per_key(df, ["k"], ["page", "position"]))
-    assert nodes(p, "Exchange") == 1 and "partial_max_by" in p
+def test_latest_per_key_is_limited_before_the_shuffle_and_pruned(spark, area):
+    spark.createDataFrame([(1, "a", "b", 1, 0)], "k INT, v STRING, unused STRING, page INT, position INT").write.parquet(f"{area}/t")
+    p = plan(M.latest_per_key(spark.read.parquet(f"{area}/t"), ["k"], ["page", "position"]).select("k", "v"))
+    assert nodes(p, "Exchange") == 1 and p.count("Partial") >= 1 and nodes(p, "WindowGroupLimit") == 2
+    assert "unused" not in [line for line in p.splitlines() if line.startswith("ReadSchema")][0]
 
 
 def test_merge_join_has_one_exchange_per_side(spark, area):
