@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from landfall.llm import bytebpe, decontam, jaccard, langid, suffix
 from landfall.llm.common import Workspace, semi, ship, table
 
+#: How far the best language must be ahead of the next (shares of the soft minimum).
+MIN_LEAD = 0.05
 SHINGLE_WORDS, SIMILARITY = 5, (80, 100)
 REPEAT_BYTES = 300
 WINDOW, MAX_COVERAGE = 10, 0.5
@@ -52,7 +54,7 @@ def filtering(stage: Stage) -> Stage:
 
 @filtering
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = langid.identify(spark, docs, langid.train(docs))
+    found = langid.identify(spark, docs, langid.train(docs), min_lead=MIN_LEAD)
     sure = found.where((F.col("lang_pred") != langid.UNKNOWN) & ~F.col("ambiguous"))
     return sure.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
 
