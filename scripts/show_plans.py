@@ -16,14 +16,13 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 from landfall import scenarios as S  # noqa: E402
-from landfall.session import session_conf
 from landfall.fixtures import sf_table, stage_files  # noqa: E402
 from landfall.operators import merge as M  # noqa: E402
 from landfall.plans.api_job import api_frame  # noqa: E402
 from landfall.plans.file_jobs import NESTED_HINT, nested_json_transform, tsv_transform  # noqa: E402
-from landfall.session import build_session, scratch  # noqa: E402
+from landfall.session import build_session, scratch, session_conf  # noqa: E402
 from landfall.sources.files import FileSource  # noqa: E402
-from landfall.sources.ledger import FileLedger  # noqa: E402
+from landfall.sources.ledger import FileLedger, listing  # noqa: E402
 from landfall.tables import Table, conform  # noqa: E402
 
 
@@ -52,14 +51,15 @@ def main() -> None:
     section("Nested JSON job: inline flatten", nested_json_transform("2024-01-01")(n.batch(spark)))
 
     ledger = FileLedger(spark, f"{area}/ledger")
-    ledger.record(ledger.listing(f"{area}/tsv", "*.tsv"), "run-0")
+    ledger.record(listing(spark, f"{area}/tsv", "*.tsv"), "run-0", 1)
+    ledger.settle("run-0")
     section("Changed-file discovery: binaryFile listing anti-joined with the ledger",
-            ledger.changed(f"{area}/tsv", "*.tsv", ["run-0"]))
+            ledger.changed(f"{area}/tsv", "*.tsv"))
 
     S.stage_pages(spark, sf, f"{area}/pages")
     frame = api_frame(spark, {"transport": "files", "path": f"{area}/pages", "numPartitions": 4},
                       stage_path=f"{area}/landed")
-    section("Paged API: landed records -> last page wins per key (max_by)", frame)
+    section("Paged API: landed records -> last page wins per key (group limit)", frame)
 
     orders = sf_table(spark, sf, "orders").withColumnRenamed("o_orderkey", "k")
     t = Table(spark, f"{area}/target")
@@ -72,6 +72,12 @@ def main() -> None:
                             extra_join=[M.BUCKET], split_nulls=False)
     with session_conf(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
         section("Merge: both sides by bucket, full outer join on (bucket, key), no further exchange", merged)
+        print("\n===== Merge, written: one file for each touched bucket =====")
+        merged.createOrReplaceTempView("merged")
+        print(spark.sql(f"EXPLAIN FORMATTED INSERT OVERWRITE DIRECTORY '{area}/out' USING parquet SELECT * FROM merged").collect()[0][0])
+    tsv_transform("2024-01-01")(src.batch(spark)).createOrReplaceTempView("rows")
+    print("\n===== Load, written: scan, project, filter and write in one stage =====")
+    print(spark.sql(f"EXPLAIN FORMATTED INSERT OVERWRITE DIRECTORY '{area}/rows' USING parquet SELECT * FROM rows").collect()[0][0])
 
 
 if __name__ == "__main__":
