@@ -31,6 +31,14 @@ def section(title, df):
     df.explain("formatted")
 
 
+def written(spark, area: str, view: str) -> None:
+    """The plan of writing a view into a parquet table."""
+    name = f"plan_of_{view}_{area.rsplit('-', 1)[-1]}"
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{area}/{view}' AS SELECT * FROM {view} LIMIT 0")
+    print(spark.sql(f"EXPLAIN FORMATTED INSERT INTO {name} SELECT * FROM {view}").collect()[0][0])
+    spark.sql(f"DROP TABLE {name}")
+
+
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]")
@@ -74,10 +82,10 @@ def main() -> None:
         section("Merge: both sides by bucket, full outer join on (bucket, key), no further exchange", merged)
         print("\n===== Merge, written: one file for each touched bucket =====")
         merged.createOrReplaceTempView("merged")
-        print(spark.sql(f"EXPLAIN FORMATTED INSERT OVERWRITE DIRECTORY '{area}/out' USING parquet SELECT * FROM merged").collect()[0][0])
+        written(spark, area, "merged")
     tsv_transform("2024-01-01")(src.batch(spark)).createOrReplaceTempView("rows")
     print("\n===== Load, written: scan, project, filter and write in one stage =====")
-    print(spark.sql(f"EXPLAIN FORMATTED INSERT OVERWRITE DIRECTORY '{area}/rows' USING parquet SELECT * FROM rows").collect()[0][0])
+    written(spark, area, "rows")
 
 
 if __name__ == "__main__":
