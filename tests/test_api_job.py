@@ -83,3 +83,50 @@ def test_missing_delta_column_logs_null_and_success(spark, area):
     assert out["latest_update_dt"] is None
     log = AuditLog(spark, f"{area}/audit").read().collect()
     assert [(r.run_status, r.latest_update_dt) for r in log] == [("SUCCESS", None)]
+
+
+ZONE_SCRIPT = """
+import sys
+sys.path.insert(0, {repo!r})
+from landfall.session import build_session
+from landfall.scenarios import q26_api_cdc_job
+spark = build_session("local[2]", shuffle_partitions=4)
+out = q26_api_cdc_job(spark, {sf!r})
+print("ROWS", out.count(), out.where("modified_date = TIMESTAMP_NTZ '2030-01-01 12:30:00'").count())
+"""
+
+
+def test_watermark_does_not_depend_on_the_host_zone(tmp_path):
+    """The scenario itself checks that the second run asks from the newest date in the data."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "zone.py"
+    script.write_text(ZONE_SCRIPT.format(repo=repo, sf="/root/testdata/sf0.001"))
+    done = subprocess.run([sys.executable, str(script)], env={**os.environ, "TZ": "Asia/Kolkata"}, capture_output=True, text=True, timeout=300,
+                          cwd=repo)
+    assert done.returncode == 0, done.stderr[-2000:]
+    total, changed = map(int, done.stdout.split("ROWS")[1].split())
+    assert total == 1500 and 0 < changed < total
+
+
+def test_time_zone_of_the_api_is_an_option(spark, area):
+    """Texts are parsed and the watermark is written in the given zone; the session's zone is put back."""
+    import json
+
+    from conftest import write
+    from landfall.plans.api_job import run_api_cdc
+
+    cfg = spark.createDataFrame([(1, "https://api.invalid", "MDX", "device", "modified_date")],
+                                "object_id INT, source_url STRING, source_name STRING, object_name STRING, source_delta_column STRING")
+    write(f"{area}/pages/page=1/a.json", json.dumps({"deviceResponseData": [{"mendixUID": "1", "modifiedDate": "06/01/2024 10:00:00"}]}))
+    common = dict(target=f"{area}/t", audit=f"{area}/a", transport={"transport": "files", "path": f"{area}/pages"}, buckets=2,
+                  initial_watermark="01/01/2020", time_zone="America/New_York")
+    run_api_cdc(spark, cfg, "device", **common)
+    assert run_api_cdc(spark, cfg, "device", **common)["watermark_used"] == "06/01/2024 10:00:00"
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    from landfall.tables import Table
+    got = Table(spark, f"{area}/t").read().selectExpr("CAST(unix_seconds(modified_date) AS BIGINT) AS s").first().s
+    assert got == 1717250400                                   # 14:00 UTC

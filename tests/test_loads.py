@@ -192,3 +192,43 @@ def test_snapshot_and_append_semantics(spark, tmp_path_factory, runs, replace):
         j.run()
         everything += arrived
         assert ids(j) == sorted(arrived if replace else everything)
+
+
+def test_published_tables_are_in_the_catalog(spark, area):
+    """Snapshots move the table's location, appends add partitions behind a view, new columns come in."""
+    from landfall.catalog import publish_to_catalog
+
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS lf_cat LOCATION '{area}/cat'")
+    for replace, expect in ((True, [["1"], ["2"]]), (False, [["1"], ["1", "2"]])):
+        name = f"lf_cat.t_{replace}".lower()
+        os.makedirs(f"{area}/{replace}")
+        j = job(spark, f"{area}/{replace}", replace=replace)
+        for i, want in enumerate(expect, start=1):
+            write(f"{area}/{replace}/drop/f{i}.csv", f"id\n{i}\n")
+            j.run()
+            publish_to_catalog(j.table, name)
+            assert sorted(r.id for r in spark.table(name).collect()) == want
+    t = j.table
+    t.add_columns(spark.createDataFrame([], "more STRING").schema)
+    publish_to_catalog(t, "lf_cat.t_false")
+    assert spark.table("lf_cat.t_false").columns == ["id", "more"]
+    spark.sql("DROP SCHEMA lf_cat CASCADE")
+
+
+def test_merge_table_in_the_catalog_has_each_key_once(spark, area):
+    from pyspark.sql import functions as F
+
+    from landfall.catalog import publish_to_catalog
+    from landfall.operators.merge import merge_into
+    from landfall.tables import Table
+
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS lf_cat2 LOCATION '{area}/cat2'")
+    t = Table(spark, f"{area}/m")
+    rows = spark.range(1000).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+    merge_into(t, rows, ["k"], buckets=70, run_ts="2024-01-01 00:00:00")
+    publish_to_catalog(t, "lf_cat2.m")
+    merge_into(t, rows.where("k < 10").withColumn("v", F.lit("w")), ["k"], run_ts="2024-02-01 00:00:00")
+    publish_to_catalog(t, "lf_cat2.m")
+    got = spark.sql("SELECT count(*) AS n, count(DISTINCT k) AS d, count_if(v = 'w') AS w FROM lf_cat2.m").first()
+    assert (got.n, got.d, got.w) == (1000, 1000, 10)
+    spark.sql("DROP SCHEMA lf_cat2 CASCADE")

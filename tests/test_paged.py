@@ -184,3 +184,21 @@ def test_retried_attempts_are_reported_and_audited(spark, area):
     r = log.read().first()
     assert (r.run_status, r.object_name, r.latest_update_dt) == ("FAILURE", "device", None)
     assert r.log_step == "REQUEST of page 1: attempt 1: ApiError: HTTP 500 for page 1"
+
+
+def test_401_ends_the_partition_with_a_row_after_one_request(monkeypatch):
+    from landfall.sources import paged
+
+    asked = []
+
+    def transport(options):
+        def get(params):
+            asked.append(params["Page"])
+            return (401, None) if params["Page"] >= 3 else (200, '{"deviceResponseData": [1]}')
+        return get
+
+    monkeypatch.setitem(paged.TRANSPORTS, "test", transport)
+    reader = paged.PagedApiReader(paged.Options({"transport": "test", "numPartitions": "2"}))
+    rows = [r for p in reader.partitions() for r in reader.read(p)]
+    assert [(r[0], r[1]) for r in rows] == [(1, "page"), (3, "failed"), (2, "page"), (4, "failed")]
+    assert asked == [1, 3, 2, 4] and "Unauthorized" in rows[1][3]
