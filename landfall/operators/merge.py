@@ -162,8 +162,9 @@ def merge_into(table: Table, source: DataFrame, keys: list[str], *, buckets: int
     source by key); ``"unique"`` is for sources unique by construction (e.g.
     :func:`latest_per_key` output) and only aggregates by bucket.
 
-    ``buckets`` is fixed when the table is created; pick it so one bucket of
-    the target is about what one task should rewrite (e.g. ~1 GB).
+    ``buckets`` counts when the table is created (:func:`rebucket` changes it
+    later); pick it so one bucket of the target is about what one task should
+    rewrite (e.g. ~1 GB).
     ``track_max`` columns get their per-bucket MAX kept in the commit, so
     :func:`table_max` answers "MAX over the whole target" from the buckets this
     merge rewrote instead of a full scan.  The source is read a few times
@@ -230,6 +231,31 @@ def merge_into(table: Table, source: DataFrame, keys: list[str], *, buckets: int
         table.vacuum()
 
 
+def rebucket(table: Table, buckets: int) -> None:
+    """Deal a merge table that has outgrown its buckets into another number of
+    them: every bucket is rewritten into a new generation and one commit swaps
+    them all.  Later merges use the new number."""
+    spark, current = table.spark, table.latest()
+    if current is None or current.properties.get("layout") != "bucketed":
+        raise ValueError(f"no merge table at {table.location}")
+    keys = current.properties["keys"]
+    stored = T.StructType(current.schema.fields + [T.StructField(BUCKET, T.IntegerType(), True)])
+    rows = conform(table.read().withColumn(BUCKET, bucket_of(keys, buckets)), stored)
+    gen = table.new_segment("gen")
+    gen_path = table.segment_path(gen)
+    rows.where(F.col(BUCKET) >= 0).repartition(buckets, BUCKET).write.mode("append").partitionBy(BUCKET).parquet(gen_path)
+    nulls = rows.where(F.col(BUCKET) < 0)
+    nulls.write.mode("append").partitionBy(BUCKET).parquet(gen_path)
+    written = [f"{gen}/{n}" for n in fs.list_names(spark, gen_path) if n.startswith(f"{BUCKET}=")]
+    props = {**current.properties, "buckets": buckets}
+    tracked = list(current.properties.get("max", {}))
+    if tracked:
+        kept = {c: {"-1": m["-1"]} for c, m in current.properties["max"].items() if "-1" in m}
+        props["max"] = _bucket_maxima(spark, stored, gen_path, list(range(buckets)), tracked, kept, None)
+    table.commit(written, current.schema, props, expected=current)
+    table.vacuum()
+
+
 def _encode_max(col: str, dtype: T.DataType):
     """MAX of ``col`` in a session-independent form: epoch microseconds for
     timestamps (text would depend on the session time zone), text otherwise."""

@@ -18,7 +18,7 @@ from landfall.fixtures import files_for, sf_table, stage_files, timed
 from landfall.functions.columns import with_stamp
 from landfall.functions.predicates import map_entries_equal
 from landfall.functions.timestamps import format_timestamp, lenient_timestamp, strict_timestamp
-from landfall.operators.merge import changed_rows, duplicate_keys, merge_into
+from landfall.operators.merge import changed_rows, duplicate_keys, merge_into, rebucket
 from landfall.operators.watermark import column_max, high_watermark, high_watermark_sql
 from landfall.plans.api_job import DEVICE_FIELDS, FetchFailed, api_frame
 from landfall.plans.audit import AuditLog
@@ -352,6 +352,7 @@ def q19_merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
         key, "c_name", "c_nationkey",
         F.when(F.col("c_mktsegment") != "AUTOMOBILE", F.col("c_acctbal")).alias("c_acctbal"),
         F.when(F.col("c_acctbal") < 1000, F.lit("CHANGED")).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"))
+    rebucket(table, 23)
     merge_into(table, source, ["c_custkey"], run_ts=RUN_TS_2)
     return ntz(table.read(), "update_ts")
 

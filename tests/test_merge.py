@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from conftest import rows
 from landfall.operators.merge import (DuplicateKeyError, changed_rows, duplicate_keys, latest_per_key,
                                       merge_frames, merge_into)
+from landfall.operators import merge as M
 from landfall.tables import Table
 
 T0, T1, T2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"
@@ -209,3 +210,20 @@ def test_latest_per_key_matches_model(spark, data):
     df = spark.createDataFrame(rows_, "k INT, v STRING, page INT, position INT")
     got = sorted(((r.k, r.v) for r in latest_per_key(df, ["k"], ["page", "position"]).collect()), key=repr)
     assert got == expect
+
+
+def test_rebucket_keeps_rows_and_maxima(spark, area):
+    from pyspark.sql import functions as F
+
+    t = Table(spark, f"{area}/t")
+    rows = spark.range(500).select(F.when(F.col("id") % 50 != 0, F.col("id")).alias("k"), F.col("id").cast("string").alias("v"),
+                                   (F.lit("2024-01-01").cast("timestamp") + F.make_interval(days=F.col("id").cast("int"))).alias("d"))
+    M.merge_into(t, rows, ["k"], buckets=4, run_ts="2024-01-01 00:00:00", track_max=["d"])
+    before = sorted(map(tuple, t.read().collect()), key=repr)
+    newest = M.table_max(t, "d")
+    M.rebucket(t, 11)
+    assert sorted(map(tuple, t.read().collect()), key=repr) == before
+    assert t.latest().properties["buckets"] == 11 and len(t.latest().segments) == 12
+    assert M.table_max(t, "d") == newest
+    M.merge_into(t, rows.where("k IS NOT NULL").withColumn("v", F.lit("x")), ["k"], run_ts="2024-02-01 00:00:00", track_max=["d"])
+    assert t.read().where("v = 'x'").count() == 490 and t.read().count() == 500
