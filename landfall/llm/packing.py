@@ -163,10 +163,11 @@ PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 class WordIds:
     """Ids of the units of texts, by the tokenizers library.
 
-    A unit is what stands between spaces, line feeds and ``LETTERS_END``: places
-    that no piece of the vocabulary's pre-tokenizer crosses, so a text's ids are
-    those of its units one after the other.  Units recur and are remembered; new
-    ones go to the library, those that are one plain piece straight to its model.
+    A unit is what stands between spaces and line feeds, and its parts between
+    ``LETTERS_END``: places that no piece of the vocabulary's pre-tokenizer
+    crosses, so a text's ids are those of its units' parts one after the other.
+    Both recur and are remembered; new parts go to the library, those that are
+    one plain piece straight to its model.
     """
 
     def __init__(self, path: str):
@@ -182,28 +183,32 @@ class WordIds:
         #: The letters of PLAIN as the model sees them: a character for each byte.
         self.plain = {ord(c): level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100)) if PLAIN.fullmatch(c)}
 
-    def learn(self, units: list[bytes]) -> None:
+    def learn(self, units: set[bytes]) -> None:
+        parts = {u: LETTERS_END.sub(b" ", u).split(b" ") for u in units}
         odd = []
-        for unit in units:
-            text = unit.decode()
+        for piece in set().union(*parts.values()).difference(self.memory):
+            text = piece.decode()
             if PLAIN.fullmatch(text):
                 ids = [t.id for t in self.model.tokenize(text if text.isascii() else text.translate(self.plain))]
-                self.memory[unit] = struct.pack(f"<{len(ids)}I", *ids)
+                self.memory[piece] = struct.pack(f"<{len(ids)}I", *ids)
             else:
                 odd.append(text)
         for text, encoded in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
             self.memory[text.encode()] = struct.pack(f"<{len(encoded.ids)}I", *encoded.ids)
+        for unit, pieces in parts.items():
+            if len(pieces) > 1:
+                self.memory[unit] = b"".join(map(self.memory.__getitem__, pieces))
 
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
-        split = [LETTERS_END.sub(b" ", x.translate(FOLD)).split(b" ") for x in texts]
+        split = [x.translate(FOLD).split(b" ") for x in texts]
         if len(self.memory) > MEMORY_WORDS:
             self.memory = {b"": b""}
         new = set().union(*split).difference(self.memory)
-        self.learn(list(new))
+        self.learn(new)
         out = [np.frombuffer(b"".join(map(self.memory.__getitem__, units)), "<u4") for units in split]
         for unit in new:
             if len(unit) > 64:
-                del self.memory[unit]
+                self.memory.pop(unit, None)
         return out
 
 
