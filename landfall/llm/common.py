@@ -112,17 +112,46 @@ INVERSE = pow(BASE, -1, 1 << 64)
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base^0 .. base^(n-1) modulo 2^64."""
-    out = np.ones(max(n, 1), np.uint64)
+    """base^0 .. base^(n-1) modulo 2^64; tables up to a few slices are kept."""
+    kept = _POWERS.get(base)
+    if kept is not None and len(kept) >= n:
+        return kept[:n]
+    out = np.ones(max(n, SLICE_BYTES + 1), np.uint64)
     done, step = 1, np.uint64(base)
-    while done < n:
-        take = min(done, n - done)
+    while done < len(out):
+        take = min(done, len(out) - done)
         out[done:done + take] = out[:take] * step
         done += take
         step = np.uint64(int(step) ** 2 & (1 << 64) - 1)
+    if len(out) <= 4 * SLICE_BYTES:
+        _POWERS[base] = out
     return out[:n]
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the spans [begin, end) of some bytes, ascending by begin.
+
+    Arrays over the bytes are held for about SLICE_BYTES of them at a time, so a
+    long text takes no more memory than its words do.
+    """
+    out = np.zeros(len(begin), np.uint64)
+    at = 0
+    with np.errstate(over="ignore"):
+        while at < len(begin):
+            base = begin[at]
+            stop = max(at + 1, int(np.searchsorted(begin, base + SLICE_BYTES)))
+            a, b = begin[at:stop] - base, end[at:stop] - base
+            n = int(b.max())
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(BYTE_VALUES[data[base:base + n]] * powers(BASE, n), out=sums[1:])
+            out[at:stop] = mix((sums[b] - sums[a]) * powers(INVERSE, n + 1)[a] + (b - a).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+            at = stop
+    return out
+
+
 #: Tables for word scanning: A-Z to a-z, and which bytes belong to a word.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -150,16 +179,8 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
     Returns the hashes in order and the n+1 offsets of the texts' words among them.
     """
-    with np.errstate(over="ignore"):
-        n = len(data)
-        if not n:
-            return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-        begin, end = word_spans(data, offsets)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(BYTE_VALUES[LOWER[data]] * powers(BASE, n), out=sums[1:])
-        h = (sums[end] - sums[begin]) * powers(INVERSE, n)[begin]
-        h = mix(h + (end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-        return h, np.searchsorted(begin, offsets)
+    begin, end = word_spans(data, offsets)
+    return span_hashes(LOWER[data], begin, end), np.searchsorted(begin, offsets)
 
 
 def rows_of(offsets: np.ndarray) -> np.ndarray:

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.llm.common import fold, slices, table, text_buffers, without
+from landfall.llm.common import SLICE_BYTES, fold, slices, table, text_buffers, without
 
 ORDERS, BUCKETS = (2, 3, 4), 1 << 14
 N_FEATURES = len(ORDERS) * BUCKETS
@@ -46,8 +46,9 @@ LETTER = np.array([b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)],
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each order: hashed n-grams of the texts one after the other, and the row offsets among them."""
-    clean = LETTER[data].astype(np.uint32)
+    """For each order and run of about SLICE_BYTES: hashed n-grams of the texts one after the other, and the row
+    offsets among them."""
+    clean = LETTER[data]
     # runs of spaces count as one
     space = clean == 32
     keep = ~space
@@ -55,19 +56,19 @@ def features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray
     kept = np.concatenate([[0], np.cumsum(keep)])
     clean, offsets = clean[keep], kept[offsets]
     for k, n in enumerate(ORDERS):
-        if len(clean) < n:
-            yield np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-            continue
-        gram = clean[:len(clean) - n + 1].copy()
-        for j in range(1, n):
-            gram = gram << np.uint32(8) | clean[j:len(clean) - n + 1 + j]
-        hashed = (gram * np.uint32(2654435761)) >> np.uint32(18)
-        inside = np.ones(len(gram), bool)  # not across two texts
-        for j in range(1, n):
-            edge = offsets[1:-1] - j
-            inside[edge[(edge >= 0) & (edge < len(gram))]] = False
-        rank = np.concatenate([[0], np.cumsum(inside)])
-        yield hashed[inside].astype(np.int64) + k * BUCKETS, rank[np.minimum(offsets, len(gram))]
+        for at in range(0, max(len(clean) - n + 1, 0), SLICE_BYTES):
+            part = clean[at:at + SLICE_BYTES + n - 1].astype(np.uint32)
+            edges = np.clip(offsets - at, 0, len(part))
+            gram = part[:len(part) - n + 1].copy()
+            for j in range(1, n):
+                gram = gram << np.uint32(8) | part[j:len(part) - n + 1 + j]
+            hashed = (gram * np.uint32(2654435761)) >> np.uint32(18)
+            inside = np.ones(len(gram), bool)  # not across two texts
+            for j in range(1, n):
+                edge = offsets[1:-1] - at - j
+                inside[edge[(edge >= 0) & (edge < len(gram))]] = False
+            rank = np.concatenate([[0], np.cumsum(inside)])
+            yield hashed[inside].astype(np.int64) + k * BUCKETS, rank[np.minimum(edges, len(gram))]
 
 
 def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -45,6 +45,7 @@ BLOCK_IDS = 1 << 16
 SHARD_BYTES = 16 << 20
 #: Word-to-ids entries that a Python worker remembers; a full memory starts again.
 MEMORY_WORDS = 400_000
+PIECE_BYTES = 1 << 20
 NULL_ID = -(1 << 63)
 
 
@@ -160,6 +161,18 @@ LETTERS_END = re.compile(rb"(?<=[a-z])(?=[^a-z\x80-\xff' ])")
 PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 
 
+def pieces(text: bytes, limit: int = PIECE_BYTES) -> Iterator[bytes]:
+    """The text in pieces of at least ``limit`` bytes, cut at spaces (in one if it has none)."""
+    at = 0
+    while len(text) - at > limit:
+        cut = text.find(b" ", at + limit)
+        if cut < 0:
+            break
+        yield text[at:cut]
+        at = cut
+    yield text[at:]
+
+
 class WordIds:
     """Ids of the units of texts, by the tokenizers library.
 
@@ -228,7 +241,10 @@ def write_packed(docs: DataFrame, where: str, tokenizer_path: str, end_id: int,
 
         def records() -> Iterator[bytes]:
             for batch in (part for whole in batches for part in slices(whole, "text")):
-                for d, ids in zip(batch.column("doc_id").to_pylist(), encoder.ids([(x.as_py() or "").encode() for x in batch.column("text")])):
+                texts = [(x.as_py() or "").encode() for x in batch.column("text")]
+                # a slice of one long text is encoded in pieces
+                whole = encoder.ids(texts) if len(texts) > 1 else [np.concatenate([x for p in pieces(texts[0]) for x in encoder.ids([p])])]
+                for d, ids in zip(batch.column("doc_id").to_pylist(), whole):
                     yield from out.add(NULL_ID if d is None else d, np.concatenate([ids, end]))
             yield from out.close()
 

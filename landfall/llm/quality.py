@@ -38,9 +38,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm.common import Workspace, fold, mix, slices, table, text_buffers, word_spans
+from landfall.llm.common import Workspace, fold, mix, slices, span_hashes, table, text_buffers, word_spans
 from landfall.llm.langid import LETTER
-from landfall.llm.suffix import Hashes
 
 SAMPLE_ROWS = 20_000
 #: Features of each kind, the z-score they must reach (half of it in each half), how many documents must have them; ridge.
@@ -72,16 +71,16 @@ def features(texts: pa.Array, lowered: pa.Array) -> tuple[np.ndarray, np.ndarray
     low, low_at = text_buffers(lowered)
     low = LETTER[low]
     begin, end = word_spans(low, low_at)
-    h, owner = Hashes(low), np.searchsorted(low_at, begin, "right") - 1
+    owner = np.searchsorted(low_at, begin, "right") - 1
     n = len(low_at) - 1
-    words = h.of(begin, end)
+    words = span_hashes(low, begin, end)
     order = np.lexsort((words, owner))
     new = np.ones(len(words), bool)
     new[1:] = (np.diff(words[order]) != 0) | (np.diff(owner) != 0)
     hashes, owners = [words], [owner]
     for length in PREFIXES:
         longer = end - begin > length
-        hashes.append(mix(h.of(begin[longer], begin[longer] + length) + np.uint64(length)))
+        hashes.append(mix(span_hashes(low, begin[longer], begin[longer] + length) + np.uint64(length)))
         owners.append(owner[longer])
     for k, b in enumerate(surface(*text_buffers(texts), np.bincount(owner, minlength=n), np.bincount(owner[new], minlength=n))):
         hashes.append(mix(np.uint64(k + 1) * np.uint64(1 << 32) + b.astype(np.uint64)))
