@@ -95,7 +95,7 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ship(spark)
     ranks = vocab.path("byte_bpe_50k.tiktoken")
-    coded = bytebpe.decode(bytebpe.encode(docs.select("doc_id", "lang", "source", "text"), ranks, vocab.PATTERN), ranks, vocab.PATTERN)
+    coded = bytebpe.round_trip(docs.select("doc_id", "lang", "source", "text"), ranks, vocab.PATTERN)
     same = F.col("raw") == F.coalesce("text", F.lit("")).cast("binary")
     return coded.select("doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), same.alias("round_trip"), "token_ids")
 

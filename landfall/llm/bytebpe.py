@@ -97,6 +97,27 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, ids: str = "token_
     return encoded.mapInArrow(run, schema)
 
 
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "token_ids", raw: str = "raw",
+               piece_chars: int = PIECE_CHARS) -> DataFrame:
+    """``encode`` and ``decode`` in one pass over the rows: adds ``ids`` and ``raw``."""
+    docs = without(docs, [ids, raw])
+    schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType(), False), False),
+                           T.StructField(raw, T.BinaryType(), False)])
+    kind = pa.list_(pa.field("element", pa.int32(), nullable=False))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoding(ranks_path, pattern)
+        for batch in batches:
+            done = [encode_text(enc, x.as_py(), piece_chars) for x in batch.column(text)]
+            back = pa.array([enc.decode_bytes(x.tolist()) for x in done], pa.binary())
+            ends = np.cumsum([0, *map(len, done)], dtype=np.int32)
+            flat = np.concatenate(done).astype(np.int32) if done else np.zeros(0, np.int32)
+            out = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat), type=kind)
+            yield pa.RecordBatch.from_arrays([*batch.columns, out, back], names=schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
 def digest(decoded: DataFrame, key: str = "doc_id", ids: str = "token_ids", raw: str = "raw") -> DataFrame:
     """Per document: n_tokens, and sha256 of the ids (little-endian unsigned 32-bit) and of the decoded bytes."""
     schema = T.StructType([decoded.schema[key], T.StructField("n_tokens", T.LongType()),
@@ -120,4 +141,4 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ranks = vocab.path("byte_bpe_50k.tiktoken")
-    return digest(decode(encode(docs, ranks, vocab.PATTERN), ranks, vocab.PATTERN))
+    return digest(round_trip(docs, ranks, vocab.PATTERN))

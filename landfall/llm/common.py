@@ -19,7 +19,9 @@ from landfall.session import scratch
 #: Rows up to which a set of ids or keys is broadcast (8 bytes a row); beyond it Spark shuffles.
 BROADCAST_ROWS = 2_000_000
 #: Bytes of text that one pass of a vectorised helper holds arrays for.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
+#: Rows in an Arrow batch, where the session has Spark's default: whole texts are wide rows.
+BATCH_ROWS, DEFAULT_BATCH_ROWS = "1000", "10000"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,6 +96,7 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
     for a, b in zip(edges, edges[1:]):
         if b > a:
             yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -194,6 +197,9 @@ def binary(parts: list[bytes]) -> pa.Array:
 
 def ship(spark: SparkSession) -> None:
     """Give Spark's Python workers this package, as ``--py-files`` does, once for each application."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == DEFAULT_BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

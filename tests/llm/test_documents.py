@@ -168,6 +168,10 @@ def test_byte_bpe(spark, nasty):
               for d, x, *_ in rows for ids in [enc.encode_ordinary(x or "")]]
     out = queries.QUERIES["op9_byte_bpe"](spark, top)
     assert got(out, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == want(expect)
+    docs = spark.read.parquet(f"{top}/documents.parquet").select("doc_id", "text")
+    path = P.path("byte_bpe_50k.tiktoken")
+    apart = bytebpe.decode(bytebpe.encode(docs, path, P.PATTERN), path, P.PATTERN)
+    assert got(apart, "doc_id", "token_ids", "raw") == got(bytebpe.round_trip(docs, path, P.PATTERN), "doc_id", "token_ids", "raw")
     text = rows[-7][1] + "  \n\n it's 12 ab" * 50
     for size in (1, 7, 100):
         assert bytebpe.encode_text(enc, text, size).tolist() == enc.encode_ordinary(text)
