@@ -8,7 +8,7 @@ All but the last return the columns of documents.
    others keep their label, and get the predicted one where it is null.
 2. jaccard_join: of documents that are linked by five-word shingles (similarity
    0.8) the one with the smallest id stays; rows that repeat an id are one document.
-3. suffix_dedup: strings of 300 bytes or more that occur elsewhere are cut out;
+3. suffix_dedup: strings of 256 bytes or more (less than fifty words take) that occur elsewhere are cut out;
    a document that consists of them goes.
 4. decontamination: runs of ten words or more of a benchmark item (or a shorter
    whole item) are cut out; a document with more than half of its words in them goes.
@@ -33,7 +33,7 @@ from landfall.llm.common import Workspace, semi, ship, table
 #: How far the best language must be ahead of the next (shares of the soft minimum).
 MIN_LEAD = 0.05
 SHINGLE_WORDS, SIMILARITY = 5, (80, 100)
-REPEAT_BYTES = 300
+REPEAT_BYTES = 256
 WINDOW, MAX_COVERAGE = 10, 0.5
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

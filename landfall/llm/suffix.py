@@ -165,7 +165,8 @@ class SuffixIndex:
         return out.groupBy("key", "vh").agg(F.sum("c").alias("c"), F.min("at").alias("at"))
 
     def _sorted(self, array: DataFrame, name: str) -> DataFrame:
-        return self.ws.keep(array.repartition("key").sortWithinPartitions("key", "vh"), name)
+        # the aggregate has dealt the rows by (key, vh); each file is a sorted run
+        return self.ws.keep(array.sortWithinPartitions("key", "vh"), name)
 
     def recurring(self) -> tuple[DataFrame, DataFrame]:
         """The beginnings that occur more than once so far (key), and their variants (key, vh, c, at)."""
@@ -173,7 +174,9 @@ class SuffixIndex:
         for more in self.found[1:]:
             keys = keys.union(more)
         keys = self.ws.keep(keys.distinct(), "recurring")
-        return keys, self.ws.keep(self._merged([x for _, x in self.levels]).join(keys, "key", "left_semi"), "variants")
+        arrays = [x for _, x in self.levels]
+        variants = arrays[0] if len(arrays) == 1 else self._merged(arrays)
+        return keys, self.ws.keep(variants.join(keys, "key", "left_semi"), "variants")
 
     def drop(self) -> None:
         self.ws.drop(*(x for _, x in self.levels), *self.found)
