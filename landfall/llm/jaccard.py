@@ -250,8 +250,10 @@ class Join:
         if part is not None:
             placed = met.join(part.withColumnRenamed("u", "v"), "v", "left").withColumn("g", F.coalesce("component", "v")).drop("component")
         placed = ws.keep(placed, "placed")
-        several = placed.groupBy("s").agg(F.min("g").alias("a"), F.max("g").alias("b"), F.min("n").alias("n_low"), F.max("n").alias("n_high")).where("a < b")
-        mixed = ws.keep(placed.join(several.select("s", "n_low", "n_high"), "s"), "mixed")
+        mixed = placed
+        if part is not None:
+            several = placed.groupBy("s").agg(F.min("g").alias("a"), F.max("g").alias("b")).where("a < b").select("s")
+            mixed = ws.keep(placed.join(several, "s"), "mixed")
         onward = Window.partitionBy("v").orderBy(F.desc("at"))
         able = mixed.withColumn("k", F.row_number().over(onward)).where(_any_room(self.num, self.den))
         able = ws.keep(able.drop("n_low", "n_high", "at"), "able")
@@ -301,8 +303,11 @@ class Join:
         first = semi(self.docs.where("id IS NOT NULL"), copies, "id", how="left_anti")
         postings = ws.keep(first.mapInArrow(
             lambda b: _postings(b, k, shared.value, num, den), "s long, v long, at int, n int, m int, q int"), "postings")
-        # a shingle of one class only joins nothing; a class emitted twice (rows of one id) has the same postings twice
-        lists = postings.groupBy("s").agg(F.min("v").alias("a"), F.max("v").alias("b")).where("a < b").select("s")
+        # a shingle of one class, or of two whose sizes are too far apart, joins nothing; a class emitted twice (rows of
+        # one id) has the same postings twice
+        lists = postings.groupBy("s").agg(F.min("v").alias("a"), F.max("v").alias("b"), F.count("*").alias("c"), F.min("n").alias("n_low"),
+                                          F.max("n").alias("n_high")).where("a < b").where((F.col("c") > 2) | _alike("n_low", "n_high", num, den))
+        lists = lists.select("s", "n_low", "n_high")
         met = ws.keep(postings.join(lists, "s").dropDuplicates(["s", "v"]), "met")
         ws.drop(postings)
         near, round_no, before = None, 0, None
