@@ -121,14 +121,17 @@ class Weights:
 
 def ridge_regression(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, rounds: int = 12) -> tuple[np.ndarray, float]:
     """Weights and offset of a penalised logistic regression, by Newton's method with halved steps."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
+    x = np.append(x, np.ones((len(x), 1), x.dtype), axis=1)
     penalty = np.append(np.full(x.shape[1] - 1, ridge), 1e-6)
     beta = np.zeros(x.shape[1])
     loss = lambda b: np.logaddexp(0, -(2 * y - 1) * (x @ b)).sum() + 0.5 * (penalty * b * b).sum()
     now = loss(beta)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+        hessian = np.diag(penalty)
+        for at in range(0, len(x), 2000):  # in blocks: the weighted rows are a copy
+            block = x[at:at + 2000]
+            hessian += (block * (p[at:at + 2000] * (1 - p[at:at + 2000]))[:, None].astype(x.dtype)).T @ block
         step = np.linalg.solve(hessian, x.T @ (p - y) + penalty * beta)
         while loss(beta - step) > now + 1e-9 and np.abs(step).max() > 1e-8:
             step = step / 2
