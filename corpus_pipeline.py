@@ -8,8 +8,10 @@ All but the last return the columns of documents.
    others keep their label, and get the predicted one where it is null.
 2. jaccard_join: of documents that are linked by five-word shingles (similarity
    0.8) the one with the smallest id stays; rows that repeat an id are one document.
-3. suffix_dedup: strings of 256 bytes or more (less than fifty words take) that occur elsewhere are cut out;
-   a document that consists of them goes.
+3. suffix_dedup: strings of 256 bytes or more that start elsewhere too, and passages
+   of over fifty words, however few bytes they take, that are there again without
+   overlap, are cut out (byte for byte, with what is between the words); a document
+   that consists of them goes.
 4. decontamination: runs of ten words or more of a benchmark item (or a shorter
    whole item) are cut out; a document with more than half of its words in them goes.
 5. byte_bpe: token ids of each text, with the result of decoding them again.
@@ -33,7 +35,7 @@ from landfall.llm.common import Workspace, semi, ship, table
 #: How far the best language must be ahead of the next (shares of the soft minimum).
 MIN_LEAD = 0.05
 SHINGLE_WORDS, SIMILARITY = 5, (80, 100)
-REPEAT_BYTES = 256
+REPEAT_BYTES, REPEAT_WORDS = 256, 51
 WINDOW, MAX_COVERAGE = 10, 0.5
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -74,7 +76,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 @filtering
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = suffix.dedup(spark, docs, length=REPEAT_BYTES)
+    found = suffix.dedup(spark, docs, length=REPEAT_BYTES, words=REPEAT_WORDS)
     found = found.where((F.col("n_removed") == 0) | F.col("kept").rlike(r"\S"))
     cut = F.col("n_removed") > 0
     return found.withColumn("text", F.when(cut, F.col("kept")).otherwise(F.col("text"))).withColumn(

@@ -27,8 +27,14 @@ in one group while there are at most ``GROUP`` of them, else a row for each wind
 summed before the shuffle -- the same comparison, for beginnings of any frequency.
 Fingerprints have 64 bits.
 
+Passages.  With ``words``, a byte also goes if a passage of that many words (the
+bytes from the first word's begin to the last one's end) that covers it is in two
+places that don't overlap (one word sixty times over is not fifty words said twice).
+Passages of ``length`` bytes or more are strings as above; only the shorter ones have
+a row each, compared by fingerprint.
+
 Defined results: a null text is empty; texts shorter than ``length`` keep all
-bytes; rows that repeat id and text repeat each other's bytes; null ids are
+bytes (but for passages); rows that repeat id and text repeat each other's bytes; null ids are
 allowed; no rows give no rows; other columns pass through ``dedup``, one with the
 name of an added column is replaced.
 """
@@ -40,12 +46,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.llm.common import (BASE, BROADCAST_ROWS, BYTE_VALUES, INVERSE, Workspace, mix, powers, slices, table,
-                                 text_buffers, without)
+from landfall.llm.common import (BASE, BROADCAST_ROWS, BYTE_VALUES, INVERSE, Workspace, mix, powers, semi, slices,
+                                 span_hashes, table, text_buffers, without, word_spans)
 
 GRAM, PIECE, GROUP, BATCHES = 32, 1 << 20, 4096, 4
 ENTRY = "u long, key long, p long, s0 long, s1 long, vh long"
@@ -268,6 +274,36 @@ def _repeated_rows(rows: DataFrame, length: int, ws: Workspace) -> DataFrame:
     return found.select("key", "vh", F.col("rel").alias("r0"), F.col("rel").alias("r1"))
 
 
+def repeated_passages(docs: DataFrame, length: int, words: int, ws: Workspace) -> DataFrame:
+    """(u, spans) as ``repeated_spans`` gives them, for passages of ``words`` words in fewer than ``length`` bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole, "text", PIECE)):
+            data, offsets = text_buffers(batch.column("text"))
+            u, row = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("u", "row"))
+            begin, end = word_spans(data, offsets)
+            a, b = begin[:max(0, len(begin) - words + 1)], end[words - 1:]
+            r = np.searchsorted(offsets, a, "right") - 1
+            short = (b <= offsets[r + 1]) & (b - a < length)
+            a, b, r = a[short], b[short], r[short]
+            for at in range(0, len(a), PIECE):
+                x, y, z = a[at:at + PIECE], b[at:at + PIECE], r[at:at + PIECE]
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(c) for c in (u[z], row[z], span_hashes(data, x, y).view(np.int64), x - offsets[z], y - offsets[z]))],
+                    names=["u", "row", "h", "a", "b"])
+
+    rows = docs.select("u", "text", F.monotonically_increasing_id().alias("row"))
+    passages = ws.keep(rows.mapInArrow(run, "u long, row long, h long, a long, b long"), "passages")
+    apart = "min(row) < max(row) OR max(a) >= min(b)"
+    again = ws.keep(passages.groupBy("h").agg(F.expr(apart).alias("apart")).where("apart").select("h"), "passages-again")
+    # those that touch are one span
+    of = Window.partitionBy("u").orderBy("a")
+    begins = (F.col("a") > F.lag("b").over(of)).cast("long")
+    runs = semi(passages, again, "h").withColumn("begins", F.coalesce(begins, F.lit(0))).withColumn("run", F.sum("begins").over(of))
+    runs = runs.groupBy("u", "run").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    return runs.groupBy("u").agg(F.collect_list(F.array("a", F.col("b") - length)).alias("spans"))
+
+
 def _with(docs: DataFrame, lists: DataFrame, on: str, bound: int = BROADCAST_ROWS) -> DataFrame:
     """Documents that have a list, with it: texts without one are left out before the shuffle if the ids are few enough."""
     ids = lists.select(on)
@@ -291,8 +327,8 @@ def _cut(raw: bytes, spans: list[list[int]], length: int) -> tuple[bytes, int, i
 
 
 def dedup(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 400,
-          batches: int = BATCHES) -> DataFrame:
-    """``docs`` with kept (the text that stays; half characters at its seams go), n_bytes, n_removed, n_spans and
+          batches: int = BATCHES, words: int = 0) -> DataFrame:
+    """``docs`` without the repeats of ``length`` bytes (and of ``words`` words, unless 0): kept (the text that stays; half characters at its seams go), n_bytes, n_removed, n_spans and
     kept_sha256 (of all bytes that stay) added."""
     ws = Workspace(spark, "suffix")
     added = [("kept", T.StringType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()),
@@ -301,8 +337,12 @@ def dedup(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str =
     names = docs.columns
     schema = T.StructType([*docs.schema.fields, *(T.StructField(n, t) for n, t in added)])
     marked = docs.withColumn("_u", F.xxhash64(key, text))
-    texts = marked.select(F.col("_u").alias("u"), F.col(text).alias("text")).where(F.octet_length(text) >= length)
-    spans = repeated_spans(spark, texts, length, batches, ws).select(F.col("u").alias("_u"), F.col("spans").alias("_spans"))
+    texts = marked.select(F.col("_u").alias("u"), F.col(text).alias("text"))
+    spans = repeated_spans(spark, texts.where(F.octet_length("text") >= length), length, batches, ws)
+    if words:
+        more = repeated_passages(texts.where(F.octet_length("text") >= 2 * words - 1), length, words, ws)
+        spans = ws.keep(spans.unionByName(more).groupBy("u").agg(F.flatten(F.collect_list("spans")).alias("spans")), "all-spans")
+    spans = spans.select(F.col("u").alias("_u"), F.col("spans").alias("_spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, text)):
