@@ -75,6 +75,8 @@ def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
     n = len(values) - width + 1
     if n <= 0:
         return np.zeros(0, np.int64)
+    if len(values) > 1 << 24:
+        raise ValueError(f"{len(values)} values: positions have 24 bits")
     low = np.uint64((1 << 24) - 1)
     x = np.full(-(-len(values) // width) * width, np.uint64(0xFFFFFFFFFFFFFFFF))
     x[:len(values)] = values & ~low | np.arange(len(values), dtype=np.uint64)
@@ -118,15 +120,14 @@ def entries_of(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.n
 
 
 def suffixes(docs: DataFrame, length: int) -> DataFrame:
-    """Entries of the documents (u, text), with u carried along; a long text is taken in overlapping pieces."""
+    """Entries of the documents (u, text), with u carried along, taken in overlapping pieces whatever the rows' lengths."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, "text", PIECE)):
             data, offsets = text_buffers(batch.column("text"))
             u = batch.column("u").to_numpy(zero_copy_only=False)
-            step = PIECE if batch.num_rows == 1 else max(len(data), 1)
-            for at in range(0, len(data), step):
-                part = data[at:at + step + length - 1]
+            for at in range(0, len(data), PIECE):
+                part = data[at:at + PIECE + length - 1]
                 r, key, p, s0, s1, vh = entries_of(part, np.clip(offsets - at, 0, len(part)), length)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(u[r]), pa.array(key), *(pa.array(x - offsets[r] + at) for x in (p, s0, s1)), pa.array(vh)],
