@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from landfall.llm import bytebpe, chat, decontam, jaccard, langid, lm, nearvec, packing, quality, suffix
+from landfall.llm import bytebpe, chat, decontam, fim, jaccard, langid, lm, nearvec, packing, quality, suffix, toxicity, whitening
 from landfall.llm.common import shipped
 
 QUERIES = {
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_decontamination": decontam.op8_decontamination,
     "op9_byte_bpe": bytebpe.op9_byte_bpe,
     "op10_language_id": langid.op10_language_id,
+    "op11_toxicity": toxicity.op11_toxicity,
+    "op12_embedding_whitening": whitening.op12_embedding_whitening,
+    "op13_fill_in_middle": fim.op13_fill_in_middle,
 }
 QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
-ORACLES = {"op1_chat_format": chat.SQL, "op8_decontamination": decontam.SQL}
+ORACLES = {"op1_chat_format": chat.SQL, "op8_decontamination": decontam.SQL, "op13_fill_in_middle": fim.SQL}
