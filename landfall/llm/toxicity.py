@@ -48,6 +48,7 @@ PREFIXES = (4, 5, 6, 8)
 #: Words on either side of a hit within which a second-person word is near.
 NEAR = 5
 TREES, DEPTH, STEP = 20, 3, 0.3
+TURN = np.uint64(0x9FB21C651E98DF25)
 
 #: Second-person words of four languages.
 SECOND_PERSON = ("you your yours yourself yourselves u ya du dich dir dein deine deinen deinem deiner ihr euch euer eure "
@@ -205,13 +206,14 @@ def learn_lexicon(sample: DataFrame, ws: Workspace) -> Lexicon:
     """``sample``: doc_id, h, text, y (0 or 1)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The two smallest word hashes: near copies share them."""
+        """The two smallest hashes of three words in a row (of the words of shorter texts): near copies share them."""
         for batch in (piece for whole in batches for piece in slices(whole, "text")):
             data, offsets = text_buffers(batch.column("text"))
             low = lowered(data)
             begin, end = word_spans(ONLY_LETTERS[low], offsets)
-            hashes, at = span_hashes(low, begin, end), np.searchsorted(begin, offsets)
-            two = [np.unique(hashes[a:b])[:2].view(np.int64).tolist() for a, b in zip(at, at[1:])]
+            words, at = span_hashes(low, begin, end), np.searchsorted(begin, offsets)
+            rows = mix(words[:-2] + TURN * mix(words[1:-1] + TURN * words[2:]))
+            two = [np.unique(rows[a:b - 2] if b - a > 2 else words[a:b])[:2].view(np.int64).tolist() for a, b in zip(at, at[1:])]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), batch.column("y"), pa.array(two, pa.list_(pa.int64()))],
                                              names=["doc_id", "h", "y", "signature"])
 
