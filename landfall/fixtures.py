@@ -16,6 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from landfall import fs
+from landfall.sources import paged
 
 STAGING_SECONDS = [0.0]     # time spent building inputs (read by bench.py)
 _DEPTH = [0]
@@ -75,3 +76,28 @@ def sf_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def files_for(rows: int, rows_per_file: int = 20_000, at_least: int = 2) -> int:
     """File count that grows with the data (one file per ~20k rows)."""
     return max(at_least, -(-rows // rows_per_file))
+
+
+# ---------------------------------------------------------------- a faulty API
+def faulty_transport(options: dict):
+    """Captured pages of which some requests fail: ``failPages="3:2"`` answers
+    the first two requests for page 3 with ``failStatus`` (503)."""
+    get = paged.files_transport(options)
+    failing = {int(p): int(n) for p, n in (x.split(":") for x in options.get("failPages", "").split(",") if x)}
+
+    def answer(params: dict) -> tuple[int, str | None]:
+        page = params[paged.PARAM_PAGE]
+        if failing.get(page, 0) > 0:
+            failing[page] -= 1
+            return int(options.get("failStatus", 503)), options.get("failBody")
+        return get(params)
+
+    return answer
+
+
+class FaultyApi(paged.PagedApiDataSource):
+    transports = {"files": faulty_transport}
+
+    @classmethod
+    def name(cls) -> str:
+        return "faulty_api"

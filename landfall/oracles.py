@@ -164,4 +164,9 @@ FROM orders""",
     "q37_csv_rewritten": f"""
 SELECT CAST(c_custkey AS VARCHAR) AS network_id, c_name || v AS nleader_name, {SQL_TS} AS update_ts
 FROM customer, (VALUES ('-v1'), ('-v2')) AS t(v) WHERE v = '-v1' OR c_custkey % 3 = 0""",
+    "q38_records_lost": """
+WITH pages AS (SELECT CAST(floor(o_orderkey / 1000) + 1 AS BIGINT) AS page, count(*) AS n FROM orders GROUP BY 1)
+SELECT 'FAILURE' AS run_status, 'page ' || page || ': ' || (n + 1) || ' records sent, 0 read' AS step, CAST(0 AS BIGINT) AS rows_after
+FROM pages WHERE page = (SELECT min(page) FROM pages WHERE page % 2 = 0)
+UNION ALL SELECT 'SUCCESS', '', (SELECT count(*) FROM orders)""",
 }

@@ -63,9 +63,10 @@ DEVICE_FIELDS = [
     ("assignedTo", "assignedto", "string", None, True),
 ]
 DEVICE_KEY = ["mendix_uid"]
-DEVICE_DATA_KEY = "deviceResponseData"
+DEVICE_DATA_KEY = paged.DATA_KEY
 # ------------------------------------------------------------------------------
 
+REFUSED = "_refused"
 DEVICE_MAPPING = [FieldMap(s, t, ty, fmt, strict) for s, t, ty, fmt, strict in DEVICE_FIELDS]
 
 
@@ -78,14 +79,21 @@ class FetchFailed(RuntimeError):
     """A page before the end could not be read."""
 
 
-def fetch_pages(spark: SparkSession, options: dict) -> DataFrame:
-    """``(page, outcome, body, error)``: the outcome of every request, fetched
-    in parallel.  A path is qualified here, so that every executor resolves it
-    as Spark would."""
-    paged.register(spark)
+class RecordsLost(FetchFailed):
+    """Spark read another number of records of a page than the API sent."""
+
+
+def fetch_pages(spark: SparkSession, options: dict, source=paged.PagedApiDataSource) -> DataFrame:
+    """``(page, outcome, body, error, records)``: the outcome of every request,
+    fetched in parallel.  A path is qualified here, so that every executor
+    resolves it as Spark would.  ``options["source"]`` may name another class
+    that extends the paged source."""
+    options = dict(options)
+    source = options.pop("source", source)
+    paged.register(spark, source)
     if options.get("path"):
-        options = {**options, "path": fs.qualify(spark, options["path"])}
-    return spark.read.format("paged_api").options(**{k: str(v) for k, v in options.items()}).load()
+        options["path"] = fs.qualify(spark, options["path"])
+    return spark.read.format(source.name()).options(**{k: str(v) for k, v in options.items()}).load()
 
 
 def land_pages(spark: SparkSession, options: dict, path: str) -> DataFrame:
@@ -96,7 +104,8 @@ def land_pages(spark: SparkSession, options: dict, path: str) -> DataFrame:
 
 def read_pages(spark: SparkSession, options: dict, path: str | None = None) -> DataFrame:
     """``(page, position, record)`` rows of every page up to the first end,
-    from pages landed at ``path`` (a scratch folder by default)."""
+    from pages landed at ``path`` (a scratch folder by default).  The caller
+    writes the rows and then asks :func:`check_complete`."""
     landed = land_pages(spark, options, path or f"{scratch(spark, 'pages')}/pages")
     missing = paged.stopped_by(landed)
     if missing is not None:
@@ -104,15 +113,34 @@ def read_pages(spark: SparkSession, options: dict, path: str | None = None) -> D
     return paged.page_records(landed, options.get("dataKey", DEVICE_DATA_KEY))
 
 
+def check_complete(landed: DataFrame, rows: DataFrame) -> None:
+    """Fail unless ``rows`` holds as many records of each landed page as the
+    reader counted in it: what Spark's JSON parser drops (a body it refuses is
+    NULL, not an error) must not let the watermark move past it."""
+    lost = paged.unread(landed, rows)
+    worst = lost.agg(F.count("*").alias("pages"), F.min_by(F.struct("*"), "page").alias("first")).first()
+    if worst["pages"]:
+        first = worst["first"]
+        raise RecordsLost(f"page {first['page']}: {first['records']} records sent, {first['found']} read"
+                          + (f" (and {worst['pages'] - 1} more pages)" if worst["pages"] > 1 else ""))
+
+
 def parse_records(pages: DataFrame, mapping: list[FieldMap] = DEVICE_MAPPING, *,
                   run_ts: datetime | str | None = None) -> DataFrame:
     """Typed, renamed frame (+ ``page``, ``position``): each record is parsed
     once, with strict booleans landing as text, then mapped in one projection
-    that fails the run for a present value that is no JSON boolean."""
+    that fails the run for a present value that is no JSON boolean, and for a
+    record that is no object or that the parser refuses (it would come out as a
+    row of NULLs)."""
     strict = {m.source for m in mapping if m.type == "boolean" and m.strict}
     landed = T.StructType([T.StructField(f.name, T.VariantType() if f.name in strict else f.dataType, True)
-                           for f in landing_schema(mapping).fields])
-    fields = pages.select("page", "position", F.from_json("record", landed).alias("r")).select("page", "position", "r.*")
+                           for f in landing_schema(mapping).fields] + [T.StructField(REFUSED, T.StringType(), True)])
+    parsed = F.from_json("record", landed, {"columnNameOfCorruptRecord": REFUSED})
+    refused = F.raise_error(F.concat(F.lit("record "), F.col("position").cast("string"), F.lit(" of page "), F.col("page").cast("string"),
+                                     F.lit(" cannot be parsed as a JSON object"))).cast("int")
+    fields = pages.select("page", "position", parsed.alias("r")).select(
+        F.when(F.col("r").isNull() | F.col("r").getField(REFUSED).isNotNull(), refused).otherwise(F.col("page")).alias("page"),
+        "position", "r.*").drop(REFUSED)
     checks = {}
     for name in strict:
         value = F.col(f"`{name}`")
@@ -137,6 +165,7 @@ def api_frame(spark: SparkSession, options: dict, *, run_ts=None, mapping=DEVICE
     rows = parse_records(read_pages(spark, options, f"{stage_path}/pages"), mapping, run_ts=run_ts)
     rows.write.mode("overwrite").parquet(f"{stage_path}/parsed")
     rows = spark.read.schema(rows.schema).parquet(f"{stage_path}/parsed")
+    check_complete(spark.read.schema(paged.SCHEMA).parquet(f"{stage_path}/pages"), rows)
     if on_page_duplicate == "error":
         dup = duplicate_keys(rows, list(keys) + ["page"]).first()
         if dup is not None:

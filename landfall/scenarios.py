@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 
 from landfall import fs
 from landfall.catalog import publish_to_catalog
-from landfall.fixtures import files_for, sf_table, stage_files, timed
+from landfall.fixtures import FaultyApi, files_for, sf_table, stage_files, timed
 from landfall.functions.columns import with_stamp
 from landfall.functions.predicates import map_entries_equal
 from landfall.functions.timestamps import format_timestamp, lenient_timestamp, strict_timestamp
 from landfall.operators.merge import changed_rows, duplicate_keys, merge_into, rebucket
 from landfall.operators.watermark import column_max, high_watermark, high_watermark_sql
-from landfall.plans.api_job import DEVICE_FIELDS, FetchFailed, api_frame
+from landfall.plans.api_job import DEVICE_FIELDS, FetchFailed, RecordsLost, api_frame
 from landfall.plans.audit import AuditLog
 from landfall.plans.config import FeedConfig, lookup
 from landfall.plans.file_jobs import FileFeedJob, feed_job, nested_json_transform, run_feed
@@ -196,10 +196,13 @@ def q08_rescued(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- paged API
 @timed
-def stage_pages(spark: SparkSession, sf: str, dest: str, status=None, modified=None) -> None:
+def stage_pages(spark: SparkSession, sf: str, dest: str, status=None, modified=None, only=None) -> None:
     """orders as API pages of 1000 records (``page = o_orderkey div 1000 + 1``),
-    one ``page=<n>`` folder each, records in key order."""
+    one ``page=<n>`` folder each, records in key order; ``only``: the records
+    that the API would send."""
     orders = sf_table(spark, sf, "orders")
+    if only is not None:
+        orders = orders.where(only)
     rec = F.struct(
         F.col("o_orderkey").alias("_k"),
         (status if status is not None else F.col("o_orderstatus")).alias("status"),
@@ -253,14 +256,14 @@ def q26_api_cdc_job(spark: SparkSession, sf: str) -> DataFrame:
     stage_pages(spark, sf, f"{area}/pages1")
     changed = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("X")).otherwise(F.col("o_orderstatus"))
     touched = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("01/01/2030 12:30:00")).otherwise(format_timestamp("o_orderdate"))
-    stage_pages(spark, sf, f"{area}/pages2", status=changed, modified=touched)
+    # what is not older than the first run's watermark: every page of the table has such records
+    stage_pages(spark, sf, f"{area}/pages2", status=changed, modified=touched, only=F.col("o_orderpriority") == "1-URGENT")
     common = dict(target=f"{area}/target", audit=f"{area}/audit", jobs=jobs, notebook_name="device_cdc",
                   job_tags={"layer": "SDH", "schema": "MDX", "object": "DEVICE_CDC"}, buckets=16)
-    # the transport gives records that are not older than the watermark asked for
     run_api_cdc(spark, cfg, "device", run_ts=RUN_TS, initial_watermark="01/01/1990",
-                transport={"transport": "files", "path": f"{area}/pages1", "modifiedField": "modifiedDate"}, **common)
+                transport={"transport": "files", "path": f"{area}/pages1"}, **common)
     second = run_api_cdc(spark, cfg, "device", run_ts=RUN_TS_2,
-                         transport={"transport": "files", "path": f"{area}/pages2", "modifiedField": "modifiedDate"}, **common)
+                         transport={"transport": "files", "path": f"{area}/pages2"}, **common)
     newest = sf_table(spark, sf, "orders").agg(format_timestamp(F.max("o_orderdate")).alias("m")).first()["m"]
     if second["watermark_used"] != newest:
         raise AssertionError(f"second run did not start from the newest modified date {newest}: {second}")
@@ -548,7 +551,7 @@ def q32_request_attempts(spark: SparkSession, sf: str) -> DataFrame:
                                 "object_id INT, source_url STRING, source_name STRING, object_name STRING, source_delta_column STRING")
     stage_pages(spark, sf, f"{area}/pages")
     common = dict(target=f"{area}/target", audit=f"{area}/audit", buckets=16, initial_watermark="01/01/1990", run_ts=RUN_TS)
-    flaky = {"transport": "files", "path": f"{area}/pages", "retries": 2}
+    flaky = {"transport": "files", "path": f"{area}/pages", "retries": 2, "source": FaultyApi}
     try:
         run_api_cdc(spark, cfg, "device", transport={**flaky, "failPages": "2:2"}, **common)
         raise AssertionError("the run with a page that cannot be read did not fail")
@@ -558,6 +561,42 @@ def q32_request_attempts(spark: SparkSession, sf: str) -> DataFrame:
     return AuditLog(spark, f"{area}/audit").read().select("run_status", "log_step")
 
 
+def q38_records_lost(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages of which some hold a record that Spark's JSON parser refuses (nested too deeply): the run fails, names
+    the first such page and leaves the watermark; a run over the repaired pages loads every record.  Returns the audit
+    log with the number of rows in the target after each run."""
+    from landfall.plans.api_job import run_api_cdc
+
+    area = scratch(spark, "q38")
+    cfg = spark.createDataFrame([(1, "https://api.invalid/devices", "MDX", "device", "modified_date")],
+                                "object_id INT, source_url STRING, source_name STRING, object_name STRING, source_delta_column STRING")
+    orders = sf_table(spark, sf, "orders")
+    page = (F.floor(F.col("o_orderkey") / 1000) + 1).alias("page")
+    record = F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("mendixUID"), format_timestamp("o_orderdate").alias("modifiedDate")))
+    deep = F.concat(F.lit('{"mendixUID":"deep","x":'), F.repeat(F.lit("["), 1100), F.repeat(F.lit("]"), 1100), F.lit("}"))
+    records = orders.groupBy(page).agg(F.concat_ws(",", F.collect_list(record)).alias("r"))
+    body = lambda r: F.concat(F.lit('{"deviceResponseData":['), r, F.lit("]}")).alias("value")
+    broken = F.when(F.col("page") % 2 == 0, F.concat_ws(",", deep, "r")).otherwise(F.col("r"))
+    records.select("page", body(broken)).write.partitionBy("page").text(f"{area}/broken")
+    records.select("page", body(F.col("r"))).write.partitionBy("page").text(f"{area}/whole")
+    common = dict(target=f"{area}/target", audit=f"{area}/audit", initial_watermark="01/01/1990", run_ts=RUN_TS)
+    try:
+        run_api_cdc(spark, cfg, "device", transport={"transport": "files", "path": f"{area}/broken"}, **common)
+        raise AssertionError("the run that lost records did not fail")
+    except RecordsLost:
+        pass
+    table = Table(spark, f"{area}/target")
+    before = table.read().count() if table.exists() else 0
+    out = run_api_cdc(spark, cfg, "device", transport={"transport": "files", "path": f"{area}/whole"}, **common)
+    if not out["watermark_used"].startswith("01/01/1990"):
+        raise AssertionError("the failed run moved the watermark")
+    after = table.read().agg(F.count("*").alias("n"))
+    log = AuditLog(spark, f"{area}/audit").read()
+    return log.crossJoin(F.broadcast(after)).select(
+        "run_status", F.regexp_extract("log_step", r"page \d+: \d+ records sent, \d+ read", 0).alias("step"),
+        F.when(F.col("run_status") == "SUCCESS", F.col("n")).otherwise(F.lit(before)).alias("rows_after"))
+
+
 def _with_schema(spark: SparkSession, area: str, label: str) -> str:
     name = f"lf_{label}_{area.rsplit('-', 1)[-1]}"
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name} LOCATION '{area}/catalog'")
@@ -689,4 +728,5 @@ QUERIES = {
     "q35_csv_layouts": q35_csv_layouts,
     "q36_rescue_everything": q36_rescue_everything,
     "q37_csv_rewritten": q37_csv_rewritten,
+    "q38_records_lost": q38_records_lost,
 }

@@ -6,11 +6,11 @@ Instead of a driver loop, the source has ``numPartitions`` input partitions:
 partition ``i`` requests pages ``i+1, i+1+n, i+1+2n, ...`` until its first
 page without records, so pages are fetched in parallel on the executors.
 
-The source yields one row per request outcome, ``(page, outcome, body, error)``:
+The source yields one row per request outcome, ``(page, outcome, body, error,
+records)``:
 
-* ``page``         -- a body with records
+* ``page``         -- a body with records, ``records`` of them
 * ``end``          -- HTTP 204, no list or an empty list: the partition stops
-* ``skip``         -- a captured page whose records are all older than asked for
 * ``retry``        -- a failed attempt that was tried again
 * ``failed``       -- the last attempt failed, 401, or the body is not a JSON
   object: the partition stops
@@ -19,17 +19,16 @@ Outcomes are rows, not exceptions: an exception would make Spark repeat the
 task and with it every request of the partition.  The caller lands the rows
 first, so the API is called once, and then asks :func:`stopped_by` whether a
 page before the end is missing.  Whether a page has records is decided here,
-from the parsed body, and nowhere else.
+from the parsed body, and nowhere else; how many it has is counted here, and
+:func:`unread` finds the pages of which Spark read another number.
 
 Requests are retried: 200 -> body, 204 -> no more data, 401 -> fail at once,
-anything else or an error -> wait ``2**attempt`` seconds and try again, up to
+anything else (also 206) or an error -> wait ``2**attempt`` seconds and try again, up to
 ``retries`` attempts, no wait after the last.
 
 Transports: ``http`` (GET with ``limit``, ``Page``, ``modifiedDate`` and basic
-auth) and ``files`` (a folder with one ``page=<n>`` sub-folder per page, used
-to replay captured pages and in tests; with ``modifiedField`` it returns only
-records whose field is not before ``modifiedDate``, and ``failPages`` names
-pages whose first attempts fail: ``3:2`` fails page 3 twice).
+auth) and ``files`` (a folder with one ``page=<n>`` sub-folder per page, to
+replay captured pages).  A subclass of the source may bring others.
 """
 
 from __future__ import annotations
@@ -40,12 +39,15 @@ import time
 import urllib.error
 import urllib.parse
 import urllib.request
-from datetime import datetime
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-SCHEMA = "page INT, outcome STRING, body STRING, error STRING"
-MARK_FORMAT = "%m/%d/%Y %H:%M:%S"       # the API's date-time text
+SCHEMA = "page INT, outcome STRING, body STRING, error STRING, records INT"
+
+# ---- fixed values: the API's request parameters and the key of its records ----
+PARAM_LIMIT, PARAM_PAGE, PARAM_SINCE = "limit", "Page", "modifiedDate"
+DATA_KEY = "deviceResponseData"
+# ------------------------------------------------------------------------------
 
 
 class Options(dict):
@@ -97,15 +99,10 @@ def files_transport(options: dict):
     if path.startswith("file:"):
         path = "/" + path[len("file:"):].lstrip("/")
     filesystem, root = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
-    key = options.get("dataKey", "deviceResponseData")
-    field = options.get("modifiedField")
-    failing = {int(p): int(n) for p, n in (x.split(":") for x in options.get("failPages", "").split(",") if x)}
+    key = options.get("dataKey", DATA_KEY)
 
     def get(params: dict) -> tuple[int, str | None]:
-        page = params["Page"]
-        if failing.get(page, 0) > 0:
-            failing[page] -= 1
-            return 503, None
+        page = params[PARAM_PAGE]
         infos = filesystem.get_file_info(pafs.FileSelector(f"{root.rstrip('/')}/page={page}", allow_not_found=True))
         files = sorted(i.path for i in infos
                        if i.type == pafs.FileType.File and not i.base_name.startswith((".", "_")))
@@ -115,14 +112,6 @@ def files_transport(options: dict):
         for f in files:
             with filesystem.open_input_stream(f) as fh:
                 parts.extend(line for line in fh.read().decode("utf-8").splitlines() if line.strip())
-        if field and params.get("modifiedDate"):
-            since = datetime.strptime(params["modifiedDate"], MARK_FORMAT)
-            bodies = [json.loads(p) for p in parts]
-            records = [r for b in bodies for r in (b.get(key) or [])]
-            fresh = [r for r in records if not r.get(field) or _not_before(r[field], since)]
-            if records and not fresh:
-                return 206, None
-            return 200, json.dumps({**bodies[0], key: fresh})
         if len(parts) == 1:
             return 200, parts[0]
         # a page captured as several JSON lines: one body with the lists joined
@@ -131,13 +120,6 @@ def files_transport(options: dict):
     return get
 
 
-def _not_before(text: str, since: datetime) -> bool:
-    try:
-        return datetime.strptime(text, MARK_FORMAT) >= since
-    except ValueError:
-        return True         # not for the transport to judge
-
-
 TRANSPORTS = {"http": http_transport, "files": files_transport}
 
 
@@ -150,32 +132,36 @@ def fetch(get, params: dict, retries: int = 3, sleep=time.sleep, on_error=None)
             status, body = get(params)
         except Exception as exc:        # network error, time-out
             status, body, last = None, None, exc
-        if status in (200, 204, 206):
+        if status in (200, 204):
             return status, body
         if status == 401:
-            raise Unauthorized(f"401 Unauthorized for page {params.get('Page')}")
+            raise Unauthorized(f"401 Unauthorized for page {params.get(PARAM_PAGE)}")
         if status is not None:
-            last = ApiError(f"HTTP {status} for page {params.get('Page')}")
+            last = ApiError(f"HTTP {status} for page {params.get(PARAM_PAGE)}")
         if attempt + 1 < retries:
             if on_error is not None:
                 on_error(f"attempt {attempt + 1}: {type(last).__name__}: {last}")
             sleep(2 ** attempt)
-    raise ApiError(f"page {params.get('Page')} failed after {retries} attempts: {last}")
+    raise ApiError(f"page {params.get(PARAM_PAGE)} failed after {retries} attempts: {last}")
 
 
-def outcome_of(status: int, body: str | None, key: str) -> tuple[str, str | None]:
-    """Outcome of an answered request, and what is wrong with it."""
-    if status == 206:
-        return "skip", None
+def outcome_of(status: int, body: str | None, key: str) -> tuple[str, str | None, int | None]:
+    """Outcome of an answered request, what is wrong with it, and how many
+    records it has."""
     if status == 204 or body is None:
-        return "end", None
+        return "end", None, None
     try:
         parsed = json.loads(body)
     except ValueError:
         parsed = None
+    except RecursionError:
+        return "failed", "ApiError: the body is nested too deeply", None
     if not isinstance(parsed, dict):
-        return "failed", "ApiError: the body is not a JSON object"
-    return ("page" if isinstance(parsed.get(key), list) and parsed[key] else "end"), None
+        return "failed", "ApiError: the body is not a JSON object", None
+    records = parsed.get(key)
+    if isinstance(records, list) and records:
+        return "page", None, len(records)
+    return "end", None, None
 
 
 class PagedApiDataSource(DataSource):
@@ -184,6 +170,8 @@ class PagedApiDataSource(DataSource):
     ``dataKey`` (deviceResponseData), ``numPartitions`` (4), ``retries`` (3),
     ``timeout`` (120), ``username``, ``password``."""
 
+    transports = TRANSPORTS
+
     @classmethod
     def name(cls) -> str:
         return "paged_api"
@@ -192,12 +180,12 @@ class PagedApiDataSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return PagedApiReader(Options(dict(self.options)))
+        return PagedApiReader(Options(dict(self.options)), self.transports)
 
 
 class PagedApiReader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.options = options
+    def __init__(self, options: dict, transports: dict = TRANSPORTS):
+        self.options, self.transports = options, transports
 
     def partitions(self):
         n = int(self.options.get("numPartitions", 4))
@@ -206,53 +194,74 @@ class PagedApiReader(DataSourceReader):
     def read(self, partition):
         o = self.options
         n = int(o.get("numPartitions", 4))
-        get = TRANSPORTS[o.get("transport", "http")](o)
-        key = o.get("dataKey", "deviceResponseData")
+        get = self.transports[o.get("transport", "http")](o)
+        key = o.get("dataKey", DATA_KEY)
         retries = int(o.get("retries", 3))
 
         page = partition.value + 1
         outcome = None
-        while outcome in (None, "page", "skip"):
-            params = {"limit": int(o.get("limit", 1000)), "Page": page}
+        while outcome in (None, "page"):
+            params = {PARAM_LIMIT: int(o.get("limit", 1000)), PARAM_PAGE: page}
             if o.get("modifiedDate"):
-                params["modifiedDate"] = o["modifiedDate"]
+                params[PARAM_SINCE] = o["modifiedDate"]
             errors: list[str] = []
-            body, error = None, None
+            body, error, records = None, None, None
             try:
                 status, body = fetch(get, params, retries, on_error=errors.append)
-                outcome, error = outcome_of(status, body, key)
+                outcome, error, records = outcome_of(status, body, key)
             except ApiError as exc:
                 outcome, error = "failed", f"{type(exc).__name__}: {exc}"
             for err in errors:              # retried attempts, for the audit log
-                yield (page, "retry", None, err)
-            yield (page, outcome, body, error)
+                yield (page, "retry", None, err, None)
+            yield (page, outcome, body, error, records)
             page += n
 
 
-def register(spark) -> None:
-    """Register the source.  This module is shipped to the Python workers by
-    value, so executors need no installed copy of the package."""
+def register(spark, source: type[DataSource] = PagedApiDataSource) -> None:
+    """Register the source (or one that extends it).  Its modules are shipped to
+    the Python workers by value, so executors need no installed copy of them."""
     import sys
 
     from pyspark import cloudpickle
 
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    spark.dataSource.register(PagedApiDataSource)
+    for cls in source.__mro__:
+        if issubclass(cls, PagedApiDataSource):
+            cloudpickle.register_pickle_by_value(sys.modules[cls.__module__])
+    spark.dataSource.register(source)
 
 
-def page_records(pages, data_key: str = "deviceResponseData"):
+def _before_end(rows, pages):
+    """Rows of the pages before the first end over all partitions, which is
+    what one sequential loop would have read: one global ``min`` (one row, broadcast)."""
+    from pyspark.sql import functions as F
+
+    stop = pages.where(F.col("outcome") == "end").agg(F.min("page").alias("_stop"))
+    return rows.join(F.broadcast(stop), F.col("_stop").isNull() | (F.col("page") < F.col("_stop"))).drop("_stop")
+
+
+def page_records(pages, data_key: str = DATA_KEY):
     """Landed outcome rows -> ``(page, position, record)`` of the pages before
-    the first end over all partitions, which is what one sequential loop would
-    have read.  Splitting is done on the JVM: ``from_json`` into
-    ``array<string>`` keeps each record as its JSON text.  The cut is one
-    global ``min`` (one row, broadcast)."""
+    the first end.  Splitting is done on the JVM: ``from_json`` into
+    ``array<string>`` keeps each record as its JSON text.  A body that the JVM's
+    parser refuses gives no rows here; :func:`unread` finds it."""
     from pyspark.sql import functions as F
 
     records = F.from_json("body", f"struct<`{data_key}`: array<string>>")[data_key]
-    data = pages.where(F.col("outcome") == "page").select("page", F.posexplode(records).alias("position", "record"))
-    stop = pages.where(F.col("outcome") == "end").agg(F.min("page").alias("_stop"))
-    return (data.join(F.broadcast(stop), F.col("_stop").isNull() | (F.col("page") < F.col("_stop")))
-            .drop("_stop"))
+    return _before_end(pages.where(F.col("outcome") == "page").select("page", F.posexplode(records).alias("position", "record")), pages)
+
+
+def unread(pages, rows):
+    """``(page, records, found)`` of the landed pages before the first end of
+    which ``rows`` (with their ``page``) holds another number of records than
+    the reader counted when it parsed the body.  ``rows`` is aggregated by page
+    before the join; bodies are not read."""
+    from pyspark.sql import functions as F
+
+    sent = _before_end(pages.where(F.col("outcome") == "page").groupBy("page").agg(F.sum("records").alias("records")), pages)
+    found = rows.groupBy("page").agg(F.count("*").alias("found"))
+    both = sent.join(found, "page", "full_outer").select(
+        "page", F.coalesce("records", F.lit(0)).alias("records"), F.coalesce("found", F.lit(0)).alias("found"))
+    return both.where("records <> found")
 
 
 def stopped_by(pages) -> str | None:

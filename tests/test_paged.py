@@ -6,6 +6,7 @@ import pytest
 
 from conftest import write
 from landfall.sources.paged import ApiError, Unauthorized, fetch
+from landfall.fixtures import FaultyApi
 from landfall.plans.api_job import read_pages
 
 
@@ -73,8 +74,8 @@ def test_outcomes_and_jvm_split(spark):
                           ('{"x": {"deviceResponseData": []}, "deviceResponseData": [1]}', "page"),
                           ('{"x": {"deviceResponseData": [1]}, "deviceResponseData": []}', "end")):
         assert outcome_of(200, body, key)[0] == outcome, body
-    df = spark.createDataFrame([(1, "page", '{"deviceResponseData": [{"a": 1}, {"b": {"c": 2}}]}', None), (2, "end", None, None),
-                                (3, "page", '{"deviceResponseData": [{"late": 1}]}', None)], SCHEMA)
+    df = spark.createDataFrame([(1, "page", '{"deviceResponseData": [{"a": 1}, {"b": {"c": 2}}]}', None, 2), (2, "end", None, None, None),
+                                (3, "page", '{"deviceResponseData": [{"late": 1}]}', None, 1)], SCHEMA)
     got = sorted((r.page, r.position, r.record) for r in page_records(df).collect())
     assert got == [(1, 0, '{"a":1}'), (1, 1, '{"b":{"c":2}}')]
 
@@ -96,7 +97,7 @@ def test_failures_before_the_end_stop_the_job_and_later_ones_do_not(spark, area)
     from landfall.sources.paged import stopped_by
 
     _pages(area, [2, 2, 2, 0])
-    opts = {"transport": "files", "path": f"{area}/pages", "numPartitions": 2, "retries": 2}
+    opts = {"transport": "files", "path": f"{area}/pages", "numPartitions": 2, "retries": 2, "source": FaultyApi}
     with pytest.raises(FetchFailed, match="page 3"):
         read_pages(spark, {**opts, "failPages": "3:2"})
     landed = land_pages(spark, {**opts, "failPages": "3:1"}, f"{area}/landed")
@@ -107,13 +108,68 @@ def test_failures_before_the_end_stop_the_job_and_later_ones_do_not(spark, area)
     assert read_pages(spark, {**opts, "numPartitions": 3}).count() == 6      # page 6 is past the end
 
 
-def test_records_before_the_mark_are_skipped_without_ending_paging(spark, area):
-    for p, days in enumerate([(1, 2), (1, 1), (3, 4)], start=1):
-        recs = [{"mendixUID": f"{p}-{d}", "modifiedDate": f"01/0{d}/2024 00:00:00"} for d in days]
-        write(f"{area}/pages/page={p}/part-0.json", json.dumps({"deviceResponseData": recs}))
-    df = read_pages(spark, {"transport": "files", "path": f"{area}/pages", "numPartitions": 1, "modifiedField": "modifiedDate",
-                            "modifiedDate": "01/02/2024 00:00:00"})
-    assert sorted(json.loads(r.record)["mendixUID"] for r in df.collect()) == ["1-2", "3-3", "3-4"]
+def test_206_is_retried_and_then_fails(spark, area):
+    """Only 200 and 204 are answers, whatever the body of another status holds."""
+    from landfall.plans.api_job import FetchFailed
+
+    body = '{"deviceResponseData": [{"a": 1}]}'
+    assert fetch(Fake([(206, body), (200, "ok")]), {"Page": 1}, sleep=lambda s: None) == (200, "ok")
+    with pytest.raises(ApiError, match="HTTP 206"):
+        fetch(Fake([(206, body)] * 3), {"Page": 1}, sleep=lambda s: None)
+    _pages(area, [2, 2, 0])
+    opts = {"transport": "files", "path": f"{area}/pages", "numPartitions": 2, "retries": 2, "failStatus": 206, "failBody": body, "source": FaultyApi}
+    with pytest.raises(FetchFailed, match="page 2.*HTTP 206"):
+        read_pages(spark, {**opts, "failPages": "2:2"})
+    assert read_pages(spark, {**opts, "failPages": "2:1"}).count() == 4
+
+
+DEEP = '{"mendixUID": "deep", "x": ' + "[" * 1100 + "]" * 1100 + "}"
+
+
+def test_a_page_that_spark_cannot_parse_fails_the_job(spark, area):
+    """The reader counts what it parsed; pages of which Spark reads another number are named."""
+    from landfall.plans.api_job import RecordsLost, api_frame, land_pages
+    from landfall.sources.paged import page_records, unread
+
+    _pages(area, [2, 3, 1, 2])
+    write(f"{area}/pages/page=2/part-0.json", '{"deviceResponseData": [{"mendixUID": "good"}, %s]}' % DEEP)
+    opts = {"transport": "files", "path": f"{area}/pages", "numPartitions": 2}
+    landed = land_pages(spark, opts, f"{area}/landed")
+    assert sorted((r.page, r.records) for r in landed.where("outcome = 'page'").collect()) == [(1, 2), (2, 2), (3, 1), (4, 2)]
+    assert [tuple(r) for r in unread(landed, page_records(landed)).collect()] == [(2, 2, 0)]
+    with pytest.raises(RecordsLost, match="page 2: 2 records sent, 0 read$"):
+        api_frame(spark, opts)
+    write(f"{area}/pages/page=4/part-0.json", '{"deviceResponseData": [%s]}' % DEEP)
+    with pytest.raises(RecordsLost, match=r"page 2: .* \(and 1 more pages\)"):
+        api_frame(spark, opts)
+    # a page past the end is not asked for by a sequential loop, and not missed
+    write(f"{area}/pages/page=2/part-0.json", '{"deviceResponseData": []}')
+    assert api_frame(spark, opts).count() == 2
+
+
+@pytest.mark.parametrize("record", ["null", "5", '"text"', "[1, 2]"])
+def test_a_record_that_is_no_object_fails_the_job(spark, area, record):
+    """It would be a row of NULLs."""
+    from landfall.plans.api_job import api_frame
+
+    write(f"{area}/pages/page=1/part-0.json", '{"deviceResponseData": [{"mendixUID": "a"}, %s]}' % record)
+    with pytest.raises(Exception, match="record 1 of page 1 cannot be parsed"):
+        api_frame(spark, {"transport": "files", "path": f"{area}/pages"})
+
+
+def test_odd_records_that_are_objects_are_read(spark, area):
+    from landfall.plans.api_job import api_frame
+
+    write(f"{area}/pages/page=1/part-0.json", '{"deviceResponseData": [{}, {"mendixUID": null}, {"mendixUID": {"a": 1}}, {"mendixUID": 7, "status": [1]}]}')
+    got = sorted(((r.mendix_uid, r.status) for r in api_frame(spark, {"transport": "files", "path": f"{area}/pages"}).collect()), key=repr)
+    assert got == sorted([(None, None), (None, None), ('{"a":1}', None), ("7", "[1]")], key=repr)
+
+
+def test_a_body_nested_beyond_python_is_a_failed_page():
+    from landfall.sources.paged import outcome_of
+
+    outcome, error, records = outcome_of(200, '{"deviceResponseData": [' + "[" * 1_000_000 + "]" * 1_000_000 + "]}", "deviceResponseData")
+    assert outcome == "failed" and "deeply" in error and records is None
 
 
 def test_http_transport_builds_request_and_maps_errors(monkeypatch):
@@ -175,8 +231,8 @@ def test_retried_attempts_are_reported_and_audited(spark, area):
         fetch(Fake([(500, None)] * 3), {"Page": 1}, sleep=lambda s: None, on_error=errs.append)
     assert len(errs) == 2                                   # the last failure raises instead
 
-    raw = spark.createDataFrame([(1, "retry", None, "attempt 1: ApiError: HTTP 500 for page 1"),
-                                 (1, "page", '{"deviceResponseData": [{"a": 1}]}', None), (2, "end", None, None)], SCHEMA)
+    raw = spark.createDataFrame([(1, "retry", None, "attempt 1: ApiError: HTTP 500 for page 1", None),
+                                 (1, "page", '{"deviceResponseData": [{"a": 1}]}', None, 1), (2, "end", None, None, None)], SCHEMA)
     assert sorted((r.page, r.position) for r in page_records(raw).collect()) == [(1, 0)]
     log = AuditLog(spark, f"{area}/audit")
     log.append(attempt_rows(raw, "run-1", {"object_id": 3, "object_name": "device", "source_name": "mdx",
