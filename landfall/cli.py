@@ -29,7 +29,6 @@ def _parser() -> argparse.ArgumentParser:
     f.add_argument("--ref-id", required=True)
     f.add_argument("--job", required=True, choices=["csv", "tsv", "json_flat", "json_nested"])
     f.add_argument("--tables-root", help="folder holding the target tables (default: below spark.checkpoint.dir)")
-    f.add_argument("--catalog", action="store_true", help="also publish the target as schema.table in the catalog")
     f.add_argument("--append", action="store_true", help="append instead of truncate-and-load")
     f.add_argument("--keep-on-empty", action="store_true", help="keep the table when no file arrived")
     f.add_argument("--no-overwrites", action="store_true", help="read each path once, even when its file is rewritten in place")
@@ -46,10 +45,11 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--password-env")
     a.add_argument("--pages-path", help="replay captured pages from this folder instead of HTTP")
     a.add_argument("--partitions", type=int, default=4)
-    a.add_argument("--buckets", type=int, default=64)
+    a.add_argument("--rows-per-part", type=int, help="rows of a part of the target, the unit that a merge rewrites")
     a.add_argument("--time-zone", help="zone of the API's date-time texts (default: the session's)")
     a.add_argument("--job-tag", action="append", default=[], metavar="KEY=VALUE", help="tag of the job's row in the jobs table")
-    a.add_argument("--table-name", help="also publish the target as schema.table in the catalog")
+    a.add_argument("--table-name", help="the target's schema.table in the catalog")
+    a.add_argument("--audit-name", help="the audit log's schema.table in the catalog")
     return p
 
 
@@ -61,9 +61,8 @@ def main(argv: list[str] | None = None) -> dict:
 
         res = run_feed(spark, args.config_table, args.ref_id, args.job, tables_root=args.tables_root,
                        replace=not args.append, empty_run="keep" if args.keep_on_empty else "clear",
-                       allow_overwrites=not args.no_overwrites, catalog=args.catalog)
-        out = {"segment": res.segment, "batches": res.batches,
-               "version": res.commit.version if res.commit else None}
+                       allow_overwrites=not args.no_overwrites)
+        out = {"run": res.run, "batches": res.batches, "published": res.published}
     else:
         from landfall.plans.api_job import run_api_cdc
 
@@ -76,8 +75,8 @@ def main(argv: list[str] | None = None) -> dict:
                 transport["password"] = os.environ.get(args.password_env or "", "")
         res = run_api_cdc(spark, args.config_table, args.object_name, target=args.target, audit=args.audit,
                           transport=transport, jobs=args.jobs_table, notebook_name=args.notebook_name,
-                          initial_watermark=args.initial_watermark, buckets=args.buckets,
-                          num_partitions=args.partitions, time_zone=args.time_zone, table_name=args.table_name,
+                          initial_watermark=args.initial_watermark, rows_per_part=args.rows_per_part,
+                          num_partitions=args.partitions, time_zone=args.time_zone, table_name=args.table_name, audit_name=args.audit_name,
                           job_tags=dict(t.split("=", 1) for t in args.job_tag))
         out = {k: (str(v) if v is not None else None) for k, v in res.items()}
     print(json.dumps(out))

@@ -9,13 +9,12 @@ Semantics, per key ``k`` (plain ``=``, so a NULL key never matches):
 * only the target has ``k`` -> kept (there is no delete branch).
 
 :func:`merge_frames` is that rule as a DataFrame (a full outer equi-join plus
-``CASE``).  :func:`merge_into` applies it to a table whose rows are
-hash-partitioned on the key into ``lf_bucket=<n>`` folders: only buckets that
-the source touches are read, joined and rewritten into a new generation
-folder, published with one commit; both join sides are partitioned by bucket
-so the join adds no further shuffle, and NULL-key rows -- which can never
-match -- bypass the join and get their own ``lf_bucket=-1`` folder instead of
-piling into a single hot join partition.
+``CASE``).  :func:`merge_into` applies it to a catalog table by touched parts: a
+join of the source with the target's key columns finds the parts that hold matching
+keys, only those are read whole, joined and rewritten, and the catalog then
+points at their new folders.  New rows fill the last part until it has
+``rows_per_part`` rows, then parts of their own.  NULL-key rows, which can never
+match, bypass the joins and are dealt among the new rows' parts.
 """
 
 from __future__ import annotations
@@ -30,11 +29,10 @@ from pyspark.sql import types as T
 from landfall import fs
 from landfall.functions.columns import stamp
 from landfall.functions.predicates import differs
-from landfall.session import session_conf
-from landfall.tables import Table, conform, evolve_schema, read_segments
+from landfall.tables import PART, Table, conform, evolve_schema
 
-BUCKET = "lf_bucket"
 ACTION = "merge_action"
+ROWS_PER_PART = 5_000_000       # of a part, the unit that a merge rewrites
 
 
 class DuplicateKeyError(ValueError):
@@ -135,193 +133,152 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: list[str], *,
             .select(*out_cols, ACTION))
 
 
-def bucket_of(keys: list[str], buckets: int) -> Column:
-    keyed = _all_not_null(keys)
-    return F.when(keyed, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets))).otherwise(F.lit(-1)).cast("int")
-
-
-def segment_bucket(segment: str) -> int | None:
-    """Bucket id of a merge-table segment ``gen-<id>/lf_bucket=<n>``."""
-    tail = segment.rsplit("/", 1)[-1]
-    return int(tail.split("=", 1)[1]) if tail.startswith(f"{BUCKET}=") else None
-
-
-def merge_into(table: Table, source: DataFrame, keys: list[str], *, buckets: int = 64,
+def located(target: DataFrame | None, source: DataFrame, keys: list[str]) -> DataFrame:
+    """``source`` with the part of the target that holds its key (NULL: none
+    does).  Of the target only the key columns are read, and of those only
+    files and row groups within the source's range of the first key.  NULL
+    keys go around the join, where they would all meet in one task."""
+    keyed = source.where(_all_not_null(keys))
+    alone = source.where(~_all_not_null(keys)).withColumn(PART, F.lit(None).cast("string"))
+    if target is None:
+        return keyed.withColumn(PART, F.lit(None).cast("string")).unionByName(alone)
+    span = keyed.agg(F.min(keys[0]), F.max(keys[0])).first()
+    have = target.where(_all_not_null(keys)).select(PART, *keys)
+    if span[0] is not None:
+        have = have.where(F.col(keys[0]).between(F.lit(span[0]), F.lit(span[1])))
+    same = [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys]
+    found = keyed.alias("s").join(have.alias("t"), same, "left").select("s.*", f"t.{PART}")
+    return found.unionByName(alone)
+
+
+def placed(found: DataFrame, new_rows: int, last: tuple[str, int] | None, rows_per_part: int, run: str) -> tuple[DataFrame, tuple[str, int] | None]:
+    """``found`` with a part for each new row, and the part that later rows may
+    fill, with its number of rows.  New rows are dealt by a hash of the whole
+    row, so those with a NULL key spread like others."""
+    if not new_rows:
+        return found, last
+    if last is not None and last[1] + new_rows <= rows_per_part:
+        return found.withColumn(PART, F.coalesce(PART, F.lit(last[0]))), (last[0], last[1] + new_rows)
+    n = -(-new_rows // rows_per_part)
+    number = F.pmod(F.xxhash64(*[c for c in found.columns if c != PART]), F.lit(n))
+    part = F.concat(F.lit(f"{run}-"), F.lpad(number.cast("string"), 6, "0"))
+    return found.withColumn(PART, F.coalesce(PART, part)), (f"{run}-{n - 1:06d}", -(-new_rows // n))
+
+
+def merge_into(table: Table, source: DataFrame, keys: list[str], *, rows_per_part: int | None = None,
                compare: list[str] | None = None, stamp_column: str = "update_ts",
                run_ts: datetime | str | None = None, on_duplicate: str = "error",
                track_max: list[str] | tuple = ()) -> None:
-    """Upsert ``source`` into a bucketed merge table (created on first use).
+    """Upsert ``source`` into a merge table (created on first use).
 
-    The table's segments are bucket folders ``gen-<id>/lf_bucket=<n>``.  A
-    merge reads only the folders of the buckets its source touches, writes
-    their merged rows into a fresh generation folder and publishes with one
-    commit that swaps those buckets' folders -- readers see the whole merge
-    or none of it, and replaced folders are vacuumed later.
+    What it costs: the target's key columns within the source's key range, and
+    the parts that hold a matching key, read and written once.  Each key is in
+    one part for good, and a part is moved by one statement, so a reader finds
+    every key once at any moment; a merge that dies half-way leaves some parts
+    merged, and running it again does the rest.
 
     ``on_duplicate``: ``"error"`` checks that no key repeats (a shuffle of the
     source by key); ``"unique"`` is for sources unique by construction (e.g.
-    :func:`latest_per_key` output) and only aggregates by bucket.
-
-    ``buckets`` counts when the table is created (:func:`rebucket` changes it
-    later); pick it so one bucket of the target is about what one task should
-    rewrite (e.g. ~1 GB).
-    ``track_max`` columns get their per-bucket MAX kept in the commit, so
-    :func:`table_max` answers "MAX over the whole target" from the buckets this
-    merge rewrote instead of a full scan.  The source is read a few times
-    (stats, merge, NULL keys, maxima); stage it first when it is expensive.
+    :func:`latest_per_key` output).
+
+    ``rows_per_part`` (kept with the table) is about what a merge rewrites for
+    one changed row; pick it so that a part is a few hundred megabytes.
+    ``track_max`` names timestamp columns whose MAX over the whole table is kept
+    with it, so :func:`table_max` answers without a scan.
     """
     spark = source.sparkSession
-    current = table.latest()
     src_schema = T.StructType([f for f in source.schema.fields if f.name != stamp_column])
     incoming = T.StructType(src_schema.fields + [T.StructField(stamp_column, T.TimestampType(), True)])
-    if current is None:
-        current = table.commit([], incoming, {"keys": keys, "buckets": buckets, "layout": "bucketed"})
-    nb = int(current.properties["buckets"])
-    schema = evolve_schema(current.schema, incoming)
-    stored = T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType(), True)])
-    src = source.withColumn(BUCKET, bucket_of(keys, nb))
-
-    # One pass over the source: the touched buckets, -1 standing for NULL keys
-    # (at most ``nb`` + 1 ids, a fixed table property, reach the driver), and
-    # unless the caller vouches for unique keys, the largest key multiplicity.
-    if on_duplicate == "unique":
-        stats = src.groupBy(BUCKET).agg(F.lit(1).alias("n")) \
-                   .agg(F.lit(1).alias("most"), F.collect_set(BUCKET).alias("buckets")).first()
-    else:
-        stats = (src.groupBy(*keys)
-                 .agg(F.count(F.lit(1)).alias("n"), F.first(BUCKET).alias("b"))
-                 .agg(F.max(F.when(F.col("b") >= 0, F.col("n"))).alias("most"),
-                      F.collect_set("b").alias("buckets"))).first()
-    most = stats["most"] or 0
-    touched = sorted(b for b in (stats["buckets"] or []) if b >= 0)
-    has_nulls = -1 in (stats["buckets"] or [])
-    if on_duplicate == "error" and most > 1:
-        dup = duplicate_keys(source, keys).first()
-        raise DuplicateKeyError(f"source has several rows for key {dup.asDict()}")
-
-    gen = table.new_segment("gen")
-    gen_path = table.segment_path(gen)
-    hit = set(touched)
-    if touched:
-        old = [table.segment_path(sg) for sg in current.segments if segment_bucket(sg) in hit]
-        tgt = read_segments(spark, old, schema).withColumn(BUCKET, bucket_of(keys, nb))
-        # Both sides hash-partitioned by bucket: the join on (bucket, key)
-        # needs no further exchange and each bucket is written by one task,
-        # i.e. one new file per touched bucket.
-        tgt = conform(tgt, stored).repartition(nb, BUCKET)
-        src_keyed = src.where(F.col(BUCKET) >= 0).repartition(nb, BUCKET)
-        merged = merge_frames(tgt, src_keyed, keys, compare=compare, stamp_column=stamp_column,
-                              run_ts=run_ts, extra_join=[BUCKET], split_nulls=False)
-        with session_conf(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
-            conform(merged, stored).write.mode("append").partitionBy(BUCKET).parquet(gen_path)
-
-    # NULL keys never match anything: a folder of their own, no join.
-    nulls = conform(src.where(F.col(BUCKET) < 0).withColumn(stamp_column, stamp(run_ts)), stored)
-    if has_nulls:
-        nulls.write.mode("append").partitionBy(BUCKET).parquet(gen_path)
-
-    written = [f"{gen}/{n}" for n in fs.list_names(spark, gen_path) if n.startswith(f"{BUCKET}=")]
-    segments = [sg for sg in current.segments if segment_bucket(sg) not in hit] + written
-    props = dict(current.properties)
-    if track_max:
-        props["max"] = _bucket_maxima(spark, stored, gen_path, touched, track_max,
-                                      current.properties.get("max", {}), nulls if has_nulls else None)
-    if written or schema != current.schema or props != current.properties:
-        table.commit(segments, schema, props, expected=current)
-        table.vacuum()
-
-
-def rebucket(table: Table, buckets: int) -> None:
-    """Deal a merge table that has outgrown its buckets into another number of
-    them: every bucket is rewritten into a new generation and one commit swaps
-    them all.  Later merges use the new number."""
-    spark, current = table.spark, table.latest()
-    if current is None or current.properties.get("layout") != "bucketed":
-        raise ValueError(f"no merge table at {table.location}")
-    keys = current.properties["keys"]
-    stored = T.StructType(current.schema.fields + [T.StructField(BUCKET, T.IntegerType(), True)])
-    rows = conform(table.read().withColumn(BUCKET, bucket_of(keys, buckets)), stored)
-    gen = table.new_segment("gen")
-    gen_path = table.segment_path(gen)
-    rows.where(F.col(BUCKET) >= 0).repartition(buckets, BUCKET).write.mode("append").partitionBy(BUCKET).parquet(gen_path)
-    nulls = rows.where(F.col(BUCKET) < 0)
-    nulls.write.mode("append").partitionBy(BUCKET).parquet(gen_path)
-    written = [f"{gen}/{n}" for n in fs.list_names(spark, gen_path) if n.startswith(f"{BUCKET}=")]
-    props = {**current.properties, "buckets": buckets}
-    tracked = list(current.properties.get("max", {}))
-    if tracked:
-        kept = {c: {"-1": m["-1"]} for c, m in current.properties["max"].items() if "-1" in m}
-        props["max"] = _bucket_maxima(spark, stored, gen_path, list(range(buckets)), tracked, kept, None)
-    table.commit(written, current.schema, props, expected=current)
-    table.vacuum()
-
-
-def _encode_max(col: str, dtype: T.DataType):
-    """MAX of ``col`` in a session-independent form: epoch microseconds for
-    timestamps (text would depend on the session time zone), text otherwise."""
-    m = F.max(col)
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(m).alias(col)
-    if isinstance(dtype, T.TimestampNTZType):      # wall-clock micros, no zone involved
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        return F.timestamp_diff("MICROSECOND", epoch, m).alias(col)
-    return m.cast("string").alias(col)
-
-
-def _decode_max(values: list, dtype: T.DataType, spark):
+    first = not table.exists()
+    before = table.schema
+    evolve_schema(before, incoming)         # a conflict shows before anything is done
+    if on_duplicate == "error":
+        repeated = duplicate_keys(source, keys).first()
+        if repeated is not None:
+            raise DuplicateKeyError(f"source has several rows for key {repeated.asDict()}")
+    run = table.new_run("merge")
+    stage, out = table.path(f"_stage/{run}"), table.path(run)
+    try:
+        schema = table.prepare(incoming, parts=True)
+        if first:
+            table.note(keys=keys, rows_per_part=rows_per_part or ROWS_PER_PART)
+        notes = table.notes()
+        size = rows_per_part or notes.get("rows_per_part", ROWS_PER_PART)
+        target = spark.table(table.name)
+        found = located(None if first else target, source.select(src_schema.names), keys)
+        found.write.parquet(stage)
+        found = spark.read.schema(found.schema).parquet(stage)
+        # a row for each touched part
+        counts = {r[PART]: r["n"] for r in found.groupBy(PART).agg(F.count("*").alias("n")).collect()}
+        new_rows, last = counts.pop(None, 0), tuple(notes["last"]) if notes.get("last") else None
+        if not counts and not new_rows:
+            return
+        found, last = placed(found, new_rows, last, size, run)
+        touched = sorted(set(counts) | ({last[0]} if new_rows and table.part_location(last[0]) else set()))
+        stored = T.StructType(schema.fields + [T.StructField(PART, T.StringType(), True)])
+        old = target.where(F.col(PART).isin(touched)) if touched else target.where(F.lit(False))
+        merged = merge_frames(conform(old, stored), found, keys, compare=compare, stamp_column=stamp_column, run_ts=run_ts, extra_join=[PART])
+        # rows of a part together, but a large part in several tasks and files
+        conform(merged, stored).hint("rebalance", PART).write.partitionBy(PART).parquet(out)
+        folders = {n.split("=", 1)[1]: f"{out}/{n}" for n in fs.list_names(spark, out) if n.startswith(f"{PART}=")}
+    except Exception:
+        fs.delete(spark, out)
+        raise
+    finally:
+        fs.delete(spark, stage)
+    # the changed parts one by one, then all new ones at once: a merge cut off in between is finished by running it again
+    table.note(publishing=run)
+    table.move_parts({n: p for n, p in folders.items() if n in touched})
+    table.publish_parts({n: p for n, p in folders.items() if n not in touched}, schema)
+    # what is known of a table whose last merge was cut off may be wrong
+    tracked = {} if notes.get("publishing") else dict(notes.get("max", {}))
+    for c in track_max:
+        tracked[c] = _tracked(table, c, tracked.get(c), spark.read.schema(stored).parquet(out), touched, first)
+    table.note(last=last, max=tracked, publishing=None)
+
+
+def _micros(c: str, dtype: T.DataType) -> Column:
+    """A timestamp as microseconds, whatever the session's zone is."""
     if isinstance(dtype, T.TimestampType):
-        # epoch micros -> the value collect() would give, without a job
-        return T.TimestampType().fromInternal(max(int(v) for v in values))
+        return F.unix_micros(c)
     if isinstance(dtype, T.TimestampNTZType):
-        return T.TimestampNTZType().fromInternal(max(int(v) for v in values))
-    lits = spark.createDataFrame([(str(v),) for v in values], "v STRING")
-    return lits.agg(F.max(F.col("v").cast(dtype))).first()[0]
-
-
-def _bucket_maxima(spark, stored, gen_path, touched, cols, old: dict, nulls: DataFrame | None) -> dict:
-    """Per-bucket MAX of ``cols`` after a merge: rewritten buckets are
-    re-aggregated from the new generation (one column each, pruned), the
-    NULL-key bucket only grows by appends, every other bucket keeps its
-    recorded value."""
-    out = {c: dict(old.get(c, {})) for c in cols}
-    if touched:
-        fresh = (spark.read.schema(stored).parquet(gen_path).where(F.col(BUCKET).isin(touched))
-                 .groupBy(BUCKET).agg(*[_encode_max(c, stored[c].dataType) for c in cols]).collect())
-        for r in fresh:
-            for c in cols:
-                out[c][str(r[BUCKET])] = r[c]
-    appended = nulls.agg(*[_encode_max(c, stored[c].dataType) for c in cols]).first() if nulls is not None else None
-    for c in cols:
-        new = appended[c] if appended is not None else None
-        if new is not None:
-            prev = out[c].get("-1")
-            out[c]["-1"] = new if prev is None else max(prev, new, key=_as_sortable)
-    return out
-
-
-def _as_sortable(v):
-    try:
-        return (0, float(v))
-    except (TypeError, ValueError):
-        return (1, str(v))
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(c))
+    raise ValueError(f"{c}: only timestamp columns are tracked")
+
+
+def _tracked(table: Table, column: str, known: list | None, written: DataFrame, touched: list[str], first: bool) -> list | None:
+    """MAX of ``column`` over the table after a merge and a part that holds it.
+    The maximum known before still counts if its part was not rewritten, or if
+    the rewritten rows reach it; else, and when none is known, the column is scanned."""
+    value = _micros(column, written.schema[column].dataType)
+    newest = lambda df: df.agg(F.max(F.struct(value.alias("m"), F.col(PART).alias("p"))).alias("x")).first()["x"]
+    fresh = newest(written.where(F.col(column).isNotNull()))
+    if first:
+        return list(fresh) if fresh else None
+    if known is not None:
+        if fresh is not None and fresh["m"] >= known[0]:
+            return list(fresh)
+        if known[1] not in touched:
+            return known
+    whole = newest(table.spark.table(table.name).where(F.col(column).isNotNull()))
+    return list(whole) if whole else None
 
 
 def table_max(table: Table, column: str):
-    """MAX of ``column`` over the whole merge table, from the per-bucket
-    maxima when the column is tracked, otherwise by a scan of that column."""
+    """MAX of ``column`` over the whole merge table: the tracked one, otherwise
+    by a scan of that column."""
     from landfall.functions.columns import find_column
     from landfall.operators.watermark import column_max
 
-    c = table.latest()
-    if c is None:
+    if not table.exists():
         return None
-    name = find_column(c.schema.names, column)
+    schema = table.schema
+    name = find_column(schema.names, column)
     if name is None:
         return None
-    tracked = c.properties.get("max", {}).get(name)
-    if tracked is None:
+    notes = table.notes()
+    tracked = notes.get("max", {})
+    if name not in tracked or notes.get("publishing"):
         return column_max(table.read(), name).first()[0]
-    values = [v for v in tracked.values() if v is not None]
-    if not values:
-        return None
-    return _decode_max(values, c.schema[name].dataType, table.spark)
+    # microseconds -> the value collect() would give, without a job
+    return schema[name].dataType.fromInternal(tracked[name][0]) if tracked[name] else None

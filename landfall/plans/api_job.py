@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall import fs
-from landfall.catalog import publish_to_catalog
 from landfall.functions.timestamps import API_FORMAT
 from landfall.operators.mapping import FieldMap, apply_mapping, landing_schema
 from landfall.operators.merge import DuplicateKeyError, duplicate_keys, latest_per_key, merge_into, table_max
@@ -191,7 +190,7 @@ def audit_attempts(spark: SparkSession, log: AuditLog, raw_path: str, run_id: st
         if fs.exists(spark, f"{raw_path}/_SUCCESS"):
             rows = attempt_rows(spark.read.schema(paged.SCHEMA).parquet(raw_path), run_id, identity)
             if not rows.isEmpty():
-                log.append(rows)
+                log.append(rows, f"requests-{run_id}")
     except Exception as exc:
         warnings.warn(f"request attempts of run {run_id} were not logged: {exc}", stacklevel=2)
 
@@ -213,8 +212,8 @@ def run_api_cdc(spark: SparkSession, config_table: DataFrame | str, object_name:
                 transport: dict, jobs: DataFrame | str | None = None, job_tags: dict[str, str] | None = None,
                 mapping: list[FieldMap] = DEVICE_MAPPING, keys: list[str] = DEVICE_KEY,
                 notebook_name: str | None = None, initial_watermark: str | None = None, run_ts=None,
-                buckets: int = 64, num_partitions: int = 4, time_zone: str | None = None,
-                table_name: str | None = None) -> dict:
+                rows_per_part: int | None = None, num_partitions: int = 4, time_zone: str | None = None,
+                table_name: str | None = None, audit_name: str | None = None) -> dict:
     """The whole CDC run.  ``transport`` holds the ``paged_api`` options other
     than ``modifiedDate`` (e.g. ``{"transport": "http", "url": ..., "username": ...}``).
 
@@ -222,18 +221,19 @@ def run_api_cdc(spark: SparkSession, config_table: DataFrame | str, object_name:
     its job row in ``jobs``.  ``time_zone`` is the zone of the API's date-time
     texts: they are parsed, and the watermark is written, in that zone (the
     session's by default), whatever zone the driver's host is in.
-    ``table_name`` (schema.table) also publishes the target in the catalog."""
+    ``target`` and ``audit`` are the folders of two catalog tables,
+    ``table_name`` and ``audit_name`` (schema.table) their names."""
     if isinstance(config_table, str):
         config_table = spark.table(config_table)
     if isinstance(jobs, str):
         jobs = spark.table(jobs)
     cfg = ApiConfig.load(config_table, object_name)
     job = job_for_tags(jobs, job_tags) if jobs is not None and job_tags else None
-    log = AuditLog(spark, audit)
+    log = AuditLog(spark, audit, audit_name)
     identity = dict(object_id=cfg.object_id, job_id=job.job_id if job else None, object_name=cfg.object_name,
                     source_name=cfg.source_name, job_name=job.job_name if job else None,
                     notebook_name=notebook_name)
-    table = Table(spark, target)
+    table = Table(spark, target, table_name)
     zone = time_zone or spark.conf.get("spark.sql.session.timeZone")
     with session_conf(spark, "spark.sql.session.timeZone", zone):
         mark = log.watermark_text(cfg.object_name, cfg.source_name) or initial_text(initial_watermark)
@@ -249,10 +249,8 @@ def run_api_cdc(spark: SparkSession, config_table: DataFrame | str, object_name:
                 frame.write.mode("overwrite").parquet(f"{staging}/rows")
                 delta = spark.read.schema(frame.schema).parquet(f"{staging}/rows")
                 # latest_per_key left one row per key: no duplicate check needed
-                merge_into(table, delta, keys, buckets=buckets, run_ts=run_ts, on_duplicate="unique",
-                           track_max=[m.target for m in mapping_for(cfg.source_delta_column, mapping)])
-                if table_name:
-                    publish_to_catalog(table, table_name)
+                merge_into(table, delta, keys, rows_per_part=rows_per_part, run_ts=run_ts, on_duplicate="unique",
+                           track_max=[m.target for m in mapping_for(cfg.source_delta_column, mapping) if m.type == "timestamp"])
                 ctx.latest_update_dt = table_max(table, cfg.source_delta_column)
             finally:
                 fs.delete(spark, staging)   # merged, or of no use: a new run asks again

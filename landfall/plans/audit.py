@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from landfall.functions.columns import last_path_segment
 from landfall.functions.timestamps import elapsed_seconds_text, format_timestamp, seconds_text
 from landfall.operators.watermark import high_watermark
-from landfall.streaming.loads import publish, write_batch
+from landfall.streaming.loads import write_batch
 from landfall.tables import Table, conform
 
 # ---- fixed values: the audit table's columns ---------------------------------
@@ -56,15 +56,17 @@ def audit_rows(runs: DataFrame) -> DataFrame:
 
 
 class AuditLog:
-    def __init__(self, spark: SparkSession, location: str):
+    """A catalog table with a part for each run: an append costs the same
+    however many runs there were, and a run logged again replaces its rows."""
+
+    def __init__(self, spark: SparkSession, location: str, name: str | None = None):
         self.spark = spark
-        self.table = Table(spark, location)
+        self.table = Table(spark, location, name)
 
-    def append(self, rows: DataFrame) -> None:
-        rows = audit_rows(rows)
-        seg = self.table.new_segment("audit")
-        write_batch(rows, f"{self.table.segment_path(seg)}/batch-{0:012d}")
-        publish(self.table, seg, AUDIT_SCHEMA, replace=False)
+    def append(self, rows: DataFrame, part: str | None = None) -> None:
+        part = part or self.table.new_run("audit")
+        write_batch(audit_rows(rows), self.table.path(part))
+        self.table.publish_parts({part: self.table.path(part)}, AUDIT_SCHEMA)
 
     def read(self) -> DataFrame:
         if not self.table.exists():
@@ -87,7 +89,8 @@ class AuditLog:
         if "duration_sec" not in values:
             values["duration_sec"] = seconds_text((end - start) // timedelta(microseconds=1)) if start and end else None
         row = tuple(values.get(f.name) for f in AUDIT_SCHEMA.fields)
-        self.append(self.spark.createDataFrame([row], AUDIT_SCHEMA))
+        run = values.get("run_id")
+        self.append(self.spark.createDataFrame([row], AUDIT_SCHEMA), f"run-{run}" if run else None)
 
 
 @dataclass

@@ -1,8 +1,8 @@
 """The four file-drop jobs, config driven.
 
 Each job is a :class:`FileSource` (how to read the drop folder) plus a
-transform (how rows map onto the target), loaded into a commit table as a
-run-to-completion snapshot.  Discovery is the file stream (each new path read
+transform (how rows map onto the target), loaded into the configured catalog
+table as a run-to-completion snapshot.  Discovery is the file stream (each new path read
 once, progress checkpointed) or, with ``allow_overwrites``, the changed-file
 ledger, which also re-reads files rewritten under the same name.
 """
@@ -18,14 +18,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall import fs
-from landfall.catalog import publish_to_catalog
 from landfall.functions.columns import drop_columns, rename_by_position, rename_columns, stamp
 from landfall.operators.flatten import flatten, flatten_zip
 from landfall.plans.config import FeedConfig, parse_ref_id
 from landfall.session import session_conf
 from landfall.sources.files import FileSource, spark_format
 from landfall.sources.ledger import FileLedger
-from landfall.streaming.loads import LoadResult, batch_path, load_stream, publish, write_batch
+from landfall.streaming.loads import LoadResult, RunState, batch_path, load_stream, publish, published, write_batch
 from landfall.tables import Table
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -107,22 +106,17 @@ class FileFeedJob:
     allow_overwrites: bool = False    # re-read files rewritten in place (ledger discovery)
     files_per_batch: int = 1000
     bytes_per_batch: int | None = None   # ledger mode: also size a batch by total file size
-    table_name: str | None = None     # also publish in the catalog, as schema.table
 
     def run(self, after_write=None) -> LoadResult:
         spark = self.table.spark
         with self._whole_lines(spark):
             if self.allow_overwrites:
-                result = self._run_ledger(spark, after_write)
-            else:
-                if not self.source.include_existing:
-                    self.source.existing = existing_files(spark, self.source, self.state_dir)
-                stream = self.transform(self.source.stream(spark))
-                result = load_stream(stream, self.table, self.state_dir, replace=self.replace,
-                                     empty_run=self.empty_run, after_write=after_write)
-        if self.table_name:
-            publish_to_catalog(self.table, self.table_name)
-        return result
+                return self._run_ledger(spark, after_write)
+            if not self.source.include_existing:
+                self.source.existing = existing_files(spark, self.source, self.state_dir)
+            stream = self.transform(self.source.stream(spark))
+            return load_stream(stream, self.table, self.state_dir, replace=self.replace,
+                               empty_run=self.empty_run, after_write=after_write)
 
     def _whole_lines(self, spark: SparkSession):
         """CSV rescue judges whole lines: Spark's CSV column pruning would
@@ -134,36 +128,46 @@ class FileFeedJob:
         return contextlib.nullcontext()
 
     def _run_ledger(self, spark: SparkSession, after_write=None) -> LoadResult:
+        """Load what the ledger finds changed.  The open run's work list and the
+        batches that it has written are kept: a run that died is taken up where
+        it was, and its finished batches are not read again."""
         ledger = FileLedger(spark, f"{self.state_dir.rstrip('/')}/ledger")
-        current = self.table.latest()
-        ledger.settle(current.properties.get("ledger_runs", {}).get(ledger.location) if current else None)
+        state = RunState(spark, self.state_dir)
+        opened = state.open_run()
+        ledger.settle(opened if opened and published(self.table, opened) else None, keep=opened)
+        run = state.begin(self.table)
         if not self.source.include_existing:
             ledger.skip_existing(self.source.input_path, self.source.glob_filter)
-        segment = self.table.new_segment()
-        changed = ledger.changed(self.source.input_path, self.source.glob_filter)
-        size = changed.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
-        batches = max(-(-size["n"] // self.files_per_batch), -(-size["bytes"] // self.bytes_per_batch) if self.bytes_per_batch else 0)
+        done = {int(n.split("-")[1]) for n in batches_of_run(self.table, run)}
+        work = ledger.resume(run, done, self.source.input_path, self.source.glob_filter)
+        if work is None:
+            changed = ledger.changed(self.source.input_path, self.source.glob_filter)
+            size = changed.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
+            batches = max(-(-size["n"] // self.files_per_batch), -(-size["bytes"] // self.bytes_per_batch) if self.bytes_per_batch else 0)
+            work = ledger.record(changed, run, batches) if batches else None
         schema = self.source.resolve_schema(spark)
-        out_schema = None
-        if batches:
-            work = ledger.record(changed, segment, batches)
-            for b in range(batches):
-                # the names of one batch: about files_per_batch
-                paths = [r.path for r in work.where(F.col("batch") == b).select("path").collect()]
-                if not paths:
-                    continue
-                df = self.transform(self.source.batch(spark, paths, schema))
-                out_schema = out_schema or df.schema
-                write_batch(df, batch_path(self.table, segment, b))
-                if after_write is not None:
-                    after_write(df, b)
-        if out_schema is None:      # nothing changed: the same columns a batch would have
-            out_schema = self.transform(spark.createDataFrame([], self.source._with_rescue(schema))).schema
-        commit = publish(self.table, segment, out_schema, replace=self.replace, empty_run=self.empty_run,
-                         properties={"ledger_runs": {ledger.location: segment}} if batches else None)
-        if commit is not None and batches:
-            ledger.settle(segment)
-        return LoadResult(segment, batches, commit)
+        out_schema = self.transform(spark.createDataFrame([], self.source._with_rescue(schema))).schema
+        numbers = sorted(r.batch for r in work.select("batch").distinct().collect()) if work is not None else []
+        for b in numbers:
+            if b in done:
+                continue
+            # the names of one batch: about files_per_batch
+            paths = [r.path for r in work.where(F.col("batch") == b).select("path").collect()]
+            df = self.transform(self.source.batch(spark, paths, schema))
+            write_batch(df, batch_path(self.table, run, b))
+            if after_write is not None:
+                after_write(df, b)
+        made = publish(self.table, run, out_schema, replace=self.replace, empty_run=self.empty_run)
+        if work is not None:
+            ledger.settle(run)
+        state.end()
+        return LoadResult(run, len(numbers), made)
+
+
+def batches_of_run(table: Table, run: str) -> list[str]:
+    """Names of the batches that were written to their end."""
+    names = [n for n in fs.list_names(table.spark, table.path(run)) if n.startswith("batch-")]
+    return [n for n in names if fs.exists(table.spark, f"{table.path(run)}/{n}/_SUCCESS")]
 
 
 def existing_files(spark: SparkSession, source: FileSource, state_dir: str) -> str:
@@ -178,10 +182,10 @@ def existing_files(spark: SparkSession, source: FileSource, state_dir: str) -> s
 
 
 def feed_job(spark: SparkSession, config: FeedConfig, job: str, *, tables_root: str | None = None,
-             run_ts: datetime | str | None = None, catalog: bool = False, **options) -> FileFeedJob:
+             run_ts: datetime | str | None = None, **options) -> FileFeedJob:
     """Build the job for one config row.  ``job`` is csv | tsv | json_flat |
-    json_nested.  ``catalog`` also publishes the target as the configured
-    schema.table in Spark's catalog."""
+    json_nested.  The target is the configured schema.table of Spark's catalog,
+    its files below ``tables_root``."""
     make, source_opts = JOBS[job]
     reader_opts = dict(options.pop("reader_options", {}))
     if job == "tsv":
@@ -196,10 +200,9 @@ def feed_job(spark: SparkSession, config: FeedConfig, job: str, *, tables_root:
         if not root:
             raise ValueError("pass tables_root (or set spark.checkpoint.dir): the target table needs a lasting folder")
         tables_root = f"{root.rstrip('/')}/landfall/tables"
-    table = Table(spark, f"{tables_root}/{config.table_catalog}/{config.table_schema}/{config.ingst_tbl_name}")
+    table = Table(spark, f"{tables_root}/{config.table_catalog}/{config.table_schema}/{config.ingst_tbl_name}", config.table_name)
     options.setdefault("allow_overwrites", True)    # a file rewritten in place is read again
-    return FileFeedJob(source=source, transform=make(run_ts), table=table, state_dir=config.checkpoint_path,
-                       table_name=config.table_name if catalog else None, **options)
+    return FileFeedJob(source=source, transform=make(run_ts), table=table, state_dir=config.checkpoint_path, **options)
 
 
 def run_feed(spark: SparkSession, config_table: DataFrame | str, ref_id: str | int, job: str,

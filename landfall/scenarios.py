@@ -13,12 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall import fs
-from landfall.catalog import publish_to_catalog
 from landfall.fixtures import FaultyApi, files_for, sf_table, stage_files, timed
 from landfall.functions.columns import with_stamp
 from landfall.functions.predicates import map_entries_equal
 from landfall.functions.timestamps import format_timestamp, lenient_timestamp, strict_timestamp
-from landfall.operators.merge import changed_rows, duplicate_keys, merge_into, rebucket
+from landfall.operators.merge import changed_rows, duplicate_keys, merge_into
 from landfall.operators.watermark import column_max, high_watermark, high_watermark_sql
 from landfall.plans.api_job import DEVICE_FIELDS, FetchFailed, RecordsLost, api_frame
 from landfall.plans.audit import AuditLog
@@ -26,7 +25,7 @@ from landfall.plans.config import FeedConfig, lookup
 from landfall.plans.file_jobs import FileFeedJob, feed_job, nested_json_transform, run_feed
 from landfall.session import scratch
 from landfall.sources.files import FileSource
-from landfall.tables import Table
+from landfall.tables import PART, Table
 
 RUN_TS = "2024-01-01 00:00:00"
 RUN_TS_2 = "2024-02-01 00:00:00"
@@ -39,10 +38,15 @@ def ntz(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
 
 
+def _own(label: str, area: str) -> str:
+    """A table name that no other run of a scenario has."""
+    return f"{label}_{area.rsplit('/', 1)[-1].replace('-', '_')}"
+
+
 def _config(area: str, fmt: str, glob: str, ref_id: int = 1) -> FeedConfig:
     return FeedConfig(ref_id=ref_id, input_path=f"{area}/drop", file_format=fmt, schema_path=f"{area}/schema",
-                      checkpoint_path=f"{area}/state", table_catalog="main", table_schema="landing",
-                      ingst_tbl_name="target", glob_filter=glob)
+                      checkpoint_path=f"{area}/state", table_catalog="main", table_schema="landfall",
+                      ingst_tbl_name=_own("target", area), glob_filter=glob)
 
 
 @timed
@@ -259,7 +263,8 @@ def q26_api_cdc_job(spark: SparkSession, sf: str) -> DataFrame:
     # what is not older than the first run's watermark: every page of the table has such records
     stage_pages(spark, sf, f"{area}/pages2", status=changed, modified=touched, only=F.col("o_orderpriority") == "1-URGENT")
     common = dict(target=f"{area}/target", audit=f"{area}/audit", jobs=jobs, notebook_name="device_cdc",
-                  job_tags={"layer": "SDH", "schema": "MDX", "object": "DEVICE_CDC"}, buckets=16)
+                  job_tags={"layer": "SDH", "schema": "MDX", "object": "DEVICE_CDC"}, rows_per_part=20_000,
+                  table_name=f"landfall.{_own('device', area)}")
     run_api_cdc(spark, cfg, "device", run_ts=RUN_TS, initial_watermark="01/01/1990",
                 transport={"transport": "files", "path": f"{area}/pages1"}, **common)
     second = run_api_cdc(spark, cfg, "device", run_ts=RUN_TS_2,
@@ -267,7 +272,7 @@ def q26_api_cdc_job(spark: SparkSession, sf: str) -> DataFrame:
     newest = sf_table(spark, sf, "orders").agg(format_timestamp(F.max("o_orderdate")).alias("m")).first()["m"]
     if second["watermark_used"] != newest:
         raise AssertionError(f"second run did not start from the newest modified date {newest}: {second}")
-    out = Table(spark, f"{area}/target").read()
+    out = spark.table(common["table_name"])
     return ntz(out.select("mendix_uid", "patient_id", "status", "device_status", "modified_date", "update_ts"),
                "modified_date", "update_ts")
 
@@ -349,15 +354,14 @@ def q19_merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
     # one segment's customers come without a key, in the target and in the source
     key = F.when(F.col("c_mktsegment") != "MACHINERY", F.col("c_custkey")).alias("c_custkey")
     cust = sf_table(spark, sf, "customer")
-    table = Table(spark, f"{area}/target")
-    merge_into(table, cust.where(F.col("c_nationkey") < 15).select(key, *cust.columns[1:]), ["c_custkey"], buckets=16, run_ts=RUN_TS)
+    table = Table(spark, f"{area}/target", f"landfall.{_own('merged', area)}")
+    merge_into(table, cust.where(F.col("c_nationkey") < 15).select(key, *cust.columns[1:]), ["c_custkey"], rows_per_part=500, run_ts=RUN_TS)
     source = cust.where(F.col("c_nationkey") >= 10).select(
         key, "c_name", "c_nationkey",
         F.when(F.col("c_mktsegment") != "AUTOMOBILE", F.col("c_acctbal")).alias("c_acctbal"),
         F.when(F.col("c_acctbal") < 1000, F.lit("CHANGED")).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"))
-    rebucket(table, 23)
     merge_into(table, source, ["c_custkey"], run_ts=RUN_TS_2)
-    return ntz(table.read(), "update_ts")
+    return ntz(spark.table(table.name).drop(PART), "update_ts")
 
 
 def q21_duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
@@ -424,7 +428,7 @@ def q24_snapshot_replace(spark: SparkSession, sf: str) -> DataFrame:
                              F.lit(ver).alias("ver"))
         stage_files(rows, "csv", f"{area}/drop", ver, n)
         job.run()
-    return job.table.read()
+    return spark.table(job.table.name)
 
 
 def q25_add_columns(spark: SparkSession, sf: str) -> DataFrame:
@@ -476,7 +480,7 @@ def q28_cdc_failure_audit(spark: SparkSession, sf: str) -> DataFrame:
     broken = F.when(F.col("o_orderpriority") == "1-URGENT", F.date_format("o_orderdate", "yyyy-MM-dd"))
     stage_pages(spark, sf, f"{area}/bad", modified=broken)
     stage_pages(spark, sf, f"{area}/good")
-    common = dict(target=f"{area}/target", audit=f"{area}/audit", buckets=16, initial_watermark="01/01/1990",
+    common = dict(target=f"{area}/target", audit=f"{area}/audit", initial_watermark="01/01/1990",
                   run_ts=RUN_TS)
     try:
         run_api_cdc(spark, cfg, "device", transport={"transport": "files", "path": f"{area}/bad"}, **common)
@@ -550,7 +554,7 @@ def q32_request_attempts(spark: SparkSession, sf: str) -> DataFrame:
     cfg = spark.createDataFrame([(1, "https://api.invalid/devices", "MDX", "device", "modified_date")],
                                 "object_id INT, source_url STRING, source_name STRING, object_name STRING, source_delta_column STRING")
     stage_pages(spark, sf, f"{area}/pages")
-    common = dict(target=f"{area}/target", audit=f"{area}/audit", buckets=16, initial_watermark="01/01/1990", run_ts=RUN_TS)
+    common = dict(target=f"{area}/target", audit=f"{area}/audit", initial_watermark="01/01/1990", run_ts=RUN_TS)
     flaky = {"transport": "files", "path": f"{area}/pages", "retries": 2, "source": FaultyApi}
     try:
         run_api_cdc(spark, cfg, "device", transport={**flaky, "failPages": "2:2"}, **common)
@@ -616,8 +620,8 @@ def q33_catalog_table(spark: SparkSession, sf: str) -> DataFrame:
     rows = cust.select(F.col("c_custkey").cast("string").alias("Network Id"), F.col("c_name").alias("Leader Name"))
     for half in (0, 1):
         stage_files(rows.where(F.col("c_custkey") % 2 == half), "csv", f"{area}/drop", f"half{half}", files_for(_rows(cust)))
-        run_feed(spark, f"{schema}.feeds", "7", "csv", tables_root=f"{area}/tables", run_ts=RUN_TS, catalog=True, replace=False)
-    return ntz(spark.table(f"{schema}.leaders_7"), "update_ts")
+        run_feed(spark, f"{schema}.feeds", "7", "csv", tables_root=f"{area}/tables", run_ts=RUN_TS, replace=False)
+    return ntz(spark.table(f"{schema}.leaders_7").drop(PART), "update_ts")
 
 
 def q34_catalog_watermark(spark: SparkSession, sf: str) -> DataFrame:
@@ -625,14 +629,13 @@ def q34_catalog_watermark(spark: SparkSession, sf: str) -> DataFrame:
     area = scratch(spark, "q34")
     schema = _with_schema(spark, area, "q34")
     ev = sf_table(spark, sf, "events")
-    log = AuditLog(spark, f"{area}/audit")
+    log = AuditLog(spark, f"{area}/audit", f"{schema}.audit_log")
     for kind in ("purchase", "view"):
         log.append(ev.where(F.col("event_type") == kind).select(
             F.col("event_id").cast("string").alias("run_id"), F.lit("events").alias("object_name"), F.lit("app").alias("source_name"),
             F.when(F.col("event_type") == "purchase", "Success").otherwise("FAILURE").alias("run_status"),
             F.col("ts").cast("timestamp").alias("latest_update_dt"), F.col("ts").cast("timestamp").alias("start_time"),
             F.col("ts").cast("timestamp").alias("end_time")))
-    publish_to_catalog(log.table, f"{schema}.audit_log")
     return ntz(high_watermark_sql(spark, f"{schema}.audit_log", "events", "app"), "latest_update_dt")
 
 

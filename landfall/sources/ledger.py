@@ -8,10 +8,10 @@ it yields the new *and* the rewritten files.  The listing uses the
 metadata is read, and it stays a DataFrame: nothing of its size reaches the
 driver.
 
-A run's files are written to ``pending/<run>`` before the table is published.
-The table's commit names the feed's last run, so the next run (or the same
-one, right after publishing) knows which pending runs count: that one becomes
-a part of the committed table, others are dropped and their files read again.
+A run's files are written to ``pending/<run>``, dealt into batches, before any
+is read.  When the catalog's table holds the run, that list becomes a part of the
+committed table; the list of a run that died is taken up again, others are dropped
+and their files read again.
 """
 
 from __future__ import annotations
@@ -55,17 +55,36 @@ class FileLedger:
 
     def record(self, files: DataFrame, run: str, batches: int) -> DataFrame:
         """Write a run's work list, dealt into batches by path."""
-        numbered = files.select(*KEY, F.pmod(F.xxhash64("path"), F.lit(batches)).alias("batch"))
+        numbered = files.select(*KEY, F.pmod(F.xxhash64("path"), F.lit(batches)).cast("long").alias("batch"))
+        fs.mkdirs(self.spark, f"{self.location}/pending")
+        fs.mkdirs(self.spark, f"{self.location}/resuming")
         numbered.write.mode("overwrite").parquet(self._pending(run))
         return self.spark.read.schema(numbered.schema).parquet(self._pending(run))
 
-    def settle(self, published: str | None) -> None:
-        """Commit the pending run that was published, drop the others."""
+    def resume(self, run: str, done: set[int], input_path: str, glob_filter: str | None) -> DataFrame | None:
+        """The work list of a run that died, or ``None``.  Batches in ``done``
+        stay as they were read; of the others, files are taken as they are now
+        (one that was rewritten meanwhile counts with its new time and length,
+        one that is gone is left out)."""
+        where = self._pending(run)
+        if not fs.exists(self.spark, f"{where}/_SUCCESS"):
+            return None
+        work = self.spark.read.schema(f"{SCHEMA}, batch long").parquet(where)
+        read = F.col("batch").isin(sorted(done))
+        now = listing(self.spark, input_path, glob_filter).join(work.where(~read).select("path", "batch"), "path")
+        fresh = work.where(read).unionByName(now.select(work.columns))
+        fresh.write.mode("overwrite").parquet(f"{self.location}/resuming/{run}")
+        fs.delete(self.spark, where)
+        fs.rename(self.spark, f"{self.location}/resuming/{run}", where)
+        return self.spark.read.schema(work.schema).parquet(where)
+
+    def settle(self, published: str | None, keep: str | None = None) -> None:
+        """Commit the pending run that was published, drop the others but ``keep``."""
         for run in fs.list_names(self.spark, f"{self.location}/pending"):
             if run == published:
                 fs.mkdirs(self.spark, self.committed)
                 fs.rename(self.spark, self._pending(run), f"{self.committed}/{run}")
-            else:
+            elif run != keep:
                 fs.delete(self.spark, self._pending(run))
         runs = fs.list_names(self.spark, self.committed)
         if len(runs) >= COMPACT_RUNS:

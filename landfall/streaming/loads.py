@@ -1,16 +1,17 @@
-"""Run-to-completion loads into a commit-published table.
+"""Run-to-completion loads into a catalog table.
 
-A *run* stages its rows in a fresh segment of the target table and publishes it
-at the end with one commit -- either as the table's whole contents (truncate
+A *run* stages its rows in a fresh folder of the target table and publishes it
+at the end with one statement -- either as the table's whole contents (truncate
 and load: the table then holds exactly the files that arrived since the last
-run) or added to the existing segments (append).
+run) or added to what is there (append, a part for each batch).
 
 Streams run with ``trigger(availableNow=True)`` and ``foreachBatch``.  Each
-micro-batch overwrites its own folder ``batch-<id>`` inside the segment, so a
-batch that Spark replays after a failure replaces its earlier output instead
-of doubling it.  The segment of a run that has not been published yet is
-recorded in ``<state>/open_run``; a retry resumes that segment, so batches
-already committed to the checkpoint are never lost by the truncate.
+micro-batch overwrites its own folder ``batch-<id>`` of the run, so a batch
+that Spark replays after a failure replaces its earlier output instead of
+doubling it.  A run that has not been published yet is recorded in
+``<state>/open_run``; a retry resumes it, so batches already committed to the
+checkpoint are never lost by the truncate.  Whether a run is published is what
+the catalog says: the table's location, or its parts.
 """
 
 from __future__ import annotations
@@ -21,16 +22,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from landfall import fs
-from landfall.tables import RETAIN_HOURS, Commit, CommitConflict, Table, evolve_schema
+from landfall.tables import Table
 
 BatchHook = Callable[[DataFrame, int], None]
 
 
 @dataclass
 class LoadResult:
-    segment: str
+    run: str
     batches: int
-    commit: Commit | None
+    published: bool
 
 
 class RunState:
@@ -47,24 +48,38 @@ class RunState:
         return text.strip() if text else None
 
     def begin(self, table: Table) -> str:
-        """The segment to load into: the recorded open run, unless that run
-        was published already (the process died between commit and clean-up)."""
-        seg = self.open_run()
-        if seg is not None:
-            current = table.latest()
-            if current is not None and seg in current.segments:
-                seg = None
-        if seg is None:
-            seg = table.new_segment()
-            fs.write_text(self.spark, self._open, seg)
-        return seg
+        """The run to load into: the recorded open run, unless that one was
+        published already (the process died between publish and clean-up)."""
+        run = self.open_run()
+        if run is not None and published(table, run):
+            run = None
+        if run is None:
+            run = table.new_run()
+            fs.write_text(self.spark, self._open, run)
+        return run
 
     def end(self) -> None:
         fs.delete(self.spark, self._open, recursive=False)
 
 
-def batch_path(table: Table, segment: str, batch_id: int) -> str:
-    return f"{table.segment_path(segment)}/batch-{batch_id:012d}"
+def batch_path(table: Table, run: str, batch_id: int) -> str:
+    return f"{table.path(run)}/batch-{batch_id:012d}"
+
+
+def batches_of(table: Table, run: str) -> dict[str, str]:
+    """The run's staged batches: part name -> folder."""
+    names = [n for n in fs.list_names(table.spark, table.path(run)) if n.startswith("batch-")]
+    return {f"{run}.{n}": f"{table.path(run)}/{n}" for n in names}
+
+
+def published(table: Table, run: str) -> bool:
+    """Whether the catalog's table holds the run."""
+    if not table.exists():
+        return False
+    if not table.in_parts:
+        return table.whole_location() == fs.qualify(table.spark, table.path(run))
+    staged = sorted(batches_of(table, run))
+    return bool(staged) and table.part_location(staged[0]) is not None
 
 
 def write_batch(df: DataFrame, path: str) -> None:
@@ -72,36 +87,17 @@ def write_batch(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def publish(table: Table, segment: str, schema, *, replace: bool, empty_run: str = "clear",
-            properties: dict | None = None, retain_hours: float = RETAIN_HOURS) -> Commit | None:
-    """Make ``segment`` visible.  ``empty_run="keep"`` leaves a snapshot table
-    as it was when the run staged no batch.  Segments replaced more than
-    ``retain_hours`` ago are vacuumed."""
-    spark = table.spark
-    seg_path = table.segment_path(segment)
-    staged = [n for n in fs.list_names(spark, seg_path) if n.startswith("batch-")]
-    # An append commutes with other appends, so a lost race is simply retried
-    # on top of the new latest commit; a snapshot replace reports the race.
-    attempts = 1 if replace else 8
-    for attempt in range(attempts):
-        current = table.latest()
-        if replace and not staged and empty_run == "keep" and current is not None:
-            return None
-        fs.mkdirs(spark, seg_path)
-        new_schema = evolve_schema(current.schema if current else None, schema)
-        segments = [segment] if replace else (list(current.segments) if current else []) + [segment]
-        props = dict(current.properties) if current else {}
-        for k, v in (properties or {}).items():
-            # several feeds may load one table: each has its entry in a mapping
-            props[k] = {**props.get(k, {}), **v} if isinstance(v, dict) else v
-        try:
-            commit = table.commit(segments, new_schema, props, expected=current)
-            break
-        except CommitConflict:
-            if attempt + 1 == attempts:
-                raise
-    table.vacuum(retain_hours)
-    return commit
+def publish(table: Table, run: str, schema, *, replace: bool, empty_run: str = "clear") -> bool:
+    """Make the run visible.  ``empty_run="keep"`` leaves a snapshot table as
+    it was when the run staged no batch."""
+    staged = batches_of(table, run)
+    if not replace:
+        table.publish_parts(staged, schema)
+        return True
+    if not staged and empty_run == "keep" and table.exists():
+        return False
+    table.publish_whole(table.path(run), schema)
+    return True
 
 
 def load_stream(stream: DataFrame, table: Table, state_dir: str, *, replace: bool = True,
@@ -110,11 +106,11 @@ def load_stream(stream: DataFrame, table: Table, state_dir: str, *, replace: boo
     """Run ``stream`` to completion (availableNow) and publish what it read."""
     spark = stream.sparkSession
     state = RunState(spark, state_dir)
-    segment = state.begin(table)
+    run = state.begin(table)
     ran = []
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        write_batch(df, batch_path(table, segment, batch_id))
+        write_batch(df, batch_path(table, run, batch_id))
         ran.append(batch_id)
         if after_write is not None:
             after_write(df, batch_id)
@@ -127,6 +123,6 @@ def load_stream(stream: DataFrame, table: Table, state_dir: str, *, replace: boo
         writer = writer.queryName(query_name)
     query = writer.start()
     query.awaitTermination()
-    commit = publish(table, segment, stream.schema, replace=replace, empty_run=empty_run)
+    done = publish(table, run, stream.schema, replace=replace, empty_run=empty_run)
     state.end()
-    return LoadResult(segment, len(ran), commit)
+    return LoadResult(run, len(ran), done)

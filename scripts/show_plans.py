@@ -13,7 +13,6 @@ import sys
 sys.path.insert(0, __file__.rsplit("/scripts/", 1)[0])
 
 from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql import types as T  # noqa: E402
 
 from landfall import scenarios as S  # noqa: E402
 from landfall.fixtures import sf_table, stage_files  # noqa: E402
@@ -23,7 +22,7 @@ from landfall.plans.file_jobs import NESTED_HINT, nested_json_transform, tsv_tra
 from landfall.session import build_session, scratch, session_conf  # noqa: E402
 from landfall.sources.files import FileSource  # noqa: E402
 from landfall.sources.ledger import FileLedger, listing  # noqa: E402
-from landfall.tables import Table, conform  # noqa: E402
+from landfall.tables import PART, Table  # noqa: E402
 
 
 def section(title, df):
@@ -71,18 +70,15 @@ def main() -> None:
 
     orders = sf_table(spark, sf, "orders").withColumnRenamed("o_orderkey", "k")
     t = Table(spark, f"{area}/target")
-    M.merge_into(t, orders, ["k"], buckets=16, run_ts="2024-01-01")
-    c = t.latest()
-    stored = T.StructType(c.schema.fields + [T.StructField(M.BUCKET, T.IntegerType(), True)])
-    src_b = orders.where(F.col("o_orderstatus") == "P").withColumn(M.BUCKET, M.bucket_of(["k"], 16))
-    tgt = conform(t.read().withColumn(M.BUCKET, M.bucket_of(["k"], 16)), stored).repartition(16, M.BUCKET)
-    merged = M.merge_frames(tgt, src_b.repartition(16, M.BUCKET), ["k"], run_ts="2024-02-01",
-                            extra_join=[M.BUCKET], split_nulls=False)
-    with session_conf(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
-        section("Merge: both sides by bucket, full outer join on (bucket, key), no further exchange", merged)
-        print("\n===== Merge, written: one file for each touched bucket =====")
-        merged.createOrReplaceTempView("merged")
-        written(spark, area, "merged")
+    M.merge_into(t, orders, ["k"], rows_per_part=5000, run_ts="2024-01-01")
+    target, delta = spark.table(t.name), orders.where(F.col("o_orderstatus") == "P")
+    section("Merge: the parts that hold matching keys, from the key column within the source's range", M.located(target, delta, ["k"]))
+    found = M.located(target, delta, ["k"])
+    merged = M.merge_frames(target.where(F.col(PART).isin(t.parts()[:2])), found, ["k"], run_ts="2024-02-01", extra_join=[PART], split_nulls=False)
+    section("Merge: touched parts and their rows, full outer join on (part, key)", merged)
+    print("\n===== Merge, written: rebalanced by part =====")
+    merged.hint("rebalance", PART).createOrReplaceTempView("merged")
+    written(spark, area, "merged")
     tsv_transform("2024-01-01")(src.batch(spark)).createOrReplaceTempView("rows")
     print("\n===== Load, written: scan, project, filter and write in one stage =====")
     written(spark, area, "rows")

@@ -32,3 +32,10 @@ def write(path: str, text: str) -> str:
 def rows(df, *cols):
     cols = cols or df.columns
     return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
+
+
+def own_name(area: str) -> str:
+    """A table name that no other test has."""
+    import hashlib
+
+    return "t_" + hashlib.md5(area.encode()).hexdigest()

@@ -30,7 +30,7 @@ def cfg(spark):
 
 def run(spark, cfg, area, folder, **kw):
     return run_api_cdc(spark, cfg, "Device", target=f"{area}/target", audit=f"{area}/audit",
-                       transport={"transport": "files", "path": f"{area}/{folder}"}, buckets=4,
+                       transport={"transport": "files", "path": f"{area}/{folder}"}, rows_per_part=4,
                        num_partitions=2, **kw)
 
 
@@ -122,7 +122,7 @@ def test_time_zone_of_the_api_is_an_option(spark, area):
     cfg = spark.createDataFrame([(1, "https://api.invalid", "MDX", "device", "modified_date")],
                                 "object_id INT, source_url STRING, source_name STRING, object_name STRING, source_delta_column STRING")
     write(f"{area}/pages/page=1/a.json", json.dumps({"deviceResponseData": [{"mendixUID": "1", "modifiedDate": "06/01/2024 10:00:00"}]}))
-    common = dict(target=f"{area}/t", audit=f"{area}/a", transport={"transport": "files", "path": f"{area}/pages"}, buckets=2,
+    common = dict(target=f"{area}/t", audit=f"{area}/a", transport={"transport": "files", "path": f"{area}/pages"}, rows_per_part=2,
                   initial_watermark="01/01/2020", time_zone="America/New_York")
     run_api_cdc(spark, cfg, "device", **common)
     assert run_api_cdc(spark, cfg, "device", **common)["watermark_used"] == "06/01/2024 10:00:00"

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql.utils import StreamingQueryException
 
-from conftest import rows, write
+from conftest import own_name, rows, write
 from landfall.plans.config import FeedConfig
 from landfall.plans.file_jobs import feed_job, run_feed
 
@@ -11,7 +11,7 @@ TS = "2024-01-01 00:00:00"
 
 
 def config(area, fmt, glob, ref_id=1):
-    return FeedConfig(ref_id, f"{area}/drop", fmt, f"{area}/schema", f"{area}/state", "main", "landing", "t", glob)
+    return FeedConfig(ref_id, f"{area}/drop", fmt, f"{area}/schema", f"{area}/state", "main", "landfall", own_name(area), glob)
 
 
 def test_csv_positional_rename_and_glob(spark, area):
@@ -117,7 +117,7 @@ def test_run_feed_from_config_table(spark, area):
                                   "checkpoint_path STRING, table_catalog STRING, table_schema STRING, "
                                   "ingst_tbl_name STRING, glob_filter STRING")
     res = run_feed(spark, table, "4", "csv", tables_root=f"{area}/tables")
-    assert res.commit is not None and res.batches == 1
+    assert res.published and res.batches == 1
     with pytest.raises(ValueError):
         run_feed(spark, table, "abc", "csv", tables_root=f"{area}/tables")
 

@@ -6,7 +6,7 @@ import time
 
 import pytest
 
-from conftest import rows, write
+from conftest import own_name, rows, write
 from landfall.plans.file_jobs import FileFeedJob
 from landfall.sources.files import FileSource
 from landfall.tables import Table
@@ -106,17 +106,55 @@ def test_include_existing_false_skips_old_files(spark, area):
     assert ids(j) == ["2"]
 
 
-def test_published_open_run_is_not_reused(spark, area):
+@pytest.mark.parametrize("replace", [True, False])
+@pytest.mark.parametrize("ledger", [True, False])
+def test_published_open_run_is_not_reused(spark, area, replace, ledger):
     from landfall import fs
 
     write(f"{area}/drop/a.csv", "id\n1\n")
-    j = job(spark, area)
-    j.run()
-    seg = j.table.latest().segments[0]
-    fs.write_text(spark, f"{area}/state/open_run", seg)     # died after commit, before clean-up
+    j = job(spark, area, replace=replace, allow_overwrites=ledger)
+    run = j.run().run
+    fs.write_text(spark, f"{area}/state/open_run", run)     # died after publishing, before clean-up
+    if ledger:
+        fs.mkdirs(spark, f"{area}/state/ledger/pending")
+        fs.rename(spark, f"{area}/state/ledger/committed/{run}", f"{area}/state/ledger/pending/{run}")
     write(f"{area}/drop/b.csv", "id\n2\n")
+    assert j.run().run != run
+    assert ids(j) == (["2"] if replace else ["1", "2"])
+
+
+def test_a_ledger_run_is_taken_up_where_it_died(spark, area):
+    """Finished batches are not read again; files changed or gone meanwhile are taken as they are."""
+    import time as clock
+
+    for i in range(12):
+        write(f"{area}/drop/f{i:02d}.csv", f"id\n{i}\n")
+    j = job(spark, area, replace=False, allow_overwrites=True, files_per_batch=3)
+    first, second = [], []
+
+    def crash(df, b):
+        first.append(b)
+        if len(first) == 3:
+            raise RuntimeError("boom")
+
+    with pytest.raises(RuntimeError):
+        j.run(after_write=crash)
+    assert not j.table.exists()
+    left = [r.path for r in spark.read.parquet(f"{area}/state/ledger/pending/*").where(f"batch > {max(first)}").select("path").collect()]
+    name = lambda p: p.rsplit("/", 1)[1]
+    clock.sleep(1.1)
+    write(f"{area}/drop/{name(left[0])}", "id\nchanged\n")
+    os.remove(f"{area}/drop/{name(left[1])}")
+    write(f"{area}/drop/later.csv", "id\nlater\n")
+    j.run(after_write=lambda df, b: second.append(b))
+    assert set(first) & set(second) == set() and len(first) == 3
+    gone = {str(int(name(p)[1:3])) for p in left[:2]}
+    expect = sorted({str(i) for i in range(12)} - gone | {"changed"})
+    assert ids(j) == expect
+    j.run()                                   # what came while the run was open
+    assert ids(j) == sorted(expect + ["later"])
     j.run()
-    assert ids(j) == ["2"] and j.table.latest().segments[0] != seg
+    assert ids(j) == sorted(expect + ["later"])
 
 
 def test_ledger_mode_keeps_rescue_column(spark, area):
@@ -124,7 +162,7 @@ def test_ledger_mode_keeps_rescue_column(spark, area):
     from landfall.plans.file_jobs import feed_job
 
     write(f"{area}/drop/a.tsv", "User Division ID\tUser Division \n1\tx\n")
-    cfg = FeedConfig(1, f"{area}/drop", "csv", f"{area}/schema", f"{area}/state", "m", "s", "t", "*.tsv")
+    cfg = FeedConfig(1, f"{area}/drop", "csv", f"{area}/schema", f"{area}/state", "m", "landfall", own_name(area), "*.tsv")
     j = feed_job(spark, cfg, "tsv", tables_root=f"{area}/tables", allow_overwrites=True)
     j.run()
     assert "_rescued_data" in j.table.read().columns
@@ -194,41 +232,17 @@ def test_snapshot_and_append_semantics(spark, tmp_path_factory, runs, replace):
         assert ids(j) == sorted(arrived if replace else everything)
 
 
-def test_published_tables_are_in_the_catalog(spark, area):
-    """Snapshots move the table's location, appends add partitions behind a view, new columns come in."""
-    from landfall.catalog import publish_to_catalog
+def test_tables_are_in_the_catalog_under_their_configured_name(spark, area):
+    """Snapshots move the table's location, appends add parts, new columns come in; always readable by name."""
+    from landfall.plans.config import FeedConfig
+    from landfall.plans.file_jobs import feed_job
 
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS lf_cat LOCATION '{area}/cat'")
     for replace, expect in ((True, [["1"], ["2"]]), (False, [["1"], ["1", "2"]])):
-        name = f"lf_cat.t_{replace}".lower()
-        os.makedirs(f"{area}/{replace}")
-        j = job(spark, f"{area}/{replace}", replace=replace)
+        top = f"{area}/{replace}"
+        cfg = FeedConfig(1, f"{top}/drop", "csv", f"{top}/schema", f"{top}/state", "main", "landfall",
+                         f"named_{replace}_{os.path.basename(area)}".replace("-", "_").lower(), "*.csv")
         for i, want in enumerate(expect, start=1):
-            write(f"{area}/{replace}/drop/f{i}.csv", f"id\n{i}\n")
-            j.run()
-            publish_to_catalog(j.table, name)
-            assert sorted(r.id for r in spark.table(name).collect()) == want
-    t = j.table
-    t.add_columns(spark.createDataFrame([], "more STRING").schema)
-    publish_to_catalog(t, "lf_cat.t_false")
-    assert spark.table("lf_cat.t_false").columns == ["id", "more"]
-    spark.sql("DROP SCHEMA lf_cat CASCADE")
-
-
-def test_merge_table_in_the_catalog_has_each_key_once(spark, area):
-    from pyspark.sql import functions as F
-
-    from landfall.catalog import publish_to_catalog
-    from landfall.operators.merge import merge_into
-    from landfall.tables import Table
-
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS lf_cat2 LOCATION '{area}/cat2'")
-    t = Table(spark, f"{area}/m")
-    rows = spark.range(1000).select(F.col("id").alias("k"), F.lit("v").alias("v"))
-    merge_into(t, rows, ["k"], buckets=70, run_ts="2024-01-01 00:00:00")
-    publish_to_catalog(t, "lf_cat2.m")
-    merge_into(t, rows.where("k < 10").withColumn("v", F.lit("w")), ["k"], run_ts="2024-02-01 00:00:00")
-    publish_to_catalog(t, "lf_cat2.m")
-    got = spark.sql("SELECT count(*) AS n, count(DISTINCT k) AS d, count_if(v = 'w') AS w FROM lf_cat2.m").first()
-    assert (got.n, got.d, got.w) == (1000, 1000, 10)
-    spark.sql("DROP SCHEMA lf_cat2 CASCADE")
+            write(f"{top}/drop/f{i}.csv", f"id,name\n{i},x\n")
+            feed_job(spark, cfg, "csv", tables_root=f"{area}/tables", replace=replace).run()
+            assert sorted(r.network_id for r in spark.table(cfg.table_name).collect()) == want
+        assert spark.sql(f"SELECT count(*) AS n FROM {cfg.table_name} WHERE nleader_name = 'x'").first().n == len(expect[-1])

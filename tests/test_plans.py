@@ -10,7 +10,7 @@ from landfall.session import session_conf
 from landfall.operators import merge as M
 from landfall.plans.file_jobs import NESTED_HINT, nested_json_transform, tsv_transform
 from landfall.sources.files import FileSource
-from landfall.tables import Table, conform
+from landfall.tables import PART, Table
 
 
 def plan(df) -> str:
@@ -52,31 +52,33 @@ def test_latest_per_key_is_limited_before_the_shuffle_and_pruned(spark, area):
     assert "unused" not in [line for line in p.splitlines() if line.startswith("ReadSchema")][0]
 
 
-def test_merge_join_has_one_exchange_per_side(spark, area):
+def test_merge_reads_keys_in_range_and_joins_on_part_and_key(spark, area):
+    """Finding the parts reads the key column alone, within the source's key range; the rewrite reads the touched
+    parts only and has one exchange a side."""
     t = Table(spark, f"{area}/t")
     src = spark.range(100).select(F.col("id").cast("int").alias("k"), F.lit("v").alias("v"))
-    M.merge_into(t, src, ["k"], buckets=4, run_ts="2024-01-01 00:00:00")
-    c = t.latest()
-    from pyspark.sql import types as T
-    stored = T.StructType(c.schema.fields + [T.StructField(M.BUCKET, T.IntegerType(), True)])
-    tgt = conform(t.read().withColumn(M.BUCKET, M.bucket_of(["k"], 4)), stored).repartition(4, M.BUCKET)
-    s = src.withColumn(M.BUCKET, M.bucket_of(["k"], 4)).repartition(4, M.BUCKET)
-    merged = M.merge_frames(tgt, s, ["k"], extra_join=[M.BUCKET], split_nulls=False)
-    with session_conf(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+    M.merge_into(t, src, ["k"], rows_per_part=10, run_ts="2024-01-01 00:00:00")
+    target = spark.table(t.name)
+    some = src.where("k BETWEEN 7 AND 9")
+    p = plan(M.located(target, some, ["k"]))
+    assert "ReadSchema: struct<k:int>" in p and "GreaterThanOrEqual(k,7)" in p and "LessThanOrEqual(k,9)" in p
+    touched = t.parts()[:2]
+    old = target.where(F.col(PART).isin(touched))
+    merged = M.merge_frames(old, src.withColumn(PART, F.lit(touched[0])), ["k"], extra_join=[PART], split_nulls=False)
+    with session_conf(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
         p = plan(merged)
-    assert nodes(p, "Exchange") == 2
-    assert nodes(p, "SortMergeJoin") == 1 and "BroadcastExchange" not in p
+    assert nodes(p, "Exchange") == 2 and nodes(p, "SortMergeJoin") == 1 and "BroadcastExchange" not in p
+    assert "PartitionFilters: [" + PART in p.replace("isnotnull(", "").replace("cast(", "") or f"PartitionFilters: [{PART}" in p
 
 
-def test_merge_writes_one_file_per_touched_bucket(spark, area):
+def test_a_part_is_written_by_several_tasks_when_it_is_large(spark, area):
+    """Rows are rebalanced by part: small parts share a task, a large one is split."""
     import os
 
     t = Table(spark, f"{area}/t")
-    src = spark.range(1000).select(F.col("id").cast("int").alias("k"), F.lit("v").alias("v"))
-    M.merge_into(t, src, ["k"], buckets=8, run_ts="2024-01-01 00:00:00")
-    M.merge_into(t, src.withColumn("v", F.lit("w")), ["k"], run_ts="2024-02-01 00:00:00")
-    segs = t.latest().segments
-    assert len(segs) == 8
-    for seg in segs:
-        files = [f for f in os.listdir(t.segment_path(seg).replace("file:", "")) if f.endswith(".parquet")]
-        assert len(files) == 1, (seg, files)
+    src = spark.range(200_000).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    with session_conf(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m"):
+        M.merge_into(t, src, ["k"], rows_per_part=1_000_000, run_ts="2024-01-01 00:00:00")
+    (part,) = t.parts()
+    files = [f for f in os.listdir(t.part_location(part).removeprefix("file:")) if f.endswith(".parquet")]
+    assert len(files) > 1 and t.read().count() == 200_000

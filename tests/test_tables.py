@@ -13,115 +13,115 @@ def test_evolve_schema_adds_new_columns_at_the_end(spark):
 
 
 def test_evolve_schema_rejects_type_change(spark):
-    with pytest.raises(SchemaConflict):
-        evolve_schema(T.StructType.fromDDL("x INT"), T.StructType.fromDDL("x STRING"))
+    for old, new in (("x INT", "x STRING"), ("x BIGINT", "x DOUBLE"), ("x TIMESTAMP", "x DATE"), ("x DECIMAL(38,2)", "x DECIMAL(38,10)")):
+        with pytest.raises(SchemaConflict):
+            evolve_schema(T.StructType.fromDDL(old), T.StructType.fromDDL(new))
 
 
-def test_commit_read_truncate_and_add_columns(spark, area):
-    t = Table(spark, f"{area}/t")
-    assert not t.exists()
-    seg = t.new_segment()
-    write_batch(spark.createDataFrame([(1, "a"), (2, "b")], "x INT, y STRING"), f"{t.segment_path(seg)}/batch-0")
-    publish(t, seg, T.StructType.fromDDL("x INT, y STRING"), replace=True)
-    assert sorted(r.x for r in t.read().collect()) == [1, 2]
-    t.add_columns(T.StructType.fromDDL("z STRING"))
-    assert t.read().columns == ["x", "y", "z"]
-    assert {r.z for r in t.read().collect()} == {None}
-    t.truncate()
-    assert t.read().count() == 0 and t.read().columns == ["x", "y", "z"]
-
-
-def test_concurrent_commit_is_refused(spark, area):
-    t = Table(spark, f"{area}/t")
-    c = t.create(T.StructType.fromDDL("x INT"))
-    t.commit([], c.schema, expected=c)
-    with pytest.raises(RuntimeError):
-        t.commit([], c.schema, expected=c)
+WIDER = [("TINYINT", "BIGINT", "BIGINT"), ("BIGINT", "INT", "BIGINT"), ("FLOAT", "DOUBLE", "DOUBLE"), ("INT", "DOUBLE", "DOUBLE"),
+         ("DECIMAL(5,2)", "DECIMAL(10,4)", "DECIMAL(10,4)"), ("DECIMAL(10,1)", "DECIMAL(6,4)", "DECIMAL(13,4)"), ("INT", "DECIMAL(4,2)", "DECIMAL(12,2)"),
+         ("STRUCT<a: INT>", "STRUCT<a: BIGINT>", "STRUCT<a: BIGINT>"), ("ARRAY<INT>", "ARRAY<BIGINT>", "ARRAY<BIGINT>")]
 
 
-def test_vacuum_keeps_what_a_reader_may_still_use(spark, area):
-    """However many runs follow, a replaced commit stays for its time; then it goes, and so do failed runs' folders."""
+@pytest.mark.parametrize("old, new, wide", WIDER)
+@pytest.mark.parametrize("replace", [True, False])
+def test_a_feed_that_widens_reads_back_all_rows(spark, area, old, new, wide, replace):
+    """Files written with either type are read with the wider one."""
+    t = Table(spark, f"{area}/t")
+    value = {"TINYINT": "7", "BIGINT": "5000000000", "INT": "7", "FLOAT": "1.5", "DOUBLE": "0.1", "STRUCT<a: INT>": "named_struct('a', 3)",
+             "STRUCT<a: BIGINT>": "named_struct('a', 5000000000)", "ARRAY<INT>": "array(1)", "ARRAY<BIGINT>": "array(5000000000)"}
+    frames = [spark.sql(f"SELECT CAST({value.get(x, '3.25')} AS {x}) AS x") for x in (old, new)]
+    expect = []
+    for df in frames:
+        run = t.new_run()
+        write_batch(df, f"{t.path(run)}/batch-0")
+        publish(t, run, df.schema, replace=replace)
+        if replace:
+            assert t.read().count() == 1
+    expect = [df.selectExpr(f"CAST(x AS {wide}) AS x") for df in frames]
+    want = expect[1] if replace else expect[0].union(expect[1])
+    assert t.read().schema["x"].dataType == T.StructType.fromDDL(f"x {wide}")["x"].dataType
+    assert sorted(map(str, t.read().collect())) == sorted(map(str, want.collect()))
+
+
+def test_nested_fields_are_added_and_widened(spark, area):
+    t = Table(spark, f"{area}/t")
+    for value in ("named_struct('a', 3)", "named_struct('a', 5000000000L, 'b', 'x')"):
+        df = spark.sql(f"SELECT {value} AS s, array({value}) AS l")
+        run = t.new_run()
+        write_batch(df, f"{t.path(run)}/batch-0")
+        publish(t, run, df.schema, replace=False)
+    assert sorted((r.s.a, r.s.b, r.l[0].a, r.l[0].b) for r in t.read().collect()) == [(3, None, 3, None), (5000000000, "x", 5000000000, "x")]
+
+
+def test_publish_read_truncate_and_add_columns(spark, area):
+    for replace in (True, False):
+        t = Table(spark, f"{area}/t{replace}")
+        assert not t.exists()
+        run = t.new_run()
+        write_batch(spark.createDataFrame([(1, "a"), (2, "b")], "x INT, y STRING"), f"{t.path(run)}/batch-0")
+        publish(t, run, T.StructType.fromDDL("x INT, y STRING"), replace=replace)
+        assert sorted(r.x for r in t.read().collect()) == [1, 2]
+        t.add_columns(T.StructType.fromDDL("z STRING, `an odd name` STRUCT<`a b`: INT>"))
+        assert t.read().columns == ["x", "y", "z", "an odd name"]
+        assert {r.z for r in t.read().collect()} == {None}
+        t.truncate()
+        assert t.read().count() == 0 and t.read().columns == ["x", "y", "z", "an odd name"]
+
+
+def test_a_snapshot_of_several_batches_moves_at_once(spark, area):
     import os
-    import time
 
-    t = Table(spark, f"{area}/t")
+    t = Table(spark, f"{area}/t", "landfall.moved_" + os.path.basename(area).replace("-", "_"))
     schema = T.StructType.fromDDL("x INT")
-    for i in range(4):
-        seg = t.new_segment()
-        write_batch(spark.createDataFrame([(i,)], schema), f"{t.segment_path(seg)}/batch-0")
-        publish(t, seg, schema, replace=True)
-    folders = lambda: sorted(d for d in os.listdir(f"{area}/t") if d.startswith("run-"))
-    commits = lambda: sorted(n for n in os.listdir(f"{area}/t/_commits") if n.endswith(".json"))
-    assert len(folders()) == 4 and len(commits()) == 4
-    failed = t.new_segment()
-    write_batch(spark.createDataFrame([(9,)], schema), f"{t.segment_path(failed)}/batch-0")
-    old = time.time() - 10 * 86400
-    for name in commits()[:3]:                          # the first two were replaced long ago
-        os.utime(f"{area}/t/_commits/{name}", (old, old))
-    t.vacuum()
-    assert len(folders()) == 3 and failed in folders() and len(commits()) == 2
-    os.utime(f"{area}/t/{failed}", (old, old))
-    t.vacuum()
-    assert len(folders()) == 2 and [r.x for r in t.read().collect()] == [3]
-
-
-def test_commit_appears_whole_and_only_once(spark, area):
-    from landfall import fs
-
-    assert fs.write_text(spark, f"{area}/c/1.json", "first", overwrite=False)
-    assert not fs.write_text(spark, f"{area}/c/1.json", "second", overwrite=False)
-    assert fs.read_text(spark, f"{area}/c/1.json") == "first" and fs.list_names(spark, f"{area}/c") == ["1.json"]
-
-
-def test_publish_conflict_then_retry_keeps_staged_rows(spark, area):
+    places = []
+    for i in range(3):
+        run = t.new_run()
+        for b in range(3):
+            write_batch(spark.createDataFrame([(10 * i + b,)], schema), f"{t.path(run)}/batch-{b}")
+        publish(t, run, schema, replace=True)
+        assert sorted(r.x for r in spark.table(t.name).collect()) == [10 * i, 10 * i + 1, 10 * i + 2]
+        places.append(t.whole_location().removeprefix("file:"))
+    assert [os.path.exists(p) for p in places] == [False, True, True]       # the last replaced run waits for the next publish
+
+
+def test_an_append_published_twice_is_there_once(spark, area):
+    from landfall.streaming.loads import published
+
     t = Table(spark, f"{area}/t")
     schema = T.StructType.fromDDL("x INT")
-    seg_a, seg_b = t.new_segment(), t.new_segment()
-    write_batch(spark.createDataFrame([(1,)], schema), f"{t.segment_path(seg_a)}/batch-0")
-    write_batch(spark.createDataFrame([(2,)], schema), f"{t.segment_path(seg_b)}/batch-0")
-    seen = t.latest()                                       # both writers read "no table yet"
-    t.commit([seg_a], schema, expected=seen)
-    with pytest.raises(RuntimeError, match="concurrent commit"):
-        t.commit([seg_b], schema, expected=seen)
-    publish(t, seg_b, schema, replace=False)                # the retry re-reads the latest commit
-    assert sorted(r.x for r in t.read().collect()) == [1, 2]
-
-
-def test_read_many_segments(spark, area):
+    runs = [t.new_run() for _ in range(3)]
+    for i, run in enumerate(runs):
+        write_batch(spark.createDataFrame([(i,)], schema), f"{t.path(run)}/batch-0")
+    assert not published(t, runs[0])
+    for run in (runs[0], runs[1], runs[0]):
+        publish(t, run, schema, replace=False)
+    assert [published(t, run) for run in runs] == [True, True, False]
+    assert sorted(r.x for r in t.read().collect()) == [0, 1]
+
+
+def test_many_parts(spark, area):
     t = Table(spark, f"{area}/t")
     schema = T.StructType.fromDDL("x INT")
-    segs = []
+    run = t.new_run()
     df = spark.range(60).selectExpr("CAST(id AS INT) AS x")
     for i in range(60):                                     # more roots than the parallel-listing threshold
-        seg = t.new_segment()
-        write_batch(df.where(f"x = {i}").coalesce(1), f"{t.segment_path(seg)}/batch-0")
-        segs.append(seg)
-    t.commit(segs, schema)
-    assert t.read().count() == 60 and t.read().agg({"x": "sum"}).first()[0] == sum(range(60))
+        write_batch(df.where(f"x = {i}").coalesce(1), f"{t.path(run)}/batch-{i}")
+    publish(t, run, schema, replace=False)
+    assert t.read().count() == 60 and t.read().agg({"x": "sum"}).first()[0] == sum(range(60)) and len(t.parts()) == 60
 
 
-def test_append_publish_retries_after_a_lost_race(spark, area):
-    from landfall.tables import CommitConflict
+def test_names_and_modes_that_clash_are_refused(spark, area):
+    import os
 
-    t = Table(spark, f"{area}/t")
+    name = "landfall.clash_" + os.path.basename(area).replace("-", "_")
     schema = T.StructType.fromDDL("x INT")
-    segs = [t.new_segment() for _ in range(2)]
-    for i, seg in enumerate(segs):
-        write_batch(spark.createDataFrame([(i,)], schema), f"{t.segment_path(seg)}/batch-0")
-    real = t.commit
-    calls = []
-
-    def racing_commit(segments, schema_, props=None, expected=None):
-        calls.append(1)
-        if len(calls) == 1:                   # another writer wins the first time
-            real([segs[0]], schema_, {"ledger_runs": {"a": "other"}}, expected=expected)
-            raise CommitConflict("lost the race")
-        return real(segments, schema_, props, expected=expected)
-
-    t.commit = racing_commit
-    publish(t, segs[1], schema, replace=False, properties={"ledger_runs": {"b": "mine"}})
-    c = t.latest()
-    assert c.segments == [segs[0], segs[1]] and c.properties["ledger_runs"] == {"a": "other", "b": "mine"}
+    t = Table(spark, f"{area}/a", name)
+    t.prepare(schema, parts=True)
+    with pytest.raises(ValueError, match="elsewhere"):
+        Table(spark, f"{area}/b", name).prepare(schema, parts=True)
+    with pytest.raises(ValueError, match="keeps its mode"):
+        t.prepare(schema, parts=False)
 
 
 from hypothesis import given, settings
