@@ -601,6 +601,31 @@ def q38_records_lost(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("run_status") == "SUCCESS", F.col("n")).otherwise(F.lit(before)).alias("rows_after"))
 
 
+def q39_rescue_nested(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields that the schema lacks inside array elements and structs, from JSON lines and from files that hold one JSON array."""
+    area = scratch(spark, "q39")
+    orders = sf_table(spark, sf, "orders")
+    plain = F.format_string('{"k": %d, "a": [{"x": %d}], "s": {"p": {"q": "%s"}}}', "o_orderkey", "o_custkey", "o_orderstatus")
+    more = F.format_string('{"k": %d, "a": [{"x": %d, "y": "%s"}, {"x": 1}], "s": {"p": {"q": "%s", "r": [1, 2]}, "z": {}}}',
+                           "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+    text = F.when(F.col("o_orderstatus") == "P", more).otherwise(plain)
+    orders.select(text.alias("value")).write.text(f"{area}/lines")
+    groups = F.floor(F.col("o_orderkey") / 5000).alias("g")
+    orders.groupBy(groups).agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list(text), ",\n"), F.lit("\n]")).alias("value")) \
+        .write.partitionBy("g").text(f"{area}/arrays")
+    out = None
+    for form, options in (("lines", {}), ("arrays", {"multiLine": True})):
+        source = FileSource(input_path=f"{area}/{form}", file_format="json", schema="k BIGINT, a ARRAY<STRUCT<x: BIGINT>>, s STRUCT<p: STRUCT<q: STRING>>",
+                            rescued_data_column="_rescued_data", options=options)
+        job = FileFeedJob(source=source, transform=lambda df: df, table=Table(spark, f"{area}/{form}_table"), state_dir=f"{area}/{form}_state",
+                          allow_overwrites=True)
+        job.run()
+        part = job.table.read().select(F.lit(form).alias("form"), "k", F.col("a")[0]["x"].alias("x"), F.size("a").cast("long").alias("n"),
+                                       F.col("s.p.q").alias("q"), "_rescued_data")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _with_schema(spark: SparkSession, area: str, label: str) -> str:
     name = f"lf_{label}_{area.rsplit('-', 1)[-1]}"
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name} LOCATION '{area}/catalog'")
@@ -732,4 +757,5 @@ QUERIES = {
     "q36_rescue_everything": q36_rescue_everything,
     "q37_csv_rewritten": q37_csv_rewritten,
     "q38_records_lost": q38_records_lost,
+    "q39_rescue_nested": q39_rescue_nested,
 }

@@ -11,12 +11,13 @@ Options understood from a feed config:
 * ``glob_filter``      -- ``pathGlobFilter`` on file names
 * ``include_existing`` -- when false, files that are there at the first run are skipped
 * ``schema`` / ``schema_hints`` / ``schema_location`` -- fixed, hinted or remembered schema
-* ``rescued_data_column`` -- what does not fit the schema, as text.  JSON lines
-  keep, as JSON, the top-level fields that the schema lacks and those whose
-  value could not be converted; a line that is no JSON is kept whole.  CSV
-  keeps the whole line when it does not parse (feed jobs turn Spark's CSV
-  column pruning off for such runs, so every column of the line is checked),
-  and columns that the schema lacks.  Other formats refuse the option.
+* ``rescued_data_column`` -- what does not fit the schema, as text.  JSON (lines,
+  or whole files with ``multiLine``) keeps, as JSON, the fields that the schema
+  lacks and the values that could not be converted, in structs, array elements and
+  maps as well; a line that is no JSON is kept whole.  Parquet batches keep
+  columns and nested fields that the schema lacks.  CSV keeps the whole line when
+  it does not parse (feed jobs turn Spark's CSV column pruning off for such runs,
+  so every column of the line is checked), and columns that the schema lacks.
 
 Inference reads every file that no inference has seen, without a limit on their
 number or age.  CSV columns are matched by header name: a batch reads the files
@@ -30,11 +31,13 @@ import re
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from landfall.sources.headers import first_lines
 from landfall.sources.ledger import listing
+from landfall.sources.rescue import json_documents, rescue_columns, rescue_json
 from landfall.sources.schemas import SchemaMemory, apply_hints
 from landfall.tables import conform, evolve_schema
 
@@ -137,8 +140,10 @@ class FileSource:
             opts.pop("pathGlobFilter", None)
         if fmt == "csv" and opts.get("header") == "true":
             columns: list[str] = []
-            for line, _ in sorted(csv_headers(spark, where, opts).items()):
-                columns += [c for c in header_columns(line, opts) if c.lower() not in {x.lower() for x in columns}]
+            files = listing(spark, self.input_path, self.glob_filter) if paths is None else spark.createDataFrame([(p,) for p in paths], "path string")
+            # a row for each layout
+            for r in first_lines(files, opts.get("encoding", "utf-8")).select("line").distinct().orderBy("line").collect():
+                columns += [c for c in header_columns(r.line, opts) if c.lower() not in {x.lower() for x in columns}]
             return T.StructType([T.StructField(c, T.StringType(), True) for c in columns]) if columns else None
         if fmt == "parquet":
             opts.setdefault("mergeSchema", "true")
@@ -176,7 +181,11 @@ class FileSource:
         if spark_format(self.file_format) != "csv" or opts.get("header") != "true":
             return self._read(spark.read, schema, opts, where)
         out = None
-        for line, files in sorted(csv_headers(spark, where, opts).items()):
+        files = listing(spark, self.input_path, self.glob_filter) if paths is None else spark.createDataFrame([(p,) for p in paths], "path string")
+        layouts: dict[str, list[str]] = {}
+        for r in first_lines(files, opts.get("encoding", "utf-8")).orderBy("path").toLocalIterator():
+            layouts.setdefault(r.line, []).append(escape_glob(r.path))
+        for line, files in sorted(layouts.items()):
             part = self._of_header(spark, schema, opts, header_columns(line, opts), files)
             out = part if out is None else out.unionByName(part)
         return out if out is not None else spark.createDataFrame([], self._with_rescue(schema))
@@ -202,17 +211,19 @@ class FileSource:
 
     def _read(self, reader, schema: T.StructType, opts: dict, path) -> DataFrame:
         fmt, rescue = spark_format(self.file_format), self._rescue()
-        if rescue and (fmt not in ("json", "csv") or opts.get("multiLine", "false") == "true"):
-            raise ValueError(f"rescued data needs JSON or CSV lines, not {self.file_format}"
-                             f"{' with multiLine' if opts.get('multiLine') == 'true' else ''}")
+        if rescue and fmt == "parquet" and isinstance(reader, DataFrameReader):
+            whole = self._arrived(reader.format(fmt).options(**{**opts, "mergeSchema": "true"}).load(path))
+            return rescue_columns(whole, schema, rescue)
+        if rescue and fmt not in ("json", "csv"):
+            raise ValueError(f"rescued data needs JSON, CSV or batches of parquet, not {self.file_format}")
         if rescue and fmt == "json":
-            # JSON lines: parse each line twice on the JVM -- once into the
-            # schema, once into a map to find the fields the schema lacks.
+            # parsed twice on the JVM: into the schema, and into a tree to find what the schema lacks
             text_opts = {k: v for k, v in opts.items() if k in ("pathGlobFilter", "maxFilesPerTrigger", "maxFileAge",
                                                                  "maxBytesPerTrigger", "encoding")}
-            raw = self._arrived(reader.format("text").options(**text_opts).load(path))
-            json_opts = {k: v for k, v in opts.items() if k not in text_opts}
-            return rescue_json(raw, "value", schema, rescue, json_opts)
+            whole = opts.get("multiLine", "false").lower() == "true"
+            raw = self._arrived(reader.format("text").options(**text_opts, wholetext=str(whole).lower()).load(path))
+            json_opts = {k: v for k, v in opts.items() if k not in text_opts and k != "multiLine"}
+            return rescue_json(json_documents(raw, "value") if whole else raw, "value", schema, rescue, json_opts)
         if rescue:
             opts = {**opts, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": rescue}
             schema = self._with_rescue(schema)
@@ -231,40 +242,9 @@ def escape_glob(path: str) -> str:
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
-def csv_headers(spark: SparkSession, where, opts: dict) -> dict[str, list[str]]:
-    """Distinct header lines of some CSV files, and the files of each."""
-    keep = {k: v for k, v in opts.items() if k in ("pathGlobFilter", "encoding", "lineSep", "recursiveFileLookup")}
-    lines = spark.read.format("text").options(**keep).load(where).select(
-        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
-    # a file's first block is read by one task, in order
-    first = lines.where("at = 0").groupBy("path").agg(F.first("value").alias("line"))
-    path = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
-    out: dict[str, list[str]] = {}
-    for r in first.select("line", path.alias("path")).orderBy("path").toLocalIterator():
-        out.setdefault(r["line"], []).append(escape_glob(r["path"]))
-    return out
-
-
 def header_columns(line: str, opts: dict) -> list[str]:
     """Column names of a header line; a nameless one is ``_c<i>``, a repeated one gets its place appended."""
     names = next(csv.reader([line.lstrip("\ufeff")], delimiter=opts.get("sep", ","), quotechar=opts.get("quote", '"')))
     names = [n or f"_c{i}" for i, n in enumerate(names)]
     low = [n.lower() for n in names]
     return [n if low.count(n.lower()) == 1 else f"{n}{i}" for i, n in enumerate(names)]
-
-
-def rescue_json(raw: DataFrame, text_col: str, schema: T.StructType, rescue: str, options: dict | None = None) -> DataFrame:
-    """Parse JSON text into ``schema`` plus a column holding what it loses: the
-    whole text if it is no JSON object, else, as JSON, the top-level fields
-    that the schema does not name or whose value it could not take (NULL when
-    there are none)."""
-    text = F.col(text_col)
-    as_map = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
-    parsed = F.from_json(text, schema, options or {})
-    known = F.array(*[F.lit(f.name.lower()) for f in schema.fields])
-    df = raw.select(text.alias("_t"), parsed.alias("_r"), as_map.alias("_m"), F.json_object_keys(text).isNull().alias("_bad"))
-    lost = F.array(*[F.when(F.col("_r").getField(f.name).isNull(), F.lit(f.name.lower())) for f in schema.fields])
-    extra = F.map_filter("_m", lambda k, v: ~F.array_contains(known, F.lower(k)) | (
-        v.isNotNull() & F.array_contains(F.array_compact(lost), F.lower(k))))
-    return df.select("_r.*", F.when(F.col("_bad") & (F.trim("_t") != ""), F.col("_t")).otherwise(
-        F.when(F.size(extra) > 0, F.to_json(extra))).alias(rescue))

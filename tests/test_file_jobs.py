@@ -159,3 +159,43 @@ def test_every_job_reruns_with_new_arrivals(spark, area, job):
     j = feed_job(spark, config(area, fmt, glob), job, tables_root=f"{area}/tables", run_ts=TS)
     j.run()
     assert [r[0] for r in rows(j.table.read(), col)] == expect
+
+
+def test_headers_are_read_from_the_first_bytes(spark, area):
+    """Bytes read don't grow with the file, nothing is sorted, odd files and names are read."""
+    import gzip
+
+    from landfall.sources.files import FileSource
+    from landfall.sources.headers import first_lines
+    from landfall.sources.ledger import listing
+
+    write(f"{area}/drop/big.csv", "id,name\n" + "1,some text to fill the file\n" * 200_000)
+    write(f"{area}/drop/odd [1] %41.csv", "\r\n\r\nname,id\r\nx,2\r\n")
+    write(f"{area}/drop/wide.csv", ",".join(f"column{i}" for i in range(9000)) + "\n")
+    write(f"{area}/drop/one.csv", "id,name")
+    write(f"{area}/drop/empty.csv", "")
+    with gzip.open(f"{area}/drop/z.csv.gz", "wt") as f:
+        f.write("id,zipped\n7,8\n")
+    lines = first_lines(listing(spark, f"{area}/drop"))
+    got = {r.path.rsplit("/", 1)[1]: (r.line, r.bytes_read) for r in lines.collect()}
+    assert set(got) == {"big.csv", "odd [1] %41.csv", "wide.csv", "one.csv", "z.csv.gz"}
+    assert got["big.csv"][0] == got["one.csv"][0] == "id,name" and got["big.csv"][1] <= 1 << 14
+    assert got["odd [1] %41.csv"][0] == "name,id" and got["z.csv.gz"][0] == "id,zipped"
+    assert got["wide.csv"][0].endswith("column8999") and got["wide.csv"][1] <= 8 * (1 << 14)
+    plan = lines._jdf.queryExecution().toString()
+    assert "Sort" not in plan and "Exchange" not in plan
+    src = FileSource(f"{area}/drop", "csv", "o*.csv")
+    assert src.resolve_schema(spark).names == ["id", "name"] or src.resolve_schema(spark).names == ["name", "id"]
+    assert src.batch(spark).select("name", "id").collect() == [("x", "2")]
+
+
+def test_header_lines_that_cross_a_block(spark, area):
+    from landfall.sources.headers import STEP, first_line
+
+    import io
+
+    for text in ("é" * STEP + "\nrest", "a" * (STEP - 1) + "\r\nrest", "\n" * (3 * STEP) + "late\n", "a\u2028b\x0bc\nrest"):
+        want = next(x for x in text.replace("\r\n", "\n").split("\n") if x)
+        assert first_line(io.BytesIO(text.encode()), "utf-8")[0] == want
+    assert first_line(io.BytesIO("käse,x\r\n1,2".encode("latin-1")), "latin-1")[0] == "käse,x"
+    assert first_line(io.BytesIO(b""), "utf-8") == ("", 0)

@@ -1,0 +1,120 @@
+"""What a schema cannot take is kept, at any depth: against a plain Python model, and for each format."""
+
+import json
+
+import pytest
+from hypothesis import HealthCheck, Phase, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import types as T
+
+from conftest import rows, write
+from landfall.sources.files import FileSource
+from landfall.sources.rescue import rescue_json
+
+SCHEMA = "k BIGINT, a ARRAY<STRUCT<x: BIGINT>>, m MAP<STRING, STRUCT<v: STRING>>, s STRUCT<p: STRUCT<q: STRING>, n: INT>"
+
+
+def rescued(spark, texts, schema=SCHEMA):
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    return [r["_r"] for r in rescue_json(df, "value", T.StructType.fromDDL(schema), "_r").collect()]
+
+
+@pytest.mark.parametrize("text, want", [
+    ('{"k": 1, "a": [{"x": 1}], "m": {"u": {"v": "w"}}, "s": {"p": {"q": "t"}, "n": 3}}', None),
+    ('{"a": [{"x": 1, "y": 2}]}', {"a": [{"y": 2}]}),
+    ('{"a": [{"x": 1}, {"x": 2, "y": {"z": [1]}}, {"x": 3}]}', {"a": [None, {"y": {"z": [1]}}, None]}),
+    ('{"a": [{"x": "no number"}]}', {"a": [{"x": "no number"}]}),
+    ('{"m": {"u": {"v": "w", "odd": 1}, "t": {"v": "x"}}}', {"m": {"u": {"odd": 1}}}),
+    ('{"s": {"p": {"q": "t", "r": 1}, "z": true}}', {"s": {"p": {"r": 1}, "z": True}}),
+    ('{"s": {"n": "seven"}}', {"s": {"n": "seven"}}),
+    ('{"s": {"a \\"quoted\\" name\\\\": 1}}', {"s": {'a "quoted" name\\': 1}}),
+    ('{"s": null, "a": null, "extra": {"b": 1}}', {"extra": {"b": 1}}),
+    ('{"a": [null, {"x": null, "y": null}]}', None),
+    ('{"k": "x", "more": "text"}', {"k": "x", "more": "text"}),
+])
+def test_parts_that_the_schema_lacks(spark, text, want):
+    (got,) = rescued(spark, [text])
+    if want is None:
+        assert got is None
+        return
+    got = json.loads(got)
+    assert {k: json.loads(v) if not isinstance(want[k], str) else v for k, v in got.items()} == want
+
+
+def test_what_is_no_object_is_kept_whole(spark):
+    for text in ('{"k": 1', "[1, 2]", "plain", '{"a": [{"x": 1, "x": 2}]}'):
+        assert rescued(spark, [text]) == [text]
+
+
+leaves = st.one_of(st.integers(-5, 5), st.sampled_from(["s", "1", "é"]), st.booleans(), st.none())
+fields = st.sampled_from(["x", "y", "z"])
+values = st.recursive(leaves, lambda inner: st.one_of(st.lists(inner, max_size=3), st.dictionaries(fields, inner, max_size=3)), max_leaves=8)
+
+
+def model(value, dtype):
+    """What ``dtype`` cannot hold of a JSON value; None if nothing."""
+    if value is None:
+        return None
+    if isinstance(dtype, T.StructType):
+        if not isinstance(value, dict):
+            return value
+        out = {}
+        for k, x in value.items():
+            part = model(x, dtype[k].dataType) if k in dtype.names else x
+            if part is not None:
+                out[k] = part
+        return out or None
+    if isinstance(dtype, T.ArrayType):
+        if not isinstance(value, list):
+            return value
+        parts = [model(x, dtype.elementType) for x in value]
+        return parts if any(p is not None for p in parts) else None
+    return None                                     # text takes anything
+
+
+@settings(max_examples=8, deadline=None, phases=(Phase.explicit, Phase.generate), suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=st.lists(st.dictionaries(fields, values, max_size=3), min_size=1, max_size=12))
+def test_against_a_model(spark, data):
+    ddl = "x STRUCT<x: STRING, y: ARRAY<STRUCT<z: STRING>>>, y ARRAY<ARRAY<STRING>>"
+    schema = T.StructType.fromDDL(ddl)
+    for value, got in zip(data, rescued(spark, [json.dumps(v) for v in data], ddl)):
+        want = {k: v for k, v in (model(value, schema) or {}).items() if v is not None}
+        texts = {k: v for k, v in json.loads(got or "{}").items() if v is not None}
+        assert set(texts) == set(want), (value, got)
+        for k, v in want.items():
+            # an array that Spark gives up on as a whole is kept as a whole
+            assert texts[k] == v if isinstance(v, str) else json.loads(texts[k]) in (v, value[k]), (value, got)
+
+
+def test_multi_line_files(spark, area):
+    write(f"{area}/drop/a.json", '[\n {"k": 1,\n  "a": [{"x": 1,\n "y": 2}]},\n {"k": 2}\n]\n')
+    write(f"{area}/drop/b.json", '{"k": 3,\n "odd": "v"\n}')
+    write(f"{area}/drop/c.json", '{"k": 4,\n "cut off')
+    src = FileSource(f"{area}/drop", "json", "*.json", schema=SCHEMA, rescued_data_column="_r", options={"multiLine": True})
+    got = rows(src.batch(spark), "k", "_r")
+    assert got == sorted([(1, '{"a":"[{\\"y\\":2}]"}'), (2, None), (3, '{"odd":"v"}'), (None, '{"k": 4,\n "cut off')], key=repr)
+
+
+def test_parquet_columns(spark, area):
+    spark.sql("SELECT 1 AS k, named_struct('p', 1, 'q', 2) AS s, array(named_struct('x', 1, 'y', 2)) AS a, map('u', named_struct('v', 1, 'w', 2)) AS m") \
+        .write.parquet(f"{area}/drop/f1")
+    spark.sql("SELECT 2 AS k, named_struct('p', 1) AS s, 'extra' AS e").write.parquet(f"{area}/drop/f2")
+    spark.sql("SELECT 3 AS k").write.parquet(f"{area}/drop/f3")
+    src = FileSource(f"{area}/drop/*", "parquet", schema="k BIGINT, s STRUCT<p: INT>, a ARRAY<STRUCT<x: INT>>, m MAP<STRING, STRUCT<v: INT>>, z STRING",
+                     rescued_data_column="_r")
+    got = {r.k: r for r in src.batch(spark).collect()}
+    assert json.loads(got[1]["_r"]) == {"s": {"q": 2}, "a": [{"y": 2}], "m": {"u": {"w": 2}}}
+    assert json.loads(got[2]["_r"]) == {"e": "extra"} and got[3]["_r"] is None
+    assert got[1].s.p == 1 and got[1].a[0].x == 1 and got[1].m["u"].v == 1 and got[3].s is None and got[1].z is None
+
+
+def test_parquet_values_that_do_not_convert(spark, area):
+    spark.sql("SELECT 'seven' AS k, '5' AS n").write.parquet(f"{area}/drop")
+    src = FileSource(f"{area}/drop", "parquet", schema="k BIGINT, n INT", rescued_data_column="_r")
+    assert rows(src.batch(spark), "k", "n", "_r") == [(None, 5, '{"k":"seven"}')]
+
+
+def test_parquet_streams_refuse_the_column(spark, area):
+    spark.sql("SELECT 1 AS k").write.parquet(f"{area}/drop")
+    with pytest.raises(ValueError, match="batches of parquet"):
+        FileSource(f"{area}/drop", "parquet", schema="k INT", rescued_data_column="_r").stream(spark)
