@@ -11,6 +11,12 @@ white space and a letter.  No match of the pattern crosses it: a run of letters,
 digits or other marks ends before white space, and a run of white space takes
 the space only if it began before it.
 
+A run of more than ``LONG_RUN`` white-space characters is too much for the pattern's
+look-ahead, which backtracks over it (the library panics on about a million).  What
+it matches there is known: all of the run at the end of the text, else all but its
+last character.  That match goes to the library as one piece, past the pattern; the
+last character belongs to what follows, and no match crosses the beginning of a run.
+
 Defined results: a null or empty text has no ids and decodes to no bytes;
 repeated rows are encoded each; other columns pass through; one with the name of
 an added column is replaced.
@@ -34,6 +40,8 @@ from landfall.llm.common import table, without
 
 #: Characters up to which a text is encoded in one call.
 PIECE_CHARS = 200_000
+#: White-space characters in a row that the pattern's look-ahead is still given.
+LONG_RUN = 100_000
 #: A space between a non-space and a letter always starts a match (`` ?\\p{L}+``).
 BOUNDARY = regex.compile(r"(?<=\S)(?= \p{L})")
 
@@ -58,10 +66,26 @@ def cuts(text: str, piece_chars: int) -> Iterator[str]:
     yield text[at:]
 
 
-def encode_text(enc: tiktoken.Encoding, text: str | None, piece_chars: int = PIECE_CHARS) -> np.ndarray:
-    if not text:
-        return np.zeros(0, np.uint32)
-    return np.concatenate([np.asarray(enc.encode_ordinary(x), np.uint32) for x in cuts(text, piece_chars)])
+def around_runs(text: str, long_run: int) -> Iterator[tuple[str, bool]]:
+    """The text in parts, and whether each is one match of the pattern: all of a long run of white space but the
+    character that what follows may begin with."""
+    at = 0
+    for m in regex.finditer(r"\s{%d,}+" % (long_run + 1), text) if len(text) > long_run else ():
+        stop = m.end() if m.end() == len(text) else m.end() - 1
+        yield text[at:m.start()], False
+        yield text[m.start():stop], True
+        at = stop
+    yield text[at:], False
+
+
+def encode_text(enc: tiktoken.Encoding, text: str | None, piece_chars: int = PIECE_CHARS, long_run: int = LONG_RUN) -> np.ndarray:
+    parts = [np.zeros(0, np.uint32)]
+    for part, one_match in around_runs(text or "", long_run):
+        if one_match:
+            parts.append(np.asarray(enc._encode_single_piece(part), np.uint32))
+        elif part:
+            parts += [np.asarray(enc.encode_ordinary(x), np.uint32) for x in cuts(part, piece_chars)]
+    return np.concatenate(parts)
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "token_ids",

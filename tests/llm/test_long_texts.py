@@ -27,3 +27,37 @@ def test_repeats_beyond_16_mib_before_a_short_row(spark):
     out = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in suffix.dedup(spark, df, length=400).drop("text", "kept").collect()}
     assert out.pop(1) == (size, sum(map(len, passages)), len(passages))
     assert out == {0: (50, 0, 0), 2: (70, 0, 0), **{10 + k: (70 + len(p), len(p), 1) for k, p in enumerate(passages)}}
+
+
+def encoder():
+    import public_tokenizers as P
+
+    from landfall.llm import bytebpe
+    return bytebpe, bytebpe.encoding(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+
+
+def test_long_runs_of_white_space_are_the_library_s_ids():
+    """With a small limit, so that the library itself can say what is right."""
+    import random
+
+    bytebpe, enc = encoder()
+    rng = random.Random(4)
+    for _ in range(3000):
+        text = "".join(rng.choice([" ", " ", "\n", "\t", "\r\n", "\u00a0", "\u3000", "a", "the", "1", "!", "'s", "é"]) * rng.choice([1, 1, 2, 7])
+                       for _ in range(rng.randint(0, 12)))
+        assert bytebpe.encode_text(enc, text, 5, rng.choice([1, 2, 5])).tolist() == enc.encode_ordinary(text), repr(text)
+
+
+def test_millions_of_blanks(spark):
+    bytebpe, enc = encoder()
+    import public_tokenizers as P
+
+    n = 2_000_000
+    rows = [(i, t) for i, t in enumerate([" " * n, "a" + " " * n + "b", "\n" * n, "x\n" + "\t" * n + "1", " \n" * n + " y", "  " * n + "\u3000z"])]
+    df = spark.createDataFrame(rows, "doc_id int, text string").repartition(3)
+    back = bytebpe.round_trip(df, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).selectExpr("doc_id", "CAST(raw AS STRING) = text AS same", "size(token_ids) AS n")
+    got = sorted(tuple(r) for r in back.collect())
+    assert [(i, same) for i, same, _ in got] == [(i, True) for i in range(6)]
+    # a run's ids don't depend on its length beyond what the library's longest tokens make of it
+    few = bytebpe.encode_text(enc, "a" + " " * 200_000 + "b").tolist()
+    assert few == enc.encode_ordinary("a" + " " * 200_000 + "b")
