@@ -7,7 +7,9 @@ All but the last return the columns of documents.
 1. language_id: documents without a letter or without a clear language go; the
    others keep their label, and get the predicted one where it is null.
 2. jaccard_join: of documents that are linked by five-word shingles (similarity
-   0.8) the one with the smallest id stays; rows that repeat an id are one document.
+   0.8) the one with the smallest id stays.  Rows that repeat an id with the same
+   text are one document (of other columns that differ, the smallest lang, source and
+   n_chars stay), with different texts they are documents of their own.
 3. suffix_dedup: strings of 256 bytes or more that start elsewhere too, and passages
    of over fifty words, however few bytes they take, that are there again without
    overlap, are cut out (byte for byte, with what is between the words); a document
@@ -31,12 +33,14 @@ from pyspark.sql import functions as F
 
 from landfall.llm import bytebpe, decontam, jaccard, langid, suffix
 from landfall.llm.common import Workspace, semi, ship, table
+from landfall.session import session_conf
 
 #: How far the best language must be ahead of the next (shares of the soft minimum).
 MIN_LEAD = 0.05
 SHINGLE_WORDS, SIMILARITY = 5, (80, 100)
 REPEAT_BYTES, REPEAT_WORDS = 256, 51
 WINDOW, MAX_COVERAGE = 10, 0.5
+BATCH_BYTES = str(4 << 20)
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -64,14 +68,21 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @filtering
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, "pipeline-jaccard")
-    groups = ws.keep(jaccard.near_duplicates(spark, docs, k=SHINGLE_WORDS, threshold=SIMILARITY), "groups")
-    gone = groups.where("doc_id != component_id").select("doc_id").distinct()
-    stay = semi(docs, gone, "doc_id", how="left_anti")
     again = ws.keep(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
     if again.isEmpty():
-        return stay
-    first = semi(stay, again, "doc_id").dropDuplicates(["doc_id"]).select(docs.columns)
-    return semi(stay, again, "doc_id", how="left_anti").unionByName(first)
+        groups = ws.keep(jaccard.near_duplicates(spark, docs, k=SHINGLE_WORDS, threshold=SIMILARITY), "groups")
+        gone = groups.where("doc_id != component_id").select("doc_id").distinct()
+        return semi(docs, gone, "doc_id", how="left_anti")
+    # rows of one id: those of one text are one document, those of different texts are documents of their own
+    several = semi(docs.where("doc_id IS NOT NULL"), again, "doc_id").withColumn("_vertex", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    several = several.groupBy("_vertex").agg(F.min_by(F.struct(*docs.columns), F.struct("lang", "source", "n_chars")).alias("row"))
+    once = semi(docs, again, "doc_id", how="left_anti").withColumn("_vertex", F.col("doc_id"))
+    rows = ws.keep(once.unionByName(several.select("_vertex", "row.*")), "rows")
+    groups = ws.keep(jaccard.near_duplicates(spark, rows, key="_vertex", k=SHINGLE_WORDS, threshold=SIMILARITY), "groups")
+    named = groups.join(rows.select("_vertex", "doc_id"), "_vertex")
+    best = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "_vertex")).alias("best")).select("component_id", F.col("best._vertex").alias("kept"))
+    gone = groups.join(best, "component_id").where("_vertex != kept").select("_vertex")
+    return semi(rows, gone, "_vertex", how="left_anti").select(docs.columns)
 
 
 @filtering
@@ -119,6 +130,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     ship(spark)
-    for name, stage in STAGES[:-1]:
-        docs = ws.keep(stage(spark, docs, sf_dir), name)
+    # a batch of long texts is bounded by its bytes, not only by its rows
+    with session_conf(spark, "spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES):
+        for name, stage in STAGES[:-1]:
+            docs = ws.keep(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
