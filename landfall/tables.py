@@ -214,11 +214,11 @@ class Table:
 
     def part_location(self, part: str) -> str | None:
         """Where a part's files are; ``None`` if the table has no such part."""
-        names = self.spark.sql(f"SHOW PARTITIONS {quoted(self.name)} {_part(part)}").collect()
-        if not names:
+        catalog, identifier = self._entry()
+        spec = self.spark._jvm.org.apache.spark.api.python.PythonUtils.toScalaMap({PART: part})
+        if catalog.listPartitionNames(identifier, self.spark._jvm.scala.Option.apply(spec)).isEmpty():
             return None
-        rows = self.spark.sql(f"DESCRIBE EXTENDED {quoted(self.name)} {_part(part)}").collect()
-        return next(r.data_type for r in rows if r.col_name == "Location").rstrip("/")
+        return str(catalog.getPartition(identifier, spec).location().toString()).rstrip("/")
 
     def parts(self) -> list[str]:
         return [r.partition.split("=", 1)[1] for r in self.spark.sql(f"SHOW PARTITIONS {quoted(self.name)}").collect()]
