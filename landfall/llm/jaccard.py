@@ -276,7 +276,8 @@ class Join:
             ("v", "v2", "v"), ("n", "n2", "n"), ("m", "m2", "m"), ("v2", "v", "v2"), ("n2", "n", "n2"), ("m2", "m", "m2"))))
         both = self.ws.keep(both.distinct(), f"{name}-met")
         used = both.select("v").union(both.select("v2")).distinct()
-        lists = met.join(used, "v", "left_semi").groupBy("v").agg(F.collect_set("s").alias("list"))
+        # written, since both sides of a pair read it
+        lists = self.ws.keep(semi(met, used, "v").groupBy("v").agg(F.collect_set("s").alias("list")), f"{name}-lists")
         both = both.join(lists, "v").join(lists.select(F.col("v").alias("v2"), F.col("list").alias("list2")), "v2")
         return both.where(_room(F.size(F.array_intersect("list", "list2")), num, den)).select("v", "v2")
 
