@@ -13,8 +13,9 @@ Up to five languages have the exhaustive code (every split into two sides), more
 have the best of a number of seeded random codes.
 
 Training reads text and language of a bounded sample of the labelled rows:
-about ``rows_per_language`` (default 2000), chosen by the hash of the text, whole
-texts; half of them give the n-gram rates, half the logistic fits and weights.
+about ``rows_per_language`` (default 2000) different texts, chosen by their hash,
+whole; copies of a text are one, so however often it is there the sample stays
+bounded; half of them give the n-gram rates, half the logistic fits and weights.
 What reaches the driver is bounded by languages x n-gram buckets and sample rows.
 
 Defined results: a null text, or one with no letter, is ``und`` with score 0 and
@@ -139,16 +140,16 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50
 
 
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", rows_per_language: int = 2000) -> Model:
-    """Fit on about ``rows_per_language`` rows of each language of ``labelled``."""
+    """Fit on about ``rows_per_language`` different texts of each language of ``labelled``."""
     rows = labelled.select(F.lower(text).alias("text"), F.col(lang).alias("lang")).where(
         "lang IS NOT NULL AND text IS NOT NULL")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("text").alias("n")).collect()}
     languages = sorted(counts)
     if len(languages) < 2:
         return Model(languages, codewords(len(languages)), *np.zeros((4, 0)))
     place = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     share = F.coalesce(*(F.when(F.col("lang") == x, min(1.0, rows_per_language / n)) for x, n in counts.items()))
-    sample = rows.where(place < share).withColumn("fit", F.pmod(F.xxhash64("text", F.lit(1)), F.lit(2)) == 0)
+    sample = rows.where(place < share).dropDuplicates(["lang", "text"]).withColumn("fit", F.pmod(F.xxhash64("text", F.lit(1)), F.lit(2)) == 0)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = {x: np.zeros(N_FEATURES) for x in languages}

@@ -191,6 +191,26 @@ def test_language(spark, nasty):
     assert sum(a == b for a, b in sure) >= 0.95 * len(sure)
 
 
+def test_language_sample_is_bounded_by_texts(spark, monkeypatch):
+    """Copies of one text are one row of the sample, whatever share of the rows they are."""
+    words = {"aa": ["kala", "mono", "tiri"], "bb": ["zwerg", "schrank", "pflug"]}
+    some = [(f"{w} {i} {w[::-1]} {v}", x) for x, ws in words.items() for i in range(40) for w in ws for v in ws]
+    # a text that the hash picks first, and for the fitting half
+    place = "pmod(xxhash64(text), 1L << 40), pmod(xxhash64(text, 1), 2)"
+    hot = spark.range(3000).selectExpr("concat('kala mono ', id) AS text").selectExpr("text", f"struct({place}) AS place")
+    hot = hot.where("place.col2 = 0").orderBy("place.col1").first()["text"]
+    rows = some + [(hot, "aa")] * 5000 + [("kala", None), (None, "aa")]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    fitted = []
+    monkeypatch.setattr(langid, "logistic", lambda x, y: fitted.append(len(x)) or (1.0, 0.0))
+    model = langid.train(docs, rows_per_language=100)
+    assert model.languages == ["aa", "bb"]
+    # half of about 100 texts of each of two languages
+    assert fitted and max(fitted) <= 160
+    found = langid.identify(spark, docs.distinct(), model).where("lang IS NOT NULL AND text IS NOT NULL")
+    assert found.where("lang = lang_pred").count() >= 0.95 * found.count()
+
+
 @pytest.mark.parametrize("n", [2, 3, 4, 5, 6, 12, 40])
 def test_codewords_are_apart(n):
     code = langid.codewords(n)
