@@ -18,10 +18,15 @@ commit protocol, so that a lost executor leaves no half-written shard and the
 files can be in any store that Spark writes to.  Reading back goes through
 Spark's binary file source, a shard at a time.
 
+Ids are those of the tokenizers library's plain call, in which the strings of the
+vocabulary's special tokens, where a text holds them, get the special ids; with
+``special_as_text`` they are ordinary text.
+
 Defined results: a null or empty text has the end id only; rows with the same
-doc_id stay separate documents, next to each other; a null doc_id sorts first and
-reads back as null; no rows give no shards with documents and no result rows;
-other columns are ignored.
+doc_id stay separate documents, next to each other, in the order of a hash of their
+texts, so that the rows of one id (null too) may take any number of shards; a null
+doc_id sorts first and reads back as null; no rows give no shards with documents and
+no result rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,9 +48,9 @@ from landfall.llm.common import Workspace, slices, table
 #: Ids in a block, and bytes of text that one shard takes on average.
 BLOCK_IDS = 1 << 16
 SHARD_BYTES = 16 << 20
-#: Word-to-ids entries that a Python worker remembers; a full memory starts again.
+#: Word-to-ids entries that a Python worker remembers; a full memory keeps the last slice's.
 MEMORY_WORDS = 400_000
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 21
 NULL_ID = -(1 << 63)
 
 
@@ -156,7 +161,9 @@ class Shard:
 #: A-Z to a-z and line feeds to spaces: the normaliser lower-cases, and any white space parts pieces alike.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 10 else b for b in range(256))
 #: Between an ASCII letter and an ASCII mark or digit a run of letters ends (but an apostrophe may go on).
-LETTERS_END = re.compile(rb"(?<=[a-z])(?=[^a-z\x80-\xff' ])")
+LETTER, LETTERS_END = np.zeros(256, bool), np.zeros(256, bool)
+LETTER[97:123] = LETTERS_END[:128] = True
+LETTERS_END[[*range(97, 123), 39, 32]] = False
 #: Units that normalising leaves as they are and that are one piece: lower-case Latin-1 letters.
 PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 
@@ -176,72 +183,106 @@ def pieces(text: bytes, limit: int = PIECE_BYTES) -> Iterator[bytes]:
 class WordIds:
     """Ids of the units of texts, by the tokenizers library.
 
-    A unit is what stands between spaces and line feeds, and its parts between
-    ``LETTERS_END``: places that no piece of the vocabulary's pre-tokenizer
-    crosses, so a text's ids are those of its units' parts one after the other.
-    Both recur and are remembered; new parts go to the library, those that are
-    one plain piece straight to its model.
+    A unit is what stands between spaces, line feeds and ``LETTERS_END``: places that
+    no piece of the vocabulary's pre-tokenizer crosses, so a text's ids are those of
+    its units one after the other.  Units recur and are remembered; new ones go to
+    the library, those that are one plain piece straight to its model.  A special
+    token's string parts a text as the library does it, before anything else, and
+    is a unit in upper case: the folded text has no such letters.
+
+    Numpy cuts the texts, Arrow finds the different units, so Python sees each unit
+    once a slice, and numpy puts the ids together.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for each core
         self.tokenizer = Tokenizer.from_file(path)
+        special = {t.content.encode(): i for i, t in self.tokenizer.get_added_tokens_decoder().items() if not special_as_text}
+        self.special = re.compile(b"(" + b"|".join(map(re.escape, sorted(special, key=len, reverse=True))) + b")") if special else None
+        self.fixed = {x.upper(): struct.pack("<I", i) for x, i in special.items()}
+        # the parts that go to the library hold none of those strings but as text
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.bits = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
-        self.memory: dict[bytes, bytes] = {b"": b""}
+        self.memory: dict[bytes, bytes] = dict(self.fixed)
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         #: The letters of PLAIN as the model sees them: a character for each byte.
         self.plain = {ord(c): level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100)) if PLAIN.fullmatch(c)}
 
+    def fold(self, text: bytes) -> bytes:
+        if self.special is None or not self.special.search(text):
+            return text.translate(FOLD)
+        parts = self.special.split(text)
+        return b" ".join(x.upper() if k % 2 else x.translate(FOLD) for k, x in enumerate(parts))
+
     def learn(self, units: set[bytes]) -> None:
-        parts = {u: LETTERS_END.sub(b" ", u).split(b" ") for u in units}
         odd = []
-        for piece in set().union(*parts.values()).difference(self.memory):
-            text = piece.decode()
+        for unit in units:
+            text = unit.decode()
             if PLAIN.fullmatch(text):
                 ids = [t.id for t in self.model.tokenize(text if text.isascii() else text.translate(self.plain))]
-                self.memory[piece] = struct.pack(f"<{len(ids)}I", *ids)
+                self.memory[unit] = struct.pack(f"<{len(ids)}I", *ids)
             else:
                 odd.append(text)
         for text, encoded in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
             self.memory[text.encode()] = struct.pack(f"<{len(encoded.ids)}I", *encoded.ids)
-        for unit, pieces in parts.items():
-            if len(pieces) > 1:
-                self.memory[unit] = b"".join(map(self.memory.__getitem__, pieces))
+
+    def units(self, texts: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """The texts' units, and the n+1 places among them where a text begins."""
+        folded = [self.fold(x) for x in texts]
+        edges = np.cumsum([0, *map(len, folded)])
+        data = np.frombuffer(b"".join(folded), np.uint8)
+        inside = data != 32
+        begins = inside.copy()
+        begins[1:] &= ~inside[:-1] | (LETTER[data[:-1]] & LETTERS_END[data[1:]])
+        first = edges[:-1][edges[:-1] < len(data)]
+        begins[first] = inside[first]
+        at = np.flatnonzero(begins)
+        kept = np.concatenate([[0], np.cumsum(inside)])
+        offsets = np.append(kept[at], kept[-1])
+        cut = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
+        return cut.dictionary_encode(), np.searchsorted(at, edges)
 
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
-        split = [x.translate(FOLD).split(b" ") for x in texts]
-        if len(self.memory) > MEMORY_WORDS:
-            self.memory = {b"": b""}
-        new = set().union(*split).difference(self.memory)
+        units, ends = self.units(texts)
+        different = units.dictionary.to_pylist()
+        new = set(different).difference(self.memory)
         self.learn(new)
-        out = [np.frombuffer(b"".join(map(self.memory.__getitem__, units)), "<u4") for units in split]
+        known = [self.memory[x] for x in different]
         for unit in new:
             if len(unit) > 64:
                 self.memory.pop(unit, None)
-        return out
+        if len(self.memory) > MEMORY_WORDS:  # what this slice has is likely to come again
+            self.memory = {**self.fixed, **{x: v for x, v in zip(different, known) if len(x) <= 64}}
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        first = np.cumsum(size) - size
+        which = units.indices.to_numpy()
+        n = size[which]
+        at = np.concatenate([[0], np.cumsum(n)])
+        flat = np.frombuffer(b"".join(known), "<u4")[np.arange(at[-1]) + np.repeat(first[which] - at[:-1], n)]
+        cuts = at[ends].tolist()
+        return [flat[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 @lru_cache(maxsize=2)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def word_ids(path: str, special_as_text: bool = False) -> WordIds:
+    return WordIds(path, special_as_text)
 
 
 def write_packed(docs: DataFrame, where: str, tokenizer_path: str, end_id: int, shards: int, text: str = "text",
-                 key: str = "doc_id", block_ids: int = BLOCK_IDS) -> None:
+                 key: str = "doc_id", block_ids: int = BLOCK_IDS, special_as_text: bool = False) -> None:
     """Encode and write ``docs`` as packed shards under ``where``, in ascending ``key`` order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_ids(tokenizer_path)
+        encoder = word_ids(tokenizer_path, special_as_text)
         out = Blocks(encoder.bits, block_ids)
         end = np.array([end_id], np.uint32)
 
         def records() -> Iterator[bytes]:
-            for batch in (part for whole in batches for part in slices(whole, "text")):
-                texts = [(x.as_py() or "").encode() for x in batch.column("text")]
+            for batch in (part for whole in batches for part in slices(whole, "text", PIECE_BYTES)):
+                texts = [x or b"" for x in batch.column("text").cast(pa.binary()).to_pylist()]
                 # a slice of one long text is encoded in pieces
                 whole = encoder.ids(texts) if len(texts) > 1 else [np.concatenate([x for p in pieces(texts[0]) for x in encoder.ids([p])])]
                 for d, ids in zip(batch.column("doc_id").to_pylist(), whole):
@@ -252,7 +293,8 @@ def write_packed(docs: DataFrame, where: str, tokenizer_path: str, end_id: int,
             yield pa.RecordBatch.from_arrays([pa.array([record], pa.binary())], names=["record"])
 
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    rows = rows.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id")
+    order = ["doc_id", F.xxhash64("text")]
+    rows = rows.repartitionByRange(shards, *order).sortWithinPartitions(*order)
     # the cast keeps the bytes as they are, and the text writer writes them so
     rows.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value")).write.text(where)
 

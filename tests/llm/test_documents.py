@@ -52,7 +52,6 @@ def test_token_ids(spark, nasty):
 
     top, rows = nasty
     t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     ids = [t.encode(x or "", add_special_tokens=False).ids + [2] for _, x, *_ in rows]
     crc = [zlib.crc32(np.array(x, "<u4").tobytes()) for x in ids]
     out = queries.QUERIES["op5_token_ids"](spark, top).collect()
@@ -63,16 +62,39 @@ def test_token_ids(spark, nasty):
     assert known == sorted(known)
 
 
-def test_units_are_encoded_like_whole_texts():
+@pytest.mark.parametrize("special_as_text", [False, True])
+def test_units_are_encoded_like_whole_texts(special_as_text):
     import random
 
     import public_tokenizers as P
-    w = packing.word_ids(P.path("word_bpe_49k.json"))
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    plain.encode_special_tokens = special_as_text
+    w = packing.word_ids(P.path("word_bpe_49k.json"), special_as_text)
     rng = random.Random(5)
-    texts = ["it's O'Neil's don't", "İSTANBUL ΟΔΥΣΣΕΥΣ", "ab—,cd x,—y", "abc'd,e 's't", "  x\t\ty z ", "A1b2,3.5%", "<|endoftext|> a", ""]
+    texts = ["it's O'Neil's don't", "İSTANBUL ΟΔΥΣΣΕΥΣ", "ab—,cd x,—y", "abc'd,e 's't", "  x\t\ty z ", "A1b2,3.5%", "<|endoftext|> a", "",
+             "it<|endoftext|>'s<|startoftext|><|endoftext|>", "<|ENDOFTEXT|> <|endoftext|", "Σ<|endoftext|>\u0338aΣ", "a\n<|startoftext|>\nB"]
     texts += ["".join(rng.choice("aB'é,.—1 \t\nΣßİ́漢<|") for _ in range(rng.randint(0, 25))) for _ in range(3000)]
+    texts += ["".join(rng.choice(["<|endoftext|>", "<|startoftext|>", "a", "'s", " ", "Σ", "́", "<|", "|>", "\n"])
+                      for _ in range(rng.randint(0, 9))) for _ in range(2000)]
     for x, ids in zip(texts, w.ids([x.encode() for x in texts])):
-        assert w.tokenizer.encode(x, add_special_tokens=False).ids == ids.tolist(), x
+        assert plain.encode(x, add_special_tokens=False).ids == ids.tolist(), x
+
+
+def test_one_id_takes_many_shards(spark, tmp_path):
+    import public_tokenizers as P
+    from pyspark.sql import functions as F
+
+    rows = spark.range(400).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("word "), F.col("id")).alias("text"))
+    where = str(tmp_path / "shards")
+    packing.write_packed(rows, where, P.path("word_bpe_49k.json"), 2, 4)
+    found = packing.read_packed(spark, where, packing.Workspace(spark, "test")).collect()
+    assert len(found) == 400 and {r["doc_id"] for r in found} == {None}
+    order = sorted(found, key=lambda r: r["start"])
+    assert [r["start"] for r in order] == np.cumsum([0] + [r["n_tokens"] for r in order]).tolist()[:-1]
+    files = spark.read.format("binaryFile").load(where).where("path like '%part-%'").select("length").collect()
+    assert len(files) == 4 and max(r["length"] for r in files) < 0.5 * sum(r["length"] for r in files)
 
 
 @pytest.mark.parametrize("bits", [1, 3, 9, 16, 17, 31])
