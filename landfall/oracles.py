@@ -169,6 +169,9 @@ WITH pages AS (SELECT CAST(floor(o_orderkey / 1000) + 1 AS BIGINT) AS page, coun
 SELECT 'FAILURE' AS run_status, 'page ' || page || ': ' || (n + 1) || ' records sent, 0 read' AS step, CAST(0 AS BIGINT) AS rows_after
 FROM pages WHERE page = (SELECT min(page) FROM pages WHERE page % 2 = 0)
 UNION ALL SELECT 'SUCCESS', '', (SELECT count(*) FROM orders)""",
+    "q40_late_field": """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus,
+       CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority FROM orders""",
     "q39_rescue_nested": """
 SELECT form, o_orderkey AS k, o_custkey AS x, CASE WHEN o_orderstatus = 'P' THEN 2 ELSE 1 END AS n, o_orderstatus AS q,
        CASE WHEN o_orderstatus = 'P' THEN '{"a":"[{\\"y\\":\\"' || o_orderpriority || '\\"},null]","s":"{\\"p\\":{\\"r\\":[1,2]},\\"z\\":{}}"}' END

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 import contextlib
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,7 @@ from landfall.plans.config import FeedConfig, parse_ref_id
 from landfall.session import session_conf
 from landfall.sources.files import FileSource, spark_format
 from landfall.sources.ledger import FileLedger
-from landfall.streaming.loads import LoadResult, RunState, batch_path, load_stream, publish, published, write_batch
+from landfall.streaming.loads import LoadResult, RunState, SchemaGrew, batch_path, load_stream, publish, published, write_batch
 from landfall.tables import Table
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -114,9 +115,32 @@ class FileFeedJob:
                 return self._run_ledger(spark, after_write)
             if not self.source.include_existing:
                 self.source.existing = existing_files(spark, self.source, self.state_dir)
-            stream = self.transform(self.source.stream(spark))
-            return load_stream(stream, self.table, self.state_dir, replace=self.replace,
-                               empty_run=self.empty_run, after_write=after_write)
+            return self._run_stream(spark, after_write)
+
+    def _run_stream(self, spark: SparkSession, after_write=None) -> LoadResult:
+        """Load by a file stream.  The stream lists the folder after inference did; a
+        file that came in between is inferred from before its batch is read, and
+        where it has columns of its own the stream starts again with them."""
+        source = self.source
+        if source.infers() and not source.schema_location:
+            source = replace(source, schema_location=f"{self.state_dir.rstrip('/')}/schemas/{uuid.uuid4().hex[:12]}")
+        batches = 0
+
+        def count(df: DataFrame, batch_id: int) -> None:
+            nonlocal batches
+            batches += 1
+            if after_write is not None:
+                after_write(df, batch_id)
+
+        while True:
+            schema = source.resolve_schema(spark)
+            stream = self.transform(source.stream(spark, schema))
+            try:
+                done = load_stream(stream, self.table, self.state_dir, replace=self.replace, empty_run=self.empty_run, after_write=count,
+                                   grown=(lambda: source.resolve_schema(spark) != schema) if source.infers() else None)
+                return LoadResult(done.run, batches, done.published)
+            except SchemaGrew:
+                continue
 
     def _whole_lines(self, spark: SparkSession):
         """CSV rescue judges whole lines: Spark's CSV column pruning would

@@ -626,6 +626,29 @@ def q39_rescue_nested(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+def q40_late_field(spark: SparkSession, sf: str) -> DataFrame:
+    """Files with a field of their own that arrive after a stream run inferred its schema."""
+    area = scratch(spark, "q40")
+    orders = sf_table(spark, sf, "orders")
+    n = files_for(_rows(orders), 30_000)
+    plain = orders.where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_orderstatus")
+    later = orders.where(F.col("o_orderstatus") != "F").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    late = []
+
+    def arrive(df: DataFrame) -> DataFrame:
+        """The transform is made between inference and the stream's own listing."""
+        if not late:
+            late.append(stage_files(later, "json", f"{area}/drop", "late", n))
+        return df
+
+    source = FileSource(input_path=f"{area}/drop", file_format="json", glob_filter="*.json", schema_location=f"{area}/schema",
+                        max_files_per_trigger=2)
+    job = FileFeedJob(source=source, transform=arrive, table=Table(spark, f"{area}/table"), state_dir=f"{area}/state")
+    stage_files(plain, "json", f"{area}/drop", "plain", n)
+    job.run()
+    return job.table.read()
+
+
 def _with_schema(spark: SparkSession, area: str, label: str) -> str:
     name = f"lf_{label}_{area.rsplit('-', 1)[-1]}"
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name} LOCATION '{area}/catalog'")
@@ -758,4 +781,5 @@ QUERIES = {
     "q37_csv_rewritten": q37_csv_rewritten,
     "q38_records_lost": q38_records_lost,
     "q39_rescue_nested": q39_rescue_nested,
+    "q40_late_field": q40_late_field,
 }

@@ -104,6 +104,9 @@ class FileSource:
         if remembered is not None and self.new_columns in ("ignore", "rescue"):
             return apply_hints(remembered, self.schema_hints)
         files = listing(spark, self.input_path, self.glob_filter)
+        if memory is not None:
+            # listed once: what arrives from here on is unseen
+            files = memory.listed(files)
         if remembered is None:
             inferred = self._infer(spark, None)
             if inferred is None:
@@ -121,6 +124,10 @@ class FileSource:
             memory.save(schema, files)
         return schema
 
+    def infers(self) -> bool:
+        """Whether files can bring new columns into the schema."""
+        return self.schema is None and self.new_columns == "add"
+
     def _infer_new(self, spark: SparkSession, files: DataFrame) -> T.StructType | None:
         """Schema of the listed files, from ``infer_batch`` names at a time."""
         n = files.count()
@@ -157,11 +164,11 @@ class FileSource:
         return T.StructType(fields) if fields else None
 
     # ---- readers ----------------------------------------------------------
-    def stream(self, spark: SparkSession) -> DataFrame:
+    def stream(self, spark: SparkSession, schema: T.StructType | None = None) -> DataFrame:
         """Streaming DataFrame over the folder (each file read once, however
         old its time stamp is: the stream's own age limit is out of the way).
         A CSV stream needs one header layout; ``batch`` takes any."""
-        schema = self.resolve_schema(spark)
+        schema = schema or self.resolve_schema(spark)
         opts = self._opts()
         opts.setdefault("maxFileAge", "36500d")
         if self.max_files_per_trigger:

@@ -26,11 +26,17 @@ class SchemaMemory:
         self.spark = spark
         self.path = f"{location.rstrip('/')}/schema.json"
         self.inferred = f"{location.rstrip('/')}/inferred"
+        self._listed = f"{location.rstrip('/')}/listed"
 
     def load(self) -> T.StructType | None:
         text = fs.read_text(self.spark, self.path)
         return T.StructType.fromJson(json.loads(text)) if text else None
 
+    def listed(self, files: DataFrame) -> DataFrame:
+        """The listing as it is now, written, so that all who use it see the same files."""
+        files.write.mode("overwrite").parquet(self._listed)
+        return self.spark.read.schema(files.schema).parquet(self._listed)
+
     def unseen(self, files: DataFrame) -> DataFrame:
         if not fs.list_names(self.spark, self.inferred):
             return files

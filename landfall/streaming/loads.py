@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 
 from landfall import fs
@@ -27,6 +28,10 @@ from landfall.tables import Table
 BatchHook = Callable[[DataFrame, int], None]
 
 
+class SchemaGrew(Exception):
+    """A file of a batch has columns that the stream was started without."""
+
+
 @dataclass
 class LoadResult:
     run: str
@@ -102,14 +107,21 @@ def publish(table: Table, run: str, schema, *, replace: bool, empty_run: str = "
 
 def load_stream(stream: DataFrame, table: Table, state_dir: str, *, replace: bool = True,
                 empty_run: str = "clear", after_write: BatchHook | None = None,
-                query_name: str | None = None) -> LoadResult:
-    """Run ``stream`` to completion (availableNow) and publish what it read."""
+                query_name: str | None = None, grown: Callable[[], bool] | None = None) -> LoadResult:
+    """Run ``stream`` to completion (availableNow) and publish what it read.
+
+    ``grown`` is asked before each batch is read whether its files can have columns
+    that the stream lacks.  If so the batch is not written and ``SchemaGrew`` is
+    raised: started again with the new schema, the run goes on with that batch."""
     spark = stream.sparkSession
     state = RunState(spark, state_dir)
     run = state.begin(table)
-    ran = []
+    ran, stopped = [], []
 
     def sink(df: DataFrame, batch_id: int) -> None:
+        if grown is not None and grown():
+            stopped.append(batch_id)
+            raise SchemaGrew(f"batch {batch_id}")
         write_batch(df, batch_path(table, run, batch_id))
         ran.append(batch_id)
         if after_write is not None:
@@ -122,7 +134,12 @@ def load_stream(stream: DataFrame, table: Table, state_dir: str, *, replace: boo
     if query_name:
         writer = writer.queryName(query_name)
     query = writer.start()
-    query.awaitTermination()
+    try:
+        query.awaitTermination()
+    except StreamingQueryException as exc:
+        if stopped:
+            raise SchemaGrew(f"batch {stopped[0]} needs columns that the stream lacks") from exc
+        raise
     done = publish(table, run, stream.schema, replace=replace, empty_run=empty_run)
     state.end()
     return LoadResult(run, len(ran), done)

@@ -94,6 +94,61 @@ def test_overwritten_file_ignored_by_stream_but_read_by_ledger(spark, area):
     assert ids(lj) == ["1", "1", "5"]
 
 
+@pytest.mark.parametrize("remembered", [True, False])
+def test_stream_reads_a_late_field(spark, area, remembered):
+    """A file that arrives between inference and the stream's listing keeps its own fields, nested ones too."""
+    for i in range(3):
+        write(f"{area}/drop/{i}.json", f'{{"id":"{i}","s":{{"a":"x"}}}}\n')
+    calls = []
+
+    def late(df):
+        calls.append(df.columns)
+        if len(calls) == 1:
+            write(f"{area}/drop/9.json", '{"id":"9","extra":"e","s":{"a":"y","b":"z"}}\n')
+        return df
+
+    source = FileSource(input_path=f"{area}/drop", file_format="json", glob_filter="*.json", max_files_per_trigger=1,
+                        schema_location=f"{area}/schema" if remembered else None)
+    j = FileFeedJob(source=source, transform=late, table=Table(spark, f"{area}/t"), state_dir=f"{area}/state")
+    done = j.run()
+    got = j.table.read().selectExpr("id", "extra", "s.a", "s.b").collect()
+    assert sorted(map(tuple, got)) == [("0", None, "x", None), ("1", None, "x", None), ("2", None, "x", None), ("9", "e", "y", "z")]
+    assert len(calls) == 2 and done.batches == 4
+    write(f"{area}/drop/10.json", '{"id":"10"}\n')
+    j.run()
+    assert ids(j) == ["10"]
+
+
+def test_a_late_file_without_new_fields_starts_nothing_again(spark, area):
+    write(f"{area}/drop/a.csv", "id\n1\n")
+    j = job(spark, area)
+    calls = []
+
+    def late(df):
+        calls.append(1)
+        write(f"{area}/drop/b.csv", "id\n2\n")
+        return df
+
+    j.transform = late
+    j.run()
+    assert sorted(ids(j)) == ["1", "2"] and len(calls) == 1
+
+
+def test_a_failure_of_the_sink_is_not_taken_for_a_new_schema(spark, area):
+    from pyspark.errors import StreamingQueryException
+
+    write(f"{area}/drop/a.csv", "id\n1\n")
+    j = job(spark, area)
+
+    def fail(df, batch_id):
+        raise RuntimeError("disk full")
+
+    with pytest.raises(StreamingQueryException, match="disk full"):
+        j.run(after_write=fail)
+    j.run()
+    assert ids(j) == ["1"]
+
+
 def test_include_existing_false_skips_old_files(spark, area):
     write(f"{area}/drop/old.csv", "id\n1\n")
     j = job(spark, area, include_existing=False, schema="id STRING")
