@@ -54,6 +54,8 @@ def features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray
     space = clean == 32
     keep = ~space
     keep[1:] |= ~space[:-1]
+    first = offsets[:-1][offsets[:-1] < len(clean)]
+    keep[first] = ~space[first]  # whatever the text before ends with
     kept = np.concatenate([[0], np.cumsum(keep)])
     clean, offsets = clean[keep], kept[offsets]
     for k, n in enumerate(ORDERS):

@@ -1,4 +1,5 @@
-"""The models' numbers against plain Python: op4's interpolated score and its weights, op2's posteriors and final odds."""
+"""The models' numbers against plain Python: op4's interpolated score and its weights, op2's posteriors and
+final odds, op10's n-gram rates, bit classifiers and decoding."""
 
 import math
 import random
@@ -10,7 +11,7 @@ import pytest
 from fixtures_llm import package  # noqa: F401
 from pyspark.sql import functions as F
 
-from landfall.llm import lm, quality
+from landfall.llm import langid, lm, quality
 
 BEGIN, END = object(), object()
 
@@ -150,3 +151,61 @@ def test_quality_final_odds(spark):
         r = out[i]
         assert r["quality_doc"] == 0.5 and [r["quality_host"], r["quality_path"]] == pytest.approx([host, path], rel=1e-9)
         assert r["quality"] == pytest.approx(1 / (1 + math.exp(logit(mean) - logit(path))), rel=1e-9)
+
+
+def grams(text):
+    """Hashed n-grams of one text, by itself."""
+    letters = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in text.lower().encode())
+    letters = re.sub(rb" +", b" ", letters).removeprefix(b" ")
+    return [(int.from_bytes(letters[i:i + n], "big") * 2654435761 % 2 ** 32 >> 18) + k * langid.BUCKETS
+            for k, n in enumerate(langid.ORDERS) for i in range(len(letters) - n + 1)]
+
+
+def test_language_model_equals_the_formulas(spark):
+    rng = random.Random(4)
+    sounds = {"xa": ["ka", "to", "mi"], "xb": ["ka", "ru", "é"], "xc": ["zh", "to", "ü"], "xd": ["pe", "漢"], "xe": ["pe", "qu", "mi"],
+              "xf": ["ß", "ru", "zh"]}
+    rows = [(lang, " ".join("".join(rng.choices(s, k=rng.randint(1, 4))) for _ in range(rng.randint(1, 25))) + rng.choice(["", ". ", "!"]))
+            for lang, s in sounds.items() for _ in range(40)]
+    rows = [(x, rng.choice(["", "  ", "12 "]) + t) for x, t in rows]
+    df = spark.createDataFrame(rows + rows[:30], "lang string, text string").repartition(3)
+    model = langid.train(df)
+    assert model.languages == sorted(sounds)
+    split = {r["t"]: r["fit"] for r in df.select(F.lower("text").alias("t")).distinct().withColumn(
+        "fit", F.pmod(F.xxhash64("t", F.lit(1)), F.lit(2)) == 0).collect()}
+    distinct = sorted({(x, t.lower()) for x, t in rows})
+    rate = np.full((6, langid.N_FEATURES), 0.5)
+    for x, t in distinct:
+        if not split[t]:
+            for g in grams(t):
+                rate[model.languages.index(x), g] += 1
+    for k in range(len(langid.ORDERS)):
+        part = rate[:, k * langid.BUCKETS:(k + 1) * langid.BUCKETS]
+        part /= part.sum(1, keepdims=True)
+    weights = np.stack([np.log(rate[bit > 0].mean(0) / rate[bit < 0].mean(0)) for bit in model.code.T], 1)
+    np.testing.assert_allclose(model.weights, weights, rtol=1e-4, atol=1e-6)
+
+    def evidence(t):
+        g = grams(t)
+        return weights[g].sum(0) / math.sqrt(1 + len(g)) if g else np.zeros(weights.shape[1])
+
+    fit = [(x, evidence(t)) for x, t in distinct if split[t]]
+    truth = np.array([model.code[model.languages.index(x)] > 0 for x, _ in fit])
+    e = np.array([v for _, v in fit])
+    p = 1 / (1 + np.exp(-np.clip(model.slope * e + model.offset, -30, 30)))
+    # the penalised likelihood is at its top: no slope where the weight is free
+    free = model.slope > 1e-3
+    assert np.abs(((p - truth) * e).sum(0) + 0.01 * model.slope)[free].max() < 0.01
+    assert np.abs((p - truth).sum(0) + 0.01 * model.offset)[free].max() < 0.01
+    np.testing.assert_allclose(model.worth, np.maximum(2 * ((p > 0.5) == truth).mean(0) - 1, 0.05))
+
+    probe = [t for _, t in rows[::7]] + ["", "123", None, " to", "to ", "é", "x" * 5000]
+    got = {r["id"]: r for r in langid.identify(spark, spark.createDataFrame(list(enumerate(probe)), "id int, text string").coalesce(1), model).collect()}
+    for i, t in enumerate(probe):
+        if not re.search(r"[^\W\d_]", t or ""):
+            assert got[i]["lang_pred"] == "und"
+            continue
+        odds = np.clip(model.slope * evidence(t) + model.offset, -30, 30)
+        loss = np.array([sum(w * math.log1p(math.exp(-c * o)) for w, c, o in zip(model.worth, word, odds)) for word in model.code])
+        assert got[i]["lang_pred"] == model.languages[loss.argmin()], t
+        assert got[i]["score"] == pytest.approx(1 / np.exp(loss.min() - loss).sum(), rel=1e-4)
