@@ -66,6 +66,7 @@ DEVICE_DATA_KEY = paged.DATA_KEY
 # ------------------------------------------------------------------------------
 
 REFUSED = "_refused"
+RECORDS_PER_GROUP = 32_000          # of landed pages, in a parquet row group
 DEVICE_MAPPING = [FieldMap(s, t, ty, fmt, strict) for s, t, ty, fmt, strict in DEVICE_FIELDS]
 
 
@@ -96,8 +97,10 @@ def fetch_pages(spark: SparkSession, options: dict, source=paged.PagedApiDataSou
 
 
 def land_pages(spark: SparkSession, options: dict, path: str) -> DataFrame:
-    """Call the API once and keep the outcomes as parquet at ``path``."""
-    fetch_pages(spark, options).write.mode("overwrite").parquet(path)
+    """Call the API once and keep the outcomes as parquet at ``path``.  Row groups
+    hold few pages: Spark reads up to 4096 rows of one at a time, bodies included."""
+    pages = max(1, RECORDS_PER_GROUP // max(1, int(paged.Options(options).get("limit", 1000))))
+    fetch_pages(spark, options).write.mode("overwrite").option("parquet.block.row.count.limit", pages).parquet(path)
     return spark.read.schema(paged.SCHEMA).parquet(path)
 
 

@@ -47,6 +47,7 @@ SCHEMA = "page INT, outcome STRING, body STRING, error STRING, records INT"
 # ---- fixed values: the API's request parameters and the key of its records ----
 PARAM_LIMIT, PARAM_PAGE, PARAM_SINCE = "limit", "Page", "modifiedDate"
 DATA_KEY = "deviceResponseData"
+BATCH_BYTES, ROW_BYTES = 1 << 20, 64        # of a batch handed to Spark; what a row costs beside its texts
 # ------------------------------------------------------------------------------
 
 
@@ -180,7 +181,7 @@ class PagedApiDataSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return PagedApiReader(Options(dict(self.options)), self.transports)
+        return PagedApiBatches(Options(dict(self.options)), self.transports)
 
 
 class PagedApiReader(DataSourceReader):
@@ -217,6 +218,26 @@ class PagedApiReader(DataSourceReader):
             page += n
 
 
+class PagedApiBatches(PagedApiReader):
+    """The same rows as Arrow batches of about ``BATCH_BYTES`` of bodies: Spark would
+    gather ten thousand rows, whole pages here, before it makes a batch of them."""
+
+    def read(self, partition):
+        import pyarrow as pa
+
+        schema = pa.schema([("page", pa.int32()), ("outcome", pa.string()), ("body", pa.string()), ("error", pa.string()),
+                            ("records", pa.int32())])
+        rows, size = [], 0
+        for row in super().read(partition):
+            rows.append(row)
+            size += len(row[2] or "") + len(row[3] or "") + ROW_BYTES
+            if size >= BATCH_BYTES:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                rows, size = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
 def register(spark, source: type[DataSource] = PagedApiDataSource) -> None:
     """Register the source (or one that extends it).  Its modules are shipped to
     the Python workers by value, so executors need no installed copy of them."""

@@ -258,3 +258,27 @@ def test_401_ends_the_partition_with_a_row_after_one_request(monkeypatch):
     rows = [r for p in reader.partitions() for r in reader.read(p)]
     assert [(r[0], r[1]) for r in rows] == [(1, "page"), (3, "failed"), (2, "page"), (4, "failed")]
     assert asked == [1, 3, 2, 4] and "Unauthorized" in rows[1][3]
+
+
+def test_batches_and_row_groups_are_bounded_by_the_pages_sizes(spark, area):
+    """Spark gathers 10,000 rows into a batch and reads 4096 at once: of whole pages that is gigabytes."""
+    import glob
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from landfall.plans.api_job import land_pages
+    from landfall.sources import paged
+
+    text = "x" * 300
+    for p in range(1, 121):
+        write(f"{area}/pages/page={p}/part-0.json", json.dumps({"deviceResponseData": [{"mendixUID": f"{p}-{i}", "status": text} for i in range(200)]}))
+    opts = {"transport": "files", "path": f"{area}/pages", "numPartitions": "1"}
+    reader = FaultyApi(opts).reader(None)
+    batches = [b for p in reader.partitions() for b in reader.read(p)]
+    assert all(isinstance(b, pa.RecordBatch) and b.nbytes < 2 * paged.BATCH_BYTES for b in batches) and len(batches) > 5
+    plain = paged.PagedApiReader(paged.Options(opts))
+    assert [tuple(r.values()) for b in batches for r in b.to_pylist()] == [r for p in plain.partitions() for r in plain.read(p)]
+    land_pages(spark, opts, f"{area}/landed")
+    meta = [pq.ParquetFile(f).metadata for f in glob.glob(f"{area}/landed/*.parquet")]
+    assert sum(m.num_rows for m in meta) == 121
+    assert max(m.row_group(i).total_byte_size for m in meta for i in range(m.num_row_groups)) < 4_000_000
