@@ -38,6 +38,7 @@ def timed(fn):
     return wrapper
 
 
+MANY_FILES, FULL_FILE = 32, 2_000_000
 EXT = {"csv": ".csv", "tsv": ".tsv", "json": ".json", "parquet": ".parquet", "text": ".txt"}
 
 
@@ -74,8 +75,9 @@ def sf_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def files_for(rows: int, rows_per_file: int = 20_000, at_least: int = 2) -> int:
-    """File count that grows with the data (one file per ~20k rows)."""
-    return max(at_least, -(-rows // rows_per_file))
+    """File count that grows with the data: a file per ~20k rows up to
+    ``MANY_FILES``, then files that grow to ``FULL_FILE`` rows, then more of them."""
+    return max(at_least, min(-(-rows // rows_per_file), max(MANY_FILES, -(-rows // FULL_FILE))))
 
 
 # ---------------------------------------------------------------- a faulty API

@@ -110,16 +110,18 @@ def load_stream(stream: DataFrame, table: Table, state_dir: str, *, replace: boo
                 query_name: str | None = None, grown: Callable[[], bool] | None = None) -> LoadResult:
     """Run ``stream`` to completion (availableNow) and publish what it read.
 
-    ``grown`` is asked before each batch is read whether its files can have columns
+    ``grown`` is asked before the first batch is read whether files can have columns
     that the stream lacks.  If so the batch is not written and ``SchemaGrew`` is
-    raised: started again with the new schema, the run goes on with that batch."""
+    raised: started again with the new schema, the run goes on with that batch.  Once
+    is enough: an availableNow stream lists its folder before its first batch and
+    reads nothing that arrives later."""
     spark = stream.sparkSession
     state = RunState(spark, state_dir)
     run = state.begin(table)
     ran, stopped = [], []
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        if grown is not None and grown():
+        if grown is not None and not ran and grown():
             stopped.append(batch_id)
             raise SchemaGrew(f"batch {batch_id}")
         write_batch(df, batch_path(table, run, batch_id))

@@ -301,3 +301,24 @@ def test_tables_are_in_the_catalog_under_their_configured_name(spark, area):
             feed_job(spark, cfg, "csv", tables_root=f"{area}/tables", replace=replace).run()
             assert sorted(r.network_id for r in spark.table(cfg.table_name).collect()) == want
         assert spark.sql(f"SELECT count(*) AS n FROM {cfg.table_name} WHERE nleader_name = 'x'").first().n == len(expect[-1])
+
+
+def test_a_stream_asks_for_new_columns_once_however_many_batches(spark, area, monkeypatch):
+    """Asked before each batch, listing the folder made a run quadratic in its files."""
+    asked = []
+    resolve = FileSource.resolve_schema
+    monkeypatch.setattr(FileSource, "resolve_schema", lambda self, s: asked.append(1) or resolve(self, s))
+    for i in range(6):
+        write(f"{area}/drop/f{i}.csv", f"id\n{i}\n")
+    source = FileSource(input_path=f"{area}/drop", file_format="csv", schema_location=f"{area}/schema", max_files_per_trigger=1)
+    j = FileFeedJob(source=source, transform=lambda df: df, table=Table(spark, f"{area}/t"), state_dir=f"{area}/state")
+    assert j.run().batches == 6
+    assert ids(j) == [str(i) for i in range(6)] and len(asked) == 2
+
+
+def test_fixture_files_grow_before_they_become_too_many():
+    from landfall.fixtures import files_for
+
+    assert [files_for(n) for n in (0, 150_000, 600_000)] == [2, 8, 30]
+    assert [files_for(n) for n in (9_000_000, 54_000_000, 640_000_000)] == [32, 32, 320]
+    assert files_for(10, at_least=4) == 4
