@@ -30,6 +30,7 @@ from landfall.tables import PART, Table
 RUN_TS = "2024-01-01 00:00:00"
 RUN_TS_2 = "2024-02-01 00:00:00"
 OLD_MS = 1_577_836_800_000         # 2020-01-01, long before any run
+ROWS_PER_TASK = 250_000            # of what a task groups into arrays
 SQL_TS = "TIMESTAMP '2024-01-01 00:00:00'"
 SQL_TS_2 = "TIMESTAMP '2024-02-01 00:00:00'"
 
@@ -105,20 +106,24 @@ def stage_nested(spark: SparkSession, sf: str, dest: str) -> None:
     """lineitem as JSON records with an array-of-struct parent node (at most
     four elements per record); orders without lines carry no parent node or
     an empty one."""
-    li = sf_table(spark, sf, "lineitem")
+    li = sf_table(spark, sf, "lineitem").withColumn("chunk", F.floor((F.col("l_linenumber") - 1) / 4))
     orders = sf_table(spark, sf, "orders")
+    n = _rows(li)
+    # grouped in parts that grow in number, not in what a task holds
+    parts = max(2, -(-n // ROWS_PER_TASK))
     elem = F.struct(F.col("l_returnflag").alias("SourceSystem"), F.col("l_linenumber").alias("UserId"),
                     F.col("l_orderkey").cast("string").alias("ApprovableId"),
                     F.date_format("l_shipdate", "yyyy-MM-dd").alias("TimeUpdated"),
                     F.col("l_partkey").alias("Approver"), F.col("l_linestatus").alias("ApprovalActivationDate"))
-    recs = (li.groupBy("l_orderkey", F.floor((F.col("l_linenumber") - 1) / 4).alias("chunk"))
+    recs = (li.repartition(parts, "l_orderkey", "chunk").groupBy("l_orderkey", "chunk")
             .agg(F.collect_list(elem).alias("approvalFactDelegatee"))
             .select(F.col("l_orderkey").alias("OrderKey"), "approvalFactDelegatee"))
-    empty = (orders.join(li.select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_anti")
+    keys = li.select(F.col("l_orderkey").alias("o_orderkey")).repartition(parts, "o_orderkey")
+    empty = (orders.repartition(parts, "o_orderkey").join(keys, "o_orderkey", "left_anti")
              .select(F.col("o_orderkey").alias("OrderKey"),
                      F.when(F.col("o_orderstatus") == "F", F.array().cast(recs.schema["approvalFactDelegatee"].dataType))
                      .alias("approvalFactDelegatee")))
-    stage_files(recs.unionByName(empty), "json", dest, "approvals", files_for(_rows(li), 50_000))
+    stage_files(recs.unionByName(empty), "json", dest, "approvals", files_for(n, 50_000))
 
 
 def q04_json_nested(spark: SparkSession, sf: str) -> DataFrame:
@@ -535,7 +540,9 @@ def q31_key_in_odd_places(spark: SparkSession, sf: str) -> DataFrame:
     """Pages whose bodies carry the list's key as a value, nested and escaped, read by three partitions."""
     area = scratch(spark, "q31")
     orders = sf_table(spark, sf, "orders")
-    page = (F.floor(F.col("o_orderkey") / 100) + 1).alias("page")
+    # small pages, up to the API's limit where there would be too many of them
+    size = min(1000, max(100, _rows(orders) // 3000))
+    page = (F.floor(F.col("o_orderkey") / size) + 1).alias("page")
     records = orders.groupBy(page).agg(F.to_json(F.collect_list(F.struct(F.col("o_orderkey").cast("string").alias("mendixUID")))).alias("r"))
     body = F.array(F.lit('{"source":"deviceResponseData","deviceResponseData":%s}'),
                    F.lit('{"meta":{"deviceResponseData":[]},"deviceResponseData":%s}'),
