@@ -18,8 +18,7 @@ NESTED = (T.StructType, T.ArrayType, T.MapType)
 
 
 def _quoted(k: Column) -> Column:
-    text = F.to_json(F.array(k))
-    return F.substr(text, F.lit(2), F.length(text) - 2)
+    return F.btrim(F.to_json(F.array(k)), F.lit("[]"))
 
 
 # Inside these expressions "" stands for "nothing lost", and each step refers to the one before it once: an
@@ -34,7 +33,8 @@ def _object(entries: Column) -> Column:
 def _array(texts: Column) -> Column:
     """JSON array of texts, ``null`` for those that are ""; "" if all are."""
     body = F.array_join(F.transform(texts, lambda t: F.regexp_replace(t, "^$", "null")), ",")
-    return F.regexp_replace(F.concat(F.lit("["), body, F.lit("]")), r"^\[(null,?)*\]$", "")
+    # no text is null, so letters and commas tell as much as the words, and a class of letters takes no stack
+    return F.regexp_replace(F.concat(F.lit("["), body, F.lit("]")), r"^\[[nul,]*\]$", "")
 
 
 def lost(value: Column, parsed: Column, dtype: T.DataType) -> Column:
@@ -64,6 +64,20 @@ def lost(value: Column, parsed: Column, dtype: T.DataType) -> Column:
     return F.when(absent, "").when(parsed.isNull(), F.to_json(value)).otherwise(inner)
 
 
+def _has_maps(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return any(_has_maps(f.dataType) for f in dtype.fields)
+    return _has_maps(dtype.elementType) if isinstance(dtype, T.ArrayType) else isinstance(dtype, (T.MapType, T.VariantType))
+
+
+def _fits(text: Column, parsed: Column) -> Column:
+    """Whether ``parsed``, written as JSON again, is the text but for blanks between its tokens: then nothing is
+    lost, and no tree is needed to tell.  It need not be true where nothing is lost (fields in another order, say)."""
+    one = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"})
+    again = F.to_json(parsed)
+    return F.coalesce((text == again) | F.ltrim(text).startswith("{") & (one == F.array(again)), F.lit(False))
+
+
 def rescue_json(raw: DataFrame, text_col: str, schema: T.StructType, rescue: str, options: dict | None = None) -> DataFrame:
     """Parse JSON text into ``schema`` plus a column holding what it loses: the
     whole text if it is no JSON object (or one whose nested values cannot be told
@@ -72,28 +86,27 @@ def rescue_json(raw: DataFrame, text_col: str, schema: T.StructType, rescue: str
     take, and of nested ones the parts that are not in the schema
     (:func:`lost`).  NULL when nothing is lost."""
     text = F.col(text_col)
-    as_map = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
-    parsed = F.from_json(text, schema, options or {})
     known = F.array(*[F.lit(f.name.lower()) for f in schema.fields])
     nested = [f for f in schema.fields if isinstance(f.dataType, NESTED)]
-    tree = F.try_parse_json(text) if nested else F.lit(None).cast("variant")
-    bad = F.json_object_keys(text).isNull()
-    df = raw.select(text.alias("_t"), parsed.alias("_r"), as_map.alias("_m"), tree.alias("_v"), bad.alias("_bad"))
-    if nested:
-        df = df.withColumn("_bad", F.col("_bad") | F.col("_v").isNull())
-    gone = F.array(*[F.when(F.col("_r").getField(f.name).isNull(), F.lit(f.name.lower())) for f in schema.fields])
-    extra = F.map_filter("_m", lambda k, v: ~F.array_contains(known, F.lower(k)) | (
-        v.isNotNull() & F.array_contains(F.array_compact(gone), F.lower(k))))
+    # each step is a projection of its own, since what one expression names twice is computed twice
+    df = raw.select(text.alias("_t"), F.from_json(text, schema, options or {}).alias("_r"))
+    df = df.withColumn("_fits", _fits(F.col("_t"), F.col("_r")) if nested and not _has_maps(schema) else F.lit(False))
+    # the top level: with nested fields a tree, which is stricter than the names alone
+    top = F.try_variant_get(F.try_parse_json("_t"), "$", "map<string,variant>") if nested else F.json_object_keys("_t")
+    df = df.withColumn("_v", F.when(~F.col("_fits"), top))
+    gone = F.array_compact(F.array(*[F.when(F.col("_r").getField(f.name).isNull(), F.lit(f.name.lower())) for f in schema.fields]))
+    odd = lambda k: ~F.array_contains(known, F.lower(k)) | F.array_contains(gone, F.lower(k))
+    as_map = F.when(F.exists(F.map_keys("_v") if nested else F.col("_v"), odd), F.from_json("_t", "map<string,string>"))
+    extra = F.map_filter(as_map, lambda k, v: ~F.array_contains(known, F.lower(k)) | (v.isNotNull() & F.array_contains(gone, F.lower(k))))
     if nested:
-        for i, f in enumerate(nested):
-            quote = '"' if "'" in f.name else "'"
-            df = df.withColumn(f"_v{i}", F.try_variant_get("_v", f"$[{quote}{f.name}{quote}]", "variant"))
         parts = F.array(*[F.struct(F.lit(f.name).alias("k"), F.when(F.col("_r").getField(f.name).isNull(), "").otherwise(
             lost(F.col(f"_v{i}"), F.col("_r").getField(f.name), f.dataType)).alias("t")) for i, f in enumerate(nested)])
         extra = F.map_concat(F.coalesce(extra, F.from_json(F.lit("{}"), "map<string,string>")),
                              F.map_from_entries(F.filter(parts, lambda e: e["t"] != "")))
-    return df.select("_r.*", F.when(F.col("_bad") & (F.trim("_t") != ""), F.col("_t")).otherwise(
-        F.when(F.size(extra) > 0, F.to_json(extra))).alias(rescue))
+        df = df.withColumns({f"_v{i}": F.try_element_at("_v", F.lit(f.name)) for i, f in enumerate(nested)})
+    df = df.withColumn("_extra", F.when(F.col("_v").isNotNull(), extra))
+    bad = ~F.col("_fits") & F.col("_v").isNull() & (F.trim("_t") != "")
+    return df.select("_r.*", F.when(bad, F.col("_t")).otherwise(F.when(F.size("_extra") > 0, F.to_json("_extra"))).alias(rescue))
 
 
 def json_documents(raw: DataFrame, text_col: str) -> DataFrame:

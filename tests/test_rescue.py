@@ -46,6 +46,39 @@ def test_what_is_no_object_is_kept_whole(spark):
         assert rescued(spark, [text]) == [text]
 
 
+def test_long_arrays(spark):
+    elements = ", ".join(['{"x": 1}'] * 20_000)
+    more = elements + ', {"x": 1, "y": 2}'
+    whole, some = rescued(spark, [f'{{"a": [{elements}], "k": 1}}', f'{{"a": [{more}], "k": 1}}'])
+    assert whole is None
+    assert json.loads(json.loads(some)["a"]) == [None] * 20_000 + [{"y": 2}]
+
+
+def test_what_is_lost_is_computed_once(spark):
+    df = rescue_json(spark.createDataFrame([("{}",)], "value string"), "value", T.StructType.fromDDL(SCHEMA), "_r")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("map_concat(") == 1
+
+
+FITTED = "k BIGINT, a ARRAY<STRUCT<x: BIGINT>>, s STRUCT<p: STRUCT<q: STRING>, n: INT>"
+
+
+@pytest.mark.parametrize("text", ['{"k":1,"a":[{"x":1}],"s":{"p":{"q":"t"},"n":3}}', '{"k": 1, "a": [ ]}', "{}", '{"a":[null]}', '{"a":[{"x":1}],"k":1}'])
+def test_texts_that_fit(spark, text):
+    assert rescued(spark, [text], FITTED) == [None]
+
+
+@pytest.mark.parametrize("text", ['"{}"', '{"a":[{"x":1,"x":1}]}', '{"k":1,"k":1}', "{'k':1}", '{"k":1,"a":[]', '[{"k":1}]'])
+def test_texts_that_only_look_fitting(spark, text):
+    assert rescued(spark, [text], FITTED) == [text]
+
+
+def test_values_that_only_look_fitting(spark):
+    for text, want in (('{"s":{"p":{"q":"t"}},"k":"x"}', {"k": "x"}), ('{"k":1,"z":2}', {"z": "2"}), ('{"K":1,"a":[{"x":1,"X":2}]}', {"a": '[{"X":2}]'})):
+        (got,) = rescued(spark, [text], FITTED)
+        assert {k: v for k, v in json.loads(got).items() if k != "K"} == want
+
+
 leaves = st.one_of(st.integers(-5, 5), st.sampled_from(["s", "1", "é"]), st.booleans(), st.none())
 fields = st.sampled_from(["x", "y", "z"])
 values = st.recursive(leaves, lambda inner: st.one_of(st.lists(inner, max_size=3), st.dictionaries(fields, inner, max_size=3)), max_leaves=8)
