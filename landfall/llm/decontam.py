@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.llm.common import slices, table, text_buffers, without
+from landfall.llm.common import Workspace, slices, table, text_buffers, without
 
 #: Bytes of item text in one automaton.
 BLOCK_BYTES = 512 << 10
@@ -242,7 +242,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, window
 
     hits = F.aggregate("spans", F.lit(0), lambda n, s: n + s[1] - s[0])
     found = scan(spark, docs, items, window, text=text, **options)
-    return found.where(hits <= F.lit(max_coverage) * F.col("n_words")).mapInArrow(run, docs.schema)
+    # written, so that a task doesn't hold the workers of both steps at once
+    clean = Workspace(spark, "decontam").keep(found.where(hits <= F.lit(max_coverage) * F.col("n_words")).select(*names, "spans"), "clean")
+    return clean.mapInArrow(run, docs.schema)
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -280,3 +280,11 @@ NAMES = sorted(set(queries.QUERIES) - {"op1_chat_format"})
 @pytest.mark.parametrize("name", NAMES)
 def test_empty_tables(spark, empty, name):
     assert queries.QUERIES[name](spark, empty).count() == 0
+
+
+def test_decontamination_holds_one_python_step_in_a_task(spark):
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "x y"), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([("i", "b c")], "item_id string, text string")
+    out = decontam.decontaminate(spark, docs, items, window=2)
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted((r.doc_id, r.text) for r in out.collect() if r.doc_id != 3) == [(1, "a d"), (2, "x y")]
