@@ -33,6 +33,14 @@ places that don't overlap (one word sixty times over is not fifty words said twi
 Passages of ``length`` bytes or more are strings as above; only the shorter ones have
 a row each, compared by fingerprint.
 
+Passages reported.  With ``report``, no byte more goes, but n_passage_bytes and
+n_passages say how many bytes, in how many runs, lie in a passage of that many words
+(the bytes from the first word's begin to the last one's end) whose words also begin,
+in the same order, at any other word of any text, whatever stands between them:
+50 words and more are often shorter than ``length`` bytes.  Here a passage's anchor is
+its gram of ``WORD_GRAM`` words with the smallest hash; passages of one anchor are one
+entry, and only those of anchors that recur, in variants seen once, have a row each.
+
 Defined results: a null text is empty; texts shorter than ``length`` keep all
 bytes (but for passages); rows that repeat id and text repeat each other's bytes; null ids are
 allowed; no rows give no rows; other columns pass through ``dedup``, one with the
@@ -51,19 +59,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.llm.common import (BASE, BROADCAST_ROWS, BYTE_VALUES, INVERSE, Workspace, mix, powers, semi, slices,
-                                 span_hashes, table, text_buffers, without, word_spans)
+                                 rows_of, span_hashes, table, text_buffers, without, word_spans)
 
 GRAM, PIECE, GROUP, BATCHES = 32, 1 << 20, 4096, 4
+WORD_GRAM, PASSAGE_WORDS = 12, 51
 ENTRY = "u long, key long, p long, s0 long, s1 long, vh long"
 
 
 class Hashes:
-    """Fingerprints of any substring of some bytes."""
+    """Fingerprints of any substring of some units, given a 64-bit value for each (bytes: BYTE_VALUES)."""
 
-    def __init__(self, data: np.ndarray):
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(BYTE_VALUES[data] * powers(BASE, len(data)), out=self.sums[1:])
-        self.back = powers(INVERSE, len(data) + 1)
+    def __init__(self, values: np.ndarray):
+        self.sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * powers(BASE, len(values)), out=self.sums[1:])
+        self.back = powers(INVERSE, len(values) + 1)
 
     def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -95,7 +104,7 @@ def entries_of(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.n
     none = tuple(np.zeros(0, np.int64) for _ in range(6))
     if len(data) < length:
         return none
-    h = Hashes(data)
+    h = Hashes(BYTE_VALUES[data])
     at = np.arange(len(data) - GRAM + 1)
     anchor = sliding_argmin(h.of(at, at + GRAM), length - GRAM + 1)
     start = np.arange(len(anchor))
@@ -199,7 +208,7 @@ def _window_hashes(rows: pa.Table | pa.RecordBatch, length: int) -> tuple[np.nda
     row = np.repeat(np.arange(len(n)), n)
     place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
     start = offsets[row] + place
-    h = Hashes(data)
+    h = Hashes(BYTE_VALUES[data])
     rel = place - rows.column("p0").to_numpy(zero_copy_only=False)[row]
     with np.errstate(over="ignore"):
         return row, rel, mix(h.of(start, start + length) + rel.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
@@ -305,6 +314,84 @@ def repeated_passages(docs: DataFrame, length: int, words: int, ws: Workspace) -
     return runs.groupBy("u").agg(F.collect_list(F.array("a", F.col("b") - length)).alias("spans"))
 
 
+def passage_entries(values: np.ndarray, row: np.ndarray, words: int) -> tuple[np.ndarray, ...]:
+    """For words (value and row of each), runs of passages with one anchor: first and last passage's first word, key, vh."""
+    gram = min(WORD_GRAM, words)
+    start = np.flatnonzero(row[:max(0, len(row) - words + 1)] == row[words - 1:])
+    if not len(start):
+        return tuple(np.zeros(0, np.int64) for _ in range(4))
+    h = Hashes(values)
+    at = np.arange(len(values) - gram + 1)
+    a = sliding_argmin(h.of(at, at + gram), words - gram + 1)[start]
+    first = np.flatnonzero(np.diff(a, prepend=-1))
+    s0, s1, a = start[first], start[np.append(first[1:], len(start)) - 1], a[first]
+    with np.errstate(over="ignore"):
+        shape = (a - s0).astype(np.uint64) * np.uint64(1 << 32) + (s1 - s0).astype(np.uint64)
+        vh = mix(h.of(s0, s1 + words) + mix(shape))
+    return s0, s1, h.of(a, a + gram).view(np.int64), vh.view(np.int64)
+
+
+def passages_again(docs: DataFrame, words: int, ws: Workspace) -> DataFrame:
+    """(u, a, b): spans of bytes that cover all passages of ``words`` words of the documents (u, text) that begin elsewhere too.
+
+    In a document, spans that begin later end later.
+    """
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole, "text", PIECE)):
+            data, offsets = text_buffers(batch.column("text"))
+            u = batch.column("u").to_numpy(zero_copy_only=False)
+            begin, end = word_spans(data, offsets)
+            values, row = span_hashes(data, begin, end), np.searchsorted(offsets, begin, "right") - 1
+            for at in range(0, len(begin) - words + 1, PIECE):
+                part = slice(at, at + PIECE + words - 1)
+                s0, s1, key, vh = passage_entries(values[part], row[part], words)
+                r = row[part][s0]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
+                    u[r], key, vh, begin[part][s0] - offsets[r], end[part][s1 + words - 1] - offsets[r])], names=["u", "key", "vh", "a", "b"])
+
+    def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole, "text", PIECE)):
+            data, offsets = text_buffers(batch.column("text"))
+            lists = batch.column("wanted")
+            of = rows_of(np.append(0, np.cumsum(lists.value_lengths().to_numpy())))
+            c, lo, hi = (x.to_numpy() for x in lists.flatten().flatten())
+            u = batch.column("u").to_numpy(zero_copy_only=False)
+            for at in range(0, len(of), GROUP):
+                r, one, a, n = of[at:at + GROUP], c[at:at + GROUP] == 1, lo[at:at + GROUP], (hi - lo)[at:at + GROUP]
+                edges = np.append(0, np.cumsum(n))
+                part = data[np.repeat(offsets[r] + a - edges[:-1], n) + np.arange(edges[-1])]
+                begin, end = word_spans(part, edges)
+                k = np.searchsorted(edges, begin, "right") - 1
+                start = np.flatnonzero(k[:max(0, len(k) - words + 1)] == k[words - 1:])
+                ph, k = Hashes(span_hashes(part, begin, end)).of(start, start + words), k[start]
+                shift = (a - edges[:-1])[k]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
+                    u[r][k], one[k], ph.view(np.int64), begin[start] + shift, end[start + words - 1] + shift)], names=["u", "one", "ph", "a", "b"])
+
+    found = ws.keep(docs.select("u", "text").mapInArrow(entries, "u long, key long, vh long, a long, b long"), "passage-entries")
+    again = ws.keep(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "passage-keys")
+    hits = ws.keep(semi(found, again, "key"), "passage-hits")
+    ws.drop(found)
+    variants = ws.keep(hits.groupBy("key", "vh").agg(F.count("*").alias("c"), F.min(F.struct("u", "a", "b")).alias("at")), "passage-variants")
+    mixed = variants.groupBy("key").agg(F.count("*").alias("n"), F.min("c").alias("least")).where("n > 1 AND least = 1").select("key")
+    lists = ws.keep(variants.join(mixed, "key", "left_semi").select("c", "at.*").groupBy("u").agg(
+        F.collect_list(F.struct("c", "a", "b")).alias("wanted")), "passage-lists")
+    singles = ws.keep(_with(docs, lists, "u").select("u", "text", "wanted").mapInArrow(
+        passages, "u long, one boolean, ph long, a long, b long"), "passage-rows")
+    twice = singles.groupBy("ph").agg(F.count("*").alias("n")).where("n > 1")
+    whole = hits.join(variants.where("c > 1").select("key", "vh"), ["key", "vh"], "left_semi")
+    return whole.select("u", "a", "b").unionByName(semi(singles.where("one"), twice, "ph").select("u", "a", "b")).distinct()
+
+
+def passage_counts(docs: DataFrame, words: int, ws: Workspace) -> DataFrame:
+    """(u, n_passage_bytes, n_passages) of the documents (u, text) with passages of ``words`` words that begin elsewhere too."""
+    before = F.lag("b").over(Window.partitionBy("u").orderBy("a"))
+    spans = passages_again(docs, words, ws).select("u", (F.col("b") - F.greatest("a", before)).alias("fresh"),
+                                                   F.coalesce(F.col("a") > before, F.lit(True)).cast("long").alias("begins"))
+    return ws.keep(spans.groupBy("u").agg(F.sum("fresh").alias("n_passage_bytes"), F.sum("begins").alias("n_passages")), "passage-counts")
+
+
 def _with(docs: DataFrame, lists: DataFrame, on: str, bound: int = BROADCAST_ROWS) -> DataFrame:
     """Documents that have a list, with it: texts without one are left out before the shuffle if the ids are few enough."""
     ids = lists.select(on)
@@ -328,15 +415,17 @@ def _cut(raw: bytes, spans: list[list[int]], length: int) -> tuple[bytes, int, i
 
 
 def dedup(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 400,
-          batches: int = BATCHES, words: int = 0) -> DataFrame:
+          batches: int = BATCHES, words: int = 0, report: int = 0) -> DataFrame:
     """``docs`` without the repeats of ``length`` bytes (and of ``words`` words, unless 0): kept (the text that stays; half characters at its seams go), n_bytes, n_removed, n_spans and
-    kept_sha256 (of all bytes that stay) added."""
+    kept_sha256 (of all bytes that stay) added; with ``report``, also n_passage_bytes and n_passages, of passages of that many words."""
     ws = Workspace(spark, "suffix")
     added = [("kept", T.StringType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()),
              ("kept_sha256", T.StringType())]
-    docs = without(docs, [*(n for n, _ in added), "_u", "_spans"])
+    counted = ["n_passage_bytes", "n_passages"] if report else []
+    docs = without(docs, [*(n for n, _ in added), *counted, "_u", "_spans"])
     names = docs.columns
-    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, t) for n, t in added)])
+    carried = ["_u"] if report else []
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in carried), *(T.StructField(n, t) for n, t in added)])
     marked = docs.withColumn("_u", F.xxhash64(key, text))
     texts = marked.select(F.col("_u").alias("u"), F.col(text).alias("text"))
     spans = repeated_spans(spark, texts.where(F.octet_length("text") >= length), length, batches, ws)
@@ -352,7 +441,7 @@ def dedup(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str =
             out = [pa.array([k.decode("utf-8", "ignore") for k, _, _ in done], pa.string()), pa.array([len(x) for x in raw], pa.int64()),
                    pa.array([n for _, n, _ in done], pa.int64()), pa.array([n for _, _, n in done], pa.int64()),
                    pa.array([hashlib.sha256(k).hexdigest() for k, _, _ in done], pa.string())]
-            yield pa.RecordBatch.from_arrays([*batch.select(names).columns, *out], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.select([*names, *carried]).columns, *out], names=schema.names)
 
     empty = F.lit(None).cast("array<array<bigint>>").alias("_spans")
     ids = spans.select("_u")
@@ -362,10 +451,15 @@ def dedup(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str =
         ready = hit.unionByName(rest)
     else:
         ready = marked.join(spans, "_u", "left")
-    return ready.select(*names, "_spans").mapInArrow(run, schema)
+    done = ready.select(*names, *carried, "_spans").mapInArrow(run, schema)
+    if not report:
+        return done
+    counts = passage_counts(texts.where(F.octet_length("text") >= 2 * report - 1), report, ws).withColumnRenamed("u", "_u")
+    return done.join(counts, "_u", "left").drop("_u").fillna(0, counted)
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents, repeats of 400 bytes."""
+    """All documents, repeats of 400 bytes; bytes and runs of repeated passages of over 50 words beside them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup(spark, docs, length=400).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return dedup(spark, docs, length=400, report=PASSAGE_WORDS).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passage_bytes", "n_passages")
