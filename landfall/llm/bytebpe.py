@@ -36,7 +36,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from landfall.llm.common import table, without
+from landfall.llm.common import slices, table, without
 
 #: Characters up to which a text is encoded in one call.
 PIECE_CHARS = 200_000
@@ -131,7 +131,7 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(ranks_path, pattern)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, text)):
             done = [encode_text(enc, x.as_py(), piece_chars) for x in batch.column(text)]
             back = pa.array([enc.decode_bytes(x.tolist()) for x in done], pa.binary())
             ends = np.cumsum([0, *map(len, done)], dtype=np.int32)

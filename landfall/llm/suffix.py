@@ -61,7 +61,7 @@ from pyspark.sql import types as T
 from landfall.llm.common import (BASE, BROADCAST_ROWS, BYTE_VALUES, INVERSE, Workspace, mix, powers, semi, slices,
                                  rows_of, span_hashes, table, text_buffers, without, word_spans)
 
-GRAM, PIECE, GROUP, BATCHES = 32, 1 << 20, 4096, 4
+GRAM, PIECE, GROUP, BATCHES = 32, 1 << 18, 4096, 4
 WORD_GRAM, PASSAGE_WORDS = 12, 51
 ENTRY = "u long, key long, p long, s0 long, s1 long, vh long"
 
@@ -78,6 +78,15 @@ class Hashes:
         with np.errstate(over="ignore"):
             return mix((self.sums[b] - self.sums[a]) * self.back[a] + (b - a).astype(np.uint64))
 
+    def grams(self, width: int) -> np.ndarray:
+        """``of`` of all runs of ``width`` units, without arrays of their places."""
+        n = max(0, len(self.sums) - width)
+        with np.errstate(over="ignore"):
+            h = self.sums[width:] - self.sums[:n]
+            h *= self.back[:n]
+            h += np.uint64(width)
+        return mix(h)
+
 
 def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
     """Position of the smallest of each ``width`` neighbours, the leftmost of equals (by 40 bits, up to 2^24 values)."""
@@ -88,11 +97,15 @@ def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
         raise ValueError(f"{len(values)} values: positions have 24 bits")
     low = np.uint64((1 << 24) - 1)
     x = np.full(-(-len(values) // width) * width, np.uint64(0xFFFFFFFFFFFFFFFF))
-    x[:len(values)] = values & ~low | np.arange(len(values), dtype=np.uint64)
+    x[:len(values)] = values
+    x[:len(values)] &= ~low
+    x[:len(values)] |= np.arange(len(values), dtype=np.uint64)
     x = x.reshape(-1, width)
-    before = np.minimum.accumulate(x, 1).ravel()
-    after = np.minimum.accumulate(x[:, ::-1], 1)[:, ::-1].ravel()
-    return (np.minimum(after[:n], before[width - 1:width - 1 + n]) & low).astype(np.int64)
+    least = np.minimum.accumulate(x, 1).ravel()[width - 1:width - 1 + n]
+    np.minimum.accumulate(x[:, ::-1], 1, out=x[:, ::-1])
+    np.minimum(x.ravel()[:n], least, out=least)
+    least &= low
+    return least.view(np.int64)
 
 
 def entries_of(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
@@ -105,16 +118,16 @@ def entries_of(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.n
     if len(data) < length:
         return none
     h = Hashes(BYTE_VALUES[data])
-    at = np.arange(len(data) - GRAM + 1)
-    anchor = sliding_argmin(h.of(at, at + GRAM), length - GRAM + 1)
-    start = np.arange(len(anchor))
-    row = np.searchsorted(offsets, start, "right") - 1
-    start = start[start + length <= offsets[row + 1]]
+    anchor = sliding_argmin(h.grams(GRAM), length - GRAM + 1)
+    ends = np.repeat(offsets[1:], np.diff(offsets))[:len(anchor)]
+    start = np.flatnonzero(np.arange(length, length + len(anchor)) <= ends)
     if not len(start):
         return none
-    a, r = anchor[start], row[start]
-    first = np.flatnonzero((np.diff(a, prepend=-1) != 0) | (np.diff(r, prepend=-1) != 0))
-    s0, s1, a, r = start[first], start[np.append(first[1:], len(start)) - 1], a[first], r[first]
+    # windows of different rows have different anchors
+    a = anchor[start]
+    first = np.flatnonzero(np.diff(a, prepend=-1))
+    s0, s1, a = start[first], start[np.append(first[1:], len(start)) - 1], a[first]
+    r = np.searchsorted(offsets, s0, "right") - 1
     parts = []
     for lo, hi, p, end, salt in ((np.maximum(s0, a - half + 1), s1, a, a + length - half, 0),
                                  (s0, np.minimum(s1, a - half), a - half, a + GRAM, 1)):
@@ -246,7 +259,7 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int, batches: i
     lists = wanted.groupBy("u").agg(F.collect_list(F.struct("key", "vh", "c", "n", "p", "s0", "s1")).alias("wanted"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             for text, want in zip(batch.column("text"), batch.column("wanted")):
                 raw = text.as_buffer()
                 want = want.values.flatten()
@@ -321,8 +334,7 @@ def passage_entries(values: np.ndarray, row: np.ndarray, words: int) -> tuple[np
     if not len(start):
         return tuple(np.zeros(0, np.int64) for _ in range(4))
     h = Hashes(values)
-    at = np.arange(len(values) - gram + 1)
-    a = sliding_argmin(h.of(at, at + gram), words - gram + 1)[start]
+    a = sliding_argmin(h.grams(gram), words - gram + 1)[start]
     first = np.flatnonzero(np.diff(a, prepend=-1))
     s0, s1, a = start[first], start[np.append(first[1:], len(start)) - 1], a[first]
     with np.errstate(over="ignore"):

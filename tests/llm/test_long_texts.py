@@ -1,8 +1,12 @@
 """Texts beyond the positions of one pass, next to short ones."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures_llm import package  # noqa: F401
+from pyspark.sql import types as T
 
 from landfall.llm import suffix
 
@@ -61,3 +65,53 @@ def test_millions_of_blanks(spark):
     # a run's ids don't depend on its length beyond what the library's longest tokens make of it
     few = bytebpe.encode_text(enc, "a" + " " * 200_000 + "b").tolist()
     assert few == enc.encode_ordinary("a" + " " * 200_000 + "b")
+
+
+class Caught:
+    """In place of a frame: keeps the function that mapInArrow gets."""
+
+    columns, schema = ["text"], T.StructType([T.StructField("text", T.StringType())])
+
+    def select(self, *names):
+        return self
+
+    def drop(self, *names):
+        return self
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        return self
+
+
+def peak_mb(run, batch):
+    """Most memory that a step's arrays take, in MB, beside its input."""
+    for _ in run(iter([batch.slice(0, 1)])):  # tables that are kept
+        pass
+    tracemalloc.start()
+    try:
+        rows = sum(out.num_rows for out in run(iter([batch])))
+        return rows, tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.parametrize("length", [256, 400])
+def test_suffixes_hold_arrays_over_a_small_piece_of_text(length):
+    noise = np.random.default_rng(5).integers(97, 123, 3 << 20, np.uint8).tobytes().decode()
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1024)), pa.array([noise[k:k + 3072] for k in range(0, 3 << 20, 3072)])], names=["u", "text"])
+    docs = Caught()
+    suffix.suffixes(docs, length)
+    rows, mb = peak_mb(docs.run, batch)
+    assert rows > 10_000 and mb < 40
+
+
+def test_encoder_hands_over_small_batches():
+    import public_tokenizers as P
+
+    from landfall.llm import bytebpe
+    docs = Caught()
+    bytebpe.round_trip(docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    texts = pa.array(["word and word " * 200] * 1000 + [None, ""])
+    out = list(docs.run(iter([pa.RecordBatch.from_arrays([texts], names=["text"])])))
+    assert pa.concat_arrays([x.column("text") for x in out]).equals(texts)
+    assert max(sum(len(r) for r in x.column("raw").to_pylist()) for x in out) < 1 << 20
